@@ -292,3 +292,14 @@ ORACLE_SQL: dict[str, str] = {
   FROM lineitem, c""",
     "regression_line": REGRESSION_LINE,
 }
+
+GOVERNED_LOAD = f"""
+  WITH f AS (SELECT {R._file_ts_sql('20200101-000000')} AS METADATA_TM_FILE, {TS_RUN} AS METADATA_TM_INSERT,
+                    c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+             FROM customer WHERE c_mktsegment <> 'BUILDING'),
+  u AS (SELECT {R._file_ts_sql('20200201-000000')} AS METADATA_TM_FILE, {TS_RUN} AS METADATA_TM_INSERT,
+               c_custkey, c_name, c_nationkey, c_acctbal + 100 AS c_acctbal, c_mktsegment
+        FROM customer WHERE c_nationkey < 10 AND c_mktsegment <> 'MACHINERY')
+  SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.c_custkey = f.c_custkey)
+  UNION ALL SELECT * FROM u"""
+ORACLE_SQL["governed_load"] = GOVERNED_LOAD

@@ -33,6 +33,30 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
             .select("path", "modificationTime", "length"))
 
 
+def list_deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    """Deliveries of an input folder: ``path, modificationTime, length, n_files``.
+
+    A delivery is a file whose name carries the dot fields, or a folder with
+    such a name holding part files (as a Spark job writes them).  The listing
+    reads no file content.
+    """
+    try:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+                 .select("path", "modificationTime", "length"))
+    except Exception as exc:  # an empty or missing folder has nothing to apply
+        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return spark.createDataFrame([], "path string, modificationTime timestamp, length bigint, n_files bigint")
+        raise
+    name = base_name(F.col("path"))
+    named = F.size(F.split(name, "\\.")) >= DATE_FIELD
+    delivery = F.when(named, F.col("path")).otherwise(F.regexp_replace("path", "/[^/]*$", ""))
+    return files.groupBy(delivery.alias("path")).agg(
+        F.max("modificationTime").alias("modificationTime"),
+        F.sum("length").alias("length"),
+        F.count(F.lit(1)).alias("n_files"),
+    )
+
+
 def parse_delivery_names(listing: DataFrame, path_col: str = "path") -> DataFrame:
     """``path`` -> ``path, file_name, load_mode, file_date`` (+ any other listing columns)."""
     name = base_name(F.col(path_col))

@@ -61,8 +61,19 @@ def read_lines(spark: SparkSession, paths: str | list[str], with_position: bool
     )
 
 
+HEADING = "_heading"
+SKIPPED = "skipped"
+
+
 def skip_lines(lines: DataFrame, n: int) -> DataFrame:
-    """Drop the first ``n`` lines of every file (heading lines).
+    """Drop the first ``n`` lines of every file (see :func:`mark_headings`)."""
+    if n <= 0:
+        return lines
+    return mark_headings(lines, n).where(~F.col(HEADING)).drop(HEADING)
+
+
+def mark_headings(lines: DataFrame, n: int) -> DataFrame:
+    """Flag the first ``n`` lines of every file in a ``_heading`` column.
 
     The first ``n`` lines of a file sit at the start of its first split
     (``_block = 0``), and row ids grow along a split, so per file the lines
@@ -72,7 +83,7 @@ def skip_lines(lines: DataFrame, n: int) -> DataFrame:
     the first split, i.e. in ``spark.sql.files.maxPartitionBytes``.
     """
     if n <= 0:
-        return lines
+        return lines.withColumn(HEADING, F.lit(False))
     missing = {FILE, BLOCK, ROW_ID} - set(lines.columns)
     if missing:
         raise ValueError(f"skip_lines needs read_lines(..., with_position=True); missing {missing}")
@@ -85,7 +96,7 @@ def skip_lines(lines: DataFrame, n: int) -> DataFrame:
     if n_files is not None and n_files <= MAX_BROADCAST_FILES:
         firsts = F.broadcast(firsts)
     heading = (F.col(BLOCK) == 0) & (F.col(ROW_ID) < F.col("_first") + F.lit(n))
-    return lines.join(firsts, FILE, "left").where(~heading).drop("_first")
+    return lines.join(firsts, FILE, "left").withColumn(HEADING, F.coalesce(heading, F.lit(False))).drop("_first")
 
 
 def _evaluate_once(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
