@@ -67,13 +67,13 @@ def staged_keys(stage: DataFrame, keys, stage_rows: int | None = None) -> DataFr
 def anti_by_key(target: DataFrame, stage: DataFrame, keys, stage_rows: int | None = None) -> DataFrame:
     """Target rows that a delete by the staged keys leaves in place."""
     ks = _keys(keys)
-    return target.join(staged_keys(stage, ks, stage_rows), ks, "left_anti")
+    return target.join(staged_keys(stage, ks, stage_rows), ks, "left_anti").select(*target.columns)
 
 
 def matched_by_key(target: DataFrame, stage: DataFrame, keys, stage_rows: int | None = None) -> DataFrame:
     """Target rows that a delete by the staged keys removes."""
     ks = _keys(keys)
-    return target.join(staged_keys(stage, ks, stage_rows), ks, "left_semi")
+    return target.join(staged_keys(stage, ks, stage_rows), ks, "left_semi").select(*target.columns)
 
 
 def key_profile(df: DataFrame, keys) -> DataFrame:

@@ -103,5 +103,5 @@ def merge_deliveries(target: DataFrame, deliveries: list[tuple[str, DataFrame]],
         return tagged.drop("_ord")
     keyed = tagged.where(all_keys_present(ks))
     winners = keyed.groupBy(*ks).agg(F.max("_ord").alias("_ord"))
-    survivors = keyed.join(winners, ks + ["_ord"], "left_semi")
+    survivors = keyed.join(winners, ks + ["_ord"], "left_semi").select(*keyed.columns)
     return survivors.unionByName(tagged.where(any_key_null(ks))).drop("_ord")

@@ -104,6 +104,10 @@ class GovernedLoad:
         self.journal.event(self.run_id, name, value, self.run_ts)
 
     def run(self, in_folder: str) -> LoadReport:
+        return self.run_listing(dl.list_deliveries(self.spark, in_folder))
+
+    def run_listing(self, listing: DataFrame) -> LoadReport:
+        """Apply the deliveries of a listing (``path`` column, see ``list_deliveries``)."""
         self.journal.ensure()
         self.run_id = self.journal.open_run(self.process, self.spec.object_name, self.run_ts)
         report = LoadReport(self.run_id, self.table)
@@ -111,7 +115,7 @@ class GovernedLoad:
         try:
             if self.store.ensure_versioned(self.table, self.spec.target_schema):
                 self._ev("Table_Creation", self.table)
-            names = dl.parse_delivery_names(dl.list_deliveries(self.spark, in_folder))
+            names = dl.parse_delivery_names(listing.select("path"))
             plan = dl.plan_deliveries(names, keys=self.spec.column_id)
             before = self.store.read(self.table).count()
             for i, item in enumerate(dl.plan_list(plan)):

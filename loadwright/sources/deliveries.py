@@ -16,7 +16,7 @@ driver by :func:`plan_list`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadwright.functions.names import (
@@ -47,10 +47,18 @@ def list_deliveries(spark: SparkSession, folder: str) -> DataFrame:
         if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
             return spark.createDataFrame([], "path string, modificationTime timestamp, length bigint, n_files bigint")
         raise
-    name = base_name(F.col("path"))
-    named = F.size(F.split(name, "\\.")) >= DATE_FIELD
-    delivery = F.when(named, F.col("path")).otherwise(F.regexp_replace("path", "/[^/]*$", ""))
-    return files.groupBy(delivery.alias("path")).agg(
+    return group_delivery_files(files)
+
+
+def delivery_path(path: Column) -> Column:
+    """The delivery a file belongs to: itself when named with the dot fields, else its folder."""
+    named = F.size(F.split(base_name(path), "\\.")) >= DATE_FIELD
+    return F.when(named, path).otherwise(F.regexp_replace(path, "/[^/]*$", ""))
+
+
+def group_delivery_files(files: DataFrame) -> DataFrame:
+    """File listing (``path, modificationTime, length``) -> one row per delivery."""
+    return files.groupBy(delivery_path(F.col("path")).alias("path")).agg(
         F.max("modificationTime").alias("modificationTime"),
         F.sum("length").alias("length"),
         F.count(F.lit(1)).alias("n_files"),

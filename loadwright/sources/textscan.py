@@ -96,7 +96,8 @@ def mark_headings(lines: DataFrame, n: int) -> DataFrame:
     if n_files is not None and n_files <= MAX_BROADCAST_FILES:
         firsts = F.broadcast(firsts)
     heading = (F.col(BLOCK) == 0) & (F.col(ROW_ID) < F.col("_first") + F.lit(n))
-    return lines.join(firsts, FILE, "left").withColumn(HEADING, F.coalesce(heading, F.lit(False))).drop("_first")
+    joined = lines.join(firsts, FILE, "left").select(*lines.columns, "_first")
+    return joined.withColumn(HEADING, F.coalesce(heading, F.lit(False))).drop("_first")
 
 
 def _evaluate_once(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
