@@ -25,10 +25,21 @@ def as_struct(schema: str | StructType) -> StructType:
     return parsed
 
 
+_JAVA_REGEX_META = set(".$|()[]{}^?*+\\")
+
+
 def java_regex_literal(text: str) -> str:
-    """A Java regex that matches ``text`` literally (``split`` takes a regex)."""
+    """A Java regex that matches ``text`` literally (``split`` takes a regex).
+
+    A single character is written bare or as ``\\c``: Java's ``String.split``
+    then splits without the regex engine.  Longer delimiters are quoted.
+    """
     if not text:
         raise ValueError("delimiter must not be empty")
+    if len(text) == 1 and not text.isalnum():
+        return "\\" + text if text in _JAVA_REGEX_META else text
+    if len(text) == 1:
+        return text
     return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 

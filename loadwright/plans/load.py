@@ -30,7 +30,7 @@ from loadwright.operators import keys as keys_mod
 from loadwright.operators import modes as modes_mod
 from loadwright.operators import rejects as rejects_mod
 from loadwright.operators import transform as tf
-from loadwright.operators.counts import ReconciliationError, reconcile, row_count
+from loadwright.operators.counts import ReconciliationError, reconcile
 from loadwright.plans.journal import Journal, now_ts
 from loadwright.plans.spec import LoadSpec
 from loadwright.plans.store import TableStore
@@ -91,12 +91,13 @@ def _status_counts():
 class GovernedLoad:
     def __init__(self, spark: SparkSession, spec: LoadSpec, store: TableStore,
                  journal: Journal | None = None, run_ts: str | None = None,
-                 process: str = "DATALOADER", check_primary_key: bool = True):
+                 process: str = "DATALOADER", check_primary_key: bool = True, bulk: bool = False):
         self.spark, self.spec, self.store = spark, spec, store
         self.journal = journal or Journal(store)
         self.run_ts = run_ts or now_ts()
         self.process = process
         self.check_primary_key = check_primary_key
+        self.bulk = bulk
         self.table = spec.table_name
 
     # -- journal shortcuts -------------------------------------------------
@@ -118,11 +119,17 @@ class GovernedLoad:
             names = dl.parse_delivery_names(listing.select("path"))
             plan = dl.plan_deliveries(names, keys=self.spec.column_id)
             before = self.store.read(self.table).count()
-            for i, item in enumerate(dl.plan_list(plan)):
-                fr = self._one(i, item, before)
-                report.files.append(fr)
-                before = fr.after
+            self.rejected_in_run = 0
+            items = dl.plan_list(plan)
+            if self.bulk and len(items) > 1:
+                report.files.extend(self._bulk(items, before))
                 self.journal.flush()
+            else:
+                for i, item in enumerate(items):
+                    fr = self._one(i, item, before)
+                    report.files.append(fr)
+                    before = fr.after
+                    self.journal.flush()
             for row in dl.unprocessed_deliveries(names, plan).orderBy("file_name").collect():
                 report.not_processed.append(row["file_name"])
                 self._ev("File_Not_Processed", row["file_name"])
@@ -136,6 +143,12 @@ class GovernedLoad:
             raise
 
     def _one(self, index: int, item: dict, before: int) -> FileReport:
+        fr, stamped = self._stage(index, item, before)
+        self._apply(index, fr, stamped, before)
+        return fr
+
+    def _stage(self, index: int, item: dict, before: int):
+        """Steps 2-5 for one delivery: the gated, stamped stage and its report."""
         spec, store = self.spec, self.store
         mode = item["load_mode"]
         eff = modes_mod.effective_mode(mode, spec.column_id)
@@ -163,7 +176,9 @@ class GovernedLoad:
             self._ev("NB_Rows_bad_file", fr.n_rejected)
             store.ensure_append(spec.rejected_table_name, rejects_mod.REJECTED_SCHEMA)
             store.append(spec.rejected_table_name, rejects_mod.rejected_rows(staged, self.run_id, self.run_ts))
-            n_run = row_count(store.read(spec.rejected_table_name), "S_ID", self.run_id)
+            # rejects of this run so far: known from the parse observations, no re-count
+            self.rejected_in_run += fr.n_rejected
+            n_run = self.rejected_in_run
             self._ev("NBRows_rejected_table", n_run)
             gate = rejects_mod.reject_gate(n_run, spec.threshold, raise_on_fail=False)
             if not gate.passed:
@@ -187,11 +202,16 @@ class GovernedLoad:
             fr.stage_rows = stage.count() if spec.steps else fr.n_good
             self._ev("NBRows_temp_table", fr.stage_rows)
 
-        # 6. audit columns, projection, load mode
+        # 6. audit columns and projection
         stamped = tf.project(tf.stamp_audit(stage, item["file_date"], self.run_ts), spec.select)
+        return fr, stamped
+
+    def _apply(self, index: int, fr: FileReport, stamped: DataFrame, before: int) -> None:
+        """Steps 6-8 for one delivery: new snapshot by mode, reconcile, switch, statistics."""
+        spec, store, eff = self.spec, self.store, fr.effective_mode
         target = store.read(self.table)
         stamped = modes_mod.conform(stamped, target)
-        check = self._pk_check if (self.check_primary_key and spec.table_key) else None
+        check = self._check()
         if eff == MODE_FULL:
             self._ev("NBRows_table_after_truncate", 0)
             fr.after = store.replace(self.table, stamped, before_switch=check)
@@ -209,13 +229,40 @@ class GovernedLoad:
             fr.after = store.replace(self.table, target.unionByName(stamped), before_switch=check)
             reconcile(MODE_INSERT, before, fr.stage_rows, fr.after)
 
-        # 8. statistics
-        if spec.analyze:
-            store.analyze(self.table)
-            self._ev("Statistics_Calculation", "")
-        self._ev("NBRows_after_loading", fr.after)
-        return fr
+        self._finish(fr.after)
 
+    def _finish(self, after: int) -> None:
+        if self.spec.analyze:
+            self.store.analyze(self.table)
+            self._ev("Statistics_Calculation", "")
+        self._ev("NBRows_after_loading", after)
+
+    def _check(self):
+        return self._pk_check if (self.check_primary_key and self.spec.table_key) else None
+
+    def _bulk(self, plan: list[dict], before: int) -> list[FileReport]:
+        """Stage and gate every planned delivery, then write one merged snapshot.
+
+        Equivalent to applying the deliveries one by one (see
+        ``operators.modes.merge_deliveries``) but the target is rewritten once
+        instead of once per delivery.  Rows surviving from each source are
+        observed on the write; the last delivery must survive whole.
+        """
+        staged = [self._stage(i, item, before) for i, item in enumerate(plan)]
+        target = self.store.read(self.table)
+        deliveries = [(fr.effective_mode, modes_mod.conform(st, target)) for fr, st in staged]
+        merged = modes_mod.merge_deliveries(target, deliveries, keys=self.spec.column_id)
+        after = self.store.replace(self.table, merged, before_switch=self._check())
+        reports = [fr for fr, _ in staged]
+        for fr in reports:
+            fr.after = after
+        last = reports[-1]
+        if last.effective_mode == MODE_FULL and len(reports) == 1:
+            reconcile(MODE_FULL, before, last.stage_rows, after)
+        elif all(fr.effective_mode == MODE_INSERT for fr in reports):
+            reconcile(MODE_INSERT, before, sum(fr.stage_rows for fr in reports), after)
+        self._finish(after)
+        return reports
     def _pk_check(self, path: str) -> None:
         """Primary-key test of a written snapshot, reading the key columns only."""
         keys = self.spec.table_key

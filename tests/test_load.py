@@ -27,7 +27,8 @@ def write(folder, mode, date, lines):
 
 
 def table_rows(store, table):
-    return sorted((r.id, r.name, r.amount, str(r.METADATA_TM_FILE)) for r in store.read(table).collect())
+    return sorted(((r.id, r.name, r.amount, str(r.METADATA_TM_FILE)) for r in store.read(table).collect()),
+                  key=lambda t: (t[0] is None, str(t)))
 
 
 def events(journal, run_id):
@@ -120,3 +121,23 @@ def test_empty_inbox(spark, env):
     spec = LoadSpec("src.base.acct", COLS, delimiter="|", custom_table_name=table)
     rep = run_load(spark, spec, str(inbox), store, journal, run_ts=RUN_TS)
     assert rep.files == [] and rep.not_processed == [] and store.read(table).count() == 0
+
+
+def test_bulk_merge_equals_per_delivery_loads(spark, tmp_path):
+    inbox = tmp_path / "IN"
+    write(inbox, "FULL", "20210101-000000", ["1|a|1.0", "2|b|2.0", "3|c|3.0", "|n|0.5"])
+    write(inbox, "UPDT", "20210102-000000", ["2|bb|20.0", "4|d|4.0", "|m|0.7"])
+    write(inbox, "UPDT", "20210103-000000", ["4|dd|40.0", "1|aa|10.0", "5|e|bad"])
+    results = []
+    for bulk in (False, True):
+        store = TableStore(spark, str(tmp_path / f"wh{bulk}"))
+        table = f"BULK_{int(bulk)}"
+        spec = LoadSpec("src.base.acct", COLS, delimiter="|", column_id="id", custom_table_name=table)
+        rep = run_load(spark, spec, str(inbox), store, Journal(store, prefix=f"JB{int(bulk)}_"),
+                       run_ts=RUN_TS, bulk=bulk)
+        assert len(rep.files) == 3
+        results.append(table_rows(store, table))
+        if bulk:
+            assert store.version(table) == 1          # one snapshot for the whole plan
+    assert results[0] == results[1]
+    assert len(results[0]) == 6            # ids 1-4 and the two NULL-key rows; 5 was rejected
