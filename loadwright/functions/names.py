@@ -34,5 +34,12 @@ def name_field(file_name: Column, position: int) -> Column:
 
 
 def file_date_ts(file_date: Column) -> Column:
-    """``20200310-000000`` -> TIMESTAMP_NTZ ``2020-03-10 00:00:00``; NULL if malformed."""
-    return F.try_to_timestamp(file_date, F.lit(FILE_DATE_FORMAT)).cast("timestamp_ntz")
+    """``20200310-000000`` -> TIMESTAMP_NTZ ``2020-03-10 00:00:00``; NULL if malformed.
+
+    Built from the digits with ``try_make_timestamp_ntz`` so that no session
+    time zone is involved (a zone's daylight-saving gap cannot move the time).
+    """
+    part = [F.substring(file_date, pos, n).cast("int") for pos, n in ((1, 4), (5, 2), (7, 2), (10, 2), (12, 2))]
+    sec = F.substring(file_date, 14, 2).cast("decimal(16,6)")
+    well_formed = file_date.rlike("^[0-9]{8}-[0-9]{6}$")
+    return F.when(well_formed, F.try_make_timestamp_ntz(*part, sec))

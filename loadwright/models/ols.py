@@ -115,6 +115,16 @@ def simple_fit_columns(y: str, x: str) -> list[Column]:
     ]
 
 
+def regression_points(df: DataFrame, y: str, x: str, fraction: float = 0.01, seed: int = 42) -> DataFrame:
+    """The scatter part of the regression plot: a Bernoulli sample of ``(x, y)`` pairs.
+
+    Sampling is the purpose here (a plot cannot show every row); the sample is
+    taken per partition, so nothing is gathered before it is reduced.
+    """
+    return (df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+            .na.drop().sample(fraction=fraction, seed=seed))
+
+
 def regression_line(df: DataFrame, y: str, x: str, steps: int = 50, digits: int = 8) -> DataFrame:
     """Data for the regression plot: the fitted line on an even grid from min(x) to max(x).
 

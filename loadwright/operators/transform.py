@@ -10,6 +10,8 @@ Fixed values that must equal the reference:
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,16 +23,18 @@ AUDIT_COLUMNS = (AUDIT_FILE, AUDIT_INSERT)
 DEFAULT_LABEL_POSITION = 5
 
 
-def _second(ts: Column) -> Column:
-    return F.date_trunc("second", ts).cast("timestamp_ntz")
+def seconds_literal(ts: str) -> Column:
+    """A TIMESTAMP_NTZ literal cut to whole seconds (no session time zone involved)."""
+    value = datetime.fromisoformat(ts).replace(microsecond=0, tzinfo=None)
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
 
 def stamp_audit(df: DataFrame, file_date: str, run_ts: str) -> DataFrame:
     """Prefix the two audit columns; ``file_date`` is ``yyyyMMdd-HHmmss``."""
     data = [c for c in df.columns if c not in AUDIT_COLUMNS]
     return df.select(
-        _second(file_date_ts(F.lit(file_date))).alias(AUDIT_FILE),
-        _second(F.lit(run_ts).cast("timestamp_ntz")).alias(AUDIT_INSERT),
+        file_date_ts(F.lit(file_date)).alias(AUDIT_FILE),
+        seconds_literal(run_ts).alias(AUDIT_INSERT),
         *data,
     )
 

@@ -11,7 +11,8 @@ Per delivery, in order:
   6. stamp the audit columns, project, and apply FULL / UPDT / INST into a new
      snapshot of the target (kept-row and total counts observed on the write)
   7. optional primary-key check of the new snapshot before the switch
-  8. reconcile counts, switch the table to the snapshot, gather statistics
+  8. reconcile counts and switch the table to the snapshot
+Table statistics are gathered once at the end of the run.
 Each step's counts go to the run journal.
 
 Every data step is a Spark job over the whole delivery and target; the
@@ -120,6 +121,7 @@ class GovernedLoad:
             plan = dl.plan_deliveries(names, keys=self.spec.column_id)
             before = self.store.read(self.table).count()
             self.rejected_in_run = 0
+            self.changed = False
             items = dl.plan_list(plan)
             if self.bulk and len(items) > 1:
                 report.files.extend(self._bulk(items, before))
@@ -130,6 +132,10 @@ class GovernedLoad:
                     report.files.append(fr)
                     before = fr.after
                     self.journal.flush()
+            if self.changed and self.spec.analyze:
+                # statistics once per run: they only serve later queries
+                self.store.analyze(self.table)
+                self._ev("Statistics_Calculation", "")
             for row in dl.unprocessed_deliveries(names, plan).orderBy("file_name").collect():
                 report.not_processed.append(row["file_name"])
                 self._ev("File_Not_Processed", row["file_name"])
@@ -232,10 +238,8 @@ class GovernedLoad:
         self._finish(fr.after)
 
     def _finish(self, after: int) -> None:
-        if self.spec.analyze:
-            self.store.analyze(self.table)
-            self._ev("Statistics_Calculation", "")
         self._ev("NBRows_after_loading", after)
+        self.changed = True
 
     def _check(self):
         return self._pk_check if (self.check_primary_key and self.spec.table_key) else None

@@ -72,3 +72,22 @@ def test_gate_table(spark):
     counts = spark.createDataFrame([(5,)], "n_rejected bigint")
     got = {r.threshold: r.passed for r in R.gate_table(counts, [4, 5, 6]).collect()}
     assert got == {4: False, 5: False, 6: True}
+
+
+def test_file_date_ignores_session_time_zone(spark):
+    from pyspark.sql import functions as F
+
+    from loadwright.functions.names import file_date_ts
+    from loadwright.operators.transform import stamp_audit
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("20200308-023000",), ("2020x",), ("20201399-000000",)], "s string")
+        got = [str(r[0]) for r in df.select(file_date_ts(F.col("s"))).collect()]
+        stamped = stamp_audit(spark.range(1), "20200308-023000", "2020-03-08 02:30:01.5").first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == ["2020-03-08 02:30:00", "None", "None"]
+    assert str(stamped.METADATA_TM_FILE) == "2020-03-08 02:30:00"
+    assert str(stamped.METADATA_TM_INSERT) == "2020-03-08 02:30:01"

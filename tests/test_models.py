@@ -100,3 +100,9 @@ def test_forest_tree_nodes_invariants(spark, tmp_path):
                                 path=str(tmp_path / "m2")).collect()
     assert [(n.node_id, n.threshold, n.samples) for n in sorted(nodes)] == \
         [(n.node_id, n.threshold, n.samples) for n in sorted(again)]
+
+
+def test_regression_points_sample(spark, lineitem):
+    pts = ols.regression_points(lineitem, "l_extendedprice", "l_quantity", fraction=0.5, seed=1)
+    n, total = pts.count(), lineitem.count()
+    assert 0.35 * total < n < 0.65 * total and pts.columns == ["x", "y"]
