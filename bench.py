@@ -22,7 +22,8 @@ HEADLINE = [
     "parse_delimited", "parse_fixed_width", "load_update_single", "load_update_composite",
     "duplicate_keys", "load_full", "ols_multi", "forest_tree_nodes", "logit_predict",
 ]
-EXTRA = ["rejected_lines", "load_sequence", "pk_violations", "delivery_plan", "governed_load"]
+EXTRA = ["rejected_lines", "load_sequence", "pk_violations", "delivery_plan", "governed_load",
+         "governed_load_bucketed"]
 
 
 def main() -> None:

@@ -24,3 +24,11 @@ def any_key_null(keys: list[str]) -> Column:
 
 def all_keys_present(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+BUCKET_COLUMN = "_bucket"
+
+
+def bucket_of(keys: list[str], n_buckets: int) -> Column:
+    """Stable hash bucket of a key tuple: ``pmod(xxhash64(keys), n)`` (NULL keys share one bucket)."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(int(n_buckets))).cast("int")

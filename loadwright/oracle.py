@@ -303,3 +303,4 @@ GOVERNED_LOAD = f"""
   SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.c_custkey = f.c_custkey)
   UNION ALL SELECT * FROM u"""
 ORACLE_SQL["governed_load"] = GOVERNED_LOAD
+ORACLE_SQL["governed_load_bucketed"] = GOVERNED_LOAD

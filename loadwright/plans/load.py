@@ -22,10 +22,12 @@ driver only handles counts and the list of delivery names.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from loadwright.functions.keys import BUCKET_COLUMN, bucket_of
 from loadwright.functions.names import MODE_FULL, MODE_INSERT, MODE_UPDATE
 from loadwright.operators import keys as keys_mod
 from loadwright.operators import modes as modes_mod
@@ -115,7 +117,11 @@ class GovernedLoad:
         report = LoadReport(self.run_id, self.table)
         self._ev("Dataloader", "Begin")
         try:
-            if self.store.ensure_versioned(self.table, self.spec.target_schema):
+            if self.spec.buckets:
+                created = self.store.ensure_bucketed(self.table, self.spec.stored_schema, BUCKET_COLUMN)
+            else:
+                created = self.store.ensure_versioned(self.table, self.spec.target_schema)
+            if created:
                 self._ev("Table_Creation", self.table)
             names = dl.parse_delivery_names(listing.select("path"))
             plan = dl.plan_deliveries(names, keys=self.spec.column_id)
@@ -216,9 +222,20 @@ class GovernedLoad:
         """Steps 6-8 for one delivery: new snapshot by mode, reconcile, switch, statistics."""
         spec, store, eff = self.spec, self.store, fr.effective_mode
         target = store.read(self.table)
-        stamped = modes_mod.conform(stamped, target)
+        stamped = self._conform(stamped, target)
         check = self._check()
-        if eff == MODE_FULL:
+        if spec.buckets:
+            if eff == MODE_FULL:
+                self._ev("NBRows_table_after_truncate", 0)
+            fr.after, fr.after_delete = self._replace_buckets(
+                f"{self.run_id}-{index:04d}", target, [(eff, stamped)], before, fr.stage_rows)
+            if eff == MODE_FULL:
+                reconcile(MODE_FULL, before, fr.stage_rows, fr.after)
+                self._ev("NBRows_table_after_loading=NBRows_temp_table", "")
+            else:
+                self._ev("NBRows_table_after_delete_request", fr.after_delete)
+                reconcile(MODE_UPDATE, before, fr.stage_rows, fr.after, removed=before - fr.after_delete)
+        elif eff == MODE_FULL:
             self._ev("NBRows_table_after_truncate", 0)
             fr.after = store.replace(self.table, stamped, before_switch=check)
             reconcile(MODE_FULL, before, fr.stage_rows, fr.after)
@@ -244,6 +261,62 @@ class GovernedLoad:
     def _check(self):
         return self._pk_check if (self.check_primary_key and self.spec.table_key) else None
 
+    def _conform(self, stamped: DataFrame, target: DataFrame) -> DataFrame:
+        if self.spec.buckets:
+            stamped = stamped.withColumn(BUCKET_COLUMN, bucket_of(self.spec.column_id, self.spec.buckets))
+        return modes_mod.conform(stamped, target)
+
+    def _replace_buckets(self, tag: str, target: DataFrame, deliveries: list, before: int,
+                         stage_rows: int | None = None):
+        """Rewrite only the buckets the staged keys fall in; return (after, after_delete).
+
+        The touched bucket numbers (at most ``spec.buckets`` small ints) are the
+        only data brought to the driver.  The old rows of those buckets are read
+        with partition pruning; every other bucket keeps its files.
+        """
+        spec, keys, b = self.spec, self.spec.column_id, BUCKET_COLUMN
+        touched_df = reduce(DataFrame.unionByName, [st.select(b) for _, st in deliveries]).distinct()
+        touched = sorted(r[0] for r in touched_df.collect())
+        check = self._bucket_check(target, touched)
+        if deliveries[0][0] == MODE_FULL:
+            new = modes_mod.merge_deliveries(target, deliveries, keys)      # the target is not read
+            after = self.store.replace_partitions(self.table, new, b, touched, tag, drop_others=True,
+                                                  before_switch=check)
+            return after, None
+        old = target.where(F.col(b).isin(touched))
+        old_rows = old.count()                          # pruned to the touched buckets
+        kept_obs = None
+        if len(deliveries) == 1:
+            kept_obs = Observation(f"kept_{tag}")
+            stage = deliveries[0][1]
+            kept = keys_mod.anti_by_key(old, stage, keys, stage_rows=stage_rows)
+            new = kept.observe(kept_obs, F.count(F.lit(1)).alias("rows")).unionByName(stage)
+        else:
+            new = modes_mod.merge_deliveries(old, deliveries, keys)
+        written = self.store.replace_partitions(self.table, new, b, touched, tag, before_switch=check)
+        after = before - old_rows + written
+        after_delete = before - old_rows + int(kept_obs.get["rows"]) if kept_obs is not None else None
+        return after, after_delete
+
+    def _bucket_check(self, target: DataFrame, touched: list[int]):
+        """Primary-key check of a bucketed snapshot before its partitions are switched.
+
+        When the primary key is the delivery key, equal keys share a bucket and
+        only the rewritten buckets can hold new violations; otherwise the
+        untouched buckets' keys are checked together with the new ones.
+        """
+        if not (self.check_primary_key and self.spec.table_key):
+            return None
+        tk = self.spec.table_key
+
+        def check(folder: str) -> None:
+            keys = self.spark.read.parquet(folder).select(*tk)
+            if tk != self.spec.column_id:
+                keys = keys.unionByName(target.where(~F.col(BUCKET_COLUMN).isin(touched)).select(*tk))
+            if keys_mod.pk_violations(keys, tk).limit(1).count():
+                raise PrimaryKeyViolation(f"the new snapshot of {self.table} breaks the key {tk}")
+        return check
+
     def _bulk(self, plan: list[dict], before: int) -> list[FileReport]:
         """Stage and gate every planned delivery, then write one merged snapshot.
 
@@ -254,9 +327,12 @@ class GovernedLoad:
         """
         staged = [self._stage(i, item, before) for i, item in enumerate(plan)]
         target = self.store.read(self.table)
-        deliveries = [(fr.effective_mode, modes_mod.conform(st, target)) for fr, st in staged]
-        merged = modes_mod.merge_deliveries(target, deliveries, keys=self.spec.column_id)
-        after = self.store.replace(self.table, merged, before_switch=self._check())
+        deliveries = [(fr.effective_mode, self._conform(st, target)) for fr, st in staged]
+        if self.spec.buckets:
+            after, _ = self._replace_buckets(f"{self.run_id}-bulk", target, deliveries, before)
+        else:
+            merged = modes_mod.merge_deliveries(target, deliveries, keys=self.spec.column_id)
+            after = self.store.replace(self.table, merged, before_switch=self._check())
         reports = [fr for fr, _ in staged]
         for fr in reports:
             fr.after = after

@@ -10,6 +10,8 @@ checkpoint folder:
   PURG 20200301-000000  every customer (unknown mode: not applied)
 
 The load runs with key ``c_custkey`` and returns the final target table.
+The bucketed variant hash-partitions the target by the key (one merged
+snapshot for the plan, rewriting only the touched buckets).
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadwright.functions.keys import BUCKET_COLUMN
 from loadwright.functions.render import delimited_line
 from loadwright.plans.journal import Journal
 from loadwright.plans.load import run_load
@@ -52,14 +55,16 @@ def write_deliveries(customer: DataFrame, in_dir: str) -> None:
         rows.select(line.alias("value")).write.text(os.path.join(in_dir, name))
 
 
-def governed_customer_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+def governed_customer_load(spark: SparkSession, sf_dir: str, buckets: int | None = None,
+                           bulk: bool = False) -> DataFrame:
     root = scratch_path(spark, "governed")
     suffix = os.path.basename(root).rsplit("-", 1)[-1]
     in_dir = f"{root}/IN"
     customer = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet")
     write_deliveries(customer, in_dir)
     spec = LoadSpec("src.base.customer", CUSTOMER_DDL, delimiter="|", column_id="c_custkey",
-                    table_key="c_custkey", custom_table_name=f"CUSTOMER_{suffix}")
+                    table_key="c_custkey", custom_table_name=f"CUSTOMER_{suffix}", buckets=buckets)
     store = TableStore(spark, f"{root}/warehouse")
-    run_load(spark, spec, in_dir, store, Journal(store, prefix=f"J{suffix}_"), run_ts=RUN_TS)
-    return store.read(spec.table_name)
+    run_load(spark, spec, in_dir, store, Journal(store, prefix=f"J{suffix}_"), run_ts=RUN_TS, bulk=bulk)
+    out = store.read(spec.table_name)
+    return out.drop(BUCKET_COLUMN) if buckets else out

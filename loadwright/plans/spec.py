@@ -12,9 +12,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql.types import StructField, StructType, TimestampNTZType
+from pyspark.sql.types import IntegerType, StructField, StructType, TimestampNTZType
 
-from loadwright.functions.keys import parse_keys
+from loadwright.functions.keys import BUCKET_COLUMN, parse_keys
 from loadwright.functions.tokens import as_struct, parse_widths
 from loadwright.operators.rejects import DEFAULT_THRESHOLD
 from loadwright.operators.transform import AUDIT_FILE, AUDIT_INSERT
@@ -35,7 +35,8 @@ class LoadSpec:
     steps: list[str] = field(default_factory=list)  # ordered SELECTs over {stage}
     custom_table_name: str | None = None
     pad_short_rows: bool = True
-    analyze: bool = True                   # gather table statistics after each load
+    analyze: bool = True                   # gather table statistics after each run
+    buckets: int | None = None             # hash-partition the target by the delivery key
 
     def __post_init__(self):
         if not self.delimiter and not self.widths:
@@ -44,6 +45,8 @@ class LoadSpec:
             self.widths = parse_widths(self.widths)
         self.column_id = parse_keys(self.column_id)
         self.table_key = parse_keys(self.table_key)
+        if self.buckets is not None and (not self.column_id or int(self.buckets) < 1):
+            raise ValueError("buckets need a delivery key (column_id) and a positive count")
         parts = self.object_name.lower().split(".")
         if len(parts) != 3 or not all(parts):
             raise ValueError("object_name must be 'source.base.object'")
@@ -64,6 +67,13 @@ class LoadSpec:
         audit = [StructField(AUDIT_FILE, TimestampNTZType()), StructField(AUDIT_INSERT, TimestampNTZType())]
         return StructType(audit + list(as_struct(self.columns).fields))
 
+    @property
+    def stored_schema(self) -> StructType:
+        """Target schema as stored: with the bucket column last when the target is bucketed."""
+        if not self.buckets:
+            return self.target_schema
+        return StructType(list(self.target_schema.fields) + [StructField(BUCKET_COLUMN, IntegerType())])
+
     @property
     def parse_schema(self) -> StructType:
         return as_struct(self.stage_columns or self.columns)

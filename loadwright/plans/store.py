@@ -88,6 +88,57 @@ class TableStore:
         self.spark.sql(f"REFRESH TABLE {self.qualified(name)}")
         return rows
 
+    def ensure_bucketed(self, name: str, schema: str | StructType, bucket_col: str) -> bool:
+        """Create an empty table partitioned by ``bucket_col`` when absent; True when created."""
+        if self.exists(name):
+            return False
+        st = as_struct(schema)
+        location = f"{self.root}/{name}/base"
+        self.spark.createDataFrame([], st).write.mode("overwrite").partitionBy(bucket_col).parquet(location)
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in st.fields)
+        self.spark.sql(f"CREATE TABLE {self.qualified(name)} ({cols}) USING parquet "
+                       f"PARTITIONED BY (`{bucket_col}`) LOCATION '{location}'")
+        return True
+
+    def partitions(self, name: str, bucket_col: str) -> set[int]:
+        rows = self.spark.sql(f"SHOW PARTITIONS {self.qualified(name)}").collect()
+        return {int(r[0].split("=", 1)[1]) for r in rows if r[0].startswith(bucket_col + "=")}
+
+    def replace_partitions(self, name: str, df: DataFrame, bucket_col: str, touched: list[int],
+                           tag: str, drop_others: bool = False, before_switch=None) -> int:
+        """Write the new content of the ``touched`` buckets and point those partitions at it.
+
+        Untouched buckets are neither read nor rewritten.  The new files go to a
+        fresh folder; each touched partition is switched with ``ALTER TABLE ..
+        PARTITION .. SET LOCATION`` (one catalog call per bucket, no data moved).
+        The switch is per bucket: if the job dies between two calls, the run is
+        left unfinished in the journal and re-running the same UPDT completes it.
+        ``drop_others`` (FULL) drops every partition not written.
+        """
+        folder = f"{self.root}/{name}/run={tag}"
+        obs = Observation(f"{name}_write_{tag}")
+        (df.observe(obs, F.count(F.lit(1)).alias("rows"))
+         .hint("rebalance", bucket_col)              # AQE splits a hot bucket over several tasks
+         .write.mode("errorifexists").partitionBy(bucket_col).parquet(folder))
+        rows = int(obs.get["rows"])
+        if before_switch is not None:
+            before_switch(folder)
+        # every touched bucket holds at least one staged row, so each has a folder
+        existing = self.partitions(name, bucket_col)
+        written = set(touched)
+        for b in sorted(written):
+            path = f"{folder}/{bucket_col}={b}"
+            spec = f"PARTITION (`{bucket_col}` = {b})"
+            if b in existing:
+                self.spark.sql(f"ALTER TABLE {self.qualified(name)} {spec} SET LOCATION '{path}'")
+            else:
+                self.spark.sql(f"ALTER TABLE {self.qualified(name)} ADD {spec} LOCATION '{path}'")
+        stale = (existing - written) if drop_others else set()
+        for b in sorted(stale):
+            self.spark.sql(f"ALTER TABLE {self.qualified(name)} DROP IF EXISTS PARTITION (`{bucket_col}` = {b})")
+        self.spark.sql(f"REFRESH TABLE {self.qualified(name)}")
+        return rows
+
     def append(self, name: str, df: DataFrame) -> None:
         df.write.insertInto(self.qualified(name))
 

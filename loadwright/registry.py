@@ -465,6 +465,12 @@ def q_governed_load(spark, sf_dir):
     return governed_customer_load(spark, sf_dir)
 
 
+def q_governed_load_bucketed(spark, sf_dir):
+    from loadwright.plans.scenario import governed_customer_load
+
+    return governed_customer_load(spark, sf_dir, buckets=8, bulk=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_delimited": q_parse_delimited,
     "parse_fixed_width": q_parse_fixed_width,
@@ -501,6 +507,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "logit_predict": q_logit_predict,
     "forest_tree_nodes": q_forest_tree_nodes,
     "governed_load": q_governed_load,
+    "governed_load_bucketed": q_governed_load_bucketed,
 }
 
 

@@ -141,3 +141,41 @@ def test_bulk_merge_equals_per_delivery_loads(spark, tmp_path):
             assert store.version(table) == 1          # one snapshot for the whole plan
     assert results[0] == results[1]
     assert len(results[0]) == 6            # ids 1-4 and the two NULL-key rows; 5 was rejected
+
+
+def test_bucketed_target_rewrites_only_touched_buckets(spark, tmp_path):
+    inbox = tmp_path / "IN"
+    full = [f"{i}|n{i}|{i}.0" for i in range(1, 201)]
+    write(inbox, "FULL", "20210101-000000", full)
+    results = {}
+    for buckets in (None, 16):
+        store = TableStore(spark, str(tmp_path / f"wh{buckets}"))
+        table = f"BKT_{buckets or 0}"
+        spec = LoadSpec("src.base.acct", COLS, delimiter="|", column_id="id", table_key="id",
+                        custom_table_name=table, buckets=buckets)
+        run_load(spark, spec, str(inbox), store, Journal(store, prefix=f"JK{buckets or 0}_"), run_ts=RUN_TS)
+        if buckets:
+            locations_before = {r[0]: r for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+            assert len(locations_before) == 16
+        results[buckets] = table_rows(store, table)
+    assert [r[:3] for r in results[None]] == [r[:3] for r in results[16]]
+
+    inbox = tmp_path / "IN2"                     # files are not moved: the next run gets a new folder
+    write(inbox, "UPDT", "20210102-000000", ["7|seven|70.0", "300|new|3.0"])
+    for buckets in (None, 16):
+        store = TableStore(spark, str(tmp_path / f"wh{buckets}"))
+        table = f"BKT_{buckets or 0}"
+        spec = LoadSpec("src.base.acct", COLS, delimiter="|", column_id="id", table_key="id",
+                        custom_table_name=table, buckets=buckets)
+        rep = run_load(spark, spec, str(inbox), store, Journal(store, prefix=f"JK{buckets or 0}_"), run_ts=RUN_TS)
+        fr = rep.files[-1]
+        assert (fr.before, fr.after_delete, fr.after) == (200, 199, 201)
+        results[buckets] = table_rows(store, table)
+    assert results[None] == [r for r in results[16]]
+    # only the buckets of keys 7 and 300 point at the new run folder
+    store = TableStore(spark, str(tmp_path / "wh16"))
+    files = spark.table("BKT_16").select(F.input_file_name().alias("f")).distinct().collect()
+    rewritten = {f.f.split("/run=")[1].split("/")[0] for f in files if "/run=" in f.f}
+    assert len(rewritten) == 2                   # the FULL folder and this run's folder
+    new_buckets = {f.f.split("_bucket=")[1].split("/")[0] for f in files if rep.run_id and f"run={rep.run_id}-" in f.f}
+    assert 1 <= len(new_buckets) <= 2
