@@ -94,7 +94,7 @@ def _status_counts():
 class GovernedLoad:
     def __init__(self, spark: SparkSession, spec: LoadSpec, store: TableStore,
                  journal: Journal | None = None, run_ts: str | None = None,
-                 process: str = "DATALOADER", check_primary_key: bool = True, bulk: bool = False):
+                 process: str = "GOVERNED_LOAD", check_primary_key: bool = True, bulk: bool = False):
         self.spark, self.spec, self.store = spark, spec, store
         self.journal = journal or Journal(store)
         self.run_ts = run_ts or now_ts()

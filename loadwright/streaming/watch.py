@@ -45,7 +45,7 @@ def watch_deliveries(spark: SparkSession, spec: LoadSpec, in_folder: str, store:
         if listing.isEmpty():
             return
         load = GovernedLoad(batch.sparkSession, spec, store, journal, run_ts,
-                            process=f"DATALOADER_STREAM_{batch_id}")
+                            process=f"GOVERNED_LOAD_STREAM_{batch_id}")
         reports.append(load.run_listing(listing))
 
     writer = (files.writeStream.foreachBatch(apply_batch)
