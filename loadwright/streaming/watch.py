@@ -22,7 +22,7 @@ from loadwright.plans.journal import Journal
 from loadwright.plans.load import GovernedLoad
 from loadwright.plans.spec import LoadSpec
 from loadwright.plans.store import TableStore
-from loadwright.session import scratch_path
+from loadwright.session import checkpoint_root
 from loadwright.sources.deliveries import group_delivery_files
 
 BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -48,8 +48,10 @@ def watch_deliveries(spark: SparkSession, spec: LoadSpec, in_folder: str, store:
                             process=f"GOVERNED_LOAD_STREAM_{batch_id}")
         reports.append(load.run_listing(listing))
 
-    writer = (files.writeStream.foreachBatch(apply_batch)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "watch-ckpt")))
+    # the stream's checkpoint is what remembers the deliveries already applied:
+    # by default one fixed folder per target table below the shared checkpoint folder
+    checkpoint = checkpoint or f"{checkpoint_root(spark)}/loadwright/watch/{spec.table_name}"
+    writer = files.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")
     query = writer.start()
     if once:
