@@ -72,10 +72,13 @@ def apply_deliveries(target: DataFrame, deliveries: Iterable[tuple[str, DataFram
     Every ``checkpoint_every`` steps the lineage is cut with a reliable
     checkpoint (written below ``spark.checkpoint.dir``).
     """
+    from loadwright.session import checkpoint_root
+
     current = target
     for i, (mode, stage) in enumerate(deliveries, start=1):
         current = apply_mode(current, stage, mode, keys)
         if checkpoint_every and i % checkpoint_every == 0:
+            checkpoint_root(current.sparkSession)     # the session's shared folder, set only if unset
             current = current.checkpoint(eager=True)
     return current
 

@@ -71,7 +71,7 @@ class LoadReport:
 
 def parse_delivery(spark: SparkSession, spec: LoadSpec, path: str) -> DataFrame:
     """All lines of one delivery, classified (heading lines get status ``skipped``)."""
-    lines = ts.read_lines(spark, path, with_position=spec.skip > 0)
+    lines = ts.read_lines(spark, path, with_position=spec.skip > 0, line_sep=spec.line_sep)
     lines = ts.mark_headings(lines, spec.skip)
     if spec.delimiter:
         parsed = ts.parse_delimited(lines, spec.parse_schema, spec.delimiter, spec.pad_short_rows)

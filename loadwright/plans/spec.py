@@ -37,6 +37,7 @@ class LoadSpec:
     pad_short_rows: bool = True
     analyze: bool = True                   # gather table statistics after each run
     buckets: int | None = None             # hash-partition the target by the delivery key
+    line_sep: str | None = None            # line separator when not \n, \r\n or \r
 
     def __post_init__(self):
         if not self.delimiter and not self.widths:

@@ -42,7 +42,8 @@ GOOD, REJECTED, DISCARDED = "good", "rejected", "discarded"
 MAX_BROADCAST_FILES = 50_000
 
 
-def read_lines(spark: SparkSession, paths: str | list[str], with_position: bool = False) -> DataFrame:
+def read_lines(spark: SparkSession, paths: str | list[str], with_position: bool = False,
+               line_sep: str | None = None) -> DataFrame:
     """Lines of text files as column ``value``.
 
     ``with_position`` adds the file path, the start of the file split the line
@@ -50,7 +51,7 @@ def read_lines(spark: SparkSession, paths: str | list[str], with_position: bool
     three are what :func:`skip_lines` needs.  They are taken directly over the
     scan, before anything can reorder rows.
     """
-    df = spark.read.text(paths)
+    df = spark.read.text(paths, lineSep=line_sep) if line_sep else spark.read.text(paths)
     if not with_position:
         return df
     return df.select(

@@ -120,3 +120,11 @@ def test_widths_validation(bad):
     from loadwright.functions.tokens import parse_widths, fixed_width_starts
     with pytest.raises(ValueError):
         fixed_width_starts(parse_widths(bad))
+
+
+def test_custom_line_separator(spark, tmp_path):
+    p = tmp_path / "d.txt"
+    p.write_text("1|a;2|b;3|c")
+    lines = ts.read_lines(spark, str(p), line_sep=";")
+    got = ts.good_rows(ts.parse_delimited(lines, "k INT, v STRING", "|"), "k INT, v STRING").collect()
+    assert sorted(tuple(r) for r in got) == [(1, "a"), (2, "b"), (3, "c")]
