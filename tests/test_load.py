@@ -179,3 +179,22 @@ def test_bucketed_target_rewrites_only_touched_buckets(spark, tmp_path):
     assert len(rewritten) == 2                   # the FULL folder and this run's folder
     new_buckets = {f.f.split("_bucket=")[1].split("/")[0] for f in files if rep.run_id and f"run={rep.run_id}-" in f.f}
     assert 1 <= len(new_buckets) <= 2
+
+
+def test_reject_limit_counts_the_whole_run_and_key_warning(spark, env):
+    store, journal, table, inbox = env
+    write(inbox, "FULL", "20210101-000000", ["1|a|1.0", "2|b|x"])               # 1 reject
+    write(inbox, "UPDT", "20210102-000000", ["3|c|3.0", "4|d|y", "", "5|e|5"])  # 1 more reject
+    spec = LoadSpec("src.base.acct", COLS, delimiter="|", column_id="id", table_key="name",
+                    threshold=3, custom_table_name=table)
+    rep = run_load(spark, spec, str(inbox), store, journal, run_ts=RUN_TS, check_primary_key=False)
+    for fr in rep.files:                                 # every line is accounted for
+        assert fr.n_good + fr.n_rejected + fr.n_discarded + fr.n_headings == fr.n_lines
+    ev = events(journal, rep.run_id)
+    assert [v for e, v in ev if e == "NBRows_rejected_table"] == ["1", "2"]
+    assert ("WARNING", "UPDT : COLUMN_ID != TABLE_KEY") in ev
+    write(inbox, "UPDT", "20210103-000000", ["6|f|z"])                          # third reject in a new run
+    spec2 = LoadSpec("src.base.acct", COLS, delimiter="|", column_id="id", threshold=2,
+                     custom_table_name=table)
+    with pytest.raises(RejectLimitExceeded):             # 1 + 1 reach the limit of 2 within the run
+        run_load(spark, spec2, str(inbox), store, journal, run_ts=RUN_TS)
