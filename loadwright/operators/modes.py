@@ -98,6 +98,8 @@ def merge_deliveries(target: DataFrame, deliveries: list[tuple[str, DataFrame]],
     sources += [conform(stage, target) for _, stage in deliveries]
     if not sources:
         return target.limit(0)
+    if len(sources) == 1:          # a lone FULL: keys are unique within a delivery
+        return sources[0]
     tagged = None
     for order, df in enumerate(sources):
         part = df.withColumn("_ord", F.lit(order))

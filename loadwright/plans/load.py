@@ -223,7 +223,6 @@ class GovernedLoad:
         spec, store, eff = self.spec, self.store, fr.effective_mode
         target = store.read(self.table)
         stamped = self._conform(stamped, target)
-        check = self._check()
         if spec.buckets:
             if eff == MODE_FULL:
                 self._ev("NBRows_table_after_truncate", 0)
@@ -237,19 +236,22 @@ class GovernedLoad:
                 reconcile(MODE_UPDATE, before, fr.stage_rows, fr.after, removed=before - fr.after_delete)
         elif eff == MODE_FULL:
             self._ev("NBRows_table_after_truncate", 0)
-            fr.after = store.replace(self.table, stamped, before_switch=check)
+            self._pk_guard(stamped, None, eff, fr.stage_rows)
+            fr.after = store.replace(self.table, stamped)
             reconcile(MODE_FULL, before, fr.stage_rows, fr.after)
             self._ev("NBRows_table_after_loading=NBRows_temp_table", "")
         elif eff == MODE_UPDATE:
             kept_obs = Observation(f"kept_{self.run_id}_{index}")
             kept = keys_mod.anti_by_key(target, stamped, spec.column_id, stage_rows=fr.stage_rows)
+            self._pk_guard(stamped, kept, eff, fr.stage_rows)
             kept = kept.observe(kept_obs, F.count(F.lit(1)).alias("rows"))
-            fr.after = store.replace(self.table, kept.unionByName(stamped), before_switch=check)
+            fr.after = store.replace(self.table, kept.unionByName(stamped))
             fr.after_delete = int(kept_obs.get["rows"])
             self._ev("NBRows_table_after_delete_request", fr.after_delete)
             reconcile(MODE_UPDATE, before, fr.stage_rows, fr.after, removed=before - fr.after_delete)
         else:
-            fr.after = store.replace(self.table, target.unionByName(stamped), before_switch=check)
+            self._pk_guard(stamped, target, eff, fr.stage_rows)
+            fr.after = store.replace(self.table, target.unionByName(stamped))
             reconcile(MODE_INSERT, before, fr.stage_rows, fr.after)
 
         self._finish(fr.after)
@@ -277,7 +279,15 @@ class GovernedLoad:
         spec, keys, b = self.spec, self.spec.column_id, BUCKET_COLUMN
         touched_df = reduce(DataFrame.unionByName, [st.select(b) for _, st in deliveries]).distinct()
         touched = sorted(r[0] for r in touched_df.collect())
-        check = self._bucket_check(target, touched)
+        check = None
+        if len(deliveries) == 1:
+            # a primary key other than the bucket key can clash in any bucket: surviving rows
+            # are the whole target minus the staged keys (only key columns are read)
+            rest = None if deliveries[0][0] == MODE_FULL else keys_mod.anti_by_key(
+                target, deliveries[0][1], keys, stage_rows=stage_rows)
+            self._pk_guard(deliveries[0][1], rest, deliveries[0][0], stage_rows)
+        else:
+            check = self._bucket_check(target, touched)
         if deliveries[0][0] == MODE_FULL:
             new = modes_mod.merge_deliveries(target, deliveries, keys)      # the target is not read
             after = self.store.replace_partitions(self.table, new, b, touched, tag, drop_others=True,
@@ -298,6 +308,29 @@ class GovernedLoad:
         after_delete = before - old_rows + int(kept_obs.get["rows"]) if kept_obs is not None else None
         return after, after_delete
 
+    def _pk_guard(self, stage: DataFrame, rest: DataFrame | None, mode: str, stage_rows: int | None) -> None:
+        """Refuse a delivery that would break the primary key, before anything is written.
+
+        The current snapshot already satisfies the key (every switch is guarded
+        and a table starts empty), so only the staged rows can add a violation:
+        a NULL or repeated key among them, or a key also held by a surviving row
+        (``rest``: the kept rows of an UPDT, the whole target for INST).  When
+        the primary key is the delivery key, the duplicate gate and the delete
+        by key already rule the second case out.  The staged keys are small and
+        broadcast when their count proves it; the surviving rows are only
+        scanned on their key columns, never shuffled as a whole.
+        """
+        tk = self.spec.table_key
+        if not (self.check_primary_key and tk):
+            return
+        if keys_mod.pk_violations(stage.select(*tk), tk).limit(1).count():
+            raise PrimaryKeyViolation(f"the delivery breaks the key {tk} of {self.table}")
+        if rest is None or mode == MODE_FULL or (mode == MODE_UPDATE and tk == self.spec.column_id):
+            return
+        clash = rest.select(*tk).join(keys_mod.staged_keys(stage, tk, stage_rows), tk, "left_semi")
+        if clash.limit(1).count():
+            raise PrimaryKeyViolation(f"the delivery repeats keys {tk} already in {self.table}")
+
     def _bucket_check(self, target: DataFrame, touched: list[int]):
         """Primary-key check of a bucketed snapshot before its partitions are switched.
 

@@ -198,3 +198,25 @@ def test_reject_limit_counts_the_whole_run_and_key_warning(spark, env):
                      custom_table_name=table)
     with pytest.raises(RejectLimitExceeded):             # 1 + 1 reach the limit of 2 within the run
         run_load(spark, spec2, str(inbox), store, journal, run_ts=RUN_TS)
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_incremental_primary_key_guard(spark, tmp_path, buckets):
+    store = TableStore(spark, str(tmp_path / "wh"))
+    journal = Journal(store, prefix=f"JP{buckets or 0}_")
+    table = f"PKG_{buckets or 0}"
+    first, second = tmp_path / "IN1", tmp_path / "IN2"
+    write(first, "FULL", "20210101-000000", ["1|a|1.0", "2|b|2.0"])
+    # the delivery key is id, the table key is name: 'a' already belongs to id 1, which survives
+    write(second, "UPDT", "20210102-000000", ["3|a|3.0"])
+    spec = LoadSpec("src.base.acct", COLS, delimiter="|", column_id="id", table_key="name",
+                    custom_table_name=table, buckets=buckets)
+    run_load(spark, spec, str(first), store, journal, run_ts=RUN_TS)
+    with pytest.raises(PrimaryKeyViolation):
+        run_load(spark, spec, str(second), store, journal, run_ts=RUN_TS)
+    assert store.read(table).count() == 2
+    # replacing the owner of 'a' in the same delivery is fine
+    third = tmp_path / "IN3"
+    write(third, "UPDT", "20210103-000000", ["1|z|1.0", "3|a|3.0"])
+    run_load(spark, spec, str(third), store, journal, run_ts=RUN_TS)
+    assert sorted(r.name for r in store.read(table).collect()) == ["a", "b", "z"]
