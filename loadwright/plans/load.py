@@ -269,7 +269,7 @@ class GovernedLoad:
         return modes_mod.conform(stamped, target)
 
     def _replace_buckets(self, tag: str, target: DataFrame, deliveries: list, before: int,
-                         stage_rows: int | None = None):
+                         stage_rows: int | None = None, checked: bool = False):
         """Rewrite only the buckets the staged keys fall in; return (after, after_delete).
 
         The touched bucket numbers (at most ``spec.buckets`` small ints) are the
@@ -286,7 +286,7 @@ class GovernedLoad:
             rest = None if deliveries[0][0] == MODE_FULL else keys_mod.anti_by_key(
                 target, deliveries[0][1], keys, stage_rows=stage_rows)
             self._pk_guard(deliveries[0][1], rest, deliveries[0][0], stage_rows)
-        else:
+        elif not checked:
             check = self._bucket_check(target, touched)
         if deliveries[0][0] == MODE_FULL:
             new = modes_mod.merge_deliveries(target, deliveries, keys)      # the target is not read
@@ -361,11 +361,18 @@ class GovernedLoad:
         staged = [self._stage(i, item, before) for i, item in enumerate(plan)]
         target = self.store.read(self.table)
         deliveries = [(fr.effective_mode, self._conform(st, target)) for fr, st in staged]
+        same_key = self.spec.table_key == self.spec.column_id
+        if same_key:
+            # one winner per key: each delivery's own NULL/duplicate keys are all that can break it
+            for (fr, _), (mode, st) in zip(staged, deliveries):
+                self._pk_guard(st, None, MODE_FULL, fr.stage_rows)
         if self.spec.buckets:
-            after, _ = self._replace_buckets(f"{self.run_id}-bulk", target, deliveries, before)
+            after, _ = self._replace_buckets(f"{self.run_id}-bulk", target, deliveries, before,
+                                             checked=same_key)
         else:
             merged = modes_mod.merge_deliveries(target, deliveries, keys=self.spec.column_id)
-            after = self.store.replace(self.table, merged, before_switch=self._check())
+            after = self.store.replace(self.table, merged,
+                                       before_switch=None if same_key else self._check())
         reports = [fr for fr, _ in staged]
         for fr in reports:
             fr.after = after
