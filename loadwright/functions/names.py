@@ -33,13 +33,22 @@ def name_field(file_name: Column, position: int) -> Column:
     return F.get(F.split(file_name, "\\."), position - 1)
 
 
-def file_date_ts(file_date: Column) -> Column:
-    """``20200310-000000`` -> TIMESTAMP_NTZ ``2020-03-10 00:00:00``; NULL if malformed.
-
-    Built from the digits with ``try_make_timestamp_ntz`` so that no session
-    time zone is involved (a zone's daylight-saving gap cannot move the time).
+def file_date_sql(text: str) -> str:
+    """SQL text turning ``20200310-000000`` into TIMESTAMP_NTZ ``2020-03-10 00:00:00``.
+
+    ``text`` is a SQL expression (a quoted column or a literal).  Malformed
+    text gives NULL.  The value is built from the digits with
+    ``try_make_timestamp_ntz`` so that no session time zone is involved (a
+    zone's daylight-saving gap cannot move the time); on a literal Catalyst
+    folds the whole expression to a constant.
     """
-    part = [F.substring(file_date, pos, n).cast("int") for pos, n in ((1, 4), (5, 2), (7, 2), (10, 2), (12, 2))]
-    sec = F.substring(file_date, 14, 2).cast("decimal(16,6)")
-    well_formed = file_date.rlike("^[0-9]{8}-[0-9]{6}$")
-    return F.when(well_formed, F.try_make_timestamp_ntz(*part, sec))
+    parts = ", ".join(f"try_cast(substring({text}, {pos}, {n}) AS INT)"
+                      for pos, n in ((1, 4), (5, 2), (7, 2), (10, 2), (12, 2)))
+    sec = f"try_cast(substring({text}, 14, 2) AS DECIMAL(16,6))"
+    return (f"CASE WHEN {text} RLIKE '^[0-9]{{8}}-[0-9]{{6}}$' "
+            f"THEN try_make_timestamp_ntz({parts}, {sec}) END")
+
+
+def file_date_ts(column: str) -> Column:
+    """The file date in column ``column`` as TIMESTAMP_NTZ (see :func:`file_date_sql`)."""
+    return F.expr(file_date_sql("`" + column.replace("`", "``") + "`"))

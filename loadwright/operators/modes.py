@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from loadwright.functions.keys import all_keys_present, any_key_null, parse_keys
 from loadwright.functions.names import MODE_FULL, MODE_INSERT, MODE_UPDATE
+from loadwright.functions.tokens import sql_ident
 from loadwright.operators.keys import anti_by_key
 
 MODES = (MODE_FULL, MODE_UPDATE, MODE_INSERT)
@@ -30,7 +31,11 @@ MODES = (MODE_FULL, MODE_UPDATE, MODE_INSERT)
 
 def conform(stage: DataFrame, target: DataFrame) -> DataFrame:
     """Stage columns in target order (by name), cast to the target types."""
-    return stage.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    have = {f.name: f.dataType for f in stage.schema.fields}
+    return stage.selectExpr(*[
+        sql_ident(f.name) if have.get(f.name) == f.dataType
+        else f"CAST({sql_ident(f.name)} AS {f.dataType.simpleString()}) AS {sql_ident(f.name)}"
+        for f in target.schema.fields])
 
 
 def load_full(target: DataFrame, stage: DataFrame) -> DataFrame:

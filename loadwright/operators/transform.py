@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadwright.functions.names import file_date_ts
+from loadwright.functions.names import file_date_sql
+from loadwright.functions.tokens import sql_ident, sql_string
 
 AUDIT_FILE = "METADATA_TM_FILE"
 AUDIT_INSERT = "METADATA_TM_INSERT"
@@ -23,19 +24,23 @@ AUDIT_COLUMNS = (AUDIT_FILE, AUDIT_INSERT)
 DEFAULT_LABEL_POSITION = 5
 
 
-def seconds_literal(ts: str) -> Column:
-    """A TIMESTAMP_NTZ literal cut to whole seconds (no session time zone involved)."""
+def seconds_sql(ts: str) -> str:
+    """A TIMESTAMP_NTZ literal (SQL text) cut to whole seconds (no session time zone involved)."""
     value = datetime.fromisoformat(ts).replace(microsecond=0, tzinfo=None)
-    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return f"TIMESTAMP_NTZ '{value.strftime('%Y-%m-%d %H:%M:%S')}'"
 
 
 def stamp_audit(df: DataFrame, file_date: str, run_ts: str) -> DataFrame:
-    """Prefix the two audit columns; ``file_date`` is ``yyyyMMdd-HHmmss``."""
+    """Prefix the two audit columns; ``file_date`` is ``yyyyMMdd-HHmmss``.
+
+    Both are constants of the run, so the projection is one ``selectExpr``
+    that Catalyst folds to two literals.
+    """
     data = [c for c in df.columns if c not in AUDIT_COLUMNS]
-    return df.select(
-        file_date_ts(F.lit(file_date)).alias(AUDIT_FILE),
-        seconds_literal(run_ts).alias(AUDIT_INSERT),
-        *data,
+    return df.selectExpr(
+        f"{file_date_sql(sql_string(file_date))} AS {AUDIT_FILE}",
+        f"{seconds_sql(run_ts)} AS {AUDIT_INSERT}",
+        *[sql_ident(c) for c in data],
     )
 
 

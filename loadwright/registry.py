@@ -11,6 +11,7 @@ stated once here as constants and used by both the Spark side and the SQL.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,8 +78,21 @@ def _file_ts_sql(file_date: str) -> str:
     return _sql_ts(f"{d[0:4]}-{d[4:6]}-{d[6:8]} {d[9:11]}:{d[11:13]}:{d[13:15]}")
 
 
+_OPENED: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, opened once per session.
+
+    Opening Parquet infers its schema with a small Spark job; the input tables
+    are fixed, so each session keeps the reader (a lazy plan, no data) and
+    every query builds on it, as it would on a catalog table.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    opened = _OPENED.setdefault(spark, {})
+    if path not in opened:
+        opened[path] = spark.read.parquet(path)
+    return opened[path]
 
 
 # ---------------------------------------------------------------------------

@@ -104,7 +104,7 @@ def plan_deliveries(names: DataFrame, keys=None, by: list[str] | None = None) ->
             .withColumn("effective_mode",
                         F.when(F.col("load_mode") == MODE_FULL, F.lit(MODE_FULL))
                         .otherwise(F.lit(update_mode)))
-            .withColumn("file_ts", file_date_ts(F.col("file_date")))
+            .withColumn("file_ts", file_date_ts("file_date"))
             .drop("_full"))
 
 

@@ -21,13 +21,13 @@ Casting uses ``try_cast``, so ANSI mode never fails the job on bad input.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from loadwright.functions.tokens import (
     as_struct, cast_failed, fixed_width_starts, null_if_blank, null_if_empty,
-    parse_widths, split_fields, typed,
+    parse_widths, split_fields, sql_ident, sql_string, typed,
 )
 
 LINE = "_line"
@@ -101,8 +101,8 @@ def mark_headings(lines: DataFrame, n: int) -> DataFrame:
     return joined.withColumn(HEADING, F.coalesce(heading, F.lit(False))).drop("_first")
 
 
-def _evaluate_once(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
-    """Add columns computed exactly once per row.
+def _evaluate_once(df: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """Add columns computed exactly once per row (``fields``: name -> SQL text).
 
     The expressions go through a generator (``inline`` of a one-element array)
     instead of a projection.  A later filter, such as ``_status = 'good'``,
@@ -110,40 +110,45 @@ def _evaluate_once(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
     the split and the casts into the filter condition (which re-evaluated
     every field per line and overflowed the 64 KB codegen method limit).
     """
-    packed = F.struct(*[expr.alias(name) for name, expr in fields.items()])
-    return df.select("*", F.inline(F.array(packed)))
+    packed = ", ".join(f"{sql_string(name)}, {expr}" for name, expr in fields.items())
+    return df.selectExpr("*", f"inline(array(named_struct({packed})))")
 
 
 def _classify(lines: DataFrame, line_col: str, fields: StructType,
-              token_of, n_tokens: Column | None, structural) -> DataFrame:
+              token_of, n_tokens: str | None, structural) -> DataFrame:
     """Typed values, status and reason for each line.
 
-    ``token_of(i)`` gives the NULL-normalised text of field ``i`` from the
-    columns of ``lines``; ``structural`` gives line-level problems.
+    ``token_of(i)`` gives the NULL-normalised text of field ``i`` (SQL text
+    over the columns of ``lines``); ``structural(size)`` gives line-level
+    problems as ``(condition, message)`` pairs.  Tokens and typed values come
+    out of one generator; status and reason are built over its outputs.
     """
     names = fields.fieldNames()
     keep = [c for c in lines.columns if c != line_col and c not in names]
-    n = len(fields.fields)
-    tok_cols = [f"_t{i}" for i in range(n)]
-    toks = _evaluate_once(lines, {t: token_of(i) for i, t in enumerate(tok_cols)}
-                          | ({"_nf": n_tokens} if n_tokens is not None else {}))
-    vals = _evaluate_once(toks, {f"_v{i}": typed(F.col(t), f.dataType)
-                                 for i, (t, f) in enumerate(zip(tok_cols, fields.fields))})
-    problems = list(structural(F.col("_nf") if n_tokens is not None else None)) + [
-        F.when(cast_failed(F.col(t), F.col(f"_v{i}")), F.lit(f"{f.name}: not {f.dataType.simpleString()}"))
-        for i, (t, f) in enumerate(zip(tok_cols, fields.fields))
+    once = {}
+    for i, f in enumerate(fields.fields):
+        once[f"_t{i}"] = token_of(i)
+        once[f"_v{i}"] = typed(token_of(i), f.dataType)
+    if n_tokens is not None:
+        once["_nf"] = n_tokens
+    vals = _evaluate_once(lines, once)
+    problems = list(structural("`_nf`" if n_tokens is not None else None)) + [
+        (cast_failed(f"`_t{i}`", f"`_v{i}`"), f"{f.name}: not {f.dataType.simpleString()}")
+        for i, f in enumerate(fields.fields)
     ]
-    reason = F.nullif(F.concat_ws("; ", *problems), F.lit(""))
-    blank = F.trim(F.col(line_col)) == ""
-    status = (F.when(blank, F.lit(DISCARDED))
-              .when(reason.isNotNull(), F.lit(REJECTED))
-              .otherwise(F.lit(GOOD)))
-    return vals.select(
-        *[F.col(f"_v{i}").alias(f.name) for i, f in enumerate(fields.fields)],
-        F.col(line_col).alias(LINE),
-        status.alias(STATUS),
-        F.when(~blank, reason).alias(REASON),
-        *keep,
+    line = sql_ident(line_col)
+    blank = f"trim({line}) = ''"
+    any_problem = " OR ".join(cond for cond, _ in problems)
+    reason = "concat_ws('; ', " + ", ".join(
+        f"CASE WHEN {cond} THEN {sql_string(msg)} END" for cond, msg in problems) + ")"
+    status = (f"CASE WHEN {blank} THEN {sql_string(DISCARDED)} WHEN {any_problem} "
+              f"THEN {sql_string(REJECTED)} ELSE {sql_string(GOOD)} END")
+    return vals.selectExpr(
+        *[f"`_v{i}` AS {sql_ident(f.name)}" for i, f in enumerate(fields.fields)],
+        f"{line} AS {sql_ident(LINE)}",
+        f"{status} AS {sql_ident(STATUS)}",
+        f"CASE WHEN NOT ({blank}) AND ({any_problem}) THEN {reason} END AS {sql_ident(REASON)}",
+        *[sql_ident(c) for c in keep],
     )
 
 
@@ -152,17 +157,18 @@ def parse_delimited(lines: DataFrame, schema: str | StructType, delimiter: str,
     """Split each line on ``delimiter`` (taken literally) into the declared columns."""
     fields = as_struct(schema)
     n = len(fields.fields)
-    split = _evaluate_once(lines, {"_toks": split_fields(F.col(line_col), delimiter)})
+    packed = F.struct(split_fields(F.col(line_col), delimiter).alias("_toks"))
+    split = lines.select("*", F.inline(F.array(packed)))  # split once per line
 
     def structural(size):
-        out = [F.when(size > n, F.lit(f"more than {n} fields"))]
+        out = [(f"{size} > {n}", f"more than {n} fields")]
         if not pad_short_rows:
-            out.append(F.when(size < n, F.lit(f"fewer than {n} fields")))
+            out.append((f"{size} < {n}", f"fewer than {n} fields"))
         return out
 
     parsed = _classify(split, line_col, fields,
-                       lambda i: null_if_empty(F.get(F.col("_toks"), i)),
-                       F.size(F.col("_toks")), structural)
+                       lambda i: null_if_empty(f"get(`_toks`, {i})"),
+                       "size(`_toks`)", structural)
     return parsed.drop("_toks")
 
 
@@ -178,17 +184,17 @@ def parse_fixed_width(lines: DataFrame, schema: str | StructType, widths: str |
     if len(widths) != len(fields.fields):
         raise ValueError(f"{len(widths)} widths for {len(fields.fields)} columns")
     starts = fixed_width_starts(widths)
-    line = F.col(line_col)
+    line = sql_ident(line_col)
     total = sum(widths)
-    tail_len = F.length(F.rtrim(F.substring(line, total + 1, 1 << 30))) if reject_long_rows else None
+    tail_len = f"length(rtrim(substring({line}, {total + 1}, {1 << 30})))" if reject_long_rows else None
 
     def structural(tail):
         if tail is None:
             return []
-        return [F.when(tail > 0, F.lit(f"longer than {total} characters"))]
+        return [(f"{tail} > 0", f"longer than {total} characters")]
 
     return _classify(lines, line_col, fields,
-                     lambda i: null_if_blank(F.substring(line, starts[i], widths[i])),
+                     lambda i: null_if_blank(f"substring({line}, {starts[i]}, {widths[i]})"),
                      tail_len, structural)
 
 

@@ -84,7 +84,7 @@ def test_file_date_ignores_session_time_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         df = spark.createDataFrame([("20200308-023000",), ("2020x",), ("20201399-000000",)], "s string")
-        got = [str(r[0]) for r in df.select(file_date_ts(F.col("s"))).collect()]
+        got = [str(r[0]) for r in df.select(file_date_ts("s")).collect()]
         stamped = stamp_audit(spark.range(1), "20200308-023000", "2020-03-08 02:30:01.5").first()
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
