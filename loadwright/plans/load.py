@@ -27,7 +27,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from loadwright.functions.keys import BUCKET_COLUMN, bucket_of
+from loadwright.functions.keys import BUCKET_COLUMN, any_key_null, bucket_of
+from loadwright.functions.tokens import as_struct
 from loadwright.functions.names import MODE_FULL, MODE_INSERT, MODE_UPDATE
 from loadwright.operators import keys as keys_mod
 from loadwright.operators import modes as modes_mod
@@ -78,8 +79,13 @@ def parse_delivery(spark: SparkSession, spec: LoadSpec, path: str) -> DataFrame:
     else:
         parsed = ts.parse_fixed_width(lines, spec.parse_schema, spec.widths)
     status = F.when(F.col(ts.HEADING), F.lit(ts.SKIPPED)).otherwise(F.col(ts.STATUS))
-    keep = [c for c in parsed.columns if c not in (ts.FILE, ts.BLOCK, ts.ROW_ID, ts.HEADING, ts.STATUS)]
-    return parsed.select(*keep, status.alias(ts.STATUS))
+    keep = [c for c in parsed.columns
+            if c not in (ts.FILE, ts.BLOCK, ts.ROW_ID, ts.HEADING, ts.STATUS, ts.LINE)]
+    # the whole line is kept only where the rejected table needs it: a staged
+    # good row already holds its values, and storing its text too would double
+    # the stage written and read for every delivery
+    line = F.when(status == F.lit(ts.REJECTED), F.col(ts.LINE))
+    return parsed.select(*keep, line.alias(ts.LINE), status.alias(ts.STATUS))
 
 
 def _status_counts():
@@ -260,6 +266,23 @@ class GovernedLoad:
         self._ev("NBRows_after_loading", after)
         self.changed = True
 
+    @property
+    def _key_gate_covers_pk(self) -> bool:
+        """True when the duplicate gate has already proven the staged primary keys unique.
+
+        That holds when the primary key is the delivery key and the staged key
+        values reach the target unchanged: no custom projection, and each key
+        column parsed with its target type (a cast could merge distinct keys).
+        """
+        spec = self.spec
+        if not spec.column_id or spec.table_key != spec.column_id:
+            return False
+        if spec.select not in (None, [], "*", ["*"]):
+            return False
+        parsed, declared = spec.parse_schema, as_struct(spec.columns)
+        return all(k in parsed.fieldNames() and k in declared.fieldNames()
+                   and parsed[k].dataType == declared[k].dataType for k in spec.table_key)
+
     def _check(self):
         return self._pk_check if (self.check_primary_key and self.spec.table_key) else None
 
@@ -323,7 +346,12 @@ class GovernedLoad:
         tk = self.spec.table_key
         if not (self.check_primary_key and tk):
             return
-        if keys_mod.pk_violations(stage.select(*tk), tk).limit(1).count():
+        if self._key_gate_covers_pk:
+            # the duplicate gate already grouped these very key values: only NULLs are left to find
+            broken = stage.where(any_key_null(tk)).limit(1).count()
+        else:
+            broken = keys_mod.pk_violations(stage.select(*tk), tk).limit(1).count()
+        if broken:
             raise PrimaryKeyViolation(f"the delivery breaks the key {tk} of {self.table}")
         if rest is None or mode == MODE_FULL or (mode == MODE_UPDATE and tk == self.spec.column_id):
             return
