@@ -84,6 +84,15 @@ class Journal:
         self.store.append(self.events_table, self.spark.createDataFrame(rows, EVENT_SCHEMA))
         self._buffer = []
 
+    def finished(self, process: str, value: str) -> bool:
+        """True when a run of ``(process, value)`` has reached status 1."""
+        if not self.store.exists(self.runs):
+            return False
+        done = self.store.read(self.runs).where(
+            (F.col("S_PROCESS") == process) & (F.col("S_PROCESS_VALUE") == value)
+            & (F.col("S_STATUS") == STATUS_DONE))
+        return not done.isEmpty()
+
     def status(self) -> DataFrame:
         return run_status(self.store.read(self.runs))
 

@@ -10,12 +10,19 @@ the "process what is there, then stop" behaviour of a scheduled start.
 Notes:
   * a delivery must appear atomically (write elsewhere, then rename), as for
     any file-stream source, or its part files may be split across batches
-  * after a failure a micro-batch may be retried; FULL and UPDT are
-    idempotent for the same delivery, INST appends again
+  * after a restart the last micro-batch may be replayed.  Each batch runs
+    as process ``GOVERNED_LOAD_STREAM_<stream>_<batch id>`` (``<stream>``
+    names the checkpoint), and a batch whose run already finished in the
+    journal is skipped, so a replay appends nothing twice, INST included.
+    A run that died before finishing is run again: its FULL and UPDT
+    deliveries give the same table, an INST delivery already switched in
+    by it would be appended again
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from loadwright.plans.journal import Journal
@@ -40,17 +47,22 @@ def watch_deliveries(spark: SparkSession, spec: LoadSpec, in_folder: str, store:
              .option("recursiveFileLookup", "true")
              .load(in_folder).select("path", "modificationTime", "length"))
 
+    # the stream's checkpoint is what remembers the deliveries already applied:
+    # by default one fixed folder per target table below the shared checkpoint folder
+    checkpoint = checkpoint or f"{checkpoint_root(spark)}/loadwright/watch/{spec.table_name}"
+    stream = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:10]
+    journal = journal or Journal(store)
+
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
+        process = f"GOVERNED_LOAD_STREAM_{stream}_{batch_id}"
+        if journal.finished(process, spec.object_name):
+            return                      # a replay of a batch that was applied
         listing = group_delivery_files(batch)
         if listing.isEmpty():
             return
-        load = GovernedLoad(batch.sparkSession, spec, store, journal, run_ts,
-                            process=f"GOVERNED_LOAD_STREAM_{batch_id}")
+        load = GovernedLoad(batch.sparkSession, spec, store, journal, run_ts, process=process)
         reports.append(load.run_listing(listing))
 
-    # the stream's checkpoint is what remembers the deliveries already applied:
-    # by default one fixed folder per target table below the shared checkpoint folder
-    checkpoint = checkpoint or f"{checkpoint_root(spark)}/loadwright/watch/{spec.table_name}"
     writer = files.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")
     query = writer.start()
