@@ -11,11 +11,13 @@ failure between "truncate" and "insert" can no longer leave an empty table.
 ``apply_deliveries`` folds several deliveries in plan order.  ``merge_deliveries``
 computes the same result in one pass: for each non-NULL key the rows of the
 last source holding that key survive, all NULL-key rows survive.  The winner
-per key is a partial aggregate (skew-safe), joined back with a semi join.
+per key is found among the deliveries only (a partial aggregate, joined back
+with a semi join); the target meets the delivered keys in one anti join.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Iterable
 
 from pyspark.sql import DataFrame
@@ -88,30 +90,41 @@ def apply_deliveries(target: DataFrame, deliveries: Iterable[tuple[str, DataFram
     return current
 
 
-def merge_deliveries(target: DataFrame, deliveries: list[tuple[str, DataFrame]], keys=None) -> DataFrame:
+def merge_deliveries(target: DataFrame, deliveries: list[tuple[str, DataFrame]], keys=None,
+                     stage_rows: int | None = None) -> DataFrame:
     """One-pass equivalent of :func:`apply_deliveries` for a planned delivery list.
 
     The plan holds at most one FULL and it comes first (see
     :func:`loadwright.sources.deliveries.plan_deliveries`); a FULL discards the
     target.  Within each delivery the keys are unique (the duplicate gate ran).
+
+    A target row survives when no delivery holds its key; a delivered row
+    survives when no later delivery holds its key.  So the latest delivery per
+    key is found among the deliveries alone (a partial ``max`` and a semi join
+    over delivered rows), and the target meets only the delivered key set in
+    the same anti join as a single UPDT: broadcast when ``stage_rows`` (rows
+    over all deliveries) proves it small, a shuffle join otherwise.  The
+    target is scanned once and, in the common case, never shuffled.  Rows
+    with a NULL key part never match and pass through.
     """
     modes = [effective_mode(m, keys) for m, _ in deliveries]
     if MODE_FULL in modes[1:]:
         raise ValueError("a FULL delivery may only come first in a plan")
     ks = parse_keys(keys)
-    sources = [] if (modes and modes[0] == MODE_FULL) else [target]
-    sources += [conform(stage, target) for _, stage in deliveries]
-    if not sources:
-        return target.limit(0)
-    if len(sources) == 1:          # a lone FULL: keys are unique within a delivery
-        return sources[0]
-    tagged = None
-    for order, df in enumerate(sources):
-        part = df.withColumn("_ord", F.lit(order))
-        tagged = part if tagged is None else tagged.unionByName(part)
+    full_first = bool(modes) and modes[0] == MODE_FULL
+    stages = [conform(stage, target) for _, stage in deliveries]
     if not ks or all(m == MODE_INSERT for m in modes):
-        return tagged.drop("_ord")
-    keyed = tagged.where(all_keys_present(ks))
-    winners = keyed.groupBy(*ks).agg(F.max("_ord").alias("_ord"))
-    survivors = keyed.join(winners, ks + ["_ord"], "left_semi").select(*keyed.columns)
-    return survivors.unionByName(tagged.where(any_key_null(ks))).drop("_ord")
+        return reduce(DataFrame.unionByName, ([] if full_first else [target]) + stages)
+    if len(stages) == 1:
+        delivered = stages[0]
+    else:
+        tagged = reduce(DataFrame.unionByName,
+                        [df.withColumn("_ord", F.lit(order)) for order, df in enumerate(stages)])
+        keyed = tagged.where(all_keys_present(ks))
+        latest = keyed.groupBy(*ks).agg(F.max("_ord").alias("_ord"))
+        delivered = (keyed.join(latest, ks + ["_ord"], "left_semi")
+                     .unionByName(tagged.where(any_key_null(ks))).drop("_ord"))
+    if full_first:
+        return delivered
+    every = reduce(DataFrame.unionByName, [st.select(*ks) for st in stages])
+    return anti_by_key(target, every, ks, stage_rows).unionByName(delivered)

@@ -325,7 +325,7 @@ class GovernedLoad:
             kept = keys_mod.anti_by_key(old, stage, keys, stage_rows=stage_rows)
             new = kept.observe(kept_obs, F.count(F.lit(1)).alias("rows")).unionByName(stage)
         else:
-            new = modes_mod.merge_deliveries(old, deliveries, keys)
+            new = modes_mod.merge_deliveries(old, deliveries, keys, stage_rows=stage_rows)
         written = self.store.replace_partitions(self.table, new, b, touched, tag, before_switch=check)
         after = before - old_rows + written
         after_delete = before - old_rows + int(kept_obs.get["rows"]) if kept_obs is not None else None
@@ -396,9 +396,11 @@ class GovernedLoad:
                 self._pk_guard(st, None, MODE_FULL, fr.stage_rows)
         if self.spec.buckets:
             after, _ = self._replace_buckets(f"{self.run_id}-bulk", target, deliveries, before,
+                                             stage_rows=sum(fr.stage_rows for fr, _ in staged),
                                              checked=same_key)
         else:
-            merged = modes_mod.merge_deliveries(target, deliveries, keys=self.spec.column_id)
+            merged = modes_mod.merge_deliveries(target, deliveries, keys=self.spec.column_id,
+                                                stage_rows=sum(fr.stage_rows for fr, _ in staged))
             after = self.store.replace(self.table, merged,
                                        before_switch=None if same_key else self._check())
         reports = [fr for fr, _ in staged]

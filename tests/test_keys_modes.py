@@ -103,3 +103,16 @@ def test_merge_equals_fold(spark):
         assert rows(fold) == rows(bulk)
     ins = [("UPDT", frame(5, 0, 10, "i"))]
     assert rows(M.merge_deliveries(target, ins, keys=None)) == rows(M.apply_deliveries(target, ins, None))
+
+
+def test_bulk_merge_never_shuffles_the_target_when_the_delivered_keys_are_small(spark):
+    target = spark.range(0, 5000).selectExpr("CAST(id AS STRING) AS a", "'t' AS b", "CAST(id AS INT) AS v")
+    d1 = spark.createDataFrame([("1", "x", 10), ("2", "x", 20), (None, "x", 0)], SCHEMA)
+    d2 = spark.createDataFrame([("2", "y", 21), ("7", "y", 70)], SCHEMA)
+    deliveries = [("UPDT", d1), ("UPDT", d2)]
+    merged = M.merge_deliveries(target, deliveries, keys=["a"], stage_rows=5)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert rows(merged) == rows(M.apply_deliveries(target, deliveries, ["a"]))
+    got = {r.a: (r.b, r.v) for r in merged.where("a IN ('1', '2', '7', '3')").collect()}
+    assert got == {"1": ("x", 10), "2": ("y", 21), "7": ("y", 70), "3": ("t", 3)}
