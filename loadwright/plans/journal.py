@@ -93,6 +93,25 @@ class Journal:
             & (F.col("S_STATUS") == STATUS_DONE))
         return not done.isEmpty()
 
+    def applied_files(self, value: str) -> DataFrame:
+        """Names of the delivery files already switched into the target of ``value``.
+
+        A file counts as applied when its run logged an ``NBRows_after_loading``
+        event after the file's ``Input_file`` event.  That covers loads of one
+        delivery at a time (one switch per file), bulk loads (one switch after all
+        inputs) and runs that failed part way (files after the last switch are
+        not applied).  Two small aggregates and joins over the journal.
+        """
+        if not (self.store.exists(self.runs) and self.store.exists(self.events_table)):
+            return self.spark.createDataFrame([], "file_name STRING")
+        runs = self.store.read(self.runs).where(F.col("S_PROCESS_VALUE") == value).select("S_ID").distinct()
+        ev = self.store.read(self.events_table).join(runs, "S_ID", "left_semi")
+        last_switch = (ev.where(F.col("SD_EVENT") == "NBRows_after_loading")
+                       .groupBy("S_ID").agg(F.max("SD_ID").alias("_switch")))
+        inputs = ev.where(F.col("SD_EVENT") == "Input_file")
+        return (inputs.join(last_switch, "S_ID").where(F.col("SD_ID") < F.col("_switch"))
+                .select(F.col("SD_EVENT_VALUE").alias("file_name")).distinct())
+
     def status(self) -> DataFrame:
         return run_status(self.store.read(self.runs))
 

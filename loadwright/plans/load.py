@@ -100,13 +100,18 @@ def _status_counts():
 class GovernedLoad:
     def __init__(self, spark: SparkSession, spec: LoadSpec, store: TableStore,
                  journal: Journal | None = None, run_ts: str | None = None,
-                 process: str = "GOVERNED_LOAD", check_primary_key: bool = True, bulk: bool = False):
+                 process: str = "GOVERNED_LOAD", check_primary_key: bool = True, bulk: bool = False,
+                 skip_applied: bool = False):
         self.spark, self.spec, self.store = spark, spec, store
         self.journal = journal or Journal(store)
         self.run_ts = run_ts or now_ts()
         self.process = process
         self.check_primary_key = check_primary_key
         self.bulk = bulk
+        # the original moved each processed file out of its input folder; with
+        # ``skip_applied`` the journal plays that part: files it shows as
+        # switched in are left out before planning
+        self.skip_applied = skip_applied
         self.table = spec.table_name
 
     # -- journal shortcuts -------------------------------------------------
@@ -130,6 +135,8 @@ class GovernedLoad:
             if created:
                 self._ev("Table_Creation", self.table)
             names = dl.parse_delivery_names(listing.select("path"))
+            if self.skip_applied:
+                names = names.join(self.journal.applied_files(self.spec.object_name), "file_name", "left_anti")
             plan = dl.plan_deliveries(names, keys=self.spec.column_id)
             before = self.store.read(self.table).count()
             self.rejected_in_run = 0

@@ -246,3 +246,30 @@ def test_stage_keeps_line_text_only_for_rejected_rows(spark, tmp_path):
     spec = LoadSpec("src.base.acct", COLS, delimiter="|")
     got = {(r[ts.STATUS], r[ts.LINE]) for r in parse_delivery(spark, spec, str(folder)).collect()}
     assert got == {("good", None), ("rejected", "2|b|x"), ("discarded", None), ("rejected", "3|c|3.0|9")}
+
+
+@pytest.mark.parametrize("bulk", [False, True])
+def test_skip_applied_files_like_a_history_folder(spark, env, bulk):
+    store, journal, table, inbox = env
+    write(inbox, "UPDT", "20210101-000000", ["1|a|1.0", "2|b|2.0"])          # no key: INST
+    write(inbox, "UPDT", "20210102-000000", ["3|c|3.0"])
+    spec = LoadSpec("src.base.acct", COLS, delimiter="|", custom_table_name=table)
+    first = run_load(spark, spec, str(inbox), store, journal, run_ts=RUN_TS, skip_applied=True, bulk=bulk)
+    assert len(first.files) == 2 and store.read(table).count() == 3
+    again = run_load(spark, spec, str(inbox), store, journal, run_ts=RUN_TS, skip_applied=True, bulk=bulk)
+    assert again.files == [] and store.read(table).count() == 3              # nothing appended twice
+    write(inbox, "UPDT", "20210103-000000", ["4|d|4.0"])
+    third = run_load(spark, spec, str(inbox), store, journal, run_ts=RUN_TS, skip_applied=True, bulk=bulk)
+    assert [f.file_name for f in third.files] == [name("UPDT", "20210103-000000")]
+    assert store.read(table).count() == 4
+
+
+def test_a_failed_delivery_is_not_counted_as_applied(spark, env):
+    store, journal, table, inbox = env
+    write(inbox, "FULL", "20210101-000000", ["1|a|1.0", "2|b|2.0"])
+    write(inbox, "UPDT", "20210102-000000", ["3|c|3.0", "3|d|4.0"])          # duplicate key: refused
+    spec = LoadSpec("src.base.acct", COLS, delimiter="|", column_id="id", custom_table_name=table)
+    with pytest.raises(DuplicateKeys):
+        run_load(spark, spec, str(inbox), store, journal, run_ts=RUN_TS, skip_applied=True)
+    applied = {r.file_name for r in journal.applied_files(spec.object_name).collect()}
+    assert applied == {name("FULL", "20210101-000000")}
