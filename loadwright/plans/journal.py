@@ -112,6 +112,12 @@ class Journal:
         return (inputs.join(last_switch, "S_ID").where(F.col("SD_ID") < F.col("_switch"))
                 .select(F.col("SD_EVENT_VALUE").alias("file_name")).distinct())
 
+    def compact(self) -> None:
+        """Rewrite both journal tables as a few files (see ``TableStore.compact``)."""
+        for name in (self.runs, self.events_table):
+            if self.store.exists(name):
+                self.store.compact(name)
+
     def status(self) -> DataFrame:
         return run_status(self.store.read(self.runs))
 

@@ -24,6 +24,7 @@ from pyspark.sql.types import StructType
 from loadwright.functions.tokens import as_struct
 
 _VERSION = re.compile(r"/v=(\d+)/?$")
+_COMPACTED = re.compile(r"\.c(\d+)$")
 
 
 class TableStore:
@@ -142,6 +143,24 @@ class TableStore:
     def append(self, name: str, df: DataFrame) -> None:
         df.write.insertInto(self.qualified(name))
 
+    def compact(self, name: str) -> str:
+        """Rewrite an append-only table as a few right-sized files; return the new folder.
+
+        Each append adds at least one small file, so a journal written by many
+        runs becomes thousands of tiny files that every read must list and
+        open.  The rows are rewritten into a sibling folder (``<name>.c<n>``)
+        with a ``rebalance`` hint, so AQE cuts the output at its advisory size
+        instead of one task or one file per old append; then the table is
+        switched to it, as a snapshot is.  Later appends go to the new folder.
+        """
+        current = self.location(name).rstrip("/")
+        m = _COMPACTED.search(current)
+        folder = f"{self.root}/{name}.c{(int(m.group(1)) + 1) if m else 1:06d}"
+        self.read(name).hint("rebalance").write.mode("errorifexists").parquet(folder)
+        self.spark.sql(f"ALTER TABLE {self.qualified(name)} SET LOCATION '{folder}'")
+        self.spark.sql(f"REFRESH TABLE {self.qualified(name)}")
+        return folder
+
     def analyze(self, name: str, columns: bool = False) -> None:
         """Table statistics for the cost-based optimizer (row count, size; columns on request)."""
         extra = " FOR ALL COLUMNS" if columns else ""

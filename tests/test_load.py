@@ -273,3 +273,27 @@ def test_a_failed_delivery_is_not_counted_as_applied(spark, env):
         run_load(spark, spec, str(inbox), store, journal, run_ts=RUN_TS, skip_applied=True)
     applied = {r.file_name for r in journal.applied_files(spec.object_name).collect()}
     assert applied == {name("FULL", "20210101-000000")}
+
+
+def test_journal_compaction_keeps_rows_and_ids(spark, tmp_path):
+    import glob
+
+    store = TableStore(spark, str(tmp_path / "wh"))
+    journal = Journal(store, prefix="JC_")
+    journal.ensure()
+    for i in range(4):
+        run_id = journal.open_run("P", "src.base.acct", f"2021-01-0{i + 1} 00:00:00")
+        journal.event(run_id, "Dataloader", "Begin", f"2021-01-0{i + 1} 00:00:00")
+        journal.flush()
+        journal.close_run(run_id, f"2021-01-0{i + 1} 00:00:01")
+    before = sorted(tuple(r) for r in store.read(journal.runs).collect())
+    old_files = glob.glob(str(tmp_path / "wh" / journal.runs / "*.parquet"))
+    journal.compact()
+    folder = store.location(journal.runs).replace("file:", "")
+    assert folder.endswith(".c000001")
+    assert sorted(tuple(r) for r in store.read(journal.runs).collect()) == before
+    assert len(glob.glob(folder + "/*.parquet")) < len(old_files)
+    assert journal.open_run("P", "src.base.acct", "2021-01-05 00:00:00") == 5      # ids continue
+    journal.compact()
+    assert store.location(journal.runs).endswith(".c000002")
+    assert store.read(journal.runs).count() == len(before) + 1
