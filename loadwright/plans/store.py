@@ -39,9 +39,15 @@ class TableStore:
     def exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(self.qualified(name))
 
-    def _create(self, name: str, schema: StructType, location: str) -> None:
-        self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(location)
-        self.spark.sql(f"CREATE TABLE {self.qualified(name)} USING parquet LOCATION '{location}'")
+    def _create(self, name: str, schema: StructType, location: str, partition_col: str | None = None) -> None:
+        """Declare an empty table: one catalog call, no Spark job.
+
+        The folder appears with the first write; until then the table reads as empty.
+        """
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parts = f" PARTITIONED BY (`{partition_col}`)" if partition_col else ""
+        self.spark.sql(f"CREATE TABLE {self.qualified(name)} ({cols}) USING parquet{parts} "
+                       f"LOCATION '{location}'")
 
     def ensure_versioned(self, name: str, schema: str | StructType) -> bool:
         """Create an empty versioned table when absent; True when created."""
@@ -93,12 +99,7 @@ class TableStore:
         """Create an empty table partitioned by ``bucket_col`` when absent; True when created."""
         if self.exists(name):
             return False
-        st = as_struct(schema)
-        location = f"{self.root}/{name}/base"
-        self.spark.createDataFrame([], st).write.mode("overwrite").partitionBy(bucket_col).parquet(location)
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in st.fields)
-        self.spark.sql(f"CREATE TABLE {self.qualified(name)} ({cols}) USING parquet "
-                       f"PARTITIONED BY (`{bucket_col}`) LOCATION '{location}'")
+        self._create(name, as_struct(schema), f"{self.root}/{name}/base", partition_col=bucket_col)
         return True
 
     def partitions(self, name: str, bucket_col: str) -> set[int]:
