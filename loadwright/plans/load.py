@@ -153,7 +153,7 @@ class GovernedLoad:
                     self.journal.flush()
             if self.changed and self.spec.analyze:
                 # statistics once per run: they only serve later queries
-                self.store.analyze(self.table)
+                self.store.analyze(self.table, scan=self.spec.analyze_scan)
                 self._ev("Statistics_Calculation", "")
             for row in dl.unprocessed_deliveries(names, plan).orderBy("file_name").collect():
                 report.not_processed.append(row["file_name"])

@@ -35,7 +35,8 @@ class LoadSpec:
     steps: list[str] = field(default_factory=list)  # ordered SELECTs over {stage}
     custom_table_name: str | None = None
     pad_short_rows: bool = True
-    analyze: bool = True                   # gather table statistics after each run
+    analyze: bool = True                   # gather table statistics after each run (size, no scan)
+    analyze_scan: bool = False             # also count rows by reading the whole target
     buckets: int | None = None             # hash-partition the target by the delivery key
     line_sep: str | None = None            # line separator when not \n, \r\n or \r
 

@@ -162,7 +162,18 @@ class TableStore:
         self.spark.sql(f"REFRESH TABLE {self.qualified(name)}")
         return folder
 
-    def analyze(self, name: str, columns: bool = False) -> None:
-        """Table statistics for the cost-based optimizer (row count, size; columns on request)."""
-        extra = " FOR ALL COLUMNS" if columns else ""
+    def analyze(self, name: str, scan: bool = False, columns: bool = False) -> None:
+        """Table statistics for the optimizer.
+
+        By default only the size (``NOSCAN``: taken from the file listing, no
+        data read), which is what Spark's join planning uses.  ``scan`` also
+        counts the rows and ``columns`` adds column statistics; both read the
+        whole table, so on a very large target they belong in housekeeping.
+        """
+        if columns:
+            extra = " FOR ALL COLUMNS"
+        elif scan:
+            extra = ""
+        else:
+            extra = " NOSCAN"
         self.spark.sql(f"ANALYZE TABLE {self.qualified(name)} COMPUTE STATISTICS{extra}")

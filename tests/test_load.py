@@ -297,3 +297,16 @@ def test_journal_compaction_keeps_rows_and_ids(spark, tmp_path):
     journal.compact()
     assert store.location(journal.runs).endswith(".c000002")
     assert store.read(journal.runs).count() == len(before) + 1
+
+
+@pytest.mark.parametrize("scan", [False, True])
+def test_statistics_are_size_only_unless_a_scan_is_asked_for(spark, env, scan):
+    store, journal, table, inbox = env
+    write(inbox, "FULL", "20210101-000000", ["1|a|1.0", "2|b|2.0", "3|c|3.0"])
+    spec = LoadSpec("src.base.acct", COLS, delimiter="|", column_id="id", custom_table_name=table,
+                    analyze_scan=scan)
+    run_load(spark, spec, str(inbox), store, journal, run_ts=RUN_TS)
+    stats = [r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+             if r.col_name == "Statistics"]
+    assert stats and "bytes" in stats[0]
+    assert ("3 rows" in stats[0]) == scan
