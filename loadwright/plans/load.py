@@ -155,9 +155,10 @@ class GovernedLoad:
                 # statistics once per run: they only serve later queries
                 self.store.analyze(self.table, scan=self.spec.analyze_scan)
                 self._ev("Statistics_Calculation", "")
-            for row in dl.unprocessed_deliveries(names, plan).orderBy("file_name").collect():
-                report.not_processed.append(row["file_name"])
-                self._ev("File_Not_Processed", row["file_name"])
+            # file names only; ordered on the driver, where they arrive anyway
+            for name in sorted(r["file_name"] for r in dl.unprocessed_deliveries(names, plan).collect()):
+                report.not_processed.append(name)
+                self._ev("File_Not_Processed", name)
             self._ev("Dataloader", "End")
             self.journal.flush()
             self.journal.close_run(self.run_id, self.run_ts)

@@ -114,6 +114,11 @@ def unprocessed_deliveries(names: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def plan_list(plan: DataFrame) -> list[dict]:
-    """The ordered plan as a small list of dicts (file metadata only)."""
-    rows = plan.orderBy("file_date", "file_name").collect()
-    return [r.asDict() for r in rows]
+    """The ordered plan as a small list of dicts (file metadata only).
+
+    The plan is one row per delivery file and comes to the driver anyway, so
+    it is ordered there (NULL dates first, as ``orderBy`` would) instead of by
+    a global sort, which would cost a sampling job.
+    """
+    rows = [r.asDict() for r in plan.collect()]
+    return sorted(rows, key=lambda r: (r["file_date"] is not None, r["file_date"] or "", r["file_name"]))
