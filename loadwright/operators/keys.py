@@ -76,20 +76,25 @@ def matched_by_key(target: DataFrame, stage: DataFrame, keys, stage_rows: int |
     return target.join(staged_keys(stage, ks, stage_rows), ks, "left_semi").select(*target.columns)
 
 
-def key_profile(df: DataFrame, keys) -> DataFrame:
-    """One row: ``n_rows, n_keys, n_dup_keys, n_dup_rows``.
+def key_profile(df: DataFrame, keys, with_null_rows: bool = False) -> DataFrame:
+    """One row: ``n_rows, n_keys, n_dup_keys, n_dup_rows`` (and ``n_null_rows`` on request).
 
     ``n_keys`` counts distinct key *tuples* with a NULL tuple counted once, as
     ``SELECT DISTINCT`` does; ``count(DISTINCT ..)`` would skip NULLs.
+    ``n_null_rows`` counts rows with a NULL key part, from the same groups.
     """
     ks = _keys(keys)
     per_key = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.agg(
+    measures = [
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"),
         F.count(F.lit(1)).alias("n_keys"),
         F.count_if(F.col("_n") > 1).alias("n_dup_keys"),
         F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint").alias("n_dup_rows"),
-    )
+    ]
+    if with_null_rows:
+        measures.append(F.coalesce(F.sum(F.when(any_key_null(ks), F.col("_n"))), F.lit(0))
+                        .cast("bigint").alias("n_null_rows"))
+    return per_key.agg(*measures)
 
 
 def distinct_key_count(df: DataFrame, keys) -> int:
@@ -109,6 +114,7 @@ class UniquenessResult:
     n_keys: int
     n_dup_keys: int
     n_dup_rows: int
+    n_null_rows: int = 0
 
     @property
     def passed(self) -> bool:
@@ -117,8 +123,9 @@ class UniquenessResult:
 
 def assert_unique(df: DataFrame, keys, raise_on_fail: bool = True) -> UniquenessResult:
     """The duplicate-key gate: distinct key tuples must equal the row count."""
-    row = key_profile(df, keys).first()
-    result = UniquenessResult(row["n_rows"], row["n_keys"], row["n_dup_keys"], row["n_dup_rows"])
+    row = key_profile(df, keys, with_null_rows=True).first()
+    result = UniquenessResult(row["n_rows"], row["n_keys"], row["n_dup_keys"], row["n_dup_rows"],
+                              row["n_null_rows"])
     if raise_on_fail and not result.passed:
         raise DuplicateKeys(
             f"{result.n_dup_keys} key values occur more than once "

@@ -57,6 +57,7 @@ class FileReport:
     n_rejected: int = 0
     n_discarded: int = 0
     stage_rows: int = 0
+    null_key_rows: int | None = None    # staged rows with a NULL key part (from the duplicate gate)
     before: int = 0
     after_delete: int | None = None
     after: int = 0
@@ -219,7 +220,7 @@ class GovernedLoad:
             stage = tf.apply_steps(self.spark, stage, spec.steps)
         if spec.column_id:
             gate = keys_mod.assert_unique(stage, spec.column_id, raise_on_fail=False)
-            fr.stage_rows = gate.n_rows
+            fr.stage_rows, fr.null_key_rows = gate.n_rows, gate.n_null_rows
             self._ev("NBRows_temp_table", fr.stage_rows)
             if not gate.passed:
                 raise keys_mod.DuplicateKeys(
@@ -241,7 +242,8 @@ class GovernedLoad:
             if eff == MODE_FULL:
                 self._ev("NBRows_table_after_truncate", 0)
             fr.after, fr.after_delete = self._replace_buckets(
-                f"{self.run_id}-{index:04d}", target, [(eff, stamped)], before, fr.stage_rows)
+                f"{self.run_id}-{index:04d}", target, [(eff, stamped)], before, fr.stage_rows,
+                null_key_rows=fr.null_key_rows)
             if eff == MODE_FULL:
                 reconcile(MODE_FULL, before, fr.stage_rows, fr.after)
                 self._ev("NBRows_table_after_loading=NBRows_temp_table", "")
@@ -250,14 +252,14 @@ class GovernedLoad:
                 reconcile(MODE_UPDATE, before, fr.stage_rows, fr.after, removed=before - fr.after_delete)
         elif eff == MODE_FULL:
             self._ev("NBRows_table_after_truncate", 0)
-            self._pk_guard(stamped, None, eff, fr.stage_rows)
+            self._pk_guard(stamped, None, eff, fr.stage_rows, fr.null_key_rows)
             fr.after = store.replace(self.table, stamped)
             reconcile(MODE_FULL, before, fr.stage_rows, fr.after)
             self._ev("NBRows_table_after_loading=NBRows_temp_table", "")
         elif eff == MODE_UPDATE:
             kept_obs = Observation(f"kept_{self.run_id}_{index}")
             kept = keys_mod.anti_by_key(target, stamped, spec.column_id, stage_rows=fr.stage_rows)
-            self._pk_guard(stamped, kept, eff, fr.stage_rows)
+            self._pk_guard(stamped, kept, eff, fr.stage_rows, fr.null_key_rows)
             kept = kept.observe(kept_obs, F.count(F.lit(1)).alias("rows"))
             fr.after = store.replace(self.table, kept.unionByName(stamped))
             fr.after_delete = int(kept_obs.get["rows"])
@@ -300,7 +302,8 @@ class GovernedLoad:
         return modes_mod.conform(stamped, target)
 
     def _replace_buckets(self, tag: str, target: DataFrame, deliveries: list, before: int,
-                         stage_rows: int | None = None, checked: bool = False):
+                         stage_rows: int | None = None, checked: bool = False,
+                         null_key_rows: int | None = None):
         """Rewrite only the buckets the staged keys fall in; return (after, after_delete).
 
         The touched bucket numbers (at most ``spec.buckets`` small ints) are the
@@ -316,7 +319,7 @@ class GovernedLoad:
             # are the whole target minus the staged keys (only key columns are read)
             rest = None if deliveries[0][0] == MODE_FULL else keys_mod.anti_by_key(
                 target, deliveries[0][1], keys, stage_rows=stage_rows)
-            self._pk_guard(deliveries[0][1], rest, deliveries[0][0], stage_rows)
+            self._pk_guard(deliveries[0][1], rest, deliveries[0][0], stage_rows, null_key_rows)
         elif not checked:
             check = self._bucket_check(target, touched)
         if deliveries[0][0] == MODE_FULL:
@@ -339,7 +342,8 @@ class GovernedLoad:
         after_delete = before - old_rows + int(kept_obs.get["rows"]) if kept_obs is not None else None
         return after, after_delete
 
-    def _pk_guard(self, stage: DataFrame, rest: DataFrame | None, mode: str, stage_rows: int | None) -> None:
+    def _pk_guard(self, stage: DataFrame, rest: DataFrame | None, mode: str, stage_rows: int | None,
+                  null_key_rows: int | None = None) -> None:
         """Refuse a delivery that would break the primary key, before anything is written.
 
         The current snapshot already satisfies the key (every switch is guarded
@@ -355,8 +359,10 @@ class GovernedLoad:
         if not (self.check_primary_key and tk):
             return
         if self._key_gate_covers_pk:
-            # the duplicate gate already grouped these very key values: only NULLs are left to find
-            broken = stage.where(any_key_null(tk)).limit(1).count()
+            # the duplicate gate already grouped these very key values: only NULLs are left to
+            # find, and the gate counted them in the same aggregate
+            broken = null_key_rows if null_key_rows is not None else (
+                stage.where(any_key_null(tk)).limit(1).count())
         else:
             broken = keys_mod.pk_violations(stage.select(*tk), tk).limit(1).count()
         if broken:
@@ -401,7 +407,7 @@ class GovernedLoad:
         if same_key:
             # one winner per key: each delivery's own NULL/duplicate keys are all that can break it
             for (fr, _), (mode, st) in zip(staged, deliveries):
-                self._pk_guard(st, None, MODE_FULL, fr.stage_rows)
+                self._pk_guard(st, None, MODE_FULL, fr.stage_rows, fr.null_key_rows)
         if self.spec.buckets:
             after, _ = self._replace_buckets(f"{self.run_id}-bulk", target, deliveries, before,
                                              stage_rows=sum(fr.stage_rows for fr, _ in staged),

@@ -116,3 +116,11 @@ def test_bulk_merge_never_shuffles_the_target_when_the_delivered_keys_are_small(
     assert rows(merged) == rows(M.apply_deliveries(target, deliveries, ["a"]))
     got = {r.a: (r.b, r.v) for r in merged.where("a IN ('1', '2', '7', '3')").collect()}
     assert got == {"1": ("x", 10), "2": ("y", 21), "7": ("y", 70), "3": ("t", 3)}
+
+
+def test_uniqueness_gate_counts_null_key_rows_in_the_same_aggregate(spark):
+    df = spark.createDataFrame([("x", "1", 1), (None, "1", 2), (None, "1", 3), ("y", None, 4)], SCHEMA)
+    result = K.assert_unique(df, ["a", "b"], raise_on_fail=False)
+    assert (result.n_rows, result.n_keys, result.n_null_rows) == (4, 3, 3)
+    assert not result.passed                       # (NULL, '1') occurs twice
+    assert "n_null_rows" not in K.key_profile(df, ["a", "b"]).columns
