@@ -310,3 +310,18 @@ def test_statistics_are_size_only_unless_a_scan_is_asked_for(spark, env, scan):
              if r.col_name == "Statistics"]
     assert stats and "bytes" in stats[0]
     assert ("3 rows" in stats[0]) == scan
+
+
+def test_key_gate_shortcut_needs_the_same_key_type_in_stage_and_target(spark, env):
+    from loadwright.plans.load import GovernedLoad
+
+    store, journal, table, _ = env
+    same = LoadSpec("src.base.acct", COLS, delimiter="|", column_id="id", table_key="id",
+                    custom_table_name=table)
+    cast = LoadSpec("src.base.acct", COLS, delimiter="|", column_id="id", table_key="id",
+                    stage_columns="id STRING, name STRING, amount DOUBLE", custom_table_name=table)
+    other_key = LoadSpec("src.base.acct", COLS, delimiter="|", column_id="id", table_key="name",
+                         custom_table_name=table)
+    assert GovernedLoad(spark, same, store, journal)._key_gate_covers_pk
+    assert not GovernedLoad(spark, cast, store, journal)._key_gate_covers_pk      # '1' and '01' -> 1
+    assert not GovernedLoad(spark, other_key, store, journal)._key_gate_covers_pk
