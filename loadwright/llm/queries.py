@@ -22,7 +22,7 @@ URL_RULES = [
     ("net", "/fr/", "block"),
 ]
 #: Host labels whose pages' canonical URLs make the block list (fixed values).
-BLOCKED_LABELS = ["ads-track", "cheap-pills", "free-bets"]
+BLOCKED_LABELS = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
 
 
 def op1_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
