@@ -1,10 +1,11 @@
 """Byte-level BPE ids of whole texts with the ``tokenizers`` library.
 
 The vocabulary file is a path (``byte_bpe_50k.json`` by default); it is loaded
-once per Python worker.  Text is cut at single spaces.  Where every piece is
-free of white space at its edges, a space starts a new pre-token, so the ids of
-a text are the ids of its pieces, and pieces seen before come from a bounded
-cache.  Any other text is encoded whole.  Both give the library's own ids.
+once per Python worker.  Text is cut at single line feeds and spaces: where no
+piece has white space at its edges, a line feed is a pre-token and a space
+starts one, so the ids of a text are the ids of its pieces, and pieces seen
+before come from a bounded cache.  Any other text is encoded whole.  Both give
+the library's own ids.
 """
 
 from __future__ import annotations
@@ -14,12 +15,12 @@ import re
 from array import array
 
 END_ID = 2
-#: Pieces remembered per worker (about 100 MB).
-CACHE_PIECES = 300_000
+#: Pieces remembered per worker (about 130 MB).
+CACHE_PIECES = 600_000
 
 #: White space other than a space or a line feed.
 _ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,]?)")  # Latin letters, a stop
+_LATIN_WORD = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -41,26 +42,31 @@ def default_path() -> str:
 
 
 class _Pieces(dict):
-    """Ids (little-endian uint32 bytes) of a piece that follows a space."""
+    """Ids (little-endian uint32 bytes) of a piece that follows ``before``: a space or nothing."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, before: str, room: int):
         super().__init__()
         self.encode, self.tokenize = tokenizer.encode, tokenizer.model.tokenize
-        self.stops = {c: self._ids(self.tokenize(c)) for c in ".,"} | {"": b""}
+        self.before, self.prefix, self.room = before, "".join(_BYTES[ord(c)] for c in before), room
+        self.stops = {c: self._ids(self.tokenize(c)) for c in ".,"}
 
     @staticmethod
     def _ids(tokens) -> bytes:
         return array("I", [t.id for t in tokens]).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        m = _PLAIN.fullmatch(piece)
-        if m and m[2]:  # a word, then a stop or comma: two pre-tokens
-            out = self[m[1]] + self.stops[m[2]]
-        elif m:  # one pre-token, in the byte-level alphabet
-            out = self._ids(self.tokenize(_BYTES[0x20] + piece.translate(_LATIN)))
-        else:
-            out = array("I", self.encode(" " + piece, add_special_tokens=False).ids).tobytes()
-        if len(self) < CACHE_PIECES:
+        stop = self.stops.get(piece[-1:])
+        word = piece[:-1] if stop else piece
+        if not word or not word.isalpha() or not (word.isascii() or _LATIN_WORD.fullmatch(word)):
+            out = array("I", self.encode(self.before + piece, add_special_tokens=False).ids).tobytes()
+        elif stop:  # a word, then a stop or comma: two pre-tokens
+            new = word not in self
+            out = self[word] + stop
+            if new:  # kept when the word comes again
+                return out
+        else:  # one pre-token, in the byte-level alphabet
+            out = self._ids(self.tokenize(self.prefix + (word if word.isascii() else word.translate(_LATIN))))
+        if len(self) < self.room:
             self[piece] = out
         return out
 
@@ -72,7 +78,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.pieces = _Pieces(self.tokenizer)
+        self.pieces = _Pieces(self.tokenizer, " ", CACHE_PIECES)
+        self.firsts = _Pieces(self.tokenizer, "", CACHE_PIECES // 20)
+        self.feed = self.whole("\n")
         self.texts: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -84,16 +92,19 @@ class Encoder:
             return b""
         if text in self.texts:  # copies often sit close together
             return self.texts[text]
-        if "  " in text or " \n" in text or "\n " in text or text[0].isspace() or text[-1].isspace() or _ODD.search(text):
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0].isspace() or text[-1].isspace() or _ODD.search(text):
             out = self.whole(text)
         else:
-            first, *rest = text.split(" ")
-            out = self.whole(first) + b"".join(map(self.pieces.__getitem__, rest))
+            out = self.feed.join(map(self._line, text.split("\n")))
         if len(self.texts) >= 256:
             self.texts.clear()
         self.texts[text] = out
         return out
 
+    def _line(self, line: str) -> bytes:
+        first, *rest = line.split(" ")
+        return self.firsts[first] + b"".join(map(self.pieces.__getitem__, rest))
+
 
 def encoder(path: str) -> Encoder:
     if path not in _loaded:
