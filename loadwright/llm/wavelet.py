@@ -55,8 +55,8 @@ class WaveletShard:
         for level in range(levels - 1, -1, -1):
             ones = (seq & seq.dtype.type(1 << level)) != 0
             plane = np.packbits(ones)
-            low = seq[~ones]
-            seq = np.concatenate([low, seq[ones]])
+            low = np.compress(~ones, seq)
+            seq = np.concatenate([low, np.compress(ones, seq)])
             planes.append(plane)
             zeros.append(len(low))
             ranks.append(cls._directory(plane))
@@ -173,8 +173,8 @@ class WaveletShard:
         for low, level in enumerate(range(len(self.planes) - 1, -1, -1)):
             ones = np.unpackbits(self.planes[level], count=self.n).view(bool)
             above = np.empty_like(out)
-            above[~ones] = out[:self.zeros[level]]
-            above[ones] = out[self.zeros[level]:] | out.dtype.type(1 << low)
+            above[np.flatnonzero(~ones)] = out[:self.zeros[level]]
+            above[np.flatnonzero(ones)] = out[self.zeros[level]:] | out.dtype.type(1 << low)
             out = above
         return out
 
