@@ -31,7 +31,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadwright.llm.common import fresh, map_batches, settle
@@ -146,6 +146,12 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
+def _near_keys(part: int, own: Column, flips: list[int]) -> Column:
+    """(part, key) of every key that differs from ``own`` by one of ``flips``."""
+    near = F.transform(F.array(*map(F.lit, flips)), lambda f: own.bitwiseXOR(f))
+    return F.transform(near, lambda k: F.struct(F.lit(part).alias("part"), k.alias("key")))
+
+
 def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b), a < b: distinct fingerprints ``fps.fp`` within ``max_bits`` bits."""
     n = fps.count()
@@ -154,10 +160,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     keys, probes = [], []
     for i, (group, t) in enumerate(plan):
         own = F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << b for b in group))))
-        flips = [_signed(sum(1 << b for b in c)) for k in range(t + 1) for c in combinations(group, k)]
         keys.append(F.struct(F.lit(i).alias("part"), own.alias("key")))
-        near = F.transform(F.array(*map(F.lit, flips)), lambda f, own=own: own.bitwiseXOR(f))
-        probes.append(F.transform(near, lambda k, i=i: F.struct(F.lit(i).alias("part"), k.alias("key"))))
+        flips = [_signed(sum(1 << b for b in c)) for k in range(t + 1) for c in combinations(group, k)]
+        probes.append(_near_keys(i, own, flips))
     index = fps.select(F.col("fp").alias("b"), F.explode(F.array(*keys)).alias("k")).select("b", "k.part", "k.key")
     probe = fps.select(F.col("fp").alias("a"), F.explode(F.concat(*probes)).alias("k")).select("a", "k.part", "k.key")
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
