@@ -161,7 +161,7 @@ def add_document(graph: Graph, doc: int, text: str, spans: list[Span]) -> None:
         if near_left:
             graph.chain.append((first + i - 1, first + i))
         for before in dict.fromkeys(seen[k] for k in _keys(core) if k in seen):
-            if before != first + i - 1:
+            if not near_left or before != first + i - 1:  # neighbours have a chain link
                 graph.skip.append((before, first + i))
         for k in _keys(core):
             seen[k] = first + i
