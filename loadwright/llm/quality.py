@@ -104,13 +104,13 @@ def thresholds(rows: DataFrame) -> DataFrame:
     langs = groups.groupBy("lang").agg(F.sum("n").alias("n"), *merge)
     total = langs.agg(F.sum("n").alias("n"), *merge)
     everywhere = {r: _limits(F.col(r), r) for r in RATIOS}
-    corpus = total.select("n", *(x for r in RATIOS for x in _named(everywhere[r], r))).first()  # one row
+    corpus = total.where("n > 0").select("n", *(x for r in RATIOS for x in _named(everywhere[r], r))).first()  # one row; none without any good document
     lang_limits = langs.select(F.col("lang").alias("lang_l"), F.col("n").alias("n_l"),
                                *(x.alias(f"{name}_l") for r in RATIOS for x, name in zip(_limits(F.col(r), r), (f"{r}_low", f"{r}_high"))))
     own = groups.select("lang", "source", "n", *(x for r in RATIOS for x in _named(_limits(F.col(r), r), r)))
     joined = own.join(lang_limits, own["lang"].eqNullSafe(lang_limits["lang_l"]))
     names = [f"{r}_{side}" for r in RATIOS for side in ("low", "high")]
-    choose = [F.when(F.col("n") >= GROUP_ROWS, F.col(c)).when(F.col("n_l") >= GROUP_ROWS, F.col(f"{c}_l")).otherwise(F.lit(corpus[c])).alias(c) for c in names]
+    choose = [F.when(F.col("n") >= GROUP_ROWS, F.col(c)).when(F.col("n_l") >= GROUP_ROWS, F.col(f"{c}_l")).otherwise(F.lit(corpus[c] if corpus else None).cast("double")).alias(c) for c in names]
     return joined.select("lang", "source", "n", *choose)
 
 
