@@ -77,7 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op9_quality, op10_pii)
 }
 
-_WORDS = r"list_filter(regexp_split_to_array(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), w -> w <> '')"
+_WORDS = r"list_filter(regexp_split_to_array(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+', ' ', 'g'), ' '), lambda w: w <> '')"
 
 ORACLE_SQL: dict[str, str] = {
     "op2_urls": rf"""
