@@ -10,7 +10,7 @@ import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructType
+from pyspark.sql.types import CharType, DataType, StringType, StructType, VarcharType
 
 from pyspark.sql.types import _parse_datatype_string
 
@@ -74,8 +74,8 @@ def null_if_blank(token: str) -> str:
 
 def typed(token: str, dtype: DataType) -> str:
     """Cast a NULL-normalised token; NULL when the text does not convert."""
-    if isinstance(dtype, StringType):
-        return token
+    if isinstance(dtype, (StringType, CharType, VarcharType)):
+        return token  # an over-long text is a reject of its own, never cut
     return f"try_cast({token} AS {dtype.simpleString()})"
 
 

@@ -13,13 +13,16 @@ embeddings) become vectors with ``array_to_vector`` on the JVM side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 LOGIT_C = 1e5
 FOREST_TREES = 10
 SHOWN_TREE = 5
+MAX_DEPTH = 30  # the deepest tree that Spark ML grows
 FEATURES = "_features"
 
 
@@ -35,47 +38,79 @@ def assemble(df: DataFrame, xs: list[str] | str, out: str = FEATURES) -> DataFra
     return VectorAssembler(inputCols=list(xs), outputCol=out, handleInvalid="skip").transform(df)
 
 
-def feature_names(df: DataFrame, xs: list[str] | str) -> list[str]:
-    """Names for vector slots: the column names, or ``col[i]`` for an array column."""
+def feature_names(df: DataFrame, xs: list[str] | str, model=None) -> list[str]:
+    """Names for vector slots: the column names, or ``col[i]`` for an array column.
+
+    A fitted model already knows the width of an array column; without one it
+    takes a pass over the table.
+    """
     if isinstance(xs, str):
         xs = [xs]
     if len(xs) == 1 and isinstance(df.schema[xs[0]].dataType, ArrayType):
-        width = df.select(F.max(F.size(xs[0]))).first()[0] or 0
+        width = model.numFeatures if model is not None else df.select(F.max(F.size(xs[0]))).first()[0] or 0
         return [f"{xs[0]}[{i}]" for i in range(width)]
     return list(xs)
 
 
-def logit_fit(df: DataFrame, label: str, xs: list[str] | str, C: float = LOGIT_C,
-              max_iter: int = 100, n_rows: int | None = None):
+@dataclass
+class Classifier:
+    """A fitted Spark ML model and the class values behind its label indices."""
+
+    model: object
+    classes: list
+
+    def __getattr__(self, name):
+        return getattr(self.model, name)
+
+    def class_of(self, prediction: str | Column) -> Column:
+        """The class value of a predicted index."""
+        return F.get(F.array(*[F.lit(c) for c in self.classes]), F.col(prediction).cast("int") if isinstance(prediction, str) else prediction)
+
+
+def _labelled(df: DataFrame, label: str, xs: list[str] | str) -> tuple[DataFrame, list, int]:
+    """Vectors and label indices 0 .. k-1, the class values in order, and the row count.
+
+    Labels may have any type; one aggregate finds the classes (a row per class)
+    and counts the rows.
+    """
+    data = df.where(F.col(label).isNotNull())
+    counts = {r[0]: r[1] for r in data.groupBy(label).count().collect()}
+    classes = sorted(counts)
+    index = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1 if classes else F.lit(0)
+    return assemble(data, xs).withColumn("_label", index.cast("double")), classes, sum(counts.values())
+
+
+def logit_fit(df: DataFrame, label: str, xs: list[str] | str, C: float = LOGIT_C, max_iter: int = 100) -> Classifier:
     """Multinomial logistic regression with the reference's penalty."""
     from pyspark.ml.classification import LogisticRegression
 
-    data = assemble(df.where(F.col(label).isNotNull()), xs).withColumn(
-        "_label", F.col(label).cast("double"))
-    n = n_rows if n_rows is not None else data.count()
+    data, classes, n = _labelled(df, label, xs)
     lr = LogisticRegression(featuresCol=FEATURES, labelCol="_label", family="multinomial",
                             regParam=1.0 / (C * max(n, 1)), elasticNetParam=0.0,
                             standardization=False, maxIter=max_iter, tol=1e-8)
-    return lr.fit(data)
+    return Classifier(lr.fit(data), classes)
 
 
-def logit_predict(model, rows: DataFrame, xs: list[str] | str, keep: list[str] | None = None) -> DataFrame:
-    """Predicted class for each row of ``rows`` (a table of feature vectors)."""
+def logit_predict(model: Classifier, rows: DataFrame, xs: list[str] | str, keep: list[str] | None = None) -> DataFrame:
+    """Predicted class value for each row of ``rows`` (a table of feature vectors)."""
     out = model.transform(assemble(rows, xs))
     keep = keep if keep is not None else [c for c in rows.columns]
-    return out.select(*keep, F.col("prediction"))
+    return out.select(*keep, model.class_of("prediction").alias("prediction"))
 
 
 def forest_fit(df: DataFrame, label: str, xs: list[str] | str, trees: int = FOREST_TREES,
-               seed: int = 42, max_depth: int = 5):
-    """Random-forest classifier (bootstrap samples, sqrt(features) per split)."""
+               seed: int = 42, max_depth: int = MAX_DEPTH) -> Classifier:
+    """Random-forest classifier (bootstrap samples, sqrt(features) per split).
+
+    Trees grow until their leaves are pure, as the original's do, up to
+    ``max_depth``, whose default is the deepest that Spark ML allows.
+    """
     from pyspark.ml.classification import RandomForestClassifier
 
-    data = assemble(df.where(F.col(label).isNotNull()), xs).withColumn(
-        "_label", F.col(label).cast("double"))
+    data, classes, _ = _labelled(df, label, xs)
     rf = RandomForestClassifier(featuresCol=FEATURES, labelCol="_label", numTrees=trees,
                                 maxDepth=max_depth, seed=seed, impurity="gini")
-    return rf.fit(data)
+    return Classifier(rf.fit(data), classes)
 
 
 def tree_nodes(spark, model, tree: int = SHOWN_TREE, features: list[str] | None = None,
@@ -91,6 +126,7 @@ def tree_nodes(spark, model, tree: int = SHOWN_TREE, features: list[str] | None
     from loadwright.session import scratch_path
 
     path = path or scratch_path(spark, "forest")
+    classes = classes or [str(c) for c in getattr(model, "classes", [])]
     model.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data").where(F.col("treeID") == tree).select("nodeData.*")
     feat = F.col("split.featureIndex")

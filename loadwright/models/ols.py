@@ -43,6 +43,10 @@ class OlsFit:
         return [(INTERCEPT_TERM, self.intercept)] + list(zip(self.xs, self.coefficients))
 
 
+class SingularDesign(ValueError):
+    """The normal equations have no unique solution."""
+
+
 def ols_fit(df: DataFrame, y: str, xs: list[str]) -> OlsFit:
     """First chosen column on all the others (the original fitted every remaining column)."""
     from pyspark.ml.feature import VectorAssembler
@@ -54,6 +58,10 @@ def ols_fit(df: DataFrame, y: str, xs: list[str]) -> OlsFit:
     lr = LinearRegression(featuresCol="_features", labelCol=y, solver="normal", regParam=0.0,
                           elasticNetParam=0.0, fitIntercept=True, standardization=False)
     model = lr.fit(assembled)
+    try:
+        model.summary.coefficientStandardErrors
+    except Exception as exc:  # Spark falls back to an iterative solver without standard errors
+        raise SingularDesign(f"the predictors {list(xs)} are linearly dependent, constant, or too many for the rows") from exc
     return OlsFit(y, list(xs), float(model.intercept), [float(c) for c in model.coefficients], model)
 
 
@@ -115,14 +123,10 @@ def simple_fit_columns(y: str, x: str) -> list[Column]:
     ]
 
 
-def regression_points(df: DataFrame, y: str, x: str, fraction: float = 0.01, seed: int = 42) -> DataFrame:
-    """The scatter part of the regression plot: a Bernoulli sample of ``(x, y)`` pairs.
-
-    Sampling is the purpose here (a plot cannot show every row); the sample is
-    taken per partition, so nothing is gathered before it is reduced.
-    """
-    return (df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-            .na.drop().sample(fraction=fraction, seed=seed))
+def regression_points(df: DataFrame, y: str, x: str, fraction: float | None = None, seed: int = 42) -> DataFrame:
+    """The scatter part of the regression plot: all ``(x, y)`` pairs, or a Bernoulli sample on request."""
+    points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).na.drop()
+    return points if fraction is None else points.sample(fraction=fraction, seed=seed)
 
 
 def regression_line(df: DataFrame, y: str, x: str, steps: int = 50, digits: int = 8) -> DataFrame:
@@ -130,7 +134,7 @@ def regression_line(df: DataFrame, y: str, x: str, steps: int = 50, digits: int
 
     Each grid point carries the fitted value and the standard error of the
     fitted mean, ``sqrt(s2 * (1/n + (x - mean_x)^2 / Sxx))``.  The fit is one
-    aggregate pass; the grid is generated from the aggregate row, not collected.
+    aggregate pass whose single row comes to the driver; the grid follows from it.
     """
     ycol, xcol = F.col(y).cast("double"), F.col(x).cast("double")
     agg = df.agg(
@@ -141,8 +145,10 @@ def regression_line(df: DataFrame, y: str, x: str, steps: int = 50, digits: int
         F.min(F.when(ycol.isNotNull(), xcol)).alias("x_min"),
         F.max(F.when(ycol.isNotNull(), xcol)).alias("x_max"),
     ).first()
-    b0, b1 = round_sig(agg["b0"], digits), round_sig(agg["b1"], digits)
     n = int(agg["n"])
+    if n <= 2 or not agg["sxx"]:
+        raise SingularDesign(f"a line needs more than two rows and two different values of {x}")
+    b0, b1 = round_sig(agg["b0"], digits), round_sig(agg["b1"], digits)
     s2 = round_sig((agg["syy"] - agg["sxy"] * agg["sxy"] / agg["sxx"]) / (n - 2), digits)
     mx, sxx = round_sig(agg["mx"], digits), round_sig(agg["sxx"], digits)
     x_min, x_max = float(agg["x_min"]), float(agg["x_max"])

@@ -13,11 +13,9 @@ collision is not reproduced.  A NULL in any key column never matches, so such
 target rows survive an update, as they do under SQL ``IN``.
 
 Scale notes.  The staged key set is deduplicated with a partial aggregate
-before it is shuffled.  It is broadcast only when the caller passes a staged
-row count that bounds its size; otherwise the join is a shuffle join and AQE
-may still turn it into a broadcast from measured sizes, or split a skewed
-partition (a hot key, or many NULL keys on the target side).  The key
-profile is one ``groupBy`` whose map side collapses a hot key to one row per
+before it is shuffled.  It is broadcast only behind the byte size that the
+duplicate gate measured; otherwise the join is a shuffle join, which AQE may
+still convert or split (a hot key, many NULL keys on the target).  The key profile is one ``groupBy`` whose map side collapses a hot key to one row per
 task.
 """
 
@@ -30,11 +28,11 @@ from pyspark.sql import functions as F
 
 from loadwright.functions.keys import all_keys_present, any_key_null, parse_keys
 
-# Staged key sets up to this estimated size are broadcast.
+
+# Staged key sets of at most so many measured bytes are broadcast.
 BROADCAST_KEYSET_BYTES = 64 * 1024 * 1024
-# Conservative per-row width of a key tuple in the broadcast hash relation.
-KEY_ROW_OVERHEAD_BYTES = 48
-KEY_COLUMN_BYTES = 24
+# Bytes that a key tuple takes in the hash relation besides its text.
+KEY_ROW_OVERHEAD_BYTES = 64
 
 
 class DuplicateKeys(RuntimeError):
@@ -48,32 +46,28 @@ def _keys(keys) -> list[str]:
     return ks
 
 
-def keyset_fits_broadcast(n_rows: int | None, n_keys: int) -> bool:
-    """True when ``n_rows`` key tuples are known to fit the broadcast budget."""
-    if n_rows is None:
-        return False
-    return n_rows * (KEY_ROW_OVERHEAD_BYTES + KEY_COLUMN_BYTES * n_keys) <= BROADCAST_KEYSET_BYTES
-
+def staged_keys(stage: DataFrame, keys, key_bytes: int | None = None) -> DataFrame:
+    """Distinct non-NULL key tuples of the stage, broadcast when ``key_bytes`` proves them small.
 
-def staged_keys(stage: DataFrame, keys, stage_rows: int | None = None) -> DataFrame:
-    """Distinct non-NULL key tuples of the stage, broadcast when provably small."""
+    ``key_bytes`` is what the duplicate gate measured (see :func:`assert_unique`).
+    A broadcast key set spares the target a shuffle, which AQE could not: it
+    decides only after both sides have been shuffled.
+    """
     ks = _keys(keys)
     keyset = stage.select(*ks).where(all_keys_present(ks)).distinct()
-    if keyset_fits_broadcast(stage_rows, len(ks)):
-        keyset = F.broadcast(keyset)
-    return keyset
+    return F.broadcast(keyset) if key_bytes is not None and key_bytes <= BROADCAST_KEYSET_BYTES else keyset
 
 
-def anti_by_key(target: DataFrame, stage: DataFrame, keys, stage_rows: int | None = None) -> DataFrame:
+def anti_by_key(target: DataFrame, stage: DataFrame, keys, key_bytes: int | None = None) -> DataFrame:
     """Target rows that a delete by the staged keys leaves in place."""
     ks = _keys(keys)
-    return target.join(staged_keys(stage, ks, stage_rows), ks, "left_anti").select(*target.columns)
+    return target.join(staged_keys(stage, ks, key_bytes), ks, "left_anti").select(*target.columns)
 
 
-def matched_by_key(target: DataFrame, stage: DataFrame, keys, stage_rows: int | None = None) -> DataFrame:
+def matched_by_key(target: DataFrame, stage: DataFrame, keys) -> DataFrame:
     """Target rows that a delete by the staged keys removes."""
     ks = _keys(keys)
-    return target.join(staged_keys(stage, ks, stage_rows), ks, "left_semi").select(*target.columns)
+    return target.join(staged_keys(stage, ks), ks, "left_semi").select(*target.columns)
 
 
 def key_profile(df: DataFrame, keys, with_null_rows: bool = False) -> DataFrame:
@@ -81,7 +75,8 @@ def key_profile(df: DataFrame, keys, with_null_rows: bool = False) -> DataFrame:
 
     ``n_keys`` counts distinct key *tuples* with a NULL tuple counted once, as
     ``SELECT DISTINCT`` does; ``count(DISTINCT ..)`` would skip NULLs.
-    ``n_null_rows`` counts rows with a NULL key part, from the same groups.
+    ``n_null_rows`` counts rows with a NULL key part, and ``key_bytes`` bounds
+    the size of the distinct keys, both from the same groups.
     """
     ks = _keys(keys)
     per_key = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_n"))
@@ -94,6 +89,8 @@ def key_profile(df: DataFrame, keys, with_null_rows: bool = False) -> DataFrame:
     if with_null_rows:
         measures.append(F.coalesce(F.sum(F.when(any_key_null(ks), F.col("_n"))), F.lit(0))
                         .cast("bigint").alias("n_null_rows"))
+        text = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in ks), F.lit(KEY_ROW_OVERHEAD_BYTES))
+        measures.append(F.coalesce(F.sum(text), F.lit(0)).cast("bigint").alias("key_bytes"))
     return per_key.agg(*measures)
 
 
@@ -115,6 +112,7 @@ class UniquenessResult:
     n_dup_keys: int
     n_dup_rows: int
     n_null_rows: int = 0
+    key_bytes: int | None = None
 
     @property
     def passed(self) -> bool:
@@ -125,7 +123,7 @@ def assert_unique(df: DataFrame, keys, raise_on_fail: bool = True) -> Uniqueness
     """The duplicate-key gate: distinct key tuples must equal the row count."""
     row = key_profile(df, keys, with_null_rows=True).first()
     result = UniquenessResult(row["n_rows"], row["n_keys"], row["n_dup_keys"], row["n_dup_rows"],
-                              row["n_null_rows"])
+                              row["n_null_rows"], row["key_bytes"])
     if raise_on_fail and not result.passed:
         raise DuplicateKeys(
             f"{result.n_dup_keys} key values occur more than once "

@@ -44,9 +44,9 @@ def load_full(target: DataFrame, stage: DataFrame) -> DataFrame:
     return conform(stage, target)
 
 
-def load_update(target: DataFrame, stage: DataFrame, keys, stage_rows: int | None = None) -> DataFrame:
+def load_update(target: DataFrame, stage: DataFrame, keys) -> DataFrame:
     stage = conform(stage, target)
-    return anti_by_key(target, stage, keys, stage_rows).unionByName(stage)
+    return anti_by_key(target, stage, keys).unionByName(stage)
 
 
 def load_insert(target: DataFrame, stage: DataFrame) -> DataFrame:
@@ -62,13 +62,12 @@ def effective_mode(mode: str, keys) -> str:
     return mode
 
 
-def apply_mode(target: DataFrame, stage: DataFrame, mode: str, keys=None,
-               stage_rows: int | None = None) -> DataFrame:
+def apply_mode(target: DataFrame, stage: DataFrame, mode: str, keys=None) -> DataFrame:
     mode = effective_mode(mode, keys)
     if mode == MODE_FULL:
         return load_full(target, stage)
     if mode == MODE_UPDATE:
-        return load_update(target, stage, keys, stage_rows)
+        return load_update(target, stage, keys)
     return load_insert(target, stage)
 
 
@@ -91,7 +90,7 @@ def apply_deliveries(target: DataFrame, deliveries: Iterable[tuple[str, DataFram
 
 
 def merge_deliveries(target: DataFrame, deliveries: list[tuple[str, DataFrame]], keys=None,
-                     stage_rows: int | None = None) -> DataFrame:
+                     key_bytes: int | None = None) -> DataFrame:
     """One-pass equivalent of :func:`apply_deliveries` for a planned delivery list.
 
     The plan holds at most one FULL and it comes first (see
@@ -102,8 +101,8 @@ def merge_deliveries(target: DataFrame, deliveries: list[tuple[str, DataFrame]],
     survives when no later delivery holds its key.  So the latest delivery per
     key is found among the deliveries alone (a partial ``max`` and a semi join
     over delivered rows), and the target meets only the delivered key set in
-    the same anti join as a single UPDT: broadcast when ``stage_rows`` (rows
-    over all deliveries) proves it small, a shuffle join otherwise.  The
+    the same anti join as a single UPDT: broadcast when ``key_bytes`` (measured
+    by the gates of all deliveries) proves it small.  The
     target is scanned once and, in the common case, never shuffled.  Rows
     with a NULL key part never match and pass through.
     """
@@ -127,4 +126,4 @@ def merge_deliveries(target: DataFrame, deliveries: list[tuple[str, DataFrame]],
     if full_first:
         return delivered
     every = reduce(DataFrame.unionByName, [st.select(*ks) for st in stages])
-    return anti_by_key(target, every, ks, stage_rows).unionByName(delivered)
+    return anti_by_key(target, every, ks, key_bytes).unionByName(delivered)

@@ -44,12 +44,11 @@ LINEITEM_TARGET = f"""
   FROM lineitem WHERE l_shipdate < {TARGET_BEFORE}"""
 
 LINEITEM_STAGE = f"""
-  WITH w AS (SELECT * FROM lineitem WHERE l_shipdate >= {DELIVERY_FROM}),
-  once AS (SELECT l_orderkey, l_linenumber FROM w GROUP BY l_orderkey, l_linenumber HAVING count(*) = 1)
+  WITH w AS (SELECT * FROM lineitem WHERE l_shipdate >= {DELIVERY_FROM})
   SELECT {TS_FILE_NEW} AS METADATA_TM_FILE, {TS_RUN} AS METADATA_TM_INSERT,
          w.l_orderkey, l_partkey, l_suppkey, w.l_linenumber, l_quantity + 1 AS l_quantity, l_extendedprice,
          l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
-  FROM w JOIN once ON w.l_orderkey = once.l_orderkey AND w.l_linenumber = once.l_linenumber"""
+  FROM w"""
 
 ORDER_LINE = ("concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus, "
               "{price}, CAST(o_orderdate AS VARCHAR), o_orderpriority)")
@@ -304,3 +303,39 @@ GOVERNED_LOAD = f"""
   UNION ALL SELECT * FROM u"""
 ORACLE_SQL["governed_load"] = GOVERNED_LOAD
 ORACLE_SQL["governed_load_bucketed"] = GOVERNED_LOAD
+ORACLE_SQL["governed_load_twice"] = GOVERNED_LOAD
+
+_NAME = "'SRC.BASE.CUSTOMER.J.00.MFT.{0}.ALL.000.{1}.{1}'"
+ORACLE_SQL["governed_load_journal"] = f"""
+  WITH f AS (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'),
+  d AS (SELECT * FROM customer WHERE c_nationkey < 10),
+  u AS (SELECT * FROM d WHERE c_mktsegment <> 'MACHINERY'),
+  n AS (SELECT (SELECT count(*) FROM f) AS nf, (SELECT count(*) FROM d) AS nd, (SELECT count(*) FROM u) AS nu,
+               (SELECT count(*) FROM f WHERE c_custkey NOT IN (SELECT c_custkey FROM u)) AS kept),
+  e AS (SELECT unnest([
+    {{'event': 'Dataloader', 'value': 'Begin'}},
+    {{'event': 'File_Not_Processed', 'value': {_NAME.format("PURG", "20200301-000000")}}},
+    {{'event': 'File_Not_Processed', 'value': {_NAME.format("UPDT", "20191201-000000")}}},
+    {{'event': 'Input_file', 'value': {_NAME.format("FULL", "20200101-000000")}}},
+    {{'event': 'NB_Rows_input_file', 'value': CAST(nf AS VARCHAR)}},
+    {{'event': 'NBRows_before_loading', 'value': '0'}},
+    {{'event': 'Loadmode', 'value': 'FULL'}},
+    {{'event': 'NBRows_temp_table', 'value': CAST(nf AS VARCHAR)}},
+    {{'event': 'NBRows_table_after_truncate', 'value': '0'}},
+    {{'event': 'NBRows_table_after_loading=NBRows_temp_table', 'value': ''}},
+    {{'event': 'NBRows_after_loading', 'value': CAST(nf AS VARCHAR)}},
+    {{'event': 'Input_file', 'value': {_NAME.format("UPDT", "20200201-000000")}}},
+    {{'event': 'NB_Rows_input_file', 'value': CAST(nd AS VARCHAR)}},
+    {{'event': 'NBRows_before_loading', 'value': CAST(nf AS VARCHAR)}},
+    {{'event': 'Loadmode', 'value': 'UPDT'}},
+    {{'event': 'NB_Rows_bad_file', 'value': CAST(nd - nu AS VARCHAR)}},
+    {{'event': 'NBRows_rejected_table', 'value': CAST(nd - nu AS VARCHAR)}},
+    {{'event': 'NBRows_temp_table', 'value': CAST(nu AS VARCHAR)}},
+    {{'event': 'NBRows_table_after_delete_request', 'value': CAST(kept AS VARCHAR)}},
+    {{'event': 'NBRows_after_loading', 'value': CAST(kept + nu AS VARCHAR)}},
+    {{'event': 'Statistics_Calculation', 'value': ''}},
+    {{'event': 'Dataloader', 'value': 'End'}}]) AS x FROM n)
+  SELECT x.event AS event, x.value AS value FROM e"""
+ORACLE_SQL["regression_points"] = """
+  SELECT CAST(l_quantity AS DOUBLE) AS x, CAST(l_extendedprice AS DOUBLE) AS y FROM lineitem
+  WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL"""

@@ -112,6 +112,21 @@ class Journal:
         return (inputs.join(last_switch, "S_ID").where(F.col("SD_ID") < F.col("_switch"))
                 .select(F.col("SD_EVENT_VALUE").alias("file_name")).distinct())
 
+    def retired_files(self, value: str) -> DataFrame:
+        """Names of the files no later run should plan again: applied, or logged as not processed.
+
+        The original moves every remaining file to its history folder after a
+        run; without the second part an old FULL or a stale UPDT would become
+        the plan of the next run and roll the target back.
+        """
+        applied = self.applied_files(value)
+        if not (self.store.exists(self.runs) and self.store.exists(self.events_table)):
+            return applied
+        runs = self.store.read(self.runs).where(F.col("S_PROCESS_VALUE") == value).select("S_ID").distinct()
+        passed = (self.store.read(self.events_table).where(F.col("SD_EVENT") == "File_Not_Processed")
+                  .join(runs, "S_ID", "left_semi").select(F.col("SD_EVENT_VALUE").alias("file_name")))
+        return applied.unionByName(passed).distinct()
+
     def compact(self) -> None:
         """Rewrite both journal tables as a few files (see ``TableStore.compact``)."""
         for name in (self.runs, self.events_table):

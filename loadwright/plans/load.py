@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from loadwright.functions.keys import BUCKET_COLUMN, any_key_null, bucket_of
+from loadwright.functions.keys import BUCKET_COLUMN, all_keys_present, any_key_null, bucket_of
 from loadwright.functions.tokens import as_struct
 from loadwright.functions.names import MODE_FULL, MODE_INSERT, MODE_UPDATE
 from loadwright.operators import keys as keys_mod
@@ -58,6 +58,7 @@ class FileReport:
     n_discarded: int = 0
     stage_rows: int = 0
     null_key_rows: int | None = None    # staged rows with a NULL key part (from the duplicate gate)
+    key_bytes: int | None = None
     before: int = 0
     after_delete: int | None = None
     after: int = 0
@@ -137,8 +138,14 @@ class GovernedLoad:
                 self._ev("Table_Creation", self.table)
             names = dl.parse_delivery_names(listing.select("path"))
             if self.skip_applied:
-                names = names.join(self.journal.applied_files(self.spec.object_name), "file_name", "left_anti")
+                names = names.join(self.journal.retired_files(self.spec.object_name), "file_name", "left_anti")
             plan = dl.plan_deliveries(names, keys=self.spec.column_id)
+            # logged before anything is applied, so a run that fails half-way retires these files too;
+            # file names only, ordered on the driver, where they arrive anyway
+            for name in sorted(r["file_name"] for r in dl.unprocessed_deliveries(names, plan).collect()):
+                report.not_processed.append(name)
+                self._ev("File_Not_Processed", name)
+            self.journal.flush()
             before = self.store.read(self.table).count()
             self.rejected_in_run = 0
             self.changed = False
@@ -156,16 +163,14 @@ class GovernedLoad:
                 # statistics once per run: they only serve later queries
                 self.store.analyze(self.table, scan=self.spec.analyze_scan)
                 self._ev("Statistics_Calculation", "")
-            # file names only; ordered on the driver, where they arrive anyway
-            for name in sorted(r["file_name"] for r in dl.unprocessed_deliveries(names, plan).collect()):
-                report.not_processed.append(name)
-                self._ev("File_Not_Processed", name)
             self._ev("Dataloader", "End")
             self.journal.flush()
             self.journal.close_run(self.run_id, self.run_ts)
+            if items and not self.spec.keep_stage:
+                self.store.drop_folder(f"{self.store.root}/_stage/{self.table}/run={self.run_id}")
             return report
         except Exception as exc:
-            self._ev("ERROR", str(exc)[:200])
+            self._ev("ERROR", str(exc))
             self.journal.flush()
             raise
 
@@ -174,12 +179,15 @@ class GovernedLoad:
         self._apply(index, fr, stamped, before)
         return fr
 
-    def _stage(self, index: int, item: dict, before: int):
-        """Steps 2-5 for one delivery: the gated, stamped stage and its report."""
+    def _stage(self, index: int, item: dict, before: int | None):
+        """Steps 2-5 for one delivery: the gated, stamped stage and its report.
+
+        ``before`` is None in a bulk load, which knows it only after all files are staged.
+        """
         spec, store = self.spec, self.store
         mode = item["load_mode"]
         eff = modes_mod.effective_mode(mode, spec.column_id)
-        fr = FileReport(item["file_name"], mode, eff, before=before)
+        fr = FileReport(item["file_name"], mode, eff, before=before or 0)
         self._ev("Input_file", item["file_name"])
 
         # 2. parse once into the staging Parquet, counting while writing
@@ -190,7 +198,8 @@ class GovernedLoad:
         fr.n_lines, fr.n_headings, fr.n_good = c["n_lines"], c["n_headings"], c["n_good"]
         fr.n_rejected, fr.n_discarded = c["n_rejected"], c["n_discarded"]
         self._ev("NB_Rows_input_file", fr.n_lines)
-        self._ev("NBRows_before_loading", before)
+        if before is not None:
+            self._ev("NBRows_before_loading", before)
         self._ev("Loadmode", mode)
         if mode == MODE_UPDATE and eff == MODE_INSERT:
             self._ev("New_Loadmode", MODE_INSERT)
@@ -217,10 +226,13 @@ class GovernedLoad:
         # 4. custom steps, 5. duplicate-key gate
         stage = ts.good_rows(staged, spec.parse_schema)
         if spec.steps:
-            stage = tf.apply_steps(self.spark, stage, spec.steps)
+            # the steps' result is staged once: gate, guard and write read it instead of running them again
+            done = f"{store.root}/_stage/{self.table}/run={self.run_id}/steps={index:04d}"
+            tf.apply_steps(self.spark, stage, spec.steps).write.parquet(done)
+            stage = self.spark.read.parquet(done)
         if spec.column_id:
             gate = keys_mod.assert_unique(stage, spec.column_id, raise_on_fail=False)
-            fr.stage_rows, fr.null_key_rows = gate.n_rows, gate.n_null_rows
+            fr.stage_rows, fr.null_key_rows, fr.key_bytes = gate.n_rows, gate.n_null_rows, gate.key_bytes
             self._ev("NBRows_temp_table", fr.stage_rows)
             if not gate.passed:
                 raise keys_mod.DuplicateKeys(
@@ -243,32 +255,30 @@ class GovernedLoad:
                 self._ev("NBRows_table_after_truncate", 0)
             fr.after, fr.after_delete = self._replace_buckets(
                 f"{self.run_id}-{index:04d}", target, [(eff, stamped)], before, fr.stage_rows,
-                null_key_rows=fr.null_key_rows)
+                null_key_rows=fr.null_key_rows, key_bytes=fr.key_bytes)
             if eff == MODE_FULL:
-                reconcile(MODE_FULL, before, fr.stage_rows, fr.after)
                 self._ev("NBRows_table_after_loading=NBRows_temp_table", "")
             else:
                 self._ev("NBRows_table_after_delete_request", fr.after_delete)
-                reconcile(MODE_UPDATE, before, fr.stage_rows, fr.after, removed=before - fr.after_delete)
         elif eff == MODE_FULL:
             self._ev("NBRows_table_after_truncate", 0)
             self._pk_guard(stamped, None, eff, fr.stage_rows, fr.null_key_rows)
-            fr.after = store.replace(self.table, stamped)
-            reconcile(MODE_FULL, before, fr.stage_rows, fr.after)
+            fr.after = store.replace(self.table, stamped, before_switch=lambda _, rows: reconcile(
+                MODE_FULL, before, fr.stage_rows, rows))
             self._ev("NBRows_table_after_loading=NBRows_temp_table", "")
         elif eff == MODE_UPDATE:
             kept_obs = Observation(f"kept_{self.run_id}_{index}")
-            kept = keys_mod.anti_by_key(target, stamped, spec.column_id, stage_rows=fr.stage_rows)
+            kept = keys_mod.anti_by_key(target, stamped, spec.column_id, fr.key_bytes)
             self._pk_guard(stamped, kept, eff, fr.stage_rows, fr.null_key_rows)
             kept = kept.observe(kept_obs, F.count(F.lit(1)).alias("rows"))
-            fr.after = store.replace(self.table, kept.unionByName(stamped))
+            fr.after = store.replace(self.table, kept.unionByName(stamped), before_switch=lambda _, rows: reconcile(
+                MODE_UPDATE, before, fr.stage_rows, rows, removed=before - int(kept_obs.get["rows"])))
             fr.after_delete = int(kept_obs.get["rows"])
             self._ev("NBRows_table_after_delete_request", fr.after_delete)
-            reconcile(MODE_UPDATE, before, fr.stage_rows, fr.after, removed=before - fr.after_delete)
         else:
             self._pk_guard(stamped, target, eff, fr.stage_rows)
-            fr.after = store.replace(self.table, target.unionByName(stamped))
-            reconcile(MODE_INSERT, before, fr.stage_rows, fr.after)
+            fr.after = store.replace(self.table, target.unionByName(stamped), before_switch=lambda _, rows: reconcile(
+                MODE_INSERT, before, fr.stage_rows, rows))
 
         self._finish(fr.after)
 
@@ -303,7 +313,8 @@ class GovernedLoad:
 
     def _replace_buckets(self, tag: str, target: DataFrame, deliveries: list, before: int,
                          stage_rows: int | None = None, checked: bool = False,
-                         null_key_rows: int | None = None):
+                         null_key_rows: int | None = None, expected: int | None = None,
+                         key_bytes: int | None = None):
         """Rewrite only the buckets the staged keys fall in; return (after, after_delete).
 
         The touched bucket numbers (at most ``spec.buckets`` small ints) are the
@@ -318,14 +329,21 @@ class GovernedLoad:
             # a primary key other than the bucket key can clash in any bucket: surviving rows
             # are the whole target minus the staged keys (only key columns are read)
             rest = None if deliveries[0][0] == MODE_FULL else keys_mod.anti_by_key(
-                target, deliveries[0][1], keys, stage_rows=stage_rows)
+                target, deliveries[0][1], keys, key_bytes)
             self._pk_guard(deliveries[0][1], rest, deliveries[0][0], stage_rows, null_key_rows)
         elif not checked:
             check = self._bucket_check(target, touched)
         if deliveries[0][0] == MODE_FULL:
             new = modes_mod.merge_deliveries(target, deliveries, keys)      # the target is not read
+            want = expected if expected is not None else stage_rows
+
+            def full_check(folder: str, rows: int) -> None:
+                if check:
+                    check(folder, rows)
+                reconcile(MODE_FULL, before, want, rows)
+
             after = self.store.replace_partitions(self.table, new, b, touched, tag, drop_others=True,
-                                                  before_switch=check)
+                                                  before_switch=full_check)
             return after, None
         old = target.where(F.col(b).isin(touched))
         old_rows = old.count()                          # pruned to the touched buckets
@@ -333,11 +351,21 @@ class GovernedLoad:
         if len(deliveries) == 1:
             kept_obs = Observation(f"kept_{tag}")
             stage = deliveries[0][1]
-            kept = keys_mod.anti_by_key(old, stage, keys, stage_rows=stage_rows)
+            kept = keys_mod.anti_by_key(old, stage, keys, key_bytes)
             new = kept.observe(kept_obs, F.count(F.lit(1)).alias("rows")).unionByName(stage)
         else:
-            new = modes_mod.merge_deliveries(old, deliveries, keys, stage_rows=stage_rows)
-        written = self.store.replace_partitions(self.table, new, b, touched, tag, before_switch=check)
+            new = modes_mod.merge_deliveries(old, deliveries, keys, key_bytes)
+
+        def update_check(folder: str, rows: int) -> None:
+            if check:
+                check(folder, rows)
+            after = before - old_rows + rows
+            if kept_obs is not None:
+                reconcile(MODE_UPDATE, before, stage_rows, after, removed=old_rows - int(kept_obs.get["rows"]))
+            else:
+                reconcile(MODE_FULL, before, expected, after)
+
+        written = self.store.replace_partitions(self.table, new, b, touched, tag, before_switch=update_check)
         after = before - old_rows + written
         after_delete = before - old_rows + int(kept_obs.get["rows"]) if kept_obs is not None else None
         return after, after_delete
@@ -369,7 +397,7 @@ class GovernedLoad:
             raise PrimaryKeyViolation(f"the delivery breaks the key {tk} of {self.table}")
         if rest is None or mode == MODE_FULL or (mode == MODE_UPDATE and tk == self.spec.column_id):
             return
-        clash = rest.select(*tk).join(keys_mod.staged_keys(stage, tk, stage_rows), tk, "left_semi")
+        clash = rest.select(*tk).join(keys_mod.staged_keys(stage, tk), tk, "left_semi")
         if clash.limit(1).count():
             raise PrimaryKeyViolation(f"the delivery repeats keys {tk} already in {self.table}")
 
@@ -384,7 +412,7 @@ class GovernedLoad:
             return None
         tk = self.spec.table_key
 
-        def check(folder: str) -> None:
+        def check(folder: str, rows: int) -> None:
             keys = self.spark.read.parquet(folder).select(*tk)
             if tk != self.spec.column_id:
                 keys = keys.unionByName(target.where(~F.col(BUCKET_COLUMN).isin(touched)).select(*tk))
@@ -397,10 +425,11 @@ class GovernedLoad:
 
         Equivalent to applying the deliveries one by one (see
         ``operators.modes.merge_deliveries``) but the target is rewritten once
-        instead of once per delivery.  Rows surviving from each source are
-        observed on the write; the last delivery must survive whole.
+        instead of once per delivery.  The rows that each file in turn would
+        remove are counted from the keys, and the snapshot must hold what these
+        counts add up to before it is switched in.
         """
-        staged = [self._stage(i, item, before) for i, item in enumerate(plan)]
+        staged = [self._stage(i, item, None) for i, item in enumerate(plan)]
         target = self.store.read(self.table)
         deliveries = [(fr.effective_mode, self._conform(st, target)) for fr, st in staged]
         same_key = self.spec.table_key == self.spec.column_id
@@ -408,26 +437,64 @@ class GovernedLoad:
             # one winner per key: each delivery's own NULL/duplicate keys are all that can break it
             for (fr, _), (mode, st) in zip(staged, deliveries):
                 self._pk_guard(st, None, MODE_FULL, fr.stage_rows, fr.null_key_rows)
+        reports = [fr for fr, _ in staged]
+        known = [fr.key_bytes for fr in reports]
+        key_bytes = None if None in known else sum(known)
+        expected = self._count_in_turn(reports, target, deliveries, before)
+        check = None if same_key else self._check()
+
+        def before_switch(path: str, rows: int) -> None:
+            if check:
+                check(path, rows)
+            reconcile(MODE_FULL, before, expected, rows)
+
         if self.spec.buckets:
-            after, _ = self._replace_buckets(f"{self.run_id}-bulk", target, deliveries, before,
-                                             stage_rows=sum(fr.stage_rows for fr, _ in staged),
-                                             checked=same_key)
+            self._replace_buckets(f"{self.run_id}-bulk", target, deliveries, before, checked=same_key, expected=expected,
+                                  key_bytes=key_bytes)
         else:
-            merged = modes_mod.merge_deliveries(target, deliveries, keys=self.spec.column_id,
-                                                stage_rows=sum(fr.stage_rows for fr, _ in staged))
-            after = self.store.replace(self.table, merged,
-                                       before_switch=None if same_key else self._check())
-        reports = [fr for fr, _ in staged]
-        for fr in reports:
-            fr.after = after
-        last = reports[-1]
-        if last.effective_mode == MODE_FULL and len(reports) == 1:
-            reconcile(MODE_FULL, before, last.stage_rows, after)
-        elif all(fr.effective_mode == MODE_INSERT for fr in reports):
-            reconcile(MODE_INSERT, before, sum(fr.stage_rows for fr in reports), after)
-        self._finish(after)
+            merged = modes_mod.merge_deliveries(target, deliveries, self.spec.column_id, key_bytes)
+            self.store.replace(self.table, merged, before_switch=before_switch)
+        for fr in reports:  # in the order of their Input_file events
+            self._ev("NBRows_before_loading", fr.before)
+            if fr.effective_mode == MODE_FULL:
+                self._ev("NBRows_table_after_truncate", 0)
+                self._ev("NBRows_table_after_loading=NBRows_temp_table", "")
+            elif fr.after_delete is not None:
+                self._ev("NBRows_table_after_delete_request", fr.after_delete)
+            self._finish(fr.after)
         return reports
-    def _pk_check(self, path: str) -> None:
+
+    def _count_in_turn(self, reports: list[FileReport], target: DataFrame, deliveries: list, before: int) -> int:
+        """Fills in each file's counts as if it were applied alone, in order; returns the final count.
+
+        A row goes when a later file holds its key.  One aggregate gives the
+        files that hold each key (at most one row per key and file: the gate
+        saw to that); a target row goes with the first of them.  Only counts
+        per pair of files reach the driver.
+        """
+        keys = self.spec.column_id
+        gone: dict[int, int] = {}
+        if keys and any(mode == MODE_UPDATE for mode, _ in deliveries):
+            keyed = reduce(DataFrame.unionByName, [st.select(*keys, F.lit(i).alias("_ord")) for i, (_, st) in enumerate(deliveries)])
+            held = keyed.where(all_keys_present(keys)).groupBy(*keys).agg(F.sort_array(F.collect_set("_ord")).alias("_held"))
+            later = held.select(F.explode(F.slice("_held", 2, len(deliveries))).alias("at"))
+            if deliveries[0][0] != MODE_FULL:
+                first = target.select(*keys).join(held.select(*keys, F.get("_held", F.lit(0)).alias("at")), keys).select("at")
+                later = later.unionByName(first)
+            gone = {r["at"]: r["count"] for r in later.groupBy("at").count().collect()}
+        rows = before
+        for i, fr in enumerate(reports):
+            fr.before = rows
+            if fr.effective_mode == MODE_FULL:
+                fr.after_delete, rows = None, 0
+            elif fr.effective_mode == MODE_UPDATE:
+                rows -= gone.get(i, 0)
+                fr.after_delete = rows
+            rows += fr.stage_rows
+            fr.after = rows
+        return rows
+
+    def _pk_check(self, path: str, rows: int) -> None:
         """Primary-key test of a written snapshot, reading the key columns only."""
         keys = self.spec.table_key
         bad = keys_mod.pk_violations(self.spark.read.parquet(path).select(*keys), keys).limit(1).count()

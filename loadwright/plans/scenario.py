@@ -55,8 +55,7 @@ def write_deliveries(customer: DataFrame, in_dir: str) -> None:
         rows.select(line.alias("value")).write.text(os.path.join(in_dir, name))
 
 
-def governed_customer_load(spark: SparkSession, sf_dir: str, buckets: int | None = None,
-                           bulk: bool = False) -> DataFrame:
+def _loaded(spark: SparkSession, sf_dir: str, buckets: int | None, bulk: bool, runs: int):
     root = scratch_path(spark, "governed")
     suffix = os.path.basename(root).rsplit("-", 1)[-1]
     in_dir = f"{root}/IN"
@@ -65,6 +64,22 @@ def governed_customer_load(spark: SparkSession, sf_dir: str, buckets: int | None
     spec = LoadSpec("src.base.customer", CUSTOMER_DDL, delimiter="|", column_id="c_custkey",
                     table_key="c_custkey", custom_table_name=f"CUSTOMER_{suffix}", buckets=buckets)
     store = TableStore(spark, f"{root}/warehouse")
-    run_load(spark, spec, in_dir, store, Journal(store, prefix=f"J{suffix}_"), run_ts=RUN_TS, bulk=bulk)
+    journal = Journal(store, prefix=f"J{suffix}_")
+    for _ in range(runs):
+        run_load(spark, spec, in_dir, store, journal, run_ts=RUN_TS, bulk=bulk, skip_applied=runs > 1)
+    return store, spec, journal
+
+
+def governed_customer_load(spark: SparkSession, sf_dir: str, buckets: int | None = None,
+                           bulk: bool = False, runs: int = 1) -> DataFrame:
+    """The target after ``runs`` loads of the folder (more than one: applied files are skipped)."""
+    store, spec, _ = _loaded(spark, sf_dir, buckets, bulk, runs)
     out = store.read(spec.table_name)
     return out.drop(BUCKET_COLUMN) if buckets else out
+
+
+def governed_customer_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event, value) of the load's journal."""
+    _, _, journal = _loaded(spark, sf_dir, None, False, 1)
+    return journal.events().where("SD_EVENT <> 'Table_Creation'").select(
+        F.col("SD_EVENT").alias("event"), F.col("SD_EVENT_VALUE").alias("value"))

@@ -38,6 +38,7 @@ class LoadSpec:
     analyze: bool = True                   # gather table statistics after each run (size, no scan)
     analyze_scan: bool = False             # also count rows by reading the whole target
     buckets: int | None = None             # hash-partition the target by the delivery key
+    keep_stage: bool = False               # keep the staging folder after a successful run
     line_sep: str | None = None            # line separator when not \n, \r\n or \r
 
     def __post_init__(self):

@@ -82,7 +82,7 @@ class TableStore:
 
         The count comes from an ``Observation`` on the write itself, so the new
         snapshot is not read again to be counted; observations attached to
-        sub-plans of ``df`` are filled by the same job.  ``before_switch(path)``
+        sub-plans of ``df`` are filled by the same job.  ``before_switch(path, rows)``
         may inspect the written snapshot and raise to keep the old version.
         """
         target = self.version_path(name, self.version(name) + 1)
@@ -90,7 +90,7 @@ class TableStore:
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(target)
         rows = int(obs.get["rows"])
         if before_switch is not None:
-            before_switch(target)
+            before_switch(target, rows)
         self.spark.sql(f"ALTER TABLE {self.qualified(name)} SET LOCATION '{target}'")
         self.spark.sql(f"REFRESH TABLE {self.qualified(name)}")
         return rows
@@ -124,7 +124,7 @@ class TableStore:
          .write.mode("errorifexists").partitionBy(bucket_col).parquet(folder))
         rows = int(obs.get["rows"])
         if before_switch is not None:
-            before_switch(folder)
+            before_switch(folder, rows)
         # every touched bucket holds at least one staged row, so each has a folder
         existing = self.partitions(name, bucket_col)
         written = set(touched)
@@ -141,6 +141,24 @@ class TableStore:
         self.spark.sql(f"REFRESH TABLE {self.qualified(name)}")
         return rows
 
+    def drop_folder(self, path: str) -> None:
+        """Remove a folder that no table points at (a stage, an old version)."""
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
+    def vacuum(self, name: str, keep: int = 2) -> list[int]:
+        """Remove old versions of a versioned table, all but the newest ``keep``; return their numbers."""
+        last = self.version(name)
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+        found = sorted(int(m.group(1)) for m in (re.fullmatch(r"v=(\d+)", n) for n in names) if m)
+        old = [v for v in found if v <= last][:-max(1, keep)]
+        for v in old:
+            self.drop_folder(self.version_path(name, v))
+        return old
+
     def append(self, name: str, df: DataFrame) -> None:
         df.write.insertInto(self.qualified(name))
 

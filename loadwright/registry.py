@@ -99,21 +99,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Delivery text built from tables
 # ---------------------------------------------------------------------------
 
-def spread_over_cores(df: DataFrame) -> DataFrame:
-    """Rows to be rendered as delivery text, in at least one partition per core.
-
-    A delivery read from text arrives in one task per file split, so its
-    parse runs on every core.  The driver's tables come as a few large Parquet
-    row groups, which would put the rendering and the parse of the whole
-    table on a few cores.  Such a small scan is spread round-robin; a large
-    input already has more splits than cores and is left as it is.  Used for
-    the lineitem deliveries: for the smaller tables the extra exchange costs
-    more than it saves (measured at sf 0.1).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def orders_delivery(orders: DataFrame, price_delta: float = 0.0, broken: bool = True,
                     extra: bool = False, blanks: bool = False) -> DataFrame:
     """Orders as '|' lines (column ``value``), with the damaged lines of the rules above."""
@@ -131,7 +116,6 @@ def orders_delivery(orders: DataFrame, price_delta: float = 0.0, broken: bool =
 
 
 def lineitem_delivery(lineitem: DataFrame, quantity_delta: float = 0.0) -> DataFrame:
-    lineitem = spread_over_cores(lineitem)
     q = F.col("l_quantity") + F.lit(quantity_delta) if quantity_delta else F.col("l_quantity")
     cols = [q if c == "l_quantity" else c for c in LINEITEM_COLS]
     return lineitem.select(delimited_line(cols, "|").alias("value"))
@@ -268,10 +252,8 @@ def _lineitem_target(spark, sf_dir) -> DataFrame:
 
 
 def _lineitem_stage(spark, sf_dir) -> DataFrame:
-    """Lineitem from DELIVERY_FROM with quantity + 1, keys that occur once in that window."""
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") >= _ts(DELIVERY_FROM))
-    once = li.groupBy(*LINEITEM_KEYS).count().where(F.col("count") == 1).drop("count")
-    window = li.join(once, LINEITEM_KEYS, "left_semi")
+    """Lineitem from DELIVERY_FROM with quantity + 1: every row of the window, repeated keys too."""
+    window = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") >= _ts(DELIVERY_FROM))
     parsed = ts.parse_delimited(lineitem_delivery(window, quantity_delta=1.0), LINEITEM_DDL, "|")
     return tf.stamp_audit(ts.good_rows(parsed, LINEITEM_DDL), NEW_FILE_DATE, RUN_TS)
 
@@ -360,7 +342,7 @@ def q_pk_violations(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     key = F.when(F.expr(PK_NULL_SQL), F.lit(None)).otherwise(F.col("l_orderkey"))
     cols = [key if c == "l_orderkey" else c for c in LINEITEM_COLS]
-    parsed = ts.parse_delimited(spread_over_cores(li).select(delimited_line(cols).alias("value")),
+    parsed = ts.parse_delimited(li.select(delimited_line(cols).alias("value")),
                                 LINEITEM_DDL, "|")
     return keys_mod.pk_violations(ts.good_rows(parsed, LINEITEM_DDL), LINEITEM_KEYS)
 
@@ -485,9 +467,8 @@ def q_forest_tree_nodes(spark, sf_dir):
 
     emb = table(spark, sf_dir, "embeddings")
     model = classify.forest_fit(emb, "label", "embedding")
-    names = classify.feature_names(emb, "embedding")
-    classes = [str(i) for i in range(int(model.numClasses))]
-    return classify.tree_nodes(spark, model, classify.SHOWN_TREE, names, classes)
+    names = classify.feature_names(emb, "embedding", model)
+    return classify.tree_nodes(spark, model, classify.SHOWN_TREE, names)
 
 
 def q_governed_load(spark, sf_dir):
@@ -502,6 +483,24 @@ def q_governed_load_bucketed(spark, sf_dir):
     return governed_customer_load(spark, sf_dir, buckets=8, bulk=True)
 
 
+def q_governed_load_twice(spark, sf_dir):
+    """The governed load run three times over the same folder: retired files never come back."""
+    from loadwright.plans.scenario import governed_customer_load
+
+    return governed_customer_load(spark, sf_dir, runs=3)
+
+
+def q_governed_load_journal(spark, sf_dir):
+    """Events of a governed load, but for the one that names its (unique) table."""
+    from loadwright.plans.scenario import governed_customer_journal
+
+    return governed_customer_journal(spark, sf_dir)
+
+
+def q_regression_points(spark, sf_dir):
+    return ols_mod.regression_points(table(spark, sf_dir, "lineitem"), OLS_Y, OLS_XS[0])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_delimited": q_parse_delimited,
     "parse_fixed_width": q_parse_fixed_width,
@@ -539,6 +538,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forest_tree_nodes": q_forest_tree_nodes,
     "governed_load": q_governed_load,
     "governed_load_bucketed": q_governed_load_bucketed,
+    "governed_load_twice": q_governed_load_twice,
+    "governed_load_journal": q_governed_load_journal,
+    "regression_points": q_regression_points,
 }
 
 

@@ -3,8 +3,8 @@
 Library code never builds its own session; it takes the caller's.  Scratch
 output (snapshots, model exports, text fixtures) goes below the folder named
 by ``spark.checkpoint.dir`` so that on a cluster it lands on shared storage.
-Only when that setting is absent (unit tests, a laptop) is a fresh local
-folder created and registered as the checkpoint directory.
+Only on a local master without that setting (unit tests, a laptop) is a fresh
+local folder created and registered as the checkpoint directory.
 """
 
 from __future__ import annotations
@@ -47,7 +47,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Only reached where the deployment set nothing (tests, local runs).
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="loadwright-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

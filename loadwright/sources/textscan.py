@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import CharType, StructType, VarcharType
 
 from loadwright.functions.tokens import (
     as_struct, cast_failed, fixed_width_starts, null_if_blank, null_if_empty,
@@ -38,9 +38,6 @@ BLOCK = "_block"
 ROW_ID = "_rid"
 GOOD, REJECTED, DISCARDED = "good", "rejected", "discarded"
 
-# Per-file first-row table is broadcast below this many files (one short row each).
-MAX_BROADCAST_FILES = 50_000
-
 
 def read_lines(spark: SparkSession, paths: str | list[str], with_position: bool = False,
                line_sep: str | None = None) -> DataFrame:
@@ -79,26 +76,23 @@ def mark_headings(lines: DataFrame, n: int) -> DataFrame:
     The first ``n`` lines of a file sit at the start of its first split
     (``_block = 0``), and row ids grow along a split, so per file the lines
     with ids below ``min(id of first split) + n`` are the ones to drop.  The
-    per-file minimum is a partial aggregate (one row per file) joined back;
-    no line moves through a shuffle.  Requires the first ``n`` lines to fit in
-    the first split, i.e. in ``spark.sql.files.maxPartitionBytes``.
+    per-file minimum reads first splits only and is one row per file; AQE picks
+    the join from its measured size.  A file whose first split holds fewer than
+    ``n`` lines while it goes on in another fails the job: its headings could
+    not be told apart (raise ``spark.sql.files.maxPartitionBytes``).
     """
     if n <= 0:
         return lines.withColumn(HEADING, F.lit(False))
     missing = {FILE, BLOCK, ROW_ID} - set(lines.columns)
     if missing:
         raise ValueError(f"skip_lines needs read_lines(..., with_position=True); missing {missing}")
-    firsts = lines.groupBy(FILE).agg(
-        F.min(F.when(F.col(BLOCK) == 0, F.col(ROW_ID))).alias("_first"))
-    try:
-        n_files = len(lines.inputFiles())
-    except Exception:  # not a file scan: let AQE choose the join
-        n_files = None
-    if n_files is not None and n_files <= MAX_BROADCAST_FILES:
-        firsts = F.broadcast(firsts)
-    heading = (F.col(BLOCK) == 0) & (F.col(ROW_ID) < F.col("_first") + F.lit(n))
-    joined = lines.join(firsts, FILE, "left").select(*lines.columns, "_first")
-    return joined.withColumn(HEADING, F.coalesce(heading, F.lit(False))).drop("_first")
+    firsts = lines.where(F.col(BLOCK) == 0).groupBy(FILE).agg(
+        F.min(ROW_ID).alias("_first"), F.count(F.lit(1)).alias("_have"))
+    beyond = F.raise_error(F.concat(F.lit("heading lines reach beyond the first split of "), F.col(FILE)))
+    heading = (F.when(F.col(BLOCK) == 0, F.col(ROW_ID) < F.col("_first") + F.lit(n))
+               .when(F.col("_have") < n, beyond.cast("boolean")).otherwise(F.lit(False)))
+    joined = lines.join(firsts, FILE, "left").select(*lines.columns, "_first", "_have")
+    return joined.withColumn(HEADING, heading).drop("_first", "_have")
 
 
 def _evaluate_once(df: DataFrame, fields: dict[str, str]) -> DataFrame:
@@ -135,6 +129,9 @@ def _classify(lines: DataFrame, line_col: str, fields: StructType,
     problems = list(structural("`_nf`" if n_tokens is not None else None)) + [
         (cast_failed(f"`_t{i}`", f"`_v{i}`"), f"{f.name}: not {f.dataType.simpleString()}")
         for i, f in enumerate(fields.fields)
+    ] + [
+        (f"char_length(`_t{i}`) > {f.dataType.length}", f"{f.name}: longer than {f.dataType.simpleString()}")
+        for i, f in enumerate(fields.fields) if isinstance(f.dataType, (CharType, VarcharType))
     ]
     line = sql_ident(line_col)
     blank = f"trim({line}) = ''"

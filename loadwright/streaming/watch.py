@@ -29,7 +29,6 @@ from loadwright.plans.journal import Journal
 from loadwright.plans.load import GovernedLoad
 from loadwright.plans.spec import LoadSpec
 from loadwright.plans.store import TableStore
-from loadwright.session import checkpoint_root
 from loadwright.sources.deliveries import group_delivery_files
 
 BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -48,8 +47,8 @@ def watch_deliveries(spark: SparkSession, spec: LoadSpec, in_folder: str, store:
              .load(in_folder).select("path", "modificationTime", "length"))
 
     # the stream's checkpoint is what remembers the deliveries already applied:
-    # by default one fixed folder per target table below the shared checkpoint folder
-    checkpoint = checkpoint or f"{checkpoint_root(spark)}/loadwright/watch/{spec.table_name}"
+    # by default one fixed folder per target table beside the target itself
+    checkpoint = checkpoint or f"{store.root}/_watch/{spec.table_name}"
     stream = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:10]
     journal = journal or Journal(store)
 

@@ -37,13 +37,13 @@ def test_composite_keys_compare_tuples_not_concatenations(spark):
     assert rows(out) == srt([("a", "bc", 1), ("ab", "c", 5)])
 
 
-def test_broadcast_only_with_size_bound(spark):
+def test_broadcast_only_behind_measured_bytes(spark):
     t = spark.createDataFrame([("1", "x", 1)], SCHEMA)
     s = spark.createDataFrame([("1", "y", 2)], SCHEMA)
-    hinted = K.anti_by_key(t, s, ["a"], stage_rows=1)._jdf.queryExecution().analyzed().toString()
-    unhinted = K.anti_by_key(t, s, ["a"])._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in hinted.lower() and "broadcast" not in unhinted.lower()
-    assert not K.keyset_fits_broadcast(10 ** 9, 2)
+    hinted = lambda n: "broadcast" in K.anti_by_key(t, s, ["a"], n)._jdf.queryExecution().analyzed().toString().lower()
+    wide = spark.createDataFrame([("k" * 5000, "y", 2)], SCHEMA)
+    assert K.assert_unique(wide, ["a"]).key_bytes >= 5000
+    assert hinted(1) and not hinted(None) and not hinted(K.BROADCAST_KEYSET_BYTES + 1)
 
 
 def test_key_profile_counts_null_tuple_once(spark):
@@ -110,7 +110,7 @@ def test_bulk_merge_never_shuffles_the_target_when_the_delivered_keys_are_small(
     d1 = spark.createDataFrame([("1", "x", 10), ("2", "x", 20), (None, "x", 0)], SCHEMA)
     d2 = spark.createDataFrame([("2", "y", 21), ("7", "y", 70)], SCHEMA)
     deliveries = [("UPDT", d1), ("UPDT", d2)]
-    merged = M.merge_deliveries(target, deliveries, keys=["a"], stage_rows=5)
+    merged = M.merge_deliveries(target, deliveries, keys=["a"], key_bytes=400)
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
     assert rows(merged) == rows(M.apply_deliveries(target, deliveries, ["a"]))

@@ -59,17 +59,6 @@ def test_query_matches_oracle(spark, duck, name):
     assert _rows(got) == _rows(want)
 
 
-def test_spread_only_when_the_scan_has_fewer_partitions_than_cores(spark):
-    from loadwright.registry import spread_over_cores
-
-    cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, numPartitions=cores + 3)
-    assert spread_over_cores(wide) is wide
-    narrow = spark.range(0, 1000, numPartitions=1)
-    spread = spread_over_cores(narrow)
-    assert spread.rdd.getNumPartitions() == cores
-    assert sorted(r.id for r in spread.collect()) == list(range(1000))
-
 
 def test_tables_are_opened_once_per_session(spark):
     from loadwright.registry import table
