@@ -23,7 +23,7 @@ HEADLINE = [
     "duplicate_keys", "load_full", "ols_multi", "forest_tree_nodes", "logit_predict",
 ]
 EXTRA = ["rejected_lines", "load_sequence", "pk_violations", "delivery_plan", "governed_load",
-         "governed_load_bucketed"]
+         "governed_load_bucketed", "governed_load_twice", "skip_lines"]
 
 
 def main() -> None:

@@ -175,7 +175,7 @@ ORACLE_SQL: dict[str, str] = {
     "parse_fixed_width": """
   SELECT p_partkey, NULLIF(rtrim(p_name), '') AS p_name, NULLIF(rtrim(p_brand), '') AS p_brand,
          NULLIF(rtrim(p_type), '') AS p_type, p_size, p_retailprice FROM part""",
-    "skip_lines": "SELECT n_nationkey, NULLIF(n_name, '') AS n_name, n_regionkey FROM nation",
+    "skip_lines": f"SELECT {ORDERS_NULLIF} FROM orders",
     "read_csv_inferred": "SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
     "first_rows": """
   SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier

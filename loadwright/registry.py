@@ -51,8 +51,7 @@ LINEITEM_KEYS = ["l_orderkey", "l_linenumber"]
 PART_DDL = ("p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
             "p_retailprice DOUBLE")
 PART_WIDTHS = [8, 24, 10, 20, 4, 10]
-NATION_DDL = "n_nationkey INT, n_name STRING, n_regionkey INT"
-NATION_HEADINGS = ["NATION EXPORT", "n_nationkey|n_name|n_regionkey"]
+TEXT_HEADINGS = ["ORDERS EXPORT", "|".join(ORDERS_COLS)]
 
 # Damaged delivery lines (orders):
 #   price token replaced by 'n/a'          when status P and priority 5-LOW
@@ -152,25 +151,24 @@ def q_parse_fixed_width(spark, sf_dir):
     return ts.good_rows(ts.parse_fixed_width(lines, PART_DDL, PART_WIDTHS), PART_DDL)
 
 
-def write_nation_text(spark, sf_dir) -> str:
-    """Nation as '|' text, one folder per region, each file led by two heading lines."""
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    heads = region.select(F.col("r_regionkey").alias("region"),
-                          F.posexplode(F.array(*[F.lit(h) for h in NATION_HEADINGS])).alias("_ord", "value"))
-    body = nation.select(F.col("n_regionkey").alias("region"), F.lit(len(NATION_HEADINGS)).alias("_ord"),
-                         delimited_line(["n_nationkey", "n_name", "n_regionkey"]).alias("value"))
-    path = scratch_path(spark, "nation-text")
-    (heads.unionByName(body).repartition("region").sortWithinPartitions("region", "_ord")
-     .select("region", "value").write.partitionBy("region").text(path))
+def write_orders_text(spark, sf_dir, files: int = 16) -> str:
+    """Orders as '|' text in ``files`` folders by a hash of the key, each file led by two heading lines."""
+    part = F.pmod(F.xxhash64("o_orderkey"), F.lit(files)).cast("int").alias("part")
+    heads = spark.range(files).select(F.col("id").cast("int").alias("part"),
+                                      F.posexplode(F.array(*[F.lit(h) for h in TEXT_HEADINGS])).alias("_ord", "value"))
+    line = delimited_line(ORDERS_COLS, "|")
+    body = table(spark, sf_dir, "orders").select(part, F.lit(len(TEXT_HEADINGS)).alias("_ord"), line.alias("value"))
+    path = scratch_path(spark, "orders-text")
+    (heads.unionByName(body).repartition(files, "part").sortWithinPartitions("part", "_ord")
+     .select("part", "value").write.partitionBy("part").text(path))
     return path
 
 
 def q_skip_lines(spark, sf_dir):
-    path = write_nation_text(spark, sf_dir)
+    path = write_orders_text(spark, sf_dir)
     lines = ts.read_lines(spark, path, with_position=True)
-    body = ts.skip_lines(lines, len(NATION_HEADINGS))
-    return ts.good_rows(ts.parse_delimited(body, NATION_DDL, "|"), NATION_DDL)
+    body = ts.skip_lines(lines, len(TEXT_HEADINGS))
+    return ts.good_rows(ts.parse_delimited(body, ORDERS_DDL, "|"), ORDERS_DDL)
 
 
 def _supplier_csv(spark, sf_dir) -> DataFrame:
