@@ -15,8 +15,8 @@ import re
 from array import array
 
 END_ID = 2
-#: Pieces remembered per worker (about 130 MB).
-CACHE_PIECES = 600_000
+#: Pieces remembered per worker (about 200 MB).
+CACHE_PIECES = 1_000_000
 
 #: White space other than a space or a line feed.
 _ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
