@@ -13,7 +13,9 @@ within ``max_bits`` of each other are linked:
 3. each fingerprint probes the keys within ``t_i`` bits of its own; a hash
    join finds the candidates and checks the full distance in its condition,
    so only true links leave the join;
-4. links become components by alternating star contraction.
+4. links become components by alternating star contraction;
+5. documents meet their components by fingerprint and salt: a fingerprint that
+   many copies share is dealt over up to ``SALTS`` keys, one that is alone has one.
 
 The sample steers cost only; every fingerprint is indexed and probed.
 
@@ -42,6 +44,8 @@ MAX_BITS = 3
 COST_SAMPLE = 2048
 #: Cost of one probe row, in units of one candidate pair checked in the join.
 PROBE_COST = 4.0
+#: Keys that the copies of one fingerprint are dealt over (bits of a long).
+SALTS = 64
 
 
 def simhash(text: str | None, words: int = SHINGLE_WORDS) -> int:
@@ -200,14 +204,19 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``."""
     rows = settle(fingerprints(docs, shingle_words), "fingerprints")
-    fps = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    bit = F.expr("shiftleft(1L, salt)")
+    fps = settle(salted.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.bit_or(bit).alias("salts")), "distinct-fingerprints")
     roots = components(links(fps.select("fp"), max_bits))
     linked = fps.join(roots, fps["fp"] == roots["node"])
     least = linked.groupBy("root").agg(F.min("first_id").alias("least_id"))
     linked = linked.join(least, "root").select(F.col("fp").alias("fp2"), "least_id")
+    used = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.getbit("salts", i) == 1)
     groups = fps.join(linked, fps["fp"] == linked["fp2"], "left").select(
-        F.col("fp").alias("fp3"), F.when(F.col("fp2").isNull(), F.col("first_id")).otherwise(F.col("least_id")).alias("component_id"))
-    return rows.join(groups, rows["fp"] == groups["fp3"], "left").select(
+        F.col("fp").alias("fp3"), F.when(F.col("fp2").isNull(), F.col("first_id")).otherwise(F.col("least_id")).alias("component_id"),
+        F.explode(used).alias("salt3"))
+    same = (salted["fp"] == groups["fp3"]) & (salted["salt"] == groups["salt3"])
+    return salted.join(groups, same, "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -163,6 +163,18 @@ def test_op4_components(spark, odd):
     assert simhash.near_duplicates(frame(spark, []).limit(0)).count() == 0
 
 
+def test_simhash_hot_fingerprint_keeps_every_row(spark):
+    """Copies of one text fall on all salts; single texts and null ids on one each."""
+    docs = spark.range(400).selectExpr(
+        "IF(id % 50 = 7, NULL, id + 5) AS doc_id",
+        "IF(id % 4 = 0, concat('word', id * 7919, ' other', id * 31, ' third', id), 'one hot text that many rows share') AS text")
+    got = simhash.near_duplicates(docs).collect()
+    assert len(got) == 400
+    hot = format(brute_simhash("one hot text that many rows share"), "016x")
+    assert {r.component_id for r in got if r.fingerprint == hot} == {6}
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == [i + 5 for i in range(400) if i % 50 != 7]
+
+
 @pytest.mark.parametrize("n,bits", [(300, 3), (40, 5)])
 def test_pigeonhole_links_are_complete(spark, n, bits):
     rng = random.Random(n)
