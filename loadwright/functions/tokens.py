@@ -10,7 +10,7 @@ import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import CharType, DataType, StringType, StructType, VarcharType
+from pyspark.sql.types import CharType, DataType, DateType, StringType, StructType, TimestampNTZType, TimestampType, VarcharType
 
 from pyspark.sql.types import _parse_datatype_string
 
@@ -72,13 +72,30 @@ def null_if_blank(token: str) -> str:
     return f"nullif(rtrim({token}), '')"
 
 
-def typed(token: str, dtype: DataType) -> str:
-    """Cast a NULL-normalised token; NULL when the text does not convert."""
+def typed(token: str, dtype: DataType, mask: str | None = None) -> str:
+    """Cast a NULL-normalised token; NULL when the text does not convert.
+
+    ``mask`` is a Spark datetime pattern (``yyyyMMdd``) for a date or time column.
+    """
+    if mask is not None:
+        return _masked(token, dtype, mask)
     if isinstance(dtype, (StringType, CharType, VarcharType)):
         return token  # an over-long text is a reject of its own, never cut
     return f"try_cast({token} AS {dtype.simpleString()})"
 
 
+def _masked(token: str, dtype: DataType, mask: str) -> str:
+    if isinstance(dtype, DateType):
+        return f"try_to_date({token}, {sql_string(mask)})"
+    if isinstance(dtype, TimestampType):
+        return f"try_to_timestamp({token}, {sql_string(mask)})"
+    if isinstance(dtype, TimestampNTZType):  # read as UTC and counted from 1970, so no session zone moves it
+        at = f"try_to_timestamp({token} || ' +0000', {sql_string(mask + ' xx')})"
+        seconds = f"CAST(unix_micros({at}) AS DECIMAL(20, 0)) / 1000000"
+        return f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds})"
+    raise ValueError(f"a mask needs a date or time column, not {dtype.simpleString()}")
+
+
 def cast_failed(token: str, value: str) -> str:
     """True when a present token produced no value (the reject rule)."""
     return f"({token} IS NOT NULL AND {value} IS NULL)"

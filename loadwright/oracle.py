@@ -172,6 +172,13 @@ REGRESSION_LINE = f"""
 
 ORACLE_SQL: dict[str, str] = {
     "parse_delimited": f"SELECT {ORDERS_NULLIF} FROM orders",
+    "parse_formats": f"""
+  SELECT o_orderkey,
+         CASE WHEN NOT {R.BROKEN_SQL} THEN date_trunc('day', CAST(o_orderdate AS TIMESTAMP)) END AS order_day,
+         date_trunc('second', CAST(o_orderdate AS TIMESTAMP)) AS order_time,
+         CASE WHEN {R.BROKEN_SQL} THEN 'rejected' ELSE 'good' END AS status,
+         CASE WHEN {R.BROKEN_SQL} THEN 'order_day: not date' END AS reason
+  FROM orders""",
     "parse_fixed_width": """
   SELECT p_partkey, NULLIF(rtrim(p_name), '') AS p_name, NULLIF(rtrim(p_brand), '') AS p_brand,
          NULLIF(rtrim(p_type), '') AS p_type, p_size, p_retailprice FROM part""",

@@ -77,9 +77,9 @@ def parse_delivery(spark: SparkSession, spec: LoadSpec, path: str) -> DataFrame:
     lines = ts.read_lines(spark, path, with_position=spec.skip > 0, line_sep=spec.line_sep)
     lines = ts.mark_headings(lines, spec.skip)
     if spec.delimiter:
-        parsed = ts.parse_delimited(lines, spec.parse_schema, spec.delimiter, spec.pad_short_rows)
+        parsed = ts.parse_delimited(lines, spec.parse_schema, spec.delimiter, spec.pad_short_rows, formats=spec.formats)
     else:
-        parsed = ts.parse_fixed_width(lines, spec.parse_schema, spec.widths)
+        parsed = ts.parse_fixed_width(lines, spec.parse_schema, spec.widths, formats=spec.formats)
     status = F.when(F.col(ts.HEADING), F.lit(ts.SKIPPED)).otherwise(F.col(ts.STATUS))
     keep = [c for c in parsed.columns
             if c not in (ts.FILE, ts.BLOCK, ts.ROW_ID, ts.HEADING, ts.STATUS, ts.LINE)]

@@ -27,6 +27,7 @@ class LoadSpec:
     delimiter: str | None = None           # None/"" -> fixed width
     widths: list[int] | str | None = None  # fixed-width column widths, in characters
     stage_columns: str | None = None       # stage columns when they differ (DDL)
+    formats: dict[str, str] | None = None  # stage column: datetime pattern it is written in
     select: list[str] | None = None        # stage -> target expressions (default: all)
     skip: int = 0                          # heading lines per file
     threshold: int = DEFAULT_THRESHOLD     # reject limit (fails at >=)

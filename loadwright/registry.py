@@ -61,6 +61,8 @@ BROKEN_SQL = "(o_orderstatus = 'P' AND o_orderpriority = '5-LOW')"
 EXTRA_SQL = "(o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')"
 BLANK_SQL = "(o_orderstatus = 'O' AND o_orderpriority = '3-MEDIUM')"
 BAD_PRICE = "n/a"
+FORMATS_DDL = "o_orderkey BIGINT, order_day DATE, order_time TIMESTAMP_NTZ"
+FORMATS = {"order_day": "yyyyMMdd", "order_time": "dd.MM.yyyy HH:mm:ss"}
 PK_NULL_SQL = "(l_quantity = 50)"          # l_orderkey arrives empty on these lines
 
 
@@ -144,6 +146,15 @@ def q_parse_delimited(spark, sf_dir):
     return ts.good_rows(_parsed_orders(lines), ORDERS_DDL)
 
 
+def q_parse_formats(spark, sf_dir):
+    """Order dates written by their masks; those of the broken lines carry dashes and are rejected."""
+    day = F.when(F.expr(BROKEN_SQL), F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    time = F.date_format("o_orderdate", "dd.MM.yyyy HH:mm:ss")
+    lines = table(spark, sf_dir, "orders").select(delimited_line(["o_orderkey", day, time], "|").alias("value"))
+    parsed = ts.parse_delimited(lines, FORMATS_DDL, "|", formats=FORMATS)
+    return parsed.select("o_orderkey", F.col("order_day").cast("timestamp_ntz").alias("order_day"), "order_time", F.col(ts.STATUS).alias("status"), F.col(ts.REASON).alias("reason"))
+
+
 def q_parse_fixed_width(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     cols = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
@@ -501,6 +512,7 @@ def q_regression_points(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_delimited": q_parse_delimited,
+    "parse_formats": q_parse_formats,
     "parse_fixed_width": q_parse_fixed_width,
     "skip_lines": q_skip_lines,
     "read_csv_inferred": q_read_csv_inferred,

@@ -11,7 +11,8 @@ Rules (one semantics for both database dialects of the original tool):
   - quotes and backslashes are ordinary characters
   - a line with more fields than declared is rejected
   - a line with fewer fields is padded with NULLs (``pad_short_rows``) or rejected
-  - a present token that does not convert to its declared type is rejected
+  - a present token that does not convert to its declared type is rejected;
+    ``formats`` (column: Spark datetime pattern) says how a date or time is written
   - a blank line is discarded
 
 The CSV reader is not used: in PERMISSIVE mode it puts short rows into the
@@ -109,7 +110,7 @@ def _evaluate_once(df: DataFrame, fields: dict[str, str]) -> DataFrame:
 
 
 def _classify(lines: DataFrame, line_col: str, fields: StructType,
-              token_of, n_tokens: str | None, structural) -> DataFrame:
+              token_of, n_tokens: str | None, structural, formats: dict[str, str] | None = None) -> DataFrame:
     """Typed values, status and reason for each line.
 
     ``token_of(i)`` gives the NULL-normalised text of field ``i`` (SQL text
@@ -118,11 +119,14 @@ def _classify(lines: DataFrame, line_col: str, fields: StructType,
     out of one generator; status and reason are built over its outputs.
     """
     names = fields.fieldNames()
+    masks = formats or {}
+    if unknown := sorted(set(masks) - set(names)):
+        raise ValueError(f"formats for columns that are not declared: {unknown}")
     keep = [c for c in lines.columns if c != line_col and c not in names]
     once = {}
     for i, f in enumerate(fields.fields):
         once[f"_t{i}"] = token_of(i)
-        once[f"_v{i}"] = typed(token_of(i), f.dataType)
+        once[f"_v{i}"] = typed(token_of(i), f.dataType, masks.get(f.name))
     if n_tokens is not None:
         once["_nf"] = n_tokens
     vals = _evaluate_once(lines, once)
@@ -150,7 +154,8 @@ def _classify(lines: DataFrame, line_col: str, fields: StructType,
 
 
 def parse_delimited(lines: DataFrame, schema: str | StructType, delimiter: str,
-                    pad_short_rows: bool = True, line_col: str = "value") -> DataFrame:
+                    pad_short_rows: bool = True, line_col: str = "value",
+                    formats: dict[str, str] | None = None) -> DataFrame:
     """Split each line on ``delimiter`` (taken literally) into the declared columns."""
     fields = as_struct(schema)
     n = len(fields.fields)
@@ -165,12 +170,13 @@ def parse_delimited(lines: DataFrame, schema: str | StructType, delimiter: str,
 
     parsed = _classify(split, line_col, fields,
                        lambda i: null_if_empty(f"get(`_toks`, {i})"),
-                       "size(`_toks`)", structural)
+                       "size(`_toks`)", structural, formats)
     return parsed.drop("_toks")
 
 
 def parse_fixed_width(lines: DataFrame, schema: str | StructType, widths: str | list[int],
-                      reject_long_rows: bool = True, line_col: str = "value") -> DataFrame:
+                      reject_long_rows: bool = True, line_col: str = "value",
+                      formats: dict[str, str] | None = None) -> DataFrame:
     """Cut each line at the given widths (counted in characters).
 
     A short line leaves the missing fields NULL.  Non-blank text after the last
@@ -192,7 +198,7 @@ def parse_fixed_width(lines: DataFrame, schema: str | StructType, widths: str |
 
     return _classify(lines, line_col, fields,
                      lambda i: null_if_blank(f"substring({line}, {starts[i]}, {widths[i]})"),
-                     tail_len, structural)
+                     tail_len, structural, formats)
 
 
 def good_rows(parsed: DataFrame, schema: str | StructType) -> DataFrame:

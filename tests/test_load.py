@@ -325,3 +325,12 @@ def test_key_gate_shortcut_needs_the_same_key_type_in_stage_and_target(spark, en
     assert GovernedLoad(spark, same, store, journal)._key_gate_covers_pk
     assert not GovernedLoad(spark, cast, store, journal)._key_gate_covers_pk      # '1' and '01' -> 1
     assert not GovernedLoad(spark, other_key, store, journal)._key_gate_covers_pk
+
+
+def test_load_with_date_masks(spark, env):
+    store, journal, table, inbox = env
+    write(inbox, "FULL", "20210101-000000", ["1|20200310", "2|2020-03-10", "3|"])
+    spec = LoadSpec("src.base.acct", "id BIGINT, d DATE", delimiter="|", custom_table_name=table, formats={"d": "yyyyMMdd"})
+    report = run_load(spark, spec, str(inbox), store, journal, run_ts=RUN_TS)
+    assert sorted((r.id, str(r.d)) for r in store.read(table).collect()) == [(1, "2020-03-10"), (3, "None")]
+    assert report.files[0].n_rejected == 1

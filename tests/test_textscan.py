@@ -31,6 +31,31 @@ def test_delimited_cases(spark):
     assert got[""][ts.STATUS] == ts.DISCARDED and got[""][ts.REASON] is None
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_date_masks(spark, zone):
+    schema = "k INT, d DATE, t TIMESTAMP_NTZ"
+    masks = {"d": "yyyyMMdd", "t": "yyyyMMddHHmmss"}
+    rows = ["1|20200310|20200308023000", "2|2020-03-10|", "3|20201345|19011231235959", "4||20200310"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = {r[ts.LINE][0]: r for r in ts.parse_delimited(_lines(spark, rows), schema, "|", formats=masks).selectExpr(
+            ts.LINE, ts.STATUS, "CAST(d AS STRING) d", "CAST(t AS STRING) t").collect()}
+        wide = ts.parse_fixed_width(_lines(spark, ["520200310"]), "k INT, d DATE", [1, 8], formats={"d": "yyyyMMdd"})
+        assert wide.selectExpr("CAST(d AS STRING) d").first().d == "2020-03-10"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert {k: r[ts.STATUS] for k, r in got.items()} == {"1": ts.GOOD, "2": ts.REJECTED, "3": ts.REJECTED, "4": ts.REJECTED}
+    assert (got["1"].d, got["1"].t) == ("2020-03-10", "2020-03-08 02:30:00")  # no such hour in New York
+    assert got["3"].t == "1901-12-31 23:59:59"
+
+
+@pytest.mark.parametrize("masks", [{"x": "yyyy"}, {"k": "yyyy"}])
+def test_date_masks_need_a_date_column(spark, masks):
+    with pytest.raises(ValueError):
+        ts.parse_delimited(_lines(spark, ["1"]), "k INT", "|", formats=masks)
+
+
 def test_short_rows_rejected_when_not_padded(spark):
     got = _by_line(ts.parse_delimited(_lines(spark, ["3|899|P", "1|2|P|3.0"]), ORDERS4, "|",
                                       pad_short_rows=False))
