@@ -18,8 +18,11 @@ END_ID = 2
 #: Pieces remembered per worker (about 130 MB).
 CACHE_PIECES = 600_000
 
-#: White space other than a space or a line feed.
+#: White space other than a space or a line feed (fixed values): beyond ASCII, and in it.
 _ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_ODD_ASCII = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+#: Signs that form one pre-token when they follow a word (no apostrophe: 's and the like are pre-tokens).
+_SIGNS = "!#$%&()*+,-./:;<=>?@[]^_{|}~"
 _LATIN_WORD = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
 
@@ -48,20 +51,19 @@ class _Pieces(dict):
         super().__init__()
         self.encode, self.tokenize = tokenizer.encode, tokenizer.model.tokenize
         self.before, self.prefix, self.room = before, "".join(_BYTES[ord(c)] for c in before), room
-        self.stops = {c: self._ids(self.tokenize(c)) for c in ".,"}
+        self.stops: dict[str, bytes] = {}
 
     @staticmethod
     def _ids(tokens) -> bytes:
         return array("I", [t.id for t in tokens]).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        stop = self.stops.get(piece[-1:])
-        word = piece[:-1] if stop else piece
+        word = piece.rstrip(_SIGNS)
         if not word or not word.isalpha() or not (word.isascii() or _LATIN_WORD.fullmatch(word)):
             out = array("I", self.encode(self.before + piece, add_special_tokens=False).ids).tobytes()
-        elif stop:  # a word, then a stop or comma: two pre-tokens
+        elif len(word) < len(piece):  # a word, then signs: two pre-tokens
             new = word not in self
-            out = self[word] + stop
+            out = self[word] + self._stop(piece[len(word):])
             if new:  # kept when the word comes again
                 return out
         else:  # one pre-token, in the byte-level alphabet
@@ -70,6 +72,14 @@ class _Pieces(dict):
             self[piece] = out
         return out
 
+    def _stop(self, signs: str) -> bytes:
+        out = self.stops.get(signs)
+        if out is None:
+            out = self._ids(self.tokenize(signs))
+            if len(self.stops) < 10_000 and len(signs) < 16:
+                self.stops[signs] = out
+        return out
+
 
 class Encoder:
     def __init__(self, path: str):
@@ -92,7 +102,8 @@ class Encoder:
             return b""
         if text in self.texts:  # copies often sit close together
             return self.texts[text]
-        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0].isspace() or text[-1].isspace() or _ODD.search(text):
+        if ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0].isspace() or text[-1].isspace()
+                or (any(c in text for c in _ODD_ASCII) if text.isascii() else _ODD.search(text))):
             out = self.whole(text)
         else:
             out = self.feed.join(map(self._line, text.split("\n")))
