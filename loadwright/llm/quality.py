@@ -6,8 +6,12 @@ language and of the whole corpus are merged from them and no row is read again.
 A group of fewer than ``GROUP_ROWS`` rows takes the thresholds of its language,
 a small language those of the corpus.  A threshold lies ``SPREAD`` times the
 distance from the median to the outer quantile beyond the median (and at least
-``FLOOR`` away), so a group without outliers loses nothing.  Joining documents
-with thresholds gives the verdict.
+the ratio's least distance away), so a group without outliers loses nothing.
+That distance counts up to ``SKEW`` times the one on the other side of the
+median, which junk on this side cannot reach before it is half of the group: a
+large junk share does not push the threshold out to itself.  What more than
+half of a group holds is its normal level.  Joining documents with thresholds
+gives the verdict.
 
 Defined results: a null or empty text has no words, fails the base rule and is
 not kept; null languages and sources are groups of their own; repeated rows are
@@ -31,6 +35,8 @@ WINDOW = 8
 GROUP_ROWS = 200
 SKETCH_K = 400
 SPREAD = 6.0
+#: A side of the median is at most this many times as wide as the other side; what goes beyond is junk.
+SKEW = 2.0
 #: ratio: (outer quantile, least distance of the threshold from the median, side)
 RATIOS = {
     "word_length": (0.9, 3.0, "both"),
@@ -118,8 +124,9 @@ def _limits(sketch: Column, ratio: str) -> tuple[Column, Column]:
     outer, floor, side = RATIOS[ratio]
     at = lambda q: F.kll_sketch_get_quantile_double(sketch, F.lit(q))
     middle = at(0.5)
-    high = middle + F.greatest(F.lit(floor), SPREAD * (at(outer) - middle))
-    low = middle - F.greatest(F.lit(floor), SPREAD * (middle - at(1 - outer))) if side == "both" else F.lit(float("-inf"))
+    above, below = at(outer) - middle, middle - at(1 - outer)
+    high = middle + F.greatest(F.lit(floor), SPREAD * F.least(above, SKEW * below))
+    low = middle - F.greatest(F.lit(floor), SPREAD * F.least(below, SKEW * above)) if side == "both" else F.lit(float("-inf"))
     return low, high
 
 

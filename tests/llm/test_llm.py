@@ -330,6 +330,17 @@ def test_op9_counts_and_verdict(spark, odd):
     assert quality.judge(frame(spark, []).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("junk", [75, 150, 200])
+def test_op9_a_large_junk_share_does_not_lift_its_own_limit(spark, junk):
+    rng = random.Random(junk)
+    word = lambda i: f"{'abcdefghij'[i % 10]}{rng.randrange(10_000)}"
+    rows = [(i, " ".join(word(i) + ("$%#" if i < junk else "") for i in [i] * 60) + " #" * (i % 5), "en", "hot") for i in range(500)]
+    got = {r.doc_id: r for r in quality.judge(frame(spark, rows)).collect()}
+    assert len(got) == 500 and not any(r.base_failed for r in got.values())
+    assert [d for d, r in got.items() if r.kept and d < junk] == []
+    assert [d for d, r in got.items() if not r.kept and d >= junk] == []
+
+
 def test_op10_patterns_and_chain(spark, odd):
     rng = random.Random(10)
     for alphabet in ("a.@- 1", "0123456789.  +-()", "a@b.c.d@@"):
