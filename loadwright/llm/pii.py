@@ -271,9 +271,9 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, steps: int = 150) -> SkipChai
 
 
 def _added(graph: Graph, belief: np.ndarray, base: list[list[Span]]) -> None:
-    """Appends runs of sure tokens that touch no pattern span to the spans of their document."""
+    """Appends runs of sure tokens to the spans of their document; a token that a pattern span touches ends a run."""
     label = belief.argmax(axis=1)
-    sure = (label > 0) & (belief.max(axis=1) >= BELIEF)
+    sure = (label > 0) & (belief.max(axis=1) >= BELIEF) & (np.array(graph.labels) == 0)
     linked = set(graph.chain)
     at = 0
     while at < len(label):
@@ -282,8 +282,7 @@ def _added(graph: Graph, belief: np.ndarray, base: list[list[Span]]) -> None:
             while end < len(label) and sure[end] and label[end] == label[at] and (end - 1, end) in linked:
                 end += 1
             doc, start, stop = graph.places[at][0], graph.places[at][1], graph.places[end - 1][2]
-            if not any(graph.labels[at:end]):
-                base[doc].append((KINDS[label[at] - 1], start, stop))
+            base[doc].append((KINDS[label[at] - 1], start, stop))
         at = end
 
 

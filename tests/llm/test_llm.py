@@ -380,6 +380,25 @@ def test_op10_links_look_alikes():
     assert linked[1].argmax() == 4 and linked[1, 4] > 0.9 > alone[1, 4]
 
 
+def sure_model(kinds):
+    """A model that is sure of the label of every token of the given core texts."""
+    k = len(pii.KINDS) + 1
+    unary = np.zeros((pii.FEATURES, k))
+    for core, kind in kinds.items():
+        graph = pii.Graph()
+        pii.add_document(graph, 0, core, [])
+        unary[graph.features[0][0], 1 + pii.KINDS.index(kind)] = 8.0
+    return pii.SkipChainModel(unary, np.zeros((k, k)), np.zeros((k, k)))
+
+
+def test_op10_keeps_sure_tokens_beside_pattern_spans():
+    model = sure_model({"+12695553296": "phone", "12695553296": "phone", "a1@x.com": "email", "b2@intranet": "email"})
+    for text, want in (("+12695553296, 12695553296", ["+12695553296", "12695553296"]), ("12695553296, +12695553296", ["12695553296", "+12695553296"]),
+                       ("a1@x.com, b2@intranet", ["a1@x.com", "b2@intranet"]), ("b2@intranet a1@x.com b2@intranet", ["b2@intranet", "a1@x.com", "b2@intranet"])):
+        (base, every), = pii.find_spans([text], model)
+        assert len(base) == 1 and [text[s:e] for _, s, e in every] == want
+
+
 def test_pipeline_stages_on_odd_tables(spark, odd, tmp_path):
     docs = frame(spark, odd)
     sf = "/root/testdata/sf0.001"
