@@ -380,6 +380,31 @@ def test_op10_links_look_alikes():
     assert linked[1].argmax() == 4 and linked[1, 4] > 0.9 > alone[1, 4]
 
 
+def test_op10_evidence_reaches_every_repetition():
+    """50 copies, evidence at the first only: every belief equals the exact marginal, alone or beside other documents."""
+    k, n = len(pii.KINDS) + 1, 50
+    graph, other = pii.Graph(), pii.Graph()
+    pii.add_document(graph, 0, " then words ".join(["5551234567"] * n), [])
+    pii.add_document(other, 0, " then words ".join(["5551234567"] * 3), [])
+    pii.add_document(other, 1, " then words ".join(["5551234567"] * n), [])
+    assert graph.skip == [(i, i + 1) for i in range(n - 1)] and graph.chain == []
+    unary = np.zeros((pii.FEATURES, k))
+    unary[0, 4] = 2.0
+    graph.features = [[0] * pii.SLOTS] + [[1] * pii.SLOTS] * (n - 1)
+    other.features = [[1] * pii.SLOTS] * 3 + graph.features
+    for skip in (pii.SKIP_PRIOR, 9.0):
+        model = pii.SkipChainModel(unary, np.zeros((k, k)), skip * np.eye(k))
+        got = model.beliefs(graph)
+        way, want = np.exp(unary[0] * pii.SLOTS), []
+        for _ in range(n):
+            want.append(way / way.sum())
+            way = way @ np.exp(skip * np.eye(k))
+            way = way / way.sum()
+        assert np.abs(got - np.array(want)).max() < 1e-6 and got[-1].argmax() == 4
+        assert (model.beliefs(other)[3:] == got).all()
+    assert got[-1, 4] > pii.BELIEF
+
+
 def sure_model(kinds):
     """A model that is sure of the label of every token of the given core texts."""
     k = len(pii.KINDS) + 1
