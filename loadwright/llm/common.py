@@ -50,11 +50,30 @@ def fresh(prefix: str, taken: list[str]) -> str:
     return next(n for n in names if n.lower() not in low)
 
 
+HASH_MAX = (1 << 63) - 1
+
+
+def key_hash(columns: tuple[str, ...], seed: int) -> Column:
+    """63 bits of a hash of ``columns``."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *map(F.col, columns)), 1)
+
+
 def keep_threshold(total: int, limit: int) -> int:
-    """Cut on ``pmod(hash, 2**20)`` that leaves about ``limit`` of ``total`` rows at most."""
-    return (1 << 20) if total <= limit else int((1 << 20) * (limit / total))
+    """Cut on a 63-bit hash that leaves about ``limit`` of ``total`` keys at most, and never none."""
+    return HASH_MAX if total <= limit else max(1, HASH_MAX * limit // total)
+
+
+def key_counts(columns: tuple[str, ...], seed: int) -> list[Column]:
+    """Aggregates ``n`` (rows, or about the distinct keys if these are fewer) and ``least`` (smallest hash) for ``sample_cut``."""
+    key = key_hash(columns, seed)
+    return [F.least(F.count(F.lit(1)), F.approx_count_distinct(key)).alias("n"), F.min(key).alias("least")]
+
+
+def sample_cut(n: int, least: int | None, limit: int) -> int:
+    """The cut for about ``limit`` of ``n`` distinct keys at most; the key with the smallest hash is always kept."""
+    return max(keep_threshold(n, limit), least or 0)
 
 
-def sampled(column: str, cut: int, seed: int) -> Column:
-    """True for the rows of a repeatable sample chosen by a hash of ``column``."""
-    return F.pmod(F.xxhash64(F.lit(seed), F.col(column)), F.lit(1 << 20)) < cut
+def sampled(columns: tuple[str, ...], cut: int, seed: int) -> Column:
+    """True for the rows of a repeatable sample chosen by a hash of ``columns``."""
+    return key_hash(columns, seed) <= F.lit(cut)

@@ -5,7 +5,7 @@ space; hashed character 1- to 3-grams of the whole text get TF-IDF weights
 (sublinear counts, unit length).  Document frequencies cover every training
 document.  A sparse multinomial logistic regression is trained with
 FTRL-proximal (elastic net: ``L1`` and ``L2``) on a bounded, documented sample
-of ``FIT_ROWS`` labelled rows per language: each round, every partition of the
+of ``FIT_ROWS`` distinct labelled rows per language: each round, every partition of the
 sample runs FTRL from the shared state and the states are averaged, so only
 states of fixed size reach the driver.  A temperature, chosen on sample rows
 that were held back from the fit, calibrates the probabilities.
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadwright.llm.common import keep_threshold, map_batches, sampled, settle
+from loadwright.llm.common import key_counts, key_hash, map_batches, sample_cut, sampled, settle
 
 DIMS = 1 << 15
 FIT_ROWS = 1500
@@ -138,16 +138,18 @@ def _document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
 
 def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> LanguageModel:
     train = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    counts = {r.lang: r["count"] for r in train.groupBy("lang").count().collect()}  # one row per language
-    languages = sorted(counts)
+    key = ("doc_id", "text")
+    sizes = {r.lang: r for r in train.groupBy("lang").agg(*key_counts(key, 31)).collect()}  # one row per language
+    languages = sorted(sizes)
     if not languages:
         return LanguageModel([], np.zeros(DIMS), np.zeros((DIMS, 0)))
     seen, rows = _document_frequencies(train)
     model = LanguageModel(languages, np.log((rows + 1) / (seen + 1)) + 1e-3, np.zeros((DIMS, len(languages))))
     pick = F.lit(False)
     for lang in languages:
-        pick = pick | ((F.col("lang") == lang) & sampled("doc_id", keep_threshold(counts[lang], fit_rows), 31))
-    sample = settle(_vectors(train.where(pick), model), "language-sample").coalesce(PARTS)
+        pick = pick | ((F.col("lang") == lang) & sampled(key, sample_cut(sizes[lang].n, sizes[lang].least, fit_rows), 31))
+    chosen = train.where(pick).dropDuplicates().repartition(PARTS, *key).sortWithinPartitions(key_hash(key, 31), "lang")
+    sample = settle(_vectors(chosen, model), "language-sample").coalesce(PARTS)
     z = np.zeros((DIMS, len(languages)))
     n = np.zeros_like(z)
     for _ in range(ROUNDS):
@@ -171,7 +173,7 @@ def _vectors(rows: DataFrame, model: LanguageModel) -> DataFrame:
                 pa.array([a.astype(np.int32) for a, _ in v], pa.list_(pa.int32())), pa.array([x for _, x in v], pa.list_(pa.float64())),
                 pa.array([index[x] for x in b.column(1).to_pylist()], pa.int32()), b.column(2)], ["at", "x", "label", "check"])
 
-    check = (F.pmod(F.xxhash64(F.lit(37), "doc_id"), F.lit(5)) == 0).alias("check")
+    check = (F.pmod(F.xxhash64(F.lit(37), "doc_id", "text"), F.lit(5)) == 0).alias("check")
     return map_batches(rows, ["text", "lang", check], "at array<int>, x array<double>, label int, check boolean", run)
 
 

@@ -19,7 +19,7 @@ without cycles the result is exact.  ``SWEEPS`` only ends cycles that swing.
 The potentials are trained on the
 pattern labels (distant supervision) by pseudo-likelihood: label and
 neighbourhood patterns are counted by Spark over a bounded, documented sample
-of documents (``FIT_DOCS``) and only distinct patterns reach the driver.
+of distinct documents (``FIT_DOCS``) and only distinct patterns reach the driver.
 
 Defined results: a null or empty text has no span; repeated rows are judged
 each; an empty table gives an empty result; a corpus without any candidate
@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadwright.llm.common import keep_threshold, map_batches, sampled
+from loadwright.llm.common import key_counts, map_batches, sample_cut, sampled
 
 KINDS = ("email", "ip", "card", "phone")
 FIT_DOCS = 20_000
@@ -263,7 +263,9 @@ def _patterns(docs: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, steps: int = 150) -> SkipChainModel | None:
     """Potentials of most pseudo-likelihood on the sample; None without candidates."""
-    some = docs.where(sampled("doc_id", keep_threshold(docs.count(), fit_docs), 23))
+    key = ("doc_id", "text")
+    size = docs.agg(*key_counts(key, 23)).first()
+    some = docs.where(sampled(key, sample_cut(size.n, size.least, fit_docs), 23)).select(*key).dropDuplicates()
     rows = _patterns(some).collect()  # distinct patterns of a bounded sample
     if not rows:
         return None

@@ -5,8 +5,9 @@ Grades come from the labels and the model's vocabulary: 0 not toxic, 1 toxic,
 ``P(grade <= k) = sigmoid(theta_k - w.x)``: all thresholds share the weights
 ``w`` over sparse word features (a word occurs in the text or not).
 
-The model is fitted on a bounded, documented sample of labelled rows
-(``FIT_ROWS``).  Its vocabulary is the words whose share among toxic rows
+The model is fitted on a bounded, documented sample of labelled documents
+(``FIT_ROWS``, and of either class ``CLASS_ROWS`` if it has as many; of rows
+that share an id one text).  Its vocabulary is the words whose share among toxic rows
 most exceeds that among the others (two-proportion z at least ``MIN_Z``,
 ``VOCABULARY`` words at most).  Each Fisher-scoring step is a Spark job that
 sums gradient and information over the sample; only sums of that fixed size
@@ -28,9 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadwright.llm.common import keep_threshold, map_batches, sampled, settle
+from loadwright.llm.common import keep_threshold, key_hash, map_batches, sample_cut, sampled, settle
 
 FIT_ROWS = 20_000
+CLASS_ROWS = 200
 VOCABULARY = 256
 MIN_DOCS = 5
 MIN_Z = 5.0
@@ -64,8 +66,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) ->
     """(distinct words, toxic) of about ``rows`` labelled documents at most."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(
         (F.max("toxic") > 0).cast("int").alias("tox"))
-    known = known.where(sampled("id", keep_threshold(known.count(), rows), 11))
-    rows = docs.join(known, docs["doc_id"] == known["id"])
+    sizes = known.groupBy("tox").agg(F.count(F.lit(1)).alias("n"), F.min(key_hash(("id",), 11)).alias("least")).collect()
+    cut = keep_threshold(sum(r.n for r in sizes), rows)
+    pick = F.lit(False)
+    for r in sizes:
+        pick = pick | ((F.col("tox") == r.tox) & sampled(("id",), max(cut, sample_cut(r.n, r.least, min(CLASS_ROWS, rows))), 11))
+    known = known.where(pick)
+    texts = docs.select("doc_id", "text")
+    rows = texts.join(known, texts["doc_id"] == known["id"]).groupBy("id", "tox").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def run(batches):
         for b in batches:

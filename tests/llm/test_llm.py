@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loadwright.llm import decontam, kdshard, langid, packing, pii, quality, queries, simhash, tokens, toxicity, urlfilter, wavelet
+from loadwright.llm import common, decontam, kdshard, langid, packing, pii, quality, queries, simhash, tokens, toxicity, urlfilter, wavelet
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, Text_Key string, node int, fp long"
 
@@ -128,6 +128,26 @@ def test_op3_accuracy_and_edges(spark, odd):
     assert {r.lang_pred for r in langid.identify(frame(spark, [(1, "abc", None, None)])).collect()} == {"und"}
 
 
+def test_samples_of_huge_and_skewed_tables(spark):
+    """No class is lost beyond 2**20 times the limit; rows that share an id or are copies neither fill nor empty the sample."""
+    assert common.keep_threshold(1500, 1500) == common.HASH_MAX and common.keep_threshold(10**30, 1) > 0
+    for total in (10**6, 10**12, 10**15):
+        assert common.keep_threshold(total, 1500) / common.HASH_MAX == pytest.approx(1500 / total, rel=1e-3)
+    rows = spark.range(6000).selectExpr("IF(id % 3 = 0, 7, id) AS doc_id", "concat('text ', id) AS text")
+    hit = rows.where(common.sampled(("doc_id", "text"), common.keep_threshold(6000, 600), 1)).groupBy(F.expr("doc_id = 7").alias("hot")).count().collect()
+    assert all(abs(r["count"] / (200 if r.hot else 400) - 1) < 0.3 for r in hit) and len(hit) == 2
+    docs = rows.withColumn("lang", F.lit("en")).unionAll(spark.range(3000).selectExpr("9 AS doc_id", "'\u4e2d\u6587 \u6587\u5b57' AS text", "'zh' AS lang"))
+    got = langid.identify(docs, fit_rows=50).where("doc_id = 9").select("lang_pred").distinct().collect()
+    assert [r.lang_pred for r in got] == ["zh"]
+
+
+def test_op7_sample_keeps_a_rare_class(spark):
+    docs = spark.range(4000).selectExpr("IF(id >= 3000, 5, id) AS doc_id", "concat('text ', id) AS text")
+    labels = spark.range(3000).selectExpr("id AS doc_id", "IF(id % 600 = 5, 1, 0) AS toxic")
+    sample = {r.tox: r["count"] for r in toxicity.labelled_sample(docs, labels, rows=100).groupBy("tox").count().collect()}
+    assert sample[1] == 5 and 70 <= sample[0] <= 150
+
+
 def brute_simhash(text):
     w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
     sh = [b" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))] if w else []
