@@ -324,6 +324,26 @@ def test_op8_against_brute_force(spark, pass_chars, monkeypatch):
     assert decontam.contaminated(frame(spark, rows).limit(0), bench).count() == 0
 
 
+def test_longest_matches_against_brute_force(spark):
+    rng = random.Random(18)
+    draw = lambda n: [rng.choice("abcde") for _ in range(n)]
+    items = {f"i{k}": draw(k) for k in (3, 12, 20, 25)}
+    texts = {d: draw(rng.randrange(40)) for d in range(30)} | {50: draw(4) + items["i20"][5:] + draw(3), 51: items["i12"] + ["zz"] + items["i25"]}
+    same = lambda x, y: next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+    want = {}
+    for name, words in items.items():
+        for i in range(len(words)):
+            n, d, p = max(((same(words[i:], t[p:]), -d, -p) for d, t in texts.items() for p in range(len(t))))
+            if n >= 3:  # the shortest window
+                want[name, i] = (n, -d, -p)
+    bench = spark.createDataFrame([(k, " ".join(v)) for k, v in items.items()], "item_id string, text string")
+    found = decontam.longest_matches(frame(spark, [(d, " ".join(t), "en", "a") for d, t in texts.items()]), bench, shard_words=150).collect()
+    assert len(found) == len(want)
+    for r in found:
+        n = want[r.item_id, r.item_at][0]
+        assert r.n_words == n and texts[r.doc_id][r.doc_at:r.doc_at + n] == items[r.item_id][r.item_at:r.item_at + n]
+
+
 def test_op9_counts_and_verdict(spark, odd):
     def brute(text):
         text = text or ""
