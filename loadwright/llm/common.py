@@ -43,6 +43,30 @@ def map_batches(df: DataFrame, columns: list[str | Column], schema: str,
     return df.select(*columns).mapInArrow(fn, schema)
 
 
+#: Tasks that merge the states of all others before the last one does.
+MERGERS = 32
+
+
+def merge_states(states: DataFrame, merge: Callable[[Iterator[bytes]], bytes | None]) -> bytes | None:
+    """One state from the binary states (column ``state``) that tasks returned; None without any.
+
+    ``merge`` reads states one by one.  They meet in two rounds, so neither a
+    task nor the driver gathers all of them: the driver gets the merged one.
+    """
+    def run(batches):
+        out = merge(s for b in batches for s in b.column(0).to_pylist())
+        if out is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([out], pa.binary())], ["state"])
+
+    some = states.select("state").repartition(MERGERS).mapInArrow(run, "state binary")
+    last = some.repartition(1).mapInArrow(run, "state binary").collect()
+    return bytes(last[0].state) if last else None
+
+
+def state_batch(state: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([state], pa.binary())], ["state"])
+
+
 def fresh(prefix: str, taken: list[str]) -> str:
     """A column name that clashes with none of ``taken`` (Spark ignores case)."""
     low = {t.lower() for t in taken}

@@ -10,7 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadwright.llm import decontam, kdshard, langid, packing, pii, quality, simhash, toxicity, urlfilter, wavelet
+from loadwright.llm import (
+    decontam, kdshard, langid, packing, pii, prefix_trie, quality, simhash, token_counts, toxicity, urlfilter, wavelet, whitening,
+)
 from loadwright.llm.common import table
 
 #: Host and path rules of the URL query (fixed values).
@@ -72,9 +74,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_wavelet, op2_urls, op3_language, op4_simhash, op5_packing, op6_kdshard, op7_toxicity, op8_decontam,
-                            op9_quality, op10_pii)
+                            op9_quality, op10_pii, op11_whitening, op12_token_counts, op13_prefix_trie)
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+', ' ', 'g'), ' '), lambda w: w <> '')"
@@ -113,4 +127,32 @@ s AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(ite
 SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN x USING (r) LEFT JOIN s USING (r)""",
+    # crc32 of the decimal id, bit by bit; node keys are lists of turn numbers
+    "op13_prefix_trie": r"""
+WITH t AS (
+  SELECT CAST(conv_id AS BIGINT) AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos,
+         dense_rank() OVER (ORDER BY coalesce(role, ''), coalesce(text, '')) AS id,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (
+  SELECT c, list(id ORDER BY pos) AS ids, list(w ORDER BY pos) AS ws,
+         xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+             lambda a, x: list_reduce(list_prepend(xor(a, x), range(8)), lambda y, i: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295) % 4 AS h
+  FROM t GROUP BY c),
+b AS (
+  SELECT o.c, list_concat(list_slice(coalesce(p.ids, []), 1, o.h), list_slice(o.ids, o.h + 1, len(o.ids))) AS ids,
+         list_concat(list_slice(coalesce(p.ws, []), 1, o.h), list_slice(o.ws, o.h + 1, len(o.ws))) AS ws
+  FROM o LEFT JOIN o p ON p.c = o.c - o.c % 20),
+m AS (SELECT c, ids, ws, len(ids) AS n, unnest(range(0, len(ids) + 1)) AS d FROM b),
+n AS (
+  SELECT list_slice(ids, 1, d) AS k, d, min(c) AS conv_id, count(*) AS n_convs, any_value(CASE WHEN d > 0 THEN ws[d] ELSE 0 END) AS w,
+         string_agg(CASE WHEN n = d THEN CAST(c AS VARCHAR) END, ',' ORDER BY c) AS ends
+  FROM m GROUP BY 1, 2),
+kids AS (SELECT list_slice(k, 1, d - 1) AS k, count(*) AS n FROM n WHERE d > 0 GROUP BY 1),
+up AS (
+  SELECT list_slice(k, 1, a) AS k, sum((n_convs - 1) * w) AS saved, sum(leaf) AS leaves
+  FROM (SELECT n.k, n.n_convs, n.w, CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END AS leaf, unnest(range(0, n.d + 1)) AS a FROM n LEFT JOIN kids ON n.k = kids.k) GROUP BY 1)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs, CAST(coalesce(kids.n, 0) AS BIGINT) AS n_children,
+       CAST(up.leaves AS BIGINT) AS n_leaves, CAST(up.saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM n LEFT JOIN kids ON n.k = kids.k JOIN up ON n.k = up.k LEFT JOIN n p ON n.d > 0 AND p.k = list_slice(n.k, 1, n.d - 1)""",
 }

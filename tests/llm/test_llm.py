@@ -486,7 +486,7 @@ def test_queries_equal_their_sql(spark, name):
 
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     rel = con.execute(queries.ORACLE_SQL[name])
     columns = [c[0] for c in rel.description]
