@@ -4,8 +4,12 @@ The vocabulary file is a path (``byte_bpe_50k.json`` by default); it is loaded
 once per Python worker.  Text is cut at single line feeds and spaces: where no
 piece has white space at its edges, a line feed is a pre-token and a space
 starts one, so the ids of a text are the ids of its pieces, and pieces seen
-before come from a bounded cache.  Any other text is encoded whole.  Both give
-the library's own ids.
+before come from a bounded cache.  Any other text, and one that holds the string
+of an added token, is encoded whole.  Both give the library's own ids, added
+tokens inside texts as it takes them by default.
+
+The path must name the file on every executor (the default is that of an
+installed package, which all nodes of a cluster need).
 """
 
 from __future__ import annotations
@@ -87,7 +91,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.pieces = _Pieces(self.tokenizer, " ", CACHE_PIECES)
         self.firsts = _Pieces(self.tokenizer, "", CACHE_PIECES // 20)
         self.feed = self.whole("\n")
@@ -102,7 +108,7 @@ class Encoder:
             return b""
         if text in self.texts:  # copies often sit close together
             return self.texts[text]
-        if ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0].isspace() or text[-1].isspace()
+        if (any(a in text for a in self.added) or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0].isspace() or text[-1].isspace()
                 or (any(c in text for c in _ODD_ASCII) if text.isascii() else _ODD.search(text))):
             out = self.whole(text)
         else:
