@@ -11,11 +11,14 @@ labels what the patterns leave out:
   to its next occurrence, so a token repeated n times gives n - 1 links.
 
 Loopy belief propagation over a whole document carries labels along the links:
-each sweep passes messages through all tokens in text order and back, so
-evidence reaches every occurrence of an entity, however many lie between, and
-weakens by what the skip potential gives for each link.  Sweeps go on until the
-messages of a document stand still, for each document by itself; on links
-without cycles the result is exact.  ``SWEEPS`` only ends cycles that swing.
+each sweep passes messages from end to end of all runs of neighbours, then of
+all rows of look-alikes, so evidence reaches every occurrence of an entity,
+however many lie between, and weakens by what the skip potential gives for each
+link.  Sweeps go on until the messages of a document stand still, for each
+document by itself; on links without cycles the result is exact.  A run of n
+neighbours takes about log n array steps, so long lists of numbers are no
+special case.  A document whose cycles still swing after ``SWEEPS`` (damped from
+sweep ``DAMPED`` on) keeps its last messages, which are proper probabilities.
 The potentials are trained on the
 pattern labels (distant supervision) by pseudo-likelihood: label and
 neighbourhood patterns are counted by Spark over a bounded, documented sample
@@ -23,7 +26,8 @@ of distinct documents (``FIT_DOCS``) and only distinct patterns reach the driver
 
 Defined results: a null or empty text has no span; repeated rows are judged
 each; an empty table gives an empty result; a corpus without any candidate
-token has pattern spans only.  Places are code points, the end exclusive.
+token has pattern spans only.  Digits other than 0 to 9 (superscripts, other
+scripts) are letters like any other.  Places are code points, the end exclusive.
 Extra columns are not read.
 """
 
@@ -39,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadwright.llm.common import key_counts, map_batches, sample_cut, sampled
+from loadwright.llm.common import key_counts, map_batches, map_rows, sample_cut, sampled
 
 KINDS = ("email", "ip", "card", "phone")
 FIT_DOCS = 20_000
@@ -47,7 +51,7 @@ FEATURES = 4096
 SLOTS = 6
 #: Messages that change by less stand still.
 STILL = 1e-6
-#: Messages are damped from sweep ``DAMPED`` on; a document whose cycles still swing after ``SWEEPS`` keeps its last messages.
+#: Sweeps without damping, and in all.
 DAMPED = 10
 SWEEPS = 200
 #: Look-alike tokens agree by this much where the sample has no evidence.
@@ -114,6 +118,11 @@ def _shape(token: str) -> str:
     return _RUN.sub(lambda m: f"9{min(len(m[0]), 20)}" if m[0][0] in "0123456789" else "a", token)
 
 
+def _small_number(part: str) -> bool:
+    """Up to three ASCII digits, at most 255 (other digits, such as superscripts, are no numbers here)."""
+    return part.isascii() and part.isdecimal() and len(part) < 4 and int(part) < 256
+
+
 def _hash(slot: int, value: str) -> int:
     return zlib.crc32(f"{slot}|{value}".encode()) % FEATURES
 
@@ -161,7 +170,7 @@ def add_document(graph: Graph, doc: int, text: str, spans: list[Span]) -> None:
             _hash(0, shape), _hash(1, shapes[i - 1] if near_left else "-"), _hash(2, shapes[i + 1] if near_right else "-"),
             _hash(3, f"{min(len(digits), 20)}{luhn(digits) if 12 <= len(digits) <= 19 else '-'}"),
             _hash(4, f"{'@' in core}{core.count('.')}{core[0] == '+'}"),
-            _hash(5, f"{'@' in core[1:-1]}{all(p.isdigit() and len(p) < 4 and int(p) < 256 for p in core.split('.'))}")])
+            _hash(5, f"{'@' in core[1:-1]}{all(map(_small_number, core.split('.')))}")])
         while s < len(spans) and spans[s][2] <= start:
             s += 1
         hit = next((k for k, a, e in spans[s:s + 8] if a < end and start < e), None)
@@ -183,63 +192,131 @@ class SkipChainModel:
     skip: np.ndarray   # labels x labels, symmetric
 
     def beliefs(self, graph: Graph) -> np.ndarray:
-        """Label probabilities of every token by loopy sum-product messages."""
-        n, k = len(graph.features), len(KINDS) + 1
-        score = self.unary[np.array(graph.features)].sum(axis=1)
+        """Label probabilities of every token by loopy sum-product messages.
+
+        The links form classes of paths (the text neighbours, then the skip
+        links).  A sweep passes exact messages along all paths of a class, with
+        those of the other classes held, class after class.
+        """
+        n = len(graph.features)
+        total = self.unary[np.array(graph.features)].sum(axis=1)
         chain = np.array(graph.chain, np.int64).reshape(-1, 2)
-        skip = np.array(graph.skip, np.int64).reshape(-1, 2)
         has_left, has_right = np.zeros(n, bool), np.zeros(n, bool)
         has_left[chain[:, 1]], has_right[chain[:, 0]] = True, True
-        score += np.where(has_left[:, None], 0, self.chain[0]) + np.where(has_right[:, None], 0, self.chain[:, 0])
-        # edges lead from the earlier to the later token; potential[earlier label, later label]
-        src, dst = np.concatenate([chain, skip]).T
-        pot = np.concatenate([np.broadcast_to(self.chain, (len(chain), k, k)), np.broadcast_to(self.skip, (len(skip), k, k))])
+        total += np.where(has_left[:, None], 0, self.chain[0]) + np.where(has_right[:, None], 0, self.chain[:, 0])
         doc = np.array([d for d, _, _ in graph.places], np.int64)
-        level = _levels(n, src, dst)
-        on, back = np.zeros((len(src), k)), np.zeros((len(src), k))  # messages to the later token, to the earlier one
-        total, live = score.copy(), np.arange(len(src))
+        classes = [Paths.of(n, chain, self.chain)] + [Paths.of(n, np.array(e, np.int64), self.skip) for e in _path_classes(graph.skip)]
+        classes = [c for c in classes if len(c.nodes)]
         for sweep in range(SWEEPS):
-            if not len(live):
+            if not classes:
                 break
-            old, keep = np.stack([on[live], back[live]]), 0.5 if sweep >= DAMPED else 0.0
-            for e in _grouped(live, level[src[live]]):
-                new = keep * on[e] + (1 - keep) * _message(total[src[e]] - back[e], pot[e])
-                np.add.at(total, dst[e], new - on[e])
-                on[e] = new
-            for e in reversed(_grouped(live, level[dst[live]])):
-                new = keep * back[e] + (1 - keep) * _message(total[dst[e]] - on[e], pot[e].transpose(0, 2, 1))
-                np.add.at(total, src[e], new - back[e])
-                back[e] = new
             change = np.zeros(doc[-1] + 1)
-            np.maximum.at(change, doc[src[live]], np.abs(np.stack([on[live], back[live]]) - old).max(axis=(0, 2)))
-            live = live[change[doc[src[live]]] >= STILL]
+            for paths in classes:
+                moved = paths.pass_messages(total, 0.5 if sweep >= DAMPED else 0.0)
+                np.maximum.at(change, doc[paths.nodes], moved)
+            if len(classes) == 1:  # paths alone: one pass is exact
+                break
+            live = change >= STILL
+            classes = [c for c in (c.only(live[doc[c.nodes]]) for c in classes) if len(c.nodes)]
         total = np.exp(total - total.max(axis=1, keepdims=True))
         return total / total.sum(axis=1, keepdims=True)
 
 
-def _levels(n: int, src: np.ndarray, dst: np.ndarray) -> np.ndarray:
-    """The most links on a way to each token; every link leads to a higher level."""
-    level = [0] * n
-    order = np.argsort(dst, kind="stable")
-    for x, y in zip(src[order].tolist(), dst[order].tolist()):
-        level[y] = max(level[y], level[x] + 1)
-    return np.array(level, np.int64)
-
-
-def _grouped(edges: np.ndarray, level: np.ndarray) -> list[np.ndarray]:
-    """The edges of each level, lowest level first."""
-    order = np.argsort(level, kind="stable")
-    return np.split(edges[order], np.flatnonzero(np.diff(level[order])) + 1)
-
-
-def _message(belief: np.ndarray, pot: np.ndarray) -> np.ndarray:
-    new = _logsumexp(belief[:, :, None] + pot)
-    return new - new.max(axis=1, keepdims=True)
+def _path_classes(edges: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """The edges dealt out so that in a class each token has one link at most on either side."""
+    out: list[tuple[list, set, set]] = []
+    for x, y in edges:
+        for same, left, right in out:
+            if x not in left and y not in right:
+                break
+        else:
+            same, left, right = [], set(), set()
+            out.append((same, left, right))
+        same.append((x, y))
+        left.add(x)
+        right.add(y)
+    return [same for same, _, _ in out]
 
 
-def _logsumexp(x: np.ndarray) -> np.ndarray:
-    top = x.max(axis=1, keepdims=True)
-    return np.log(np.exp(x - top).sum(axis=1)) + top[:, 0]
+@dataclass
+class Paths:
+    """Disjoint paths through tokens, one after another, with the messages that reach each token on its path."""
+
+    nodes: np.ndarray     # tokens in path order
+    first: np.ndarray     # does a path start here?
+    pot: np.ndarray       # [earlier label, later label]
+    right: np.ndarray     # messages from the left end
+    left: np.ndarray      # messages from the right end
+
+    @classmethod
+    def of(cls, n: int, edges: np.ndarray, pot: np.ndarray) -> "Paths":
+        before, on = np.arange(n), np.zeros(n, bool)
+        before[edges[:, 1]] = edges[:, 0]
+        on[edges.ravel()] = True
+        root = before
+        while not np.array_equal(up := root[root], root):  # links lead to later tokens: roots are first tokens
+            root = up
+        nodes = np.flatnonzero(on)
+        nodes = nodes[np.lexsort((nodes, root[nodes]))]
+        zero = np.zeros((len(nodes), len(pot)))
+        return cls(nodes, before[nodes] == nodes, pot, zero, zero.copy())
+
+    def only(self, keep: np.ndarray) -> "Paths":
+        return Paths(self.nodes[keep], self.first[keep], self.pot, self.right[keep], self.left[keep])
+
+    def pass_messages(self, total: np.ndarray, damping: float) -> np.ndarray:
+        """Updates ``total`` (scores with all messages); returns how far each token's messages moved."""
+        score = total[self.nodes] - self.right - self.left
+        last = np.append(self.first[1:], True)
+        right = _forward(score[:, :, None] + self.pot, self.first)
+        left = _forward((score[:, :, None] + self.pot.T)[::-1], last[::-1])[::-1]
+        right, left = (damping * old + (1 - damping) * new for old, new in ((self.right, right), (self.left, left)))
+        moved = np.maximum(np.abs(right - self.right), np.abs(left - self.left)).max(axis=1)
+        self.right, self.left = right, left
+        total[self.nodes] = score + right + left
+        return moved
+
+
+#: Tokens of a path that are taken one after another; longer paths are cut and their pieces' products linked.
+PIECE = 32
+
+
+def _forward(mats: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Message that reaches each place of the paths: that of the place before, through its matrix (logarithms).
+
+    Long paths are cut into pieces: the product of each whole piece, the same
+    problem over the pieces, then all pieces side by side.  The number of steps
+    so grows with the logarithm of the longest path.
+    """
+    n, k = len(mats), mats.shape[1]
+    out = np.zeros((n, k))
+    starts = np.flatnonzero(first)
+    size = np.diff(np.append(starts, n))
+    if size.max(initial=0) > PIECE:
+        place = np.arange(n) - np.repeat(starts, size)
+        piece = np.flatnonzero(place % PIECE == 0)
+        length = np.diff(np.append(piece, n))
+        opens = first[piece]
+        whole = np.append(~opens[1:], False)  # goes on in the next piece
+        product = np.zeros((len(piece), k, k))
+        product[whole] = mats[piece[whole]]
+        for t in range(1, PIECE):
+            product[whole] = _level(_logsumexp(product[whole][:, :, :, None] + mats[piece[whole] + t][:, None], 2), (1, 2))
+        out[piece] = _forward(product, opens)
+        starts, size = piece, length
+    for t in range(1, size.max(initial=0)):
+        at = starts[size > t] + t
+        out[at] = _level(_logsumexp(out[at - 1][:, :, None] + mats[at - 1], 1), 1)
+    return out
+
+
+def _level(x: np.ndarray, axis) -> np.ndarray:
+    return x - x.max(axis=axis, keepdims=True)
+
+
+def _logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
+    top = x.max(axis=axis, keepdims=True)
+    return np.log(np.exp(x - top).sum(axis=axis)) + top.squeeze(axis)
 
 
 def _patterns(docs: DataFrame) -> DataFrame:
@@ -378,7 +455,7 @@ def mask_personal_data(docs: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
             masked = [t if t is None or not s else redact(t, s) for t, (_, s) in zip(texts, find_spans(texts, model))]
             yield b.set_column(text, b.schema.field(text), pa.array(masked, b.schema.field(text).type))
 
-    out = map_batches(docs, docs.columns, docs.schema, run)
+    out = map_rows(docs, run)
     if dict(docs.dtypes).get("n_chars") in ("int", "bigint"):
         out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return out.select(docs.columns)
+    return out
