@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from loadwright.session import scratch_path
 
@@ -43,6 +44,16 @@ def map_batches(df: DataFrame, columns: list[str | Column], schema: str,
     return df.select(*columns).mapInArrow(fn, schema)
 
 
+def map_rows(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``mapInArrow`` over all columns, whatever their names, to rows of the same columns.
+
+    ``fn`` finds the columns by place (their names may hold dots or backticks).
+    """
+    small_batches(df.sparkSession)
+    plain = StructType([StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(df.schema.fields)])
+    return df.toDF(*plain.names).mapInArrow(fn, plain).toDF(*df.columns)
+
+
 #: Tasks that merge the states of all others before the last one does.
 MERGERS = 32
 

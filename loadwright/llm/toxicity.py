@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadwright.llm.common import keep_threshold, key_hash, map_batches, sample_cut, sampled, settle
+from loadwright.llm.common import keep_threshold, key_hash, map_batches, map_rows, sample_cut, sampled, settle
 
 FIT_ROWS = 20_000
 CLASS_ROWS = 200
@@ -229,4 +229,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Data
         for b in batches:
             yield b.filter(pa.array(above(b.column(text).to_pylist())[:, 0] < REJECT_AT))
 
-    return map_batches(docs, docs.columns, docs.schema, run)
+    return map_rows(docs, run)
