@@ -312,6 +312,18 @@ ORACLE_SQL["governed_load"] = GOVERNED_LOAD
 ORACLE_SQL["governed_load_bucketed"] = GOVERNED_LOAD
 ORACLE_SQL["governed_load_twice"] = GOVERNED_LOAD
 
+ORACLE_SQL["governed_load_append"] = f"""
+  SELECT {R._file_ts_sql("20200101-000000")} AS METADATA_TM_FILE, {TS_RUN} AS METADATA_TM_INSERT, c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 1 AS segment
+  FROM customer WHERE c_nationkey < 10
+  UNION ALL
+  SELECT {R._file_ts_sql("20200201-000000")}, {TS_RUN}, c_custkey, c_name, c_nationkey, c_acctbal + 100, c_mktsegment, 2
+  FROM customer WHERE c_nationkey >= 15 AND c_mktsegment <> 'MACHINERY'"""
+
+_STATISTICS = ("SELECT '{0}' AS column_name, count(*) AS n_rows, count(*) - count({0}) AS n_null, CAST(min({0}) AS VARCHAR) AS min_value, "
+               "CAST(max({0}) AS VARCHAR) AS max_value FROM t")
+ORACLE_SQL["load_column_statistics"] = f"WITH t AS ({GOVERNED_LOAD}) " + " UNION ALL ".join(
+    _STATISTICS.format(c) for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
+
 _NAME = "'SRC.BASE.CUSTOMER.J.00.MFT.{0}.ALL.000.{1}.{1}'"
 ORACLE_SQL["governed_load_journal"] = f"""
   WITH f AS (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'),

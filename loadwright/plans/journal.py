@@ -84,6 +84,16 @@ class Journal:
         self.store.append(self.events_table, self.spark.createDataFrame(rows, EVENT_SCHEMA))
         self._buffer = []
 
+    def append_events(self, run_id: int, name: str, values: DataFrame, ts: str) -> None:
+        """One event per row of ``values`` (one column), written by Spark; the ids grow but have gaps."""
+        self.flush()
+        first = self._next_id(self.events_table, "SD_ID")
+        value = F.col(values.columns[0]).cast("string")
+        self.store.append(self.events_table, values.select(
+            (F.lit(first).cast("bigint") + F.monotonically_increasing_id()).alias("SD_ID"), F.lit(run_id).cast("bigint").alias("S_ID"),
+            F.lit(name).alias("SD_EVENT"), value.alias("SD_EVENT_VALUE"), F.lit(ts).cast("timestamp_ntz").alias("SD_INSDATE")))
+        self._next_event = None
+
     def finished(self, process: str, value: str) -> bool:
         """True when a run of ``(process, value)`` has reached status 1."""
         if not self.store.exists(self.runs):
@@ -94,7 +104,10 @@ class Journal:
         return not done.isEmpty()
 
     def applied_files(self, value: str) -> DataFrame:
-        """Names of the delivery files already switched into the target of ``value``.
+        """Names of the delivery files that runs report as switched into the target of ``value``.
+
+        This is the report of the journal; which deliveries a later run leaves
+        out is decided by the target's own ledger, which changes with its rows.
 
         A file counts as applied when its run logged an ``NBRows_after_loading``
         event after the file's ``Input_file`` event.  That covers loads of one
@@ -112,21 +125,6 @@ class Journal:
         return (inputs.join(last_switch, "S_ID").where(F.col("SD_ID") < F.col("_switch"))
                 .select(F.col("SD_EVENT_VALUE").alias("file_name")).distinct())
 
-    def retired_files(self, value: str) -> DataFrame:
-        """Names of the files no later run should plan again: applied, or logged as not processed.
-
-        The original moves every remaining file to its history folder after a
-        run; without the second part an old FULL or a stale UPDT would become
-        the plan of the next run and roll the target back.
-        """
-        applied = self.applied_files(value)
-        if not (self.store.exists(self.runs) and self.store.exists(self.events_table)):
-            return applied
-        runs = self.store.read(self.runs).where(F.col("S_PROCESS_VALUE") == value).select("S_ID").distinct()
-        passed = (self.store.read(self.events_table).where(F.col("SD_EVENT") == "File_Not_Processed")
-                  .join(runs, "S_ID", "left_semi").select(F.col("SD_EVENT_VALUE").alias("file_name")))
-        return applied.unionByName(passed).distinct()
-
     def compact(self) -> None:
         """Rewrite both journal tables as a few files (see ``TableStore.compact``)."""
         for name in (self.runs, self.events_table):

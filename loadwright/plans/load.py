@@ -1,22 +1,28 @@
 """The governed load: every delivery of an input folder applied to one target.
 
 Per delivery, in order:
-  1. list and plan the deliveries (newest FULL, later UPDTs)
+  1. list and plan the deliveries (newest FULL, later UPDTs), leaving out those
+     that the target's ledger holds, with ``skip_applied``
   2. parse the text once and write it as the staging Parquet; the input,
      good, rejected, discarded and heading-line counts are observed during
-     that single write
+     that single write; a large file that is mostly rejects fails before it is
+     staged (see :func:`reaches_reject_limit`)
   3. append the rejected lines to ``<TABLE>_REJECTED``; fail at the reject limit
   4. run the custom SELECT steps on the staged good rows
   5. duplicate-key gate on the delivery key (one aggregate, also in FULL)
-  6. stamp the audit columns, project, and apply FULL / UPDT / INST into a new
-     snapshot of the target (kept-row and total counts observed on the write)
-  7. optional primary-key check of the new snapshot before the switch
-  8. reconcile counts and switch the table to the snapshot
+  6. stamp the audit columns, project, and write a new segment of the target:
+     FULL the stage, INST the stage beside all segments there are, UPDT the
+     stage with the surviving rows of the segments (or buckets) that hold one of
+     its keys (kept-row and total counts observed on the write)
+  7. primary-key check, before anything is written where that is possible
+  8. reconcile counts and switch the table: rows and the delivery's ledger entry
+     take effect in one catalog call (see :mod:`loadwright.plans.target`)
 Table statistics are gathered once at the end of the run.
 Each step's counts go to the run journal.
 
-Every data step is a Spark job over the whole delivery and target; the
-driver only handles counts and the list of delivery names.
+Every data step is a Spark job over the whole delivery and the part of the
+target that it touches; the driver only handles counts, the deliveries to apply
+and the names of segments.
 """
 
 from __future__ import annotations
@@ -38,10 +44,15 @@ from loadwright.operators.counts import ReconciliationError, reconcile
 from loadwright.plans.journal import Journal, now_ts
 from loadwright.plans.spec import LoadSpec
 from loadwright.plans.store import TableStore
+from loadwright.plans.target import IDENTITY, SEGMENT, Delivery, Segment
 from loadwright.sources import deliveries as dl
 from loadwright.sources import textscan as ts
 
 
+#: Names of deliveries passed over that a report lists; all of them are in the journal and the ledger.
+LISTED_NAMES = 1000
+
+
 class PrimaryKeyViolation(RuntimeError):
     pass
 
@@ -69,25 +80,61 @@ class LoadReport:
     run_id: int
     table: str
     files: list[FileReport] = field(default_factory=list)
-    not_processed: list[str] = field(default_factory=list)
+    not_processed: list[str] = field(default_factory=list)   # the first LISTED_NAMES by name
+
+
+def _parsed(spec: LoadSpec, lines: DataFrame) -> DataFrame:
+    if spec.delimiter:
+        return ts.parse_delimited(lines, spec.parse_schema, spec.delimiter, spec.pad_short_rows, formats=spec.formats)
+    return ts.parse_fixed_width(lines, spec.parse_schema, spec.widths, formats=spec.formats)
+
+
+_POSITION = (ts.FILE, ts.BLOCK, ts.ROW_ID)
 
 
 def parse_delivery(spark: SparkSession, spec: LoadSpec, path: str) -> DataFrame:
-    """All lines of one delivery, classified (heading lines get status ``skipped``)."""
+    """All lines of one delivery, classified by their content; with their position if headings are to be found among them."""
     lines = ts.read_lines(spark, path, with_position=spec.skip > 0, line_sep=spec.line_sep)
-    lines = ts.mark_headings(lines, spec.skip)
-    if spec.delimiter:
-        parsed = ts.parse_delimited(lines, spec.parse_schema, spec.delimiter, spec.pad_short_rows, formats=spec.formats)
-    else:
-        parsed = ts.parse_fixed_width(lines, spec.parse_schema, spec.widths, formats=spec.formats)
-    status = F.when(F.col(ts.HEADING), F.lit(ts.SKIPPED)).otherwise(F.col(ts.STATUS))
-    keep = [c for c in parsed.columns
-            if c not in (ts.FILE, ts.BLOCK, ts.ROW_ID, ts.HEADING, ts.STATUS, ts.LINE)]
+    parsed = _parsed(spec, lines)
+    keep = [c for c in parsed.columns if c not in (ts.STATUS, ts.LINE, ts.REASON)]
     # the whole line is kept only where the rejected table needs it: a staged
     # good row already holds its values, and storing its text too would double
     # the stage written and read for every delivery
-    line = F.when(status == F.lit(ts.REJECTED), F.col(ts.LINE))
-    return parsed.select(*keep, line.alias(ts.LINE), status.alias(ts.STATUS))
+    line = F.when(F.col(ts.STATUS) == F.lit(ts.REJECTED), F.col(ts.LINE))
+    return parsed.select(*keep, line.alias(ts.LINE), ts.STATUS)
+
+
+def without_headings(staged: DataFrame, skip: int) -> DataFrame:
+    """The written lines of a delivery with its heading lines classified as ``skipped``."""
+    status = F.when(F.col(ts.HEADING), F.lit(ts.SKIPPED)).otherwise(F.col(ts.STATUS))
+    flagged = ts.flag_headings(staged, skip)
+    return flagged.select(*(c for c in staged.columns if c not in (*_POSITION, ts.STATUS)), status.alias(ts.STATUS))
+
+
+#: A delivery of so many bytes is looked at before it is staged ..
+EARLY_BYTES = 64 << 20
+#: .. by so many lines of its head; and the most rejects that are counted ahead.
+HEAD_LINES = 10_000
+EARLY_REJECTS = 5_000_000
+
+
+def head_lines(spark: SparkSession, spec: LoadSpec, path: str) -> DataFrame:
+    """The first lines of a delivery (``HEAD_LINES`` at most, a bounded sample that passes through the driver), classified."""
+    lines = ts.read_lines(spark, path, line_sep=spec.line_sep).head(HEAD_LINES)
+    return _parsed(spec, spark.createDataFrame([(r["value"],) for r in lines], "value string").coalesce(1))
+
+
+def reaches_reject_limit(spark: SparkSession, spec: LoadSpec, path: str, limit: int, n_files: int = 1) -> bool:
+    """Does a delivery hold at least ``limit`` rejects (its headings not counted)?  Reads no more than it takes to tell.
+
+    A limit at the root of a plan runs in rounds of growing numbers of splits
+    and ends as soon as it is met, within a split too.  Headings may look like
+    rejects, so as many more are asked for; a delivery that has fewer is left to
+    the count over all of it.
+    """
+    lines = ts.read_lines(spark, path, line_sep=spec.line_sep)
+    rejects = _parsed(spec, lines).where(F.col(ts.STATUS) == ts.REJECTED).select(F.lit(1).alias("one"))
+    return bool(rejects.offset(limit + spec.skip * n_files - 1).limit(1).collect())
 
 
 def _status_counts():
@@ -111,10 +158,11 @@ class GovernedLoad:
         self.check_primary_key = check_primary_key
         self.bulk = bulk
         # the original moved each processed file out of its input folder; with
-        # ``skip_applied`` the journal plays that part: files it shows as
-        # switched in are left out before planning
+        # ``skip_applied`` the target's ledger plays that part: deliveries (path,
+        # time, size) that it shows as applied or passed over are left out
         self.skip_applied = skip_applied
         self.table = spec.table_name
+        self.target = store.target(self.table)
 
     # -- journal shortcuts -------------------------------------------------
     def _ev(self, name: str, value="") -> None:
@@ -130,23 +178,15 @@ class GovernedLoad:
         report = LoadReport(self.run_id, self.table)
         self._ev("Dataloader", "Begin")
         try:
-            if self.spec.buckets:
-                created = self.store.ensure_bucketed(self.table, self.spec.stored_schema, BUCKET_COLUMN)
-            else:
-                created = self.store.ensure_versioned(self.table, self.spec.target_schema)
-            if created:
+            if self.target.ensure(self.spec.stored_schema, BUCKET_COLUMN if self.spec.buckets else None):
                 self._ev("Table_Creation", self.table)
-            names = dl.parse_delivery_names(listing.select("path"))
+            names = dl.parse_delivery_names(listing.select("path", *(c for c in (*IDENTITY[1:], "n_files") if c in listing.columns)))
             if self.skip_applied:
-                names = names.join(self.journal.retired_files(self.spec.object_name), "file_name", "left_anti")
+                names = self._unseen(names)
             plan = dl.plan_deliveries(names, keys=self.spec.column_id)
-            # logged before anything is applied, so a run that fails half-way retires these files too;
-            # file names only, ordered on the driver, where they arrive anyway
-            for name in sorted(r["file_name"] for r in dl.unprocessed_deliveries(names, plan).collect()):
-                report.not_processed.append(name)
-                self._ev("File_Not_Processed", name)
+            self._pass_over(names, plan, report)
             self.journal.flush()
-            before = self.store.read(self.table).count()
+            before = self.target.snapshot().rows
             self.rejected_in_run = 0
             self.changed = False
             items = dl.plan_list(plan)
@@ -161,7 +201,7 @@ class GovernedLoad:
                     self.journal.flush()
             if self.changed and self.spec.analyze:
                 # statistics once per run: they only serve later queries
-                self.store.analyze(self.table, scan=self.spec.analyze_scan)
+                self.target.analyze(scan=self.spec.analyze_scan)
                 self._ev("Statistics_Calculation", "")
             self._ev("Dataloader", "End")
             self.journal.flush()
@@ -174,11 +214,41 @@ class GovernedLoad:
             self.journal.flush()
             raise
 
+    def _unseen(self, names: DataFrame) -> DataFrame:
+        """The deliveries that the target's ledger does not hold yet."""
+        keys = [c for c in IDENTITY if c in names.columns]
+        seen = self.target.retired().select(*(F.col(c).alias(f"seen_{c}") for c in keys)).distinct()
+        same = reduce(lambda a, b: a & b, [names[c].eqNullSafe(seen[f"seen_{c}"]) for c in keys])
+        return names.join(seen, same, "left_anti")
+
+    def _pass_over(self, names: DataFrame, plan: DataFrame, report: LoadReport) -> None:
+        """Log and retire the deliveries outside the plan, before anything is applied: a run that fails half-way retires them too.
+
+        A few are listed in the report; more are written by Spark without reaching the driver.
+        """
+        left = dl.unprocessed_deliveries(names, plan)
+        some = left.limit(LISTED_NAMES + 1).collect()
+        if not some:
+            return
+        if len(some) > LISTED_NAMES:
+            self.journal.append_events(self.run_id, "File_Not_Processed", left.select("file_name"), self.run_ts)
+            report.not_processed = [r["file_name"] for r in left.orderBy("file_name", "path").select("file_name").limit(LISTED_NAMES).collect()]
+        else:
+            left = self.spark.createDataFrame(some, left.schema).coalesce(1)
+            report.not_processed = sorted(r["file_name"] for r in some)
+            for name in report.not_processed:
+                self._ev("File_Not_Processed", name)
+        self.target.pass_over(left, self.run_id)
+
     def _one(self, index: int, item: dict, before: int) -> FileReport:
         fr, stamped = self._stage(index, item, before)
-        self._apply(index, fr, stamped, before)
+        self._apply(index, item, fr, stamped, before)
         return fr
 
+    @staticmethod
+    def _delivery(item: dict, fr: FileReport) -> Delivery:
+        return Delivery(item["path"], item["file_name"], item.get("modificationTime"), item.get("length"), item["load_mode"], item["file_date"], fr.stage_rows)
+
     def _stage(self, index: int, item: dict, before: int | None):
         """Steps 2-5 for one delivery: the gated, stamped stage and its report.
 
@@ -190,11 +260,15 @@ class GovernedLoad:
         fr = FileReport(item["file_name"], mode, eff, before=before or 0)
         self._ev("Input_file", item["file_name"])
 
+        self._stop_early(item)
         # 2. parse once into the staging Parquet, counting while writing
         stage_path = f"{store.root}/_stage/{self.table}/run={self.run_id}/delivery={index:04d}"
         obs = Observation(f"parse_{self.run_id}_{index}")
         parse_delivery(self.spark, spec, item["path"]).observe(obs, *_status_counts()).write.parquet(stage_path)
-        c = obs.get
+        c, staged = obs.get, self.spark.read.parquet(stage_path)
+        if spec.skip:
+            staged = without_headings(staged, spec.skip)
+            c = staged.agg(*_status_counts()).first()
         fr.n_lines, fr.n_headings, fr.n_good = c["n_lines"], c["n_headings"], c["n_good"]
         fr.n_rejected, fr.n_discarded = c["n_rejected"], c["n_discarded"]
         self._ev("NB_Rows_input_file", fr.n_lines)
@@ -205,7 +279,6 @@ class GovernedLoad:
             self._ev("New_Loadmode", MODE_INSERT)
         if eff == MODE_UPDATE and spec.keys_differ:
             self._ev("WARNING", "UPDT : COLUMN_ID != TABLE_KEY")
-        staged = self.spark.read.parquet(stage_path)
 
         # 3. rejects and the reject limit (counted over the whole run)
         if fr.n_rejected:
@@ -245,43 +318,93 @@ class GovernedLoad:
         stamped = tf.project(tf.stamp_audit(stage, item["file_date"], self.run_ts), spec.select)
         return fr, stamped
 
-    def _apply(self, index: int, fr: FileReport, stamped: DataFrame, before: int) -> None:
-        """Steps 6-8 for one delivery: new snapshot by mode, reconcile, switch, statistics."""
-        spec, store, eff = self.spec, self.store, fr.effective_mode
-        target = store.read(self.table)
-        stamped = self._conform(stamped, target)
-        if spec.buckets:
-            if eff == MODE_FULL:
-                self._ev("NBRows_table_after_truncate", 0)
-            fr.after, fr.after_delete = self._replace_buckets(
-                f"{self.run_id}-{index:04d}", target, [(eff, stamped)], before, fr.stage_rows,
-                null_key_rows=fr.null_key_rows, key_bytes=fr.key_bytes)
-            if eff == MODE_FULL:
-                self._ev("NBRows_table_after_loading=NBRows_temp_table", "")
-            else:
-                self._ev("NBRows_table_after_delete_request", fr.after_delete)
-        elif eff == MODE_FULL:
+    def _stop_early(self, item: dict) -> None:
+        """Refuse a large delivery that is mostly rejects before it is parsed as a whole.
+
+        The head decides whether the rejects are counted ahead, so a good file
+        costs one small read more.  The rejected lines of the head are kept.
+        """
+        left = self.spec.threshold - self.rejected_in_run
+        if (item.get("length") or 0) < EARLY_BYTES or not 0 < left <= EARLY_REJECTS:
+            return
+        head = head_lines(self.spark, self.spec, item["path"])
+        seen = ts.line_counts(head).first()
+        if 2 * seen["n_rejected"] < seen["n_lines"]:
+            return
+        if not reaches_reject_limit(self.spark, self.spec, item["path"], left, item.get("n_files") or 1):
+            return
+        self._ev("NB_Rows_bad_file", left)
+        self.store.ensure_append(self.spec.rejected_table_name, rejects_mod.REJECTED_SCHEMA)
+        self.store.append(self.spec.rejected_table_name, rejects_mod.rejected_rows(head, self.run_id, self.run_ts))
+        self._ev("NBRows_rejected_table", self.spec.threshold)
+        self._ev("ERROR", "NBRows_rejected too big")
+        rejects_mod.reject_gate(self.spec.threshold, self.spec.threshold)
+
+    def _apply(self, index: int, item: dict, fr: FileReport, stamped: DataFrame, before: int) -> None:
+        """Steps 6-8 for one delivery: new segment by mode, reconcile, switch."""
+        eff, snapshot = fr.effective_mode, self.target.snapshot()
+        stamped = self._conform(stamped, self.target.read())
+        keys, keep, kept, old_rows, buckets = self.spec.column_id, (), None, 0, None
+        if self.spec.buckets:
+            buckets = self._buckets([stamped])
+        if eff == MODE_FULL:
             self._ev("NBRows_table_after_truncate", 0)
             self._pk_guard(stamped, None, eff, fr.stage_rows, fr.null_key_rows)
-            fr.after = store.replace(self.table, stamped, before_switch=lambda _, rows: reconcile(
-                MODE_FULL, before, fr.stage_rows, rows))
-            self._ev("NBRows_table_after_loading=NBRows_temp_table", "")
         elif eff == MODE_UPDATE:
-            kept_obs = Observation(f"kept_{self.run_id}_{index}")
-            kept = keys_mod.anti_by_key(target, stamped, spec.column_id, fr.key_bytes)
-            self._pk_guard(stamped, kept, eff, fr.stage_rows, fr.null_key_rows)
-            kept = kept.observe(kept_obs, F.count(F.lit(1)).alias("rows"))
-            fr.after = store.replace(self.table, kept.unionByName(stamped), before_switch=lambda _, rows: reconcile(
-                MODE_UPDATE, before, fr.stage_rows, rows, removed=before - int(kept_obs.get["rows"])))
-            fr.after_delete = int(kept_obs.get["rows"])
-            self._ev("NBRows_table_after_delete_request", fr.after_delete)
+            # a primary key other than the delivery key can clash with any surviving row
+            rest = keys_mod.anti_by_key(self.target.read(), stamped, keys, fr.key_bytes)
+            self._pk_guard(stamped, rest, eff, fr.stage_rows, fr.null_key_rows)
+            touched, keep, old_rows = self._touched(snapshot, [stamped], fr.key_bytes, buckets)
+            if touched:
+                kept = Observation(f"kept_{self.run_id}_{index}")
+                survivors = keys_mod.anti_by_key(self.target.rows_of(touched), stamped, keys, fr.key_bytes)
+                stamped = survivors.observe(kept, F.count(F.lit(1)).alias("rows")).unionByName(stamped)
         else:
-            self._pk_guard(stamped, target, eff, fr.stage_rows)
-            fr.after = store.replace(self.table, target.unionByName(stamped), before_switch=lambda _, rows: reconcile(
-                MODE_INSERT, before, fr.stage_rows, rows))
+            self._pk_guard(stamped, self.target.read(), eff, fr.stage_rows)
+            keep = snapshot.segments
 
+        segment = self.target.write(stamped, buckets, self.spec.column_stats)
+        if eff == MODE_FULL:
+            fr.after = segment.rows
+            reconcile(MODE_FULL, before, fr.stage_rows, fr.after)
+        elif eff == MODE_UPDATE:
+            removed = old_rows - int(kept.get["rows"]) if kept else 0
+            fr.after, fr.after_delete = before - old_rows + segment.rows, before - removed
+            reconcile(MODE_UPDATE, before, fr.stage_rows, fr.after, removed=removed)
+        else:
+            fr.after = before + segment.rows
+            reconcile(MODE_INSERT, before, fr.stage_rows, fr.after)
+        self.target.switch(segment, keep, fr.after, [self._delivery(item, fr)], self.run_id)
+        if eff == MODE_FULL:
+            self._ev("NBRows_table_after_loading=NBRows_temp_table", "")
+        elif eff == MODE_UPDATE:
+            self._ev("NBRows_table_after_delete_request", fr.after_delete)
         self._finish(fr.after)
 
+    def _buckets(self, stages: list[DataFrame]) -> list[int]:
+        """The buckets that staged keys fall in (at most ``spec.buckets`` small numbers)."""
+        touched = reduce(DataFrame.unionByName, [st.select(BUCKET_COLUMN) for st in stages]).distinct()
+        return sorted(r[0] for r in touched.collect())
+
+    def _touched(self, snapshot, stages: list[DataFrame], key_bytes: int | None,
+                 buckets: list[int] | None) -> tuple[tuple[Segment, ...], tuple[Segment, ...], int]:
+        """(segments or buckets to rewrite, those to keep as they are, rows of the former).
+
+        Without buckets these are the segments in which some staged key occurs:
+        one scan of the key columns, and only names of segments reach the driver.
+        """
+        if buckets is not None:
+            touched, keep = snapshot.split_buckets(set(buckets))
+            return touched, keep, self.target.parts(touched).count() if touched else 0      # pruned to the touched buckets
+        touched = snapshot.segments
+        if len(touched) > 1:
+            keys = self.spec.column_id
+            staged = keys_mod.staged_keys(reduce(DataFrame.unionByName, [st.select(*keys) for st in stages]), keys, key_bytes)
+            hit = self.target.parts(touched).select(SEGMENT, *keys).join(staged, keys, "left_semi").select(SEGMENT).distinct()
+            names = {r[0] for r in hit.collect()}
+            touched = tuple(s for s in touched if s.name in names)
+        return touched, snapshot.without({s.name for s in touched}), sum(s.rows for s in touched)
+
     def _finish(self, after: int) -> None:
         self._ev("NBRows_after_loading", after)
         self.changed = True
@@ -303,73 +426,11 @@ class GovernedLoad:
         return all(k in parsed.fieldNames() and k in declared.fieldNames()
                    and parsed[k].dataType == declared[k].dataType for k in spec.table_key)
 
-    def _check(self):
-        return self._pk_check if (self.check_primary_key and self.spec.table_key) else None
-
     def _conform(self, stamped: DataFrame, target: DataFrame) -> DataFrame:
         if self.spec.buckets:
             stamped = stamped.withColumn(BUCKET_COLUMN, bucket_of(self.spec.column_id, self.spec.buckets))
         return modes_mod.conform(stamped, target)
 
-    def _replace_buckets(self, tag: str, target: DataFrame, deliveries: list, before: int,
-                         stage_rows: int | None = None, checked: bool = False,
-                         null_key_rows: int | None = None, expected: int | None = None,
-                         key_bytes: int | None = None):
-        """Rewrite only the buckets the staged keys fall in; return (after, after_delete).
-
-        The touched bucket numbers (at most ``spec.buckets`` small ints) are the
-        only data brought to the driver.  The old rows of those buckets are read
-        with partition pruning; every other bucket keeps its files.
-        """
-        spec, keys, b = self.spec, self.spec.column_id, BUCKET_COLUMN
-        touched_df = reduce(DataFrame.unionByName, [st.select(b) for _, st in deliveries]).distinct()
-        touched = sorted(r[0] for r in touched_df.collect())
-        check = None
-        if len(deliveries) == 1:
-            # a primary key other than the bucket key can clash in any bucket: surviving rows
-            # are the whole target minus the staged keys (only key columns are read)
-            rest = None if deliveries[0][0] == MODE_FULL else keys_mod.anti_by_key(
-                target, deliveries[0][1], keys, key_bytes)
-            self._pk_guard(deliveries[0][1], rest, deliveries[0][0], stage_rows, null_key_rows)
-        elif not checked:
-            check = self._bucket_check(target, touched)
-        if deliveries[0][0] == MODE_FULL:
-            new = modes_mod.merge_deliveries(target, deliveries, keys)      # the target is not read
-            want = expected if expected is not None else stage_rows
-
-            def full_check(folder: str, rows: int) -> None:
-                if check:
-                    check(folder, rows)
-                reconcile(MODE_FULL, before, want, rows)
-
-            after = self.store.replace_partitions(self.table, new, b, touched, tag, drop_others=True,
-                                                  before_switch=full_check)
-            return after, None
-        old = target.where(F.col(b).isin(touched))
-        old_rows = old.count()                          # pruned to the touched buckets
-        kept_obs = None
-        if len(deliveries) == 1:
-            kept_obs = Observation(f"kept_{tag}")
-            stage = deliveries[0][1]
-            kept = keys_mod.anti_by_key(old, stage, keys, key_bytes)
-            new = kept.observe(kept_obs, F.count(F.lit(1)).alias("rows")).unionByName(stage)
-        else:
-            new = modes_mod.merge_deliveries(old, deliveries, keys, key_bytes)
-
-        def update_check(folder: str, rows: int) -> None:
-            if check:
-                check(folder, rows)
-            after = before - old_rows + rows
-            if kept_obs is not None:
-                reconcile(MODE_UPDATE, before, stage_rows, after, removed=old_rows - int(kept_obs.get["rows"]))
-            else:
-                reconcile(MODE_FULL, before, expected, after)
-
-        written = self.store.replace_partitions(self.table, new, b, touched, tag, before_switch=update_check)
-        after = before - old_rows + written
-        after_delete = before - old_rows + int(kept_obs.get["rows"]) if kept_obs is not None else None
-        return after, after_delete
-
     def _pk_guard(self, stage: DataFrame, rest: DataFrame | None, mode: str, stage_rows: int | None,
                   null_key_rows: int | None = None) -> None:
         """Refuse a delivery that would break the primary key, before anything is written.
@@ -401,59 +462,47 @@ class GovernedLoad:
         if clash.limit(1).count():
             raise PrimaryKeyViolation(f"the delivery repeats keys {tk} already in {self.table}")
 
-    def _bucket_check(self, target: DataFrame, touched: list[int]):
-        """Primary-key check of a bucketed snapshot before its partitions are switched.
-
-        When the primary key is the delivery key, equal keys share a bucket and
-        only the rewritten buckets can hold new violations; otherwise the
-        untouched buckets' keys are checked together with the new ones.
-        """
-        if not (self.check_primary_key and self.spec.table_key):
-            return None
-        tk = self.spec.table_key
-
-        def check(folder: str, rows: int) -> None:
-            keys = self.spark.read.parquet(folder).select(*tk)
-            if tk != self.spec.column_id:
-                keys = keys.unionByName(target.where(~F.col(BUCKET_COLUMN).isin(touched)).select(*tk))
-            if keys_mod.pk_violations(keys, tk).limit(1).count():
-                raise PrimaryKeyViolation(f"the new snapshot of {self.table} breaks the key {tk}")
-        return check
-
     def _bulk(self, plan: list[dict], before: int) -> list[FileReport]:
-        """Stage and gate every planned delivery, then write one merged snapshot.
+        """Stage and gate every planned delivery, then write one merged segment.
 
         Equivalent to applying the deliveries one by one (see
-        ``operators.modes.merge_deliveries``) but the target is rewritten once
-        instead of once per delivery.  The rows that each file in turn would
-        remove are counted from the keys, and the snapshot must hold what these
-        counts add up to before it is switched in.
+        ``operators.modes.merge_deliveries``) but what they touch is rewritten
+        once instead of once per delivery.  The rows that each file in turn would
+        remove are counted from the keys, and the target must hold what these
+        counts add up to before it is switched.
         """
         staged = [self._stage(i, item, None) for i, item in enumerate(plan)]
-        target = self.store.read(self.table)
+        target, snapshot, keys = self.target.read(), self.target.snapshot(), self.spec.column_id
         deliveries = [(fr.effective_mode, self._conform(st, target)) for fr, st in staged]
-        same_key = self.spec.table_key == self.spec.column_id
+        stages = [st for _, st in deliveries]
+        same_key = self.spec.table_key == keys
         if same_key:
             # one winner per key: each delivery's own NULL/duplicate keys are all that can break it
-            for (fr, _), (mode, st) in zip(staged, deliveries):
+            for (fr, _), st in zip(staged, stages):
                 self._pk_guard(st, None, MODE_FULL, fr.stage_rows, fr.null_key_rows)
         reports = [fr for fr, _ in staged]
         known = [fr.key_bytes for fr in reports]
         key_bytes = None if None in known else sum(known)
         expected = self._count_in_turn(reports, target, deliveries, before)
-        check = None if same_key else self._check()
-
-        def before_switch(path: str, rows: int) -> None:
-            if check:
-                check(path, rows)
-            reconcile(MODE_FULL, before, expected, rows)
 
-        if self.spec.buckets:
-            self._replace_buckets(f"{self.run_id}-bulk", target, deliveries, before, checked=same_key, expected=expected,
-                                  key_bytes=key_bytes)
+        modes = [mode for mode, _ in deliveries]
+        buckets = self._buckets(stages) if self.spec.buckets else None
+        if modes[0] == MODE_FULL:
+            touched, keep, old_rows = snapshot.segments, (), before
+            new = modes_mod.merge_deliveries(target, deliveries, keys, key_bytes)      # the target is not read
+        elif MODE_UPDATE in modes:
+            touched, keep, old_rows = self._touched(snapshot, stages, key_bytes, buckets)
+            old = self.target.rows_of(touched) if touched else target.limit(0)
+            new = modes_mod.merge_deliveries(old, deliveries, keys, key_bytes)
         else:
-            merged = modes_mod.merge_deliveries(target, deliveries, self.spec.column_id, key_bytes)
-            self.store.replace(self.table, merged, before_switch=before_switch)
+            touched, keep, old_rows = (), snapshot.segments, 0
+            new = reduce(DataFrame.unionByName, stages)
+        segment = self.target.write(new, buckets, self.spec.column_stats)
+        if self.check_primary_key and self.spec.table_key and not same_key:
+            self._pk_check(segment, keep)
+        after = before - old_rows + segment.rows
+        reconcile(MODE_FULL, before, expected, after)
+        self.target.switch(segment, keep, after, [self._delivery(i, fr) for i, fr in zip(plan, reports)], self.run_id)
         for fr in reports:  # in the order of their Input_file events
             self._ev("NBRows_before_loading", fr.before)
             if fr.effective_mode == MODE_FULL:
@@ -494,11 +543,13 @@ class GovernedLoad:
             fr.after = rows
         return rows
 
-    def _pk_check(self, path: str, rows: int) -> None:
-        """Primary-key test of a written snapshot, reading the key columns only."""
+    def _pk_check(self, segment: Segment, keep: tuple[Segment, ...]) -> None:
+        """Primary-key test of a written segment together with the kept ones, reading the key columns only."""
         keys = self.spec.table_key
-        bad = keys_mod.pk_violations(self.spark.read.parquet(path).select(*keys), keys).limit(1).count()
-        if bad:
+        both = self.target.written(segment).select(*keys)
+        if keep:
+            both = both.unionByName(self.target.parts(keep).select(*keys))
+        if keys_mod.pk_violations(both, keys).limit(1).count():
             raise PrimaryKeyViolation(f"the new snapshot of {self.table} breaks the key {keys}")
 
 

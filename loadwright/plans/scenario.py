@@ -27,6 +27,7 @@ from loadwright.plans.journal import Journal
 from loadwright.plans.load import run_load
 from loadwright.plans.spec import LoadSpec
 from loadwright.plans.store import TableStore
+from loadwright.plans.target import SEGMENT
 from loadwright.session import scratch_path
 
 CUSTOMER_DDL = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
@@ -44,8 +45,16 @@ def customer_deliveries(customer: DataFrame):
     ]
 
 
-def write_deliveries(customer: DataFrame, in_dir: str) -> None:
-    for file_date, mode, rows, delta, damage in customer_deliveries(customer):
+def append_deliveries(customer: DataFrame):
+    """Deliveries of two runs without a key (each is applied as INST)."""
+    return [
+        ("20200101-000000", "UPDT", customer.where(F.col("c_nationkey") < 10), 0.0, False),
+        ("20200201-000000", "UPDT", customer.where(F.col("c_nationkey") >= 15), 100.0, True),
+    ]
+
+
+def write_deliveries(deliveries, in_dir: str) -> None:
+    for file_date, mode, rows, delta, damage in deliveries:
         nation = F.col("c_nationkey").cast("string")
         if damage:
             nation = F.when(F.col("c_mktsegment") == REJECT_SEGMENT, F.lit("xx")).otherwise(nation)
@@ -55,14 +64,14 @@ def write_deliveries(customer: DataFrame, in_dir: str) -> None:
         rows.select(line.alias("value")).write.text(os.path.join(in_dir, name))
 
 
-def _loaded(spark: SparkSession, sf_dir: str, buckets: int | None, bulk: bool, runs: int):
+def _loaded(spark: SparkSession, sf_dir: str, buckets: int | None, bulk: bool, runs: int, **options):
     root = scratch_path(spark, "governed")
     suffix = os.path.basename(root).rsplit("-", 1)[-1]
     in_dir = f"{root}/IN"
     customer = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet")
-    write_deliveries(customer, in_dir)
+    write_deliveries(customer_deliveries(customer), in_dir)
     spec = LoadSpec("src.base.customer", CUSTOMER_DDL, delimiter="|", column_id="c_custkey",
-                    table_key="c_custkey", custom_table_name=f"CUSTOMER_{suffix}", buckets=buckets)
+                    table_key="c_custkey", custom_table_name=f"CUSTOMER_{suffix}", buckets=buckets, **options)
     store = TableStore(spark, f"{root}/warehouse")
     journal = Journal(store, prefix=f"J{suffix}_")
     for _ in range(runs):
@@ -83,3 +92,25 @@ def governed_customer_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, journal = _loaded(spark, sf_dir, None, False, 1)
     return journal.events().where("SD_EVENT <> 'Table_Creation'").select(
         F.col("SD_EVENT").alias("event"), F.col("SD_EVENT_VALUE").alias("value"))
+
+
+def governed_customer_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target after two runs over one folder, a delivery arriving before each; ``segment`` is the load a row was written by."""
+    root = scratch_path(spark, "appended")
+    suffix = os.path.basename(root).rsplit("-", 1)[-1]
+    customer = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet")
+    spec = LoadSpec("src.base.customer", CUSTOMER_DDL, delimiter="|", custom_table_name=f"APPENDED_{suffix}")
+    store = TableStore(spark, f"{root}/warehouse")
+    journal = Journal(store, prefix=f"J{suffix}_")
+    for delivery in append_deliveries(customer):
+        write_deliveries([delivery], f"{root}/IN")
+        run_load(spark, spec, f"{root}/IN", store, journal, run_ts=RUN_TS, skip_applied=True)
+    target = store.target(spec.table_name)
+    return target.parts(target.snapshot().segments).withColumn(
+        "segment", F.element_at(F.split(SEGMENT, "-"), 1).cast("int")).drop(SEGMENT)
+
+
+def governed_customer_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column statistics of the bucketed customer load, merged from its segments."""
+    store, spec, _ = _loaded(spark, sf_dir, 4, False, 1, column_stats=True)
+    return store.target(spec.table_name).column_statistics().drop("n_distinct").where(~F.col("column_name").startswith("METADATA"))

@@ -37,7 +37,8 @@ class LoadSpec:
     custom_table_name: str | None = None
     pad_short_rows: bool = True
     analyze: bool = True                   # gather table statistics after each run (size, no scan)
-    analyze_scan: bool = False             # also count rows by reading the whole target
+    analyze_scan: bool = False             # also count the rows of live segments by reading them
+    column_stats: bool = False             # nulls, extremes and distinct counts per column, taken on each write
     buckets: int | None = None             # hash-partition the target by the delivery key
     keep_stage: bool = False               # keep the staging folder after a successful run
     line_sep: str | None = None            # line separator when not \n, \r\n or \r

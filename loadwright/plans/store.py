@@ -1,29 +1,21 @@
-"""Target tables as catalog tables over versioned Parquet snapshots.
-
-Plain Parquet tables refuse ``DELETE`` and ``MERGE``, and overwriting the path
-a query is reading loses its input.  So every load writes the new content to
-a fresh folder ``<root>/<TABLE>/v=<n>`` and then points the catalog table at
-it with ``ALTER TABLE .. SET LOCATION``.  A failure before the switch leaves
-the previous version in place, which fixes the original's "truncate, then
-insert" window where a failed insert left an empty table.  One writer per
-table is assumed.
-
-Append-only tables (rejected lines, run journal) live in one folder each and
-grow with ``INSERT INTO``.
+"""Catalog tables below one root folder.
+
+Targets are segments behind a view that is switched in one call (see
+:mod:`loadwright.plans.target`).  Append-only tables (rejected lines, run
+journal, ledgers) live in one folder each and grow with ``INSERT INTO``.
 """
 
 from __future__ import annotations
 
-import os
 import re
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from loadwright.functions.tokens import as_struct
+from loadwright.plans.target import Snapshot, TargetTable
 
-_VERSION = re.compile(r"/v=(\d+)/?$")
 _COMPACTED = re.compile(r"\.c(\d+)$")
 
 
@@ -32,6 +24,7 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.database = database
+        self._targets: dict[str, TargetTable] = {}
 
     def qualified(self, name: str) -> str:
         return f"{self.database}.{name}" if self.database else name
@@ -39,22 +32,24 @@ class TableStore:
     def exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(self.qualified(name))
 
-    def _create(self, name: str, schema: StructType, location: str, partition_col: str | None = None) -> None:
+    def _create(self, name: str, schema: StructType, location: str) -> None:
         """Declare an empty table: one catalog call, no Spark job.
 
         The folder appears with the first write; until then the table reads as empty.
         """
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        parts = f" PARTITIONED BY (`{partition_col}`)" if partition_col else ""
-        self.spark.sql(f"CREATE TABLE {self.qualified(name)} ({cols}) USING parquet{parts} "
-                       f"LOCATION '{location}'")
+        self.spark.sql(f"CREATE TABLE {self.qualified(name)} ({cols}) USING parquet LOCATION '{location}'")
 
-    def ensure_versioned(self, name: str, schema: str | StructType) -> bool:
-        """Create an empty versioned table when absent; True when created."""
-        if self.exists(name):
-            return False
-        self._create(name, as_struct(schema), self.version_path(name, 0))
-        return True
+    def target(self, name: str) -> TargetTable:
+        """The target of that name (see ``TargetTable.ensure``); target names are upper case."""
+        name = name.upper()
+        return self._targets.setdefault(name, TargetTable(self, name))
+
+    def snapshot(self, name: str) -> Snapshot:
+        return self.target(name).snapshot()
+
+    def version(self, name: str) -> int:
+        return self.snapshot(name).version
 
     def ensure_append(self, name: str, schema: str | StructType) -> bool:
         if self.exists(name):
@@ -62,102 +57,28 @@ class TableStore:
         self._create(name, as_struct(schema), f"{self.root}/{name}")
         return True
 
-    def version_path(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/v={version:06d}"
-
     def location(self, name: str) -> str:
         rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.qualified(name)}").where(
             F.col("col_name") == "Location").collect()
         return rows[0]["data_type"]
 
-    def version(self, name: str) -> int:
-        m = _VERSION.search(self.location(name))
-        return int(m.group(1)) if m else 0
-
     def read(self, name: str) -> DataFrame:
         return self.spark.table(self.qualified(name))
 
-    def replace(self, name: str, df: DataFrame, before_switch=None) -> int:
-        """Write ``df`` as the next version, switch the table to it, return its row count.
-
-        The count comes from an ``Observation`` on the write itself, so the new
-        snapshot is not read again to be counted; observations attached to
-        sub-plans of ``df`` are filled by the same job.  ``before_switch(path, rows)``
-        may inspect the written snapshot and raise to keep the old version.
-        """
-        target = self.version_path(name, self.version(name) + 1)
-        obs = Observation(f"{name}_write_{os.path.basename(target)}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(target)
-        rows = int(obs.get["rows"])
-        if before_switch is not None:
-            before_switch(target, rows)
-        self.spark.sql(f"ALTER TABLE {self.qualified(name)} SET LOCATION '{target}'")
-        self.spark.sql(f"REFRESH TABLE {self.qualified(name)}")
-        return rows
-
-    def ensure_bucketed(self, name: str, schema: str | StructType, bucket_col: str) -> bool:
-        """Create an empty table partitioned by ``bucket_col`` when absent; True when created."""
-        if self.exists(name):
-            return False
-        self._create(name, as_struct(schema), f"{self.root}/{name}/base", partition_col=bucket_col)
-        return True
-
-    def partitions(self, name: str, bucket_col: str) -> set[int]:
-        rows = self.spark.sql(f"SHOW PARTITIONS {self.qualified(name)}").collect()
-        return {int(r[0].split("=", 1)[1]) for r in rows if r[0].startswith(bucket_col + "=")}
-
-    def replace_partitions(self, name: str, df: DataFrame, bucket_col: str, touched: list[int],
-                           tag: str, drop_others: bool = False, before_switch=None) -> int:
-        """Write the new content of the ``touched`` buckets and point those partitions at it.
-
-        Untouched buckets are neither read nor rewritten.  The new files go to a
-        fresh folder; each touched partition is switched with ``ALTER TABLE ..
-        PARTITION .. SET LOCATION`` (one catalog call per bucket, no data moved).
-        The switch is per bucket: if the job dies between two calls, the run is
-        left unfinished in the journal and re-running the same UPDT completes it.
-        ``drop_others`` (FULL) drops every partition not written.
-        """
-        folder = f"{self.root}/{name}/run={tag}"
-        obs = Observation(f"{name}_write_{tag}")
-        (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-         .hint("rebalance", bucket_col)              # AQE splits a hot bucket over several tasks
-         .write.mode("errorifexists").partitionBy(bucket_col).parquet(folder))
-        rows = int(obs.get["rows"])
-        if before_switch is not None:
-            before_switch(folder, rows)
-        # every touched bucket holds at least one staged row, so each has a folder
-        existing = self.partitions(name, bucket_col)
-        written = set(touched)
-        for b in sorted(written):
-            path = f"{folder}/{bucket_col}={b}"
-            spec = f"PARTITION (`{bucket_col}` = {b})"
-            if b in existing:
-                self.spark.sql(f"ALTER TABLE {self.qualified(name)} {spec} SET LOCATION '{path}'")
-            else:
-                self.spark.sql(f"ALTER TABLE {self.qualified(name)} ADD {spec} LOCATION '{path}'")
-        stale = (existing - written) if drop_others else set()
-        for b in sorted(stale):
-            self.spark.sql(f"ALTER TABLE {self.qualified(name)} DROP IF EXISTS PARTITION (`{bucket_col}` = {b})")
-        self.spark.sql(f"REFRESH TABLE {self.qualified(name)}")
-        return rows
-
     def drop_folder(self, path: str) -> None:
         """Remove a folder that no table points at (a stage, an old version)."""
         jvm = self.spark._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
-    def vacuum(self, name: str, keep: int = 2) -> list[int]:
-        """Remove old versions of a versioned table, all but the newest ``keep``; return their numbers."""
-        last = self.version(name)
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+    def folders(self, path: str) -> list[str]:
+        """Names of what lies in a folder; empty when there is none."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
-        found = sorted(int(m.group(1)) for m in (re.fullmatch(r"v=(\d+)", n) for n in names) if m)
-        old = [v for v in found if v <= last][:-max(1, keep)]
-        for v in old:
-            self.drop_folder(self.version_path(name, v))
-        return old
+        return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+    def vacuum(self, name: str, keep: int = 2) -> list[int]:
+        return self.target(name).vacuum(keep)
 
     def append(self, name: str, df: DataFrame) -> None:
         df.write.insertInto(self.qualified(name))
@@ -179,19 +100,3 @@ class TableStore:
         self.spark.sql(f"ALTER TABLE {self.qualified(name)} SET LOCATION '{folder}'")
         self.spark.sql(f"REFRESH TABLE {self.qualified(name)}")
         return folder
-
-    def analyze(self, name: str, scan: bool = False, columns: bool = False) -> None:
-        """Table statistics for the optimizer.
-
-        By default only the size (``NOSCAN``: taken from the file listing, no
-        data read), which is what Spark's join planning uses.  ``scan`` also
-        counts the rows and ``columns`` adds column statistics; both read the
-        whole table, so on a very large target they belong in housekeeping.
-        """
-        if columns:
-            extra = " FOR ALL COLUMNS"
-        elif scan:
-            extra = ""
-        else:
-            extra = " NOSCAN"
-        self.spark.sql(f"ANALYZE TABLE {self.qualified(name)} COMPUTE STATISTICS{extra}")

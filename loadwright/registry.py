@@ -177,9 +177,11 @@ def write_orders_text(spark, sf_dir, files: int = 16) -> str:
 
 def q_skip_lines(spark, sf_dir):
     path = write_orders_text(spark, sf_dir)
-    lines = ts.read_lines(spark, path, with_position=True)
-    body = ts.skip_lines(lines, len(TEXT_HEADINGS))
-    return ts.good_rows(ts.parse_delimited(body, ORDERS_DDL, "|"), ORDERS_DDL)
+    parsed = ts.parse_delimited(ts.read_lines(spark, path, with_position=True), ORDERS_DDL, "|")
+    stage = scratch_path(spark, "orders-stage")
+    parsed.drop(ts.LINE, ts.REASON).write.parquet(stage)        # the one scan of the text
+    flagged = ts.flag_headings(spark.read.parquet(stage), len(TEXT_HEADINGS))
+    return ts.good_rows(flagged.where(~F.col(ts.HEADING)), ORDERS_DDL)
 
 
 def _supplier_csv(spark, sf_dir) -> DataFrame:
@@ -499,6 +501,20 @@ def q_governed_load_twice(spark, sf_dir):
     return governed_customer_load(spark, sf_dir, runs=3)
 
 
+def q_governed_load_append(spark, sf_dir):
+    """Two runs of deliveries without a key: each row with the segment it was written in, which later loads leave as it is."""
+    from loadwright.plans.scenario import governed_customer_append
+
+    return governed_customer_append(spark, sf_dir)
+
+
+def q_load_column_statistics(spark, sf_dir):
+    """Merged statistics of the loaded target (its exact part; the distinct counts are estimates)."""
+    from loadwright.plans.scenario import governed_customer_statistics
+
+    return governed_customer_statistics(spark, sf_dir)
+
+
 def q_governed_load_journal(spark, sf_dir):
     """Events of a governed load, but for the one that names its (unique) table."""
     from loadwright.plans.scenario import governed_customer_journal
@@ -549,7 +565,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "governed_load": q_governed_load,
     "governed_load_bucketed": q_governed_load_bucketed,
     "governed_load_twice": q_governed_load_twice,
+    "governed_load_append": q_governed_load_append,
     "governed_load_journal": q_governed_load_journal,
+    "load_column_statistics": q_load_column_statistics,
     "regression_points": q_regression_points,
 }
 

@@ -1,17 +1,16 @@
 """Delivery files: listing, name parsing, and the choice of files to apply.
 
 Plan rule (per delivery object):
-  * the newest FULL is applied first -- newest by ``(file_date, file_name)``;
-    older FULL files are not applied
+  * the newest FULL is applied first -- newest by ``(file_date, file_name, path)``,
+    so of equally named ones in two folders it is one; no other FULL is applied
   * then every UPDT whose file date is strictly later than that FULL's date,
-    in ``(file_date, file_name)`` order
+    in ``(file_date, file_name, path)`` order
   * with no FULL, every UPDT is applied
   * other modes are never applied; every file not in the plan is reported
 
 All of it is DataFrame work: the newest FULL per object is a partial
-aggregate (``max`` of a struct), joined back to the names.  Only the final,
-ordered plan of file names -- metadata, never rows -- is returned to the
-driver by :func:`plan_list`.
+aggregate (``max`` of a struct), joined back to the names.  Only the files to
+apply -- metadata, never rows -- are returned to the driver, by :func:`plan_list`.
 """
 
 from __future__ import annotations
@@ -87,16 +86,14 @@ def plan_deliveries(names: DataFrame, keys=None, by: list[str] | None = None) ->
 
     by = list(by or [])
     fulls = names.where(F.col("load_mode") == MODE_FULL)
-    newest_full = F.max(F.struct("file_date", "file_name"))
+    newest_full = F.max(F.struct("file_date", "file_name", "path"))
     if by:
         joined = names.join(fulls.groupBy(*by).agg(newest_full.alias("_full")), by, "left")
     else:
         # a single object: the newest FULL is a scalar subquery
         joined = names.withColumn("_full", fulls.select(newest_full).scalar())
     full_date = F.col("_full.file_date")
-    full_name = F.col("_full.file_name")
-    is_newest_full = (F.col("load_mode") == MODE_FULL) & (F.col("file_name") == full_name) & (
-        F.col("file_date") == full_date)
+    is_newest_full = (F.col("load_mode") == MODE_FULL) & (F.col("path") == F.col("_full.path"))
     later_update = (F.col("load_mode") == MODE_UPDATE) & (
         full_date.isNull() | (F.col("file_date") > full_date))
     update_mode = MODE_UPDATE if parse_keys(keys) else MODE_INSERT
@@ -121,4 +118,4 @@ def plan_list(plan: DataFrame) -> list[dict]:
     a global sort, which would cost a sampling job.
     """
     rows = [r.asDict() for r in plan.collect()]
-    return sorted(rows, key=lambda r: (r["file_date"] is not None, r["file_date"] or "", r["file_name"]))
+    return sorted(rows, key=lambda r: (r["file_date"] is not None, r["file_date"] or "", r["file_name"], r["path"]))

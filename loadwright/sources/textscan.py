@@ -22,7 +22,7 @@ Casting uses ``try_cast``, so ANSI mode never fails the job on bad input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import CharType, StructType, VarcharType
 
@@ -30,6 +30,7 @@ from loadwright.functions.tokens import (
     as_struct, cast_failed, fixed_width_starts, null_if_blank, null_if_empty,
     parse_widths, split_fields, sql_ident, sql_string, typed,
 )
+from loadwright.session import scratch_path
 
 LINE = "_line"
 STATUS = "_status"
@@ -74,26 +75,40 @@ def skip_lines(lines: DataFrame, n: int) -> DataFrame:
 def mark_headings(lines: DataFrame, n: int) -> DataFrame:
     """Flag the first ``n`` lines of every file in a ``_heading`` column.
 
-    The first ``n`` lines of a file sit at the start of its first split
-    (``_block = 0``), and row ids grow along a split, so per file the lines
-    with ids below ``min(id of first split) + n`` are the ones to drop.  The
-    per-file minimum reads first splits only and is one row per file; AQE picks
-    the join from its measured size.  A file whose first split holds fewer than
-    ``n`` lines while it goes on in another fails the job: its headings could
-    not be told apart (raise ``spark.sql.files.maxPartitionBytes``).
+    Which lines of a split are headings depends on how many lines the splits
+    before it hold.  So the lines are written to the scratch folder once (the
+    only scan of the text) and flagged there; where lines are staged anyway,
+    :func:`flag_headings` on the written stage needs no copy.
     """
     if n <= 0:
         return lines.withColumn(HEADING, F.lit(False))
-    missing = {FILE, BLOCK, ROW_ID} - set(lines.columns)
-    if missing:
+    _need_position(lines)
+    path = scratch_path(lines.sparkSession, "lines")
+    lines.write.parquet(path)
+    return flag_headings(lines.sparkSession.read.schema(lines.schema).parquet(path), n)
+
+
+def flag_headings(written: DataFrame, n: int) -> DataFrame:
+    """``_heading`` for rows that were written with their position (``read_lines(with_position=True)``).
+
+    Row ids are consecutive along a split.  Line counts per split and their
+    running sum per file tell where in which splits the headings end, however
+    many splits they cover; both read the three position columns only.  One row
+    for each split that holds headings is joined back (AQE broadcasts these by
+    their measured size).
+    """
+    _need_position(written)
+    splits = written.groupBy(FILE, BLOCK).agg(F.min(ROW_ID).alias("_least"), F.count(F.lit(1)).alias("_lines"))
+    before = F.coalesce(F.sum("_lines").over(Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cuts = splits.withColumn("_before", before).where(F.col("_before") < n).select(
+        F.col(FILE).alias("_cut_file"), F.col(BLOCK).alias("_cut_block"), (F.col("_least") + F.lit(n) - F.col("_before")).alias("_cut"))
+    joined = written.join(cuts, (F.col(FILE) == F.col("_cut_file")) & (F.col(BLOCK) == F.col("_cut_block")), "left")
+    return joined.select(*written.columns, F.coalesce(F.col(ROW_ID) < F.col("_cut"), F.lit(False)).alias(HEADING))
+
+
+def _need_position(lines: DataFrame) -> None:
+    if missing := {FILE, BLOCK, ROW_ID} - set(lines.columns):
         raise ValueError(f"skip_lines needs read_lines(..., with_position=True); missing {missing}")
-    firsts = lines.where(F.col(BLOCK) == 0).groupBy(FILE).agg(
-        F.min(ROW_ID).alias("_first"), F.count(F.lit(1)).alias("_have"))
-    beyond = F.raise_error(F.concat(F.lit("heading lines reach beyond the first split of "), F.col(FILE)))
-    heading = (F.when(F.col(BLOCK) == 0, F.col(ROW_ID) < F.col("_first") + F.lit(n))
-               .when(F.col("_have") < n, beyond.cast("boolean")).otherwise(F.lit(False)))
-    joined = lines.join(firsts, FILE, "left").select(*lines.columns, "_first", "_have")
-    return joined.withColumn(HEADING, heading).drop("_first", "_have")
 
 
 def _evaluate_once(df: DataFrame, fields: dict[str, str]) -> DataFrame:

@@ -13,10 +13,9 @@ Notes:
   * after a restart the last micro-batch may be replayed.  Each batch runs
     as process ``GOVERNED_LOAD_STREAM_<stream>_<batch id>`` (``<stream>``
     names the checkpoint), and a batch whose run already finished in the
-    journal is skipped, so a replay appends nothing twice, INST included.
-    A run that died before finishing is run again: its FULL and UPDT
-    deliveries give the same table, an INST delivery already switched in
-    by it would be appended again
+    journal is skipped.  A run that died before finishing is run again, and
+    leaves out the deliveries that the target's ledger shows as applied, so a
+    replay appends nothing twice, INST included
 """
 
 from __future__ import annotations
@@ -59,7 +58,7 @@ def watch_deliveries(spark: SparkSession, spec: LoadSpec, in_folder: str, store:
         listing = group_delivery_files(batch)
         if listing.isEmpty():
             return
-        load = GovernedLoad(batch.sparkSession, spec, store, journal, run_ts, process=process)
+        load = GovernedLoad(batch.sparkSession, spec, store, journal, run_ts, process=process, skip_applied=True)
         reports.append(load.run_listing(listing))
 
     writer = files.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)

@@ -155,7 +155,7 @@ def test_bucketed_target_rewrites_only_touched_buckets(spark, tmp_path):
                         custom_table_name=table, buckets=buckets)
         run_load(spark, spec, str(inbox), store, Journal(store, prefix=f"JK{buckets or 0}_"), run_ts=RUN_TS)
         if buckets:
-            locations_before = {r[0]: r for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+            locations_before = {r[0]: r for r in spark.sql(f"SHOW PARTITIONS {store.target(table).parts_name}").collect()}
             assert len(locations_before) == 16
         results[buckets] = table_rows(store, table)
     assert [r[:3] for r in results[None]] == [r[:3] for r in results[16]]
@@ -172,12 +172,12 @@ def test_bucketed_target_rewrites_only_touched_buckets(spark, tmp_path):
         assert (fr.before, fr.after_delete, fr.after) == (200, 199, 201)
         results[buckets] = table_rows(store, table)
     assert results[None] == [r for r in results[16]]
-    # only the buckets of keys 7 and 300 point at the new run folder
+    # only the buckets of keys 7 and 300 are in the new segment
     store = TableStore(spark, str(tmp_path / "wh16"))
     files = spark.table("BKT_16").select(F.input_file_name().alias("f")).distinct().collect()
-    rewritten = {f.f.split("/run=")[1].split("/")[0] for f in files if "/run=" in f.f}
-    assert len(rewritten) == 2                   # the FULL folder and this run's folder
-    new_buckets = {f.f.split("_bucket=")[1].split("/")[0] for f in files if rep.run_id and f"run={rep.run_id}-" in f.f}
+    segments = {f.f.split("/_segment=")[1].split("/")[0] for f in files}
+    assert sorted(int(s.split("-")[0]) for s in segments) == [1, 2]
+    new_buckets = {f.f.split("_bucket=")[1].split("/")[0] for f in files if "/_segment=000002-" in f.f}
     assert 1 <= len(new_buckets) <= 2
 
 
@@ -306,10 +306,12 @@ def test_statistics_are_size_only_unless_a_scan_is_asked_for(spark, env, scan):
     spec = LoadSpec("src.base.acct", COLS, delimiter="|", column_id="id", custom_table_name=table,
                     analyze_scan=scan)
     run_load(spark, spec, str(inbox), store, journal, run_ts=RUN_TS)
-    stats = [r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-             if r.col_name == "Statistics"]
-    assert stats and "bytes" in stats[0]
-    assert ("3 rows" in stats[0]) == scan
+    target = store.target(table)
+    described = lambda more: [r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target.parts_name} {more}").collect()
+                              if r.col_name in ("Statistics", "Partition Statistics")]
+    assert "bytes" in described("")[0]
+    segment = target.snapshot().segments[0].name
+    assert any("3 rows" in d for d in described(f"PARTITION (_segment = '{segment}')")) == scan
 
 
 def test_key_gate_shortcut_needs_the_same_key_type_in_stage_and_target(spark, env):

@@ -94,19 +94,26 @@ def test_over_long_values_are_rejected(spark):
     assert got[2][ts.STATUS] == ts.REJECTED and "longer than varchar(3)" in got[2][ts.REASON]
 
 
-def test_headings_beyond_the_first_split_fail(spark, tmp_path):
-    (tmp_path / "x").write_text("H1\nH2\n" + "".join(f"{i}|row\n" for i in range(50)))
+@pytest.mark.parametrize("split_bytes", ["9", "1m"])
+def test_headings_over_splits(spark, tmp_path, split_bytes):
+    """Headings longer than a split, several files, a short one and an empty one; the text is scanned once."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a").write_text("H1\nH2\nH3 is longer\n" + "".join(f"{i}|a\n" for i in range(40)))
+    (folder / "b").write_text("H1\nH2\nH3\n1|b\n")
+    (folder / "c").write_text("H1\nH2\n")
+    (folder / "d").write_text("")
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
     try:
-        spark.conf.set(key, "2")
-        lines = ts.read_lines(spark, str(tmp_path / "x"), with_position=True)
-        with pytest.raises(Exception, match="heading lines reach beyond"):
-            ts.skip_lines(lines, 2).count()
-        spark.conf.set(key, "16")
-        assert ts.skip_lines(ts.read_lines(spark, str(tmp_path / "x"), with_position=True), 2).count() == 50
+        spark.conf.set(key, split_bytes)
+        body = ts.skip_lines(ts.read_lines(spark, str(folder), with_position=True), 3)
+        assert sorted(r["value"] for r in body.collect()) == sorted([f"{i}|a" for i in range(40)] + ["1|b"])
+        assert "FileScan text" not in body._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set(key, before)
+    with pytest.raises(ValueError):
+        ts.skip_lines(ts.read_lines(spark, str(folder)), 3)
 
 
 def test_classes_of_any_type(spark):
