@@ -256,6 +256,43 @@ def test_op5_solver_is_near_the_bound():
     assert (held == counts).all() and used <= 1.002 * (counts * np.arange(1025)).sum() / 1024 + 2
 
 
+@pytest.mark.parametrize("name,counts,best", [
+    ("size order loses", {401: 1000, 311: 2000}, 1000), ("three of four", {512: 3000, 340: 3000, 172: 3000}, 3000),
+    ("quarters", {700: 600, 324: 400, 162: 400, 500: 400, 262: 800}, None)])
+def test_op5_weights_come_near_the_dual_bound(name, counts, best):
+    need = np.zeros(1025, np.int64)
+    for k, n in counts.items():
+        need[k] = n
+    cover = packing.fractional_cover(need, 1024)
+    used, plain = packing.sequences(packing.solve(need)), packing.sequences(packing.best_fit_decreasing(need, 1024))
+    assert (need @ np.arange(1025)) / 1024 - 1e-9 <= cover.bound <= used <= plain
+    assert used <= 1.01 * cover.bound + len(cover.columns)
+    if best:
+        assert cover.bound <= best <= used <= 1.01 * best
+    if name == "size order loses":
+        assert plain > 1.1 * used
+    held = Counter()
+    for config, n in packing.solve(need):
+        assert sum(k * c for k, c in config.items()) <= 1024
+        held.update({k: c * n for k, c in config.items()})
+    assert held == Counter({k: n for k, n in counts.items() if n})
+
+
+def test_op5_rate_moves_the_prices():
+    need = np.zeros(1025, np.int64)
+    need[[600, 424, 300, 200]] = [500, 300, 800, 900]
+    size = np.arange(1025) / 1024
+    seen = {rate: packing.fractional_cover(need, 1024, rounds=40, rate=rate) for rate in (0.0, 2.0, 8.0)}
+    moved = {rate: np.ptp((c.prices / size.clip(1e-9))[c.prices > 0]) for rate, c in seen.items()}
+    assert moved[0.0] < 1e-9 and min(moved[2.0], moved[8.0]) > 0.01
+
+
+def test_op5_weights_beat_best_fit_on_many_lengths():
+    lengths = np.random.default_rng(0).integers(300, 520, 50_000)
+    need = np.bincount(lengths, minlength=1025)
+    assert packing.sequences(packing.solve(need)) < 0.985 * packing.sequences(packing.best_fit_decreasing(need, 1024))
+
+
 def test_op6_balance_and_slots(spark, odd, words):
     rows = odd[:8] + [(1000, "same text of a hot group", "en", "hot")] * 400 + [(2000 + i, words(20 + i % 50), None, f"s{i % 7}") for i in range(800)]
     got = kdshard.assign(frame(spark, rows), shards=6).collect()
@@ -384,6 +421,60 @@ def test_op9_a_large_junk_share_does_not_lift_its_own_limit(spark, junk):
     assert [d for d, r in got.items() if not r.kept and d >= junk] == []
 
 
+@pytest.mark.parametrize("junk", [0.15, 0.4])
+def test_op9_limits_follow_their_group_where_the_median_is_zero(spark, junk):
+    """Most documents have no symbol; normal levels differ between two sources, and both hold junk."""
+    rng = random.Random(int(junk * 100))
+    rows, bad = [], set()
+    for source, share in (("rare", 0.05), ("often", 0.3)):
+        for i in range(400):
+            doc = len(rows)
+            words = [f"{'abcdefgh'[k % 8]}{rng.randrange(10_000)}" for k in range(60)]
+            if i < junk * 400:
+                words = [w + "$%#" for w in words]
+                bad.add(doc)
+            elif rng.random() < share:
+                words[3] += "&"
+            rows.append((doc, " ".join(words), "en", source))
+    docs = frame(spark, rows)
+    got = {r.doc_id: r for r in quality.judge(docs).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {d for d, r in got.items() if not r.kept} == bad
+    limits = {r.source: r for r in quality.thresholds(quality.measured(docs)).collect()}
+    assert limits["often"].symbols_high > 1.1 * limits["rare"].symbols_high > 0
+
+
+def test_op9_thresholds_of_the_corpus_differ_and_follow_the_quantiles(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = quality.measured(docs)
+    limits = quality.thresholds(rows).collect()
+    assert len(limits) > 50
+    for r in quality.RATIOS:
+        assert len({round(x[f"{r}_high"], 6) for x in limits}) > len(limits) / 2
+    good = [r for r in rows.collect() if r.n_words >= 20 and 100 * r.n_repeat_words <= 30 * r.n_words]
+    by = defaultdict(list)
+    for r in good:
+        by[r.lang, r.source].append(r)
+        by[r.lang].append(r)
+        by[None].append(r)
+
+    def exact(rows, value):
+        low, mid, high = (np.quantile([value(r) for r in rows], q, method="inverted_cdf") for q in (0.1, 0.5, 0.9))
+        return mid, min(high - mid, 2 * (mid - low))
+
+    def drawn(n, own, parent):
+        return (n * own + quality.SHRINK * parent) / (n + quality.SHRINK)
+
+    length = lambda r: r.word_chars / r.n_words
+    mid0, up0 = exact(by[None], length)
+    up0 = drawn(len(good), up0, quality.PRIOR["up"])
+    for x in limits:
+        mid1, up1 = (drawn(len(by[x.lang]), own, parent) for own, parent in zip(exact(by[x.lang], length), (mid0, up0)))
+        mid2, up2 = (drawn(x.n, own, parent) for own, parent in zip(exact(by[x.lang, x.source], length), (mid1, up1)))
+        assert x.n == len(by[x.lang, x.source])
+        assert x.word_length_mid == pytest.approx(mid2, abs=0.03) and x.word_length_high == pytest.approx(mid2 + quality.SPREAD * up2, abs=0.5)
+
+
 def test_op10_patterns_and_chain(spark, odd):
     rng = random.Random(10)
     for alphabet in ("a.@- 1", "0123456789.  +-()", "a@b.c.d@@"):
