@@ -152,16 +152,17 @@ def _suffixes(test: TestSet) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _shards(batches: Iterator[pa.RecordBatch], vocab: dict[bytes, int], limit: int):
-    """(keys, earlier state, ids, starts, lengths) of shards with about ``limit`` words."""
-    keys, states, parts, lengths, size = [], [], [], [], 0
+    """(keys, earlier state, ids, starts, lengths) of shards with about ``limit`` words; keys keep their Arrow type."""
+    keys, states, parts, lengths, size, kind = [], [], [], [], 0, pa.int64()
     get = vocab.get
 
     def shard():
         ids = np.concatenate([np.concatenate([p, [0]]) for p in parts])
         ends = np.cumsum(np.array(lengths) + 1)
-        return list(keys), list(states), ids, ends - np.array(lengths) - 1, np.array(lengths)
+        return pa.array(keys, kind), list(states), ids, ends - np.array(lengths) - 1, np.array(lengths)
 
     for b in batches:
+        kind = b.column(0).type
         before = b.column(2).to_pylist() if b.num_columns > 2 else [None] * b.num_rows
         for key, text, state in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), before):
             w = words_of(text)
@@ -212,7 +213,7 @@ def _mark(test: TestSet, limit: int):
                     items[d].update(test.owners[w])
             out = [{"n_words": int(n), "n_hit": int(bits[d].sum()) if d in bits else 0, "items": sorted(items.get(d, ())),
                     "hit_bits": np.packbits(bits[d]).tobytes() if d in bits else None} for d, n in enumerate(lengths)]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, _ARROW)], ["doc_id", "state"])
+            yield pa.RecordBatch.from_arrays([keys, pa.array(out, _ARROW)], ["doc_id", "state"])
 
     return run
 
@@ -233,7 +234,7 @@ def _longest(test: TestSet, limit: int):
             doc = _doc_of(starts, at)
             yield pa.RecordBatch.from_arrays([
                 pa.array([test.items[i][0] for i in item[got]], pa.string()), pa.array(place[got], pa.int64()),
-                pa.array(same[got], pa.int64()), pa.array([keys[d] for d in doc], pa.int64()),
+                pa.array(same[got], pa.int64()), keys.take(pa.array(doc, pa.int64())),
                 pa.array(at - starts[doc] if len(got) else at, pa.int64())], ["item_id", "item_at", "n_words", "doc_id", "doc_at"])
 
     return run
@@ -250,27 +251,30 @@ def _test_sets(benchmark: DataFrame, window: int, pass_chars: int) -> list[TestS
 
 
 def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS,
-                       pass_chars: int = PASS_CHARS) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items array<string>) per row of ``docs``.
+                       pass_chars: int = PASS_CHARS, key: str = "long") -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, items array<string>) per row of ``docs``; ``key`` is the id's type.
 
     A benchmark beyond ``pass_chars`` characters is searched in several passes;
     each takes over the hit words and items of the one before.
     """
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    keyed = docs.select(F.col("doc_id").cast(key).alias("doc_id"), "text")
     sets = _test_sets(benchmark, window, pass_chars)
-    if not sets:
-        n = F.udf(lambda t: len(words_of(t)), "long")
-        return keyed.select("doc_id", n("text").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
-                            F.lit(0).cast("long").alias("n_items"), F.array().cast("array<string>").alias("items"))
-    if len(sets) == 1:
-        state = map_batches(keyed, ["doc_id", "text"], f"doc_id long, state {_STATE}", _mark(sets[0], shard_words))
+    if len(sets) <= 1:
+        state = map_batches(keyed, ["doc_id", "text"], f"doc_id {key}, state {_STATE}", _mark(sets[0], shard_words) if sets else _counted)
     else:
-        state = _passes(keyed, sets, shard_words)
+        state = _passes(keyed, sets, shard_words, key)
     return state.select("doc_id", "state.n_words", "state.n_hit", F.size("state.items").cast("long").alias("n_items"),
                         F.col("state.items").alias("items"))
 
 
-def _passes(keyed: DataFrame, sets: list[TestSet], shard_words: int) -> DataFrame:
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Word counts alone, for a benchmark without any window."""
+    for b in batches:
+        out = [{"n_words": len(words_of(t)), "n_hit": 0, "items": [], "hit_bits": None} for t in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, _ARROW)], ["doc_id", "state"])
+
+
+def _passes(keyed: DataFrame, sets: list[TestSet], shard_words: int, key: str) -> DataFrame:
     """Search pass after pass; rows keep their text and state in a written table between them."""
     rows = keyed.select("doc_id", "text", F.lit(None).cast(_STATE).alias("state"))
     for test in sets:
@@ -286,7 +290,7 @@ def _passes(keyed: DataFrame, sets: list[TestSet], shard_words: int) -> DataFram
                 texts, kept[:] = kept[:out.num_rows], kept[out.num_rows:]
                 yield pa.RecordBatch.from_arrays([out.column(0), pa.array(texts, pa.string()), out.column(1)], ["doc_id", "text", "state"])
 
-        rows = settle(map_batches(rows, ["doc_id", "text", "state"], f"doc_id long, text string, state {_STATE}", run), "decontam-pass")
+        rows = settle(map_batches(rows, ["doc_id", "text", "state"], f"doc_id {key}, text string, state {_STATE}", run), "decontam-pass")
     return rows.select("doc_id", "state")
 
 
@@ -319,11 +323,11 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WIN
     """``docs`` without the rows that hold a test window.
 
     Contamination follows from the text alone, so it is looked up by the text's
-    own hash: rows with equal or no ``doc_id`` are told apart.
+    own SHA-256: rows with equal or no ``doc_id`` are told apart.
     """
     key = fresh("_text_key", docs.columns)
-    sha = F.sha2(F.coalesce("text", F.lit("")), 256)
-    marked = docs.withColumn(key, F.xxhash64(sha))
-    asked = docs.select(F.xxhash64(sha).alias("doc_id"), "text")
-    bad = contaminated_words(asked, benchmark, window).where("n_hit > 0").select("doc_id").distinct()
+    sha = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    marked = docs.withColumn(key, sha)
+    asked = docs.select(sha.alias("doc_id"), "text")
+    bad = contaminated_words(asked, benchmark, window, key="binary").where("n_hit > 0").select("doc_id").distinct()
     return marked.join(bad, marked[key] == bad["doc_id"], "left_anti").drop(key)

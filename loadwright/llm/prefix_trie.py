@@ -266,8 +266,10 @@ def trie(conversations: DataFrame) -> DataFrame:
 
     first = later.where("block = 0").agg(F.coalesce(F.sum(F.col("all") + F.col("before_all")), zero).alias("saved"), F.coalesce(F.sum(F.col("leaf") + F.col("before_leaf")), zero).alias("leaves"))
     everyone = convs.agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n")).where("n > 0")
-    root = everyone.crossJoin(first).select(  # one row each
-        *(zero.alias(c) for c in ("k1", "k2", "u1", "u2", "depth")), "conv_id", "n", F.greatest("leaves", F.lit(1).cast("long")).alias("leaves"), "saved")
+    whole_trie = first.select(F.struct("leaves", "saved")).scalar()  # one row, as is everyone
+    root = everyone.withColumn("all", whole_trie).select(
+        *(zero.alias(c) for c in ("k1", "k2", "u1", "u2", "depth")), "conv_id", "n", F.greatest("all.leaves", F.lit(1).cast("long")).alias("leaves"),
+        F.col("all.saved").alias("saved"))
     least = everyone.select(F.col("conv_id")).scalar()
     # the root's children, perhaps a third of all nodes, take its id without the join
     deep = whole.join(parents, ["u1", "u2", "depth"], "left").withColumn("parent", F.when(F.col("depth") == 1, least).otherwise(F.col("parent")))
