@@ -80,14 +80,14 @@ def _labelled(df: DataFrame, label: str, xs: list[str] | str) -> tuple[DataFrame
     return assemble(data, xs).withColumn("_label", index.cast("double")), classes, sum(counts.values())
 
 
-def logit_fit(df: DataFrame, label: str, xs: list[str] | str, C: float = LOGIT_C, max_iter: int = 100) -> Classifier:
+def logit_fit(df: DataFrame, label: str, xs: list[str] | str, C: float = LOGIT_C, max_iter: int = 100, tol: float = 1e-8) -> Classifier:
     """Multinomial logistic regression with the reference's penalty."""
     from pyspark.ml.classification import LogisticRegression
 
     data, classes, n = _labelled(df, label, xs)
     lr = LogisticRegression(featuresCol=FEATURES, labelCol="_label", family="multinomial",
                             regParam=1.0 / (C * max(n, 1)), elasticNetParam=0.0,
-                            standardization=False, maxIter=max_iter, tol=1e-8)
+                            standardization=False, maxIter=max_iter, tol=tol)
     return Classifier(lr.fit(data), classes)
 
 
@@ -98,6 +98,15 @@ def logit_predict(model: Classifier, rows: DataFrame, xs: list[str] | str, keep:
     return out.select(*keep, model.class_of("prediction").alias("prediction"))
 
 
+def two_class_terms(model: Classifier, xs: list[str]) -> list[tuple[str, float]]:
+    """Intercept and coefficients of a two-class fit as the log odds of the second class (the difference of the classes' rows)."""
+    if len(model.classes) != 2:
+        raise ValueError(f"two classes are needed, got {model.classes}")
+    low, high = model.coefficientMatrix.toArray()
+    first, second = model.interceptVector.toArray()
+    return [("const", float(second - first))] + [(x, float(b - a)) for x, a, b in zip(xs, low, high)]
+
+
 def forest_fit(df: DataFrame, label: str, xs: list[str] | str, trees: int = FOREST_TREES,
                seed: int = 42, max_depth: int = MAX_DEPTH) -> Classifier:
     """Random-forest classifier (bootstrap samples, sqrt(features) per split).
@@ -148,3 +157,66 @@ def tree_nodes(spark, model, tree: int = SHOWN_TREE, features: list[str] | None
         F.col("leftChild").alias("left"),
         F.col("rightChild").alias("right"),
     )
+
+
+def forest_nodes(spark, model, path: str | None = None) -> DataFrame:
+    """All trees of a fitted forest: ``tree, node_id, feature_index, threshold, gini, value, left, right``."""
+    from loadwright.session import scratch_path
+
+    path = path or scratch_path(spark, "forest")
+    model.write().overwrite().save(path)
+    n = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
+    inner = F.col("leftChild") >= 0
+    return n.select("tree", F.col("id").alias("node_id"), F.when(inner, F.col("split.featureIndex")).alias("feature_index"),
+                    F.when(inner, F.get(F.col("split.leftCategoriesOrThreshold"), 0)).alias("threshold"), F.col("impurity").alias("gini"),
+                    F.col("impurityStats").alias("value"), F.col("leftChild").alias("left"), F.col("rightChild").alias("right"))
+
+
+def node_checks(nodes: DataFrame) -> DataFrame:
+    """(check_name, n_bad): what must hold of every node table, with the number of nodes that break it.
+
+    * ``children``  class counts of the two children add up to the parent's
+    * ``gini``      the impurity follows from the class counts
+    * ``links``     an inner node has a feature and two children after it, a leaf has none
+    * ``parents``   every node but the root is the child of exactly one node
+    """
+    at = lambda side: nodes.select(F.col("tree").alias(f"{side}_tree"), F.col("node_id").alias(f"{side}_id"), F.col("value").alias(f"{side}_value"))
+    left, right = at("l"), at("r")
+    both = (nodes.where("left >= 0").join(left, (F.col("tree") == F.col("l_tree")) & (F.col("left") == F.col("l_id")), "left")
+            .join(right, (F.col("tree") == F.col("r_tree")) & (F.col("right") == F.col("r_id")), "left"))
+    off = F.exists(F.arrays_zip("value", "l_value", "r_value"), lambda v: F.abs(v["value"] - v["l_value"] - v["r_value"]) > 1e-6)
+    total = F.aggregate("value", F.lit(0.0), lambda a, v: a + v)
+    gini = 1 - F.aggregate("value", F.lit(0.0), lambda a, v: a + v * v) / (total * total)
+    inner = (F.col("left") > F.col("node_id")) & (F.col("right") > F.col("node_id")) & F.col("feature_index").isNotNull() & F.col("threshold").isNotNull()
+    leaf = (F.col("left") < 0) & (F.col("right") < 0) & F.col("feature_index").isNull()
+    asked = nodes.where("left >= 0").select("tree", F.explode(F.array("left", "right")).alias("node_id")).groupBy("tree", "node_id").agg(F.count(F.lit(1)).alias("n"))
+    found = nodes.where("node_id > 0").join(asked, ["tree", "node_id"], "full").where("n IS NULL OR n <> 1 OR value IS NULL")
+    count = lambda df, name, bad: df.agg(F.count_if(F.coalesce(bad, F.lit(True))).alias("n_bad")).select(F.lit(name).alias("check_name"), "n_bad")
+    return (count(both, "children", off).unionByName(count(nodes, "gini", F.abs(gini - F.col("gini")) > 1e-9))
+            .unionByName(count(nodes, "links", ~(inner | leaf))).unionByName(count(found, "parents", F.lit(True))))
+
+
+def forest_score(nodes: DataFrame, rows: DataFrame, features: str, classes: list) -> DataFrame:
+    """``rows`` with ``tree_classes`` (the class index that each tree gives) and ``prediction`` from the node table alone.
+
+    The forest is one value of the plan (its nodes by tree, a model's size) and
+    every row walks it: from the root to the left where the feature is at most
+    the threshold, until a leaf.  A tree votes with its leaf's class shares.
+    """
+    node = F.struct("node_id", "feature_index", "threshold", "value", "left", "right")
+    trees = nodes.groupBy("tree").agg(F.array_sort(F.collect_list(node)).alias("nodes"), F.max("node_id").alias("last"))
+    forest = trees.agg(F.array_sort(F.collect_list(F.struct("tree", "nodes"))).alias("f")).scalar()
+
+    def leaf(tree):
+        here = lambda at: F.get(tree["nodes"], at)
+        step = lambda at, _: F.when(here(at)["left"] < 0, at).when(
+            F.get(F.col(features), here(at)["feature_index"]) <= here(at)["threshold"], here(at)["left"]).otherwise(here(at)["right"])
+        return here(F.aggregate(F.sequence(F.lit(1), F.lit(MAX_DEPTH)), F.lit(0), step))["value"]
+
+    best = lambda v: F.array_position(v, F.array_max(v)) - 1
+    share = lambda v: F.transform(v, lambda c: c / F.aggregate(v, F.lit(0.0), lambda a, x: a + x))
+    walked = rows.withColumn("_forest", forest).withColumn("_leaves", F.transform("_forest", lambda t: leaf(t))).drop("_forest")
+    votes = F.aggregate("_leaves", F.array_repeat(F.lit(0.0), len(classes)), lambda a, v: F.zip_with(a, share(v), lambda x, y: x + y))
+    index = best(votes)
+    return walked.select(*rows.columns, F.transform("_leaves", lambda v: best(v).cast("int")).alias("tree_classes"),
+                         F.get(F.array(*[F.lit(c) for c in classes]), index.cast("int")).alias("prediction"))

@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadwright.functions import student
+
 INTERCEPT_TERM = "const"
 
 
@@ -129,12 +131,23 @@ def regression_points(df: DataFrame, y: str, x: str, fraction: float | None = No
     return points if fraction is None else points.sample(fraction=fraction, seed=seed)
 
 
-def regression_line(df: DataFrame, y: str, x: str, steps: int = 50, digits: int = 8) -> DataFrame:
+def p_values(rows: DataFrame, t: str = "t_value", df: str = "df_resid") -> DataFrame:
+    """Adds ``p_value``, the two-sided p-value of each t statistic (JVM expressions)."""
+    return rows.withColumn("p_value", student.two_sided_p(F.col(t), F.col(df)))
+
+
+#: Confidence of the regression line's band.
+CONFIDENCE = 0.95
+BAND_DECIMALS = 6
+
+
+def regression_line(df: DataFrame, y: str, x: str, steps: int = 50, digits: int = 8, confidence: float = CONFIDENCE) -> DataFrame:
     """Data for the regression plot: the fitted line on an even grid from min(x) to max(x).
 
-    Each grid point carries the fitted value and the standard error of the
-    fitted mean, ``sqrt(s2 * (1/n + (x - mean_x)^2 / Sxx))``.  The fit is one
-    aggregate pass whose single row comes to the driver; the grid follows from it.
+    Each grid point carries the fitted value, the standard error of the fitted
+    mean, ``sqrt(s2 * (1/n + (x - mean_x)^2 / Sxx))``, and the band that holds
+    the mean with ``confidence`` (Student's t with n - 2 degrees of freedom).
+    The fit is one aggregate pass whose single row comes to the driver; the grid follows from it.
     """
     ycol, xcol = F.col(y).cast("double"), F.col(x).cast("double")
     agg = df.agg(
@@ -157,4 +170,13 @@ def regression_line(df: DataFrame, y: str, x: str, steps: int = 50, digits: int
     dev = F.col("x") - F.lit(mx)
     return (grid.withColumn("x", xg)
             .withColumn("y_hat", F.lit(b0) + F.lit(b1) * F.col("x"))
-            .withColumn("se_fit", F.sqrt(F.lit(s2) * (F.lit(1.0) / F.lit(float(n)) + dev * dev / F.lit(sxx)))))
+            .withColumn("se_fit", F.sqrt(F.lit(s2) * (F.lit(1.0) / F.lit(float(n)) + dev * dev / F.lit(sxx))))
+            .crossJoin(F.broadcast(_critical(df, n - 2, confidence)))      # one row
+            .withColumn("lower", F.round(F.col("y_hat") - F.col("_t") * F.col("se_fit"), BAND_DECIMALS))
+            .withColumn("upper", F.round(F.col("y_hat") + F.col("_t") * F.col("se_fit"), BAND_DECIMALS)).drop("_t"))
+
+
+def _critical(df: DataFrame, degrees: int, confidence: float) -> DataFrame:
+    """One row: the t value of a two-sided band."""
+    one = df.sparkSession.range(1).select(F.lit(degrees).alias("_df"))
+    return one.select(student.quantile((1 + confidence) / 2, F.col("_df")).alias("_t"))

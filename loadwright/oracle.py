@@ -152,6 +152,10 @@ OLS_FIT_STATS = f"""
          {sig('2 * 3 - 2 * ll')} AS aic, {sig('3 * ln(n) - 2 * ll')} AS bic
   FROM v"""
 
+# 97.5 % quantile of Student's t from the normal one, by expansion in 1 / v (v in the thousands)
+_T_QUANTILE = ("z + (z ** 3 + z) / (4 * v) + (5 * z ** 5 + 16 * z ** 3 + 3 * z) / (96 * v ** 2) "
+               "+ (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / (384 * v ** 3)")
+
 REGRESSION_LINE = f"""
   WITH a AS (
     SELECT {sig('regr_slope(l_extendedprice, l_quantity)')} AS b1,
@@ -166,9 +170,11 @@ REGRESSION_LINE = f"""
   g AS (SELECT CAST(step AS INTEGER) AS step,
                a.x_min + CAST(step AS DOUBLE) * (a.x_max - a.x_min) / CAST(50 AS DOUBLE) AS x, a.*
         FROM a, range(0, 51) t(step))
-  SELECT step, x, b0 + b1 * x AS y_hat,
-         sqrt(s2 * (CAST(1 AS DOUBLE) / CAST(n AS DOUBLE) + (x - mx) * (x - mx) / sxx)) AS se_fit
-  FROM g"""
+  SELECT step, x, y_hat, se_fit, round(y_hat - t * se_fit, 6) AS lower, round(y_hat + t * se_fit, 6) AS upper
+  FROM (SELECT step, x, b0 + b1 * x AS y_hat,
+               sqrt(s2 * (CAST(1 AS DOUBLE) / CAST(n AS DOUBLE) + (x - mx) * (x - mx) / sxx)) AS se_fit,
+               {_T_QUANTILE} AS t
+        FROM (SELECT *, CAST(n - 2 AS DOUBLE) AS v, 1.959963984540054 AS z FROM g))"""
 
 ORACLE_SQL: dict[str, str] = {
     "parse_delimited": f"SELECT {ORDERS_NULLIF} FROM orders",
@@ -358,3 +364,51 @@ ORACLE_SQL["governed_load_journal"] = f"""
 ORACLE_SQL["regression_points"] = """
   SELECT CAST(l_quantity AS DOUBLE) AS x, CAST(l_extendedprice AS DOUBLE) AS y FROM lineitem
   WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL"""
+
+# two-sided tail of Student's t: Simpson's rule over its density, with v / (v + t^2) = cos(a)^2
+ORACLE_SQL["ols_pvalues"] = f"""
+  WITH r AS ({OLS_SUMMARY}),
+  q AS (SELECT term, {sig('t_value', 6)} AS t_value, CAST(unnest([1, 5, 30, (SELECT count(*) - 3 FROM lineitem)]) AS BIGINT) AS df_resid FROM r),
+  a AS (SELECT *, atan(abs(t_value) / sqrt(df_resid)) AS top,
+               exp(lgamma((df_resid + 1) / 2.0) - lgamma(df_resid / 2.0)) / sqrt(pi()) AS c FROM q),
+  p AS (SELECT term, t_value, df_resid, top, c, s / 4000.0 * top AS ang, CASE WHEN s IN (0, 4000) THEN 1 WHEN s % 2 = 1 THEN 4 ELSE 2 END AS w
+        FROM a, range(0, 4001) r(s))
+  SELECT term, t_value, df_resid, round(greatest(0.0, 1 - 2 * any_value(c) * any_value(top) / 12000.0 * sum(w * cos(ang) ** (df_resid - 1))), 8) + 0.0 AS p_value
+  FROM p GROUP BY term, t_value, df_resid"""
+
+
+def _newton_sql(steps: int = 12) -> str:
+    """Penalised logistic regression by Newton's steps, one CTE each (the penalty of the two classes' rows together)."""
+    n = "(SELECT count(*) FROM d)"
+    ctes = ["d AS (SELECT CASE WHEN label >= 5 THEN 1.0 ELSE 0.0 END AS y, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1, "
+            "CAST(embedding[3] AS DOUBLE) AS x2 FROM embeddings)",
+            "b0 AS (SELECT [0.0, 0.0, 0.0, 0.0] AS b)"]
+    xs = ["1.0", "x0", "x1", "x2"]
+    for k in range(steps):
+        score = "b[1] + b[2] * x0 + b[3] * x1 + b[4] * x2"
+        ridge = [f"{0 if i == 0 else 1} * 1e-5 / 2" for i in range(4)]
+        g = ", ".join(f"sum({x} * (y - p)) - {r} * any_value(b[{i + 1}]) AS g{i}" for i, (x, r) in enumerate(zip(xs, ridge)))
+        h = ", ".join(f"sum({xs[i]} * {xs[j]} * p * (1 - p)){' + ' + ridge[i] if i == j else ''} AS h{i}{j}" for i in range(4) for j in range(i, 4))
+        ctes.append(f"s{k} AS (SELECT any_value(b) AS b, {g}, {h} FROM (SELECT d.*, b, 1 / (1 + exp(-({score}))) AS p FROM d, b{k}))")
+        # elimination without pivots (the matrix is positive definite), unknowns named e<i> for the factor rows
+        at = {(i, j): f"h{min(i, j)}{max(i, j)}" for i in range(4) for j in range(4)}
+        prior = f"s{k}"
+        for c in range(3):
+            rows = ", ".join(f"{at[i, j]} - {at[i, c]} * {at[c, j]} / {at[c, c]} AS h{i}{j}" for i in range(c + 1, 4) for j in range(i, 4))
+            right = ", ".join(f"g{i} - {at[i, c]} * g{c} / {at[c, c]} AS g{i}" for i in range(c + 1, 4))
+            kept = ", ".join([f"h{c}{j} AS u{c}{j}" for j in range(c, 4)] + [f"g{c} AS v{c}"] + [f"u{a}{j}" for a in range(c) for j in range(a, 4)] + [f"v{a}" for a in range(c)])
+            ctes.append(f"e{k}_{c} AS (SELECT b, {rows}, {right}, {kept} FROM {prior})")
+            prior = f"e{k}_{c}"
+        ctes.append(f"w{k} AS (SELECT *, g3 / h33 AS d3 FROM {prior})")
+        ctes.append(f"x{k} AS (SELECT *, (v2 - u23 * d3) / u22 AS d2 FROM w{k})")
+        ctes.append(f"y{k} AS (SELECT *, (v1 - u12 * d2 - u13 * d3) / u11 AS d1 FROM x{k})")
+        ctes.append(f"b{k + 1} AS MATERIALIZED (SELECT [b[1] + (v0 - u01 * d1 - u02 * d2 - u03 * d3) / u00, b[2] + d1, b[3] + d2, b[4] + d3] AS b FROM y{k})")
+    last = f"b{steps}"
+    terms = " UNION ALL ".join(f"SELECT '{t}' AS term, round(b[{i + 1}], 4) + 0.0 AS coef FROM {last}" for i, t in enumerate(["const", *R.LOGIT_XS]))
+    return (f"WITH {', '.join(ctes)} {terms} UNION ALL SELECT 'n_right', CAST(count(*) AS DOUBLE) FROM d, {last} "
+            "WHERE (b[1] + b[2] * x0 + b[3] * x1 + b[4] * x2 > 0) = (y = 1)")
+
+
+ORACLE_SQL["logit_coefficients"] = _newton_sql()
+ORACLE_SQL["forest_node_checks"] = "SELECT unnest(['children', 'gini', 'links', 'parents']) AS check_name, CAST(0 AS BIGINT) AS n_bad"
+ORACLE_SQL["forest_score"] = "SELECT label, count(*) AS n_rows, count(*) AS n_equal, CAST(10 * count(*) AS BIGINT) AS n_votes FROM embeddings GROUP BY label"

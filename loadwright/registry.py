@@ -442,9 +442,12 @@ def q_ols_summary(spark, sf_dir):
 
 
 def q_ols_pvalues(spark, sf_dir):
-    rows = ols_mod.ols_summary_rows(_ols(spark, sf_dir))
-    return spark.createDataFrame([(r["term"], r["t_value"], r["p_value"]) for r in rows],
-                                 "term string, t_value double, p_value double")
+    """p-values of the fit's terms, and of the same t statistics with few degrees of freedom."""
+    fit = _ols(spark, sf_dir)
+    degrees = ols_mod.ols_fit_stats(fit)["df_resid"]
+    rows = [(r["term"], ols_mod.round_sig(r["t_value"], 6), d) for r in ols_mod.ols_summary_rows(fit) for d in (1, 5, 30, degrees)]
+    found = ols_mod.p_values(spark.createDataFrame(rows, "term string, t_value double, df_resid bigint"))
+    return found.withColumn("p_value", F.round("p_value", 8))
 
 
 def q_ols_fit_stats(spark, sf_dir):
@@ -473,6 +476,46 @@ def q_logit_predict(spark, sf_dir):
     return classify.logit_predict(model, emb, "embedding", keep=["vec_id", "label"])
 
 
+LOGIT_XS = ["x0", "x1", "x2"]
+
+
+def q_logit_coefficients(spark, sf_dir):
+    """Two classes on three features: log odds of the higher labels, and how many rows get their class."""
+    from loadwright.models import classify
+
+    emb = table(spark, sf_dir, "embeddings").select(
+        (F.col("label") >= 5).cast("int").alias("y"), *(F.col("embedding")[i].cast("double").alias(x) for i, x in enumerate(LOGIT_XS)))
+    model = classify.logit_fit(emb, "y", LOGIT_XS, max_iter=500, tol=1e-13)
+    terms = spark.createDataFrame([(t, round(c, 4)) for t, c in classify.two_class_terms(model, LOGIT_XS)], "term string, coef double")
+    right = classify.logit_predict(model, emb, LOGIT_XS, keep=["y"]).agg(F.count_if(F.col("y") == F.col("prediction")).alias("n"))
+    return terms.unionByName(right.select(F.lit("n_right").alias("term"), F.col("n").cast("double").alias("coef")))
+
+
+def _forest(spark, sf_dir):
+    from loadwright.models import classify
+
+    emb = table(spark, sf_dir, "embeddings")
+    model = classify.forest_fit(emb, "label", "embedding", max_depth=8)
+    return emb, model, classify.forest_nodes(spark, model)
+
+
+def q_forest_node_checks(spark, sf_dir):
+    from loadwright.models import classify
+
+    return classify.node_checks(_forest(spark, sf_dir)[2])
+
+
+def q_forest_score(spark, sf_dir):
+    """Rows scored from the node table alone: how many agree with the fitted forest, by label."""
+    from loadwright.models import classify
+
+    emb, model, nodes = _forest(spark, sf_dir)
+    own = classify.logit_predict(model, emb, "embedding", keep=["vec_id", "label", "embedding"]).withColumnRenamed("prediction", "spark_class")
+    scored = classify.forest_score(nodes, own, "embedding", model.classes)
+    return scored.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("prediction") == F.col("spark_class")).alias("n_equal"),
+                                       F.sum(F.size("tree_classes")).alias("n_votes"))
+
+
 def q_forest_tree_nodes(spark, sf_dir):
     from loadwright.models import classify
 
@@ -561,7 +604,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ols_predict": q_ols_predict,
     "regression_line": q_regression_line,
     "logit_predict": q_logit_predict,
+    "logit_coefficients": q_logit_coefficients,
     "forest_tree_nodes": q_forest_tree_nodes,
+    "forest_node_checks": q_forest_node_checks,
+    "forest_score": q_forest_score,
     "governed_load": q_governed_load,
     "governed_load_bucketed": q_governed_load_bucketed,
     "governed_load_twice": q_governed_load_twice,

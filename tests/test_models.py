@@ -106,3 +106,40 @@ def test_regression_points_sample(spark, lineitem):
     pts = ols.regression_points(lineitem, "l_extendedprice", "l_quantity", fraction=0.5, seed=1)
     n, total = pts.count(), lineitem.count()
     assert 0.35 * total < n < 0.65 * total and pts.columns == ["x", "y"]
+
+
+def test_student_t_against_known_values(spark):
+    """Closed forms for 1, 2 and 4 degrees of freedom; the quantile is the inverse."""
+    from loadwright.functions import student
+
+    closed = {1: lambda t: 1 - 2 * math.atan(t) / math.pi, 2: lambda t: 1 - t / math.sqrt(2 + t * t),
+              4: lambda t: 1 - t / math.sqrt(4 + t * t) * (1 + 2 / (4 + t * t))}
+    rows = [(float(t), d) for t in (0.0, 0.1, 1.0, -1.7, 2.5, 12.0, 1e4) for d in closed] + [(None, 3)]
+    got = spark.createDataFrame(rows, "t double, df int").select("t", "df", student.two_sided_p(F.col("t"), F.col("df")).alias("p")).collect()
+    for r in got:
+        assert r.p is None if r.t is None else abs(r.p - closed[r.df](abs(r.t))) < 1e-12
+    for p, known in ((0.975, {1: 12.706204736, 5: 2.570581836, 30: 2.042272456, 1000: 1.962339081}), (0.95, {3: 2.353363435, 60_000: 1.644879})):
+        found = spark.createDataFrame([(d,) for d in known], "df int").select("df", student.quantile(p, F.col("df")).alias("q")).collect()
+        assert all(math.isclose(r.q, known[r.df], rel_tol=1e-6) for r in found)
+    with pytest.raises(ValueError):
+        student.quantile(0.3, F.lit(3))
+
+
+def test_forest_scored_from_its_nodes_equals_spark_tree_by_tree(spark):
+    df = _iris_like(spark)
+    xs = ["a", "b", "c", "d"]
+    model = classify.forest_fit(df, "species", xs, seed=5)
+    rows = classify.assemble(df, xs)
+    nodes = classify.forest_nodes(spark, model)
+    from pyspark.ml.functions import vector_to_array
+
+    values = rows.withColumn("f", vector_to_array(classify.FEATURES))
+    got = {r.id: r for r in classify.forest_score(nodes, values, "f", model.classes).collect()}
+    own = {r.id: r.prediction for r in classify.logit_predict(model, df, xs, keep=["id"]).collect()}
+    assert len(got) == 150 and all(got[i].prediction == own[i] for i in own)
+    for k in (0, 7):
+        tree = {r.id: int(r.prediction) for r in model.trees[k].transform(rows).select("id", "prediction").collect()}
+        assert all(got[i].tree_classes[k] == tree[i] for i in tree)
+    assert {r.check_name: r.n_bad for r in classify.node_checks(nodes).collect()} == {"children": 0, "gini": 0, "links": 0, "parents": 0}
+    broken = nodes.withColumn("left", F.when(F.col("node_id") == 0, F.lit(-1)).otherwise(F.col("left")))
+    assert sum(r.n_bad for r in classify.node_checks(broken).collect()) > 0
