@@ -80,6 +80,16 @@ def _labelled(df: DataFrame, label: str, xs: list[str] | str) -> tuple[DataFrame
     return assemble(data, xs).withColumn("_label", index.cast("double")), classes, sum(counts.values())
 
 
+def _without_summary(spark, model):
+    """The model without its training summary.
+
+    The summary holds the training DataFrame and with it the session, which
+    Spark would try to send along with the model when it predicts.
+    """
+    model._java_obj.setSummary(spark._jvm.scala.Option.empty())
+    return model
+
+
 def logit_fit(df: DataFrame, label: str, xs: list[str] | str, C: float = LOGIT_C, max_iter: int = 100, tol: float = 1e-8) -> Classifier:
     """Multinomial logistic regression with the reference's penalty."""
     from pyspark.ml.classification import LogisticRegression
@@ -88,7 +98,7 @@ def logit_fit(df: DataFrame, label: str, xs: list[str] | str, C: float = LOGIT_C
     lr = LogisticRegression(featuresCol=FEATURES, labelCol="_label", family="multinomial",
                             regParam=1.0 / (C * max(n, 1)), elasticNetParam=0.0,
                             standardization=False, maxIter=max_iter, tol=tol)
-    return Classifier(lr.fit(data), classes)
+    return Classifier(_without_summary(df.sparkSession, lr.fit(data)), classes)
 
 
 def logit_predict(model: Classifier, rows: DataFrame, xs: list[str] | str, keep: list[str] | None = None) -> DataFrame:
@@ -119,7 +129,7 @@ def forest_fit(df: DataFrame, label: str, xs: list[str] | str, trees: int = FORE
     data, classes, _ = _labelled(df, label, xs)
     rf = RandomForestClassifier(featuresCol=FEATURES, labelCol="_label", numTrees=trees,
                                 maxDepth=max_depth, seed=seed, impurity="gini")
-    return Classifier(rf.fit(data), classes)
+    return Classifier(_without_summary(df.sparkSession, rf.fit(data)), classes)
 
 
 def tree_nodes(spark, model, tree: int = SHOWN_TREE, features: list[str] | None = None,
