@@ -1,19 +1,23 @@
 """Benchmark decontamination with suffix arrays of the training text.
 
 The documents of a Spark partition are cut into shards of bounded size; a
-document is never cut.  Each shard gets a suffix array over word ids, and
-every test suffix is binary-searched in it.  The neighbours of its place give
-the longest verbatim match; the range of suffixes that begin with a test window
-gives every place where that window occurs.
+document is never cut.  Each shard gets a suffix array over word ids, sorted to
+the depth of the longest test text, and every test suffix is binary-searched in
+it.  The places found merge the sorted test suffixes with the shard's, so a
+training suffix shares most words with one of its two neighbours among the test
+suffixes: that is its longest verbatim match.  A match of at least a window hits
+its words; a test text shorter than a window is hit where it occurs as a whole.
 
 Words absent from the test texts end any match, so only suffixes whose first
-``least`` words all occur in the test set are sorted, where ``least`` is the
+``least`` words all occur in the test set are searched, where ``least`` is the
 length of the shortest window.  That is exact: no other suffix can match.
 
 Defined results: a null or empty text has no words, no hits and no items; a
-null or empty test text has no window; repeated test texts count as items of
-their own; repeated documents are judged each; an empty table gives an empty
-result.  Only the id and text columns are read, so other columns cannot clash.
+null or empty test text has no window; test texts count by their id, so equal
+texts under different ids are items of their own; repeated documents are judged
+each; an empty table gives an empty result.  Of several longest matches the
+first in the document is told.  Only the id and text columns are read, so other
+columns cannot clash.
 """
 
 from __future__ import annotations
@@ -42,115 +46,144 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().translate(_SPACED).split()
 
 
+def _compare(ids: np.ndarray, at: np.ndarray, words: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sign of each suffix of ``ids`` against ``length`` words from ``start``, and the words that both share."""
+    sign, same = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+    live, k = np.flatnonzero(length > 0), 0
+    while len(live):
+        gap = ids[at[live] + k] - words[start[live] + k]
+        ends = gap != 0
+        sign[live[ends]] = np.sign(gap[ends])
+        live, k = live[~ends], k + 1
+        same[live] = k
+        live = live[length[live] > k]
+    return sign, same
+
+
+def _runs(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Words from each position to the next word 0."""
+    breaks = np.flatnonzero(ids == 0)
+    return breaks[np.searchsorted(breaks, at)] - at
+
+
+def suffix_sort(ids: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """Positions ``at`` by at least their next ``depth`` words, a word 0 being the end: prefix doubling over ties.
+
+    With a position, ``at`` must hold all later ones up to the next word 0.
+    """
+    if not len(at):
+        return at
+    rank, run = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+    run[at] = _runs(ids, at)
+    order = at[np.argsort(ids[at], kind="stable")]
+    head = np.concatenate([[True], ids[order[1:]] != ids[order[:-1]]])
+    tied, step = np.arange(len(order)), 1
+    while True:
+        rank[order[tied]] = np.maximum.accumulate(np.where(head[tied], tied, 0)) + 1
+        last = np.append(head[1:], True)
+        tied = tied[~(head[tied] & last[tied])]
+        tied = tied[run[order[tied]] >= step]  # the others ended together
+        if step >= depth or not len(tied):
+            return order
+        old = order[tied]
+        after = np.where(run[old] > step, rank[np.minimum(old + step, len(ids) - 1)], 0)
+        by = np.lexsort((after, rank[old]))
+        order[tied], after, group = old[by], after[by], rank[old[by]]
+        head[tied[1:]] |= (after[1:] != after[:-1]) | (group[1:] != group[:-1])
+        step *= 2
+
+
 @dataclass
 class TestSet:
-    """Test texts as word ids; ``windows`` are the windows looked for."""
+    """Test texts as word ids, one after the other with a 0 behind each; their suffixes in order."""
 
     vocab: dict[bytes, int]
-    items: list[tuple[str, np.ndarray]]
-    windows: np.ndarray      # one row per distinct window, padded with -1
-    owners: list[list[str]]  # the items that hold each window
-    depth: int               # longest item
+    names: list[str]            # item of each text
+    ids: np.ndarray
+    suffixes: np.ndarray        # positions in ``ids``, sorted
+    left: np.ndarray            # words from there to the text's end
+    text: np.ndarray            # the text that each suffix belongs to
+    place: np.ndarray           # its place in that text
+    number: np.ndarray          # number of the window that each suffix begins with
+    owners: dict[int, set[str]]  # items that hold each window
+    short: np.ndarray           # suffixes that are a whole text below the window
+    window: int
+
+    @property
+    def depth(self) -> int:
+        return int(self.left.max())
 
     @property
     def least(self) -> int:
-        return int((self.windows >= 0).sum(axis=1).min())
+        return min([self.window, *self.left[self.short].tolist()])
 
 
 def test_set(rows: list[tuple[str, str | None]], window: int = WINDOW) -> TestSet | None:
-    """Windows of ``window`` words of every item; a shorter item is one window."""
+    """The suffixes of every test text and their windows of ``window`` words; a shorter text is one window."""
     vocab: dict[bytes, int] = {}
-    items, owners = [], {}
+    names, parts = [], []
     for item, text in rows:
         ids = [vocab.setdefault(w, len(vocab) + 1) for w in words_of(text)]
-        if not ids:
-            continue
-        items.append((item, np.array(ids, np.int64)))
-        for i in range(max(1, len(ids) - window + 1)):
-            owners.setdefault(tuple(ids[i:i + window]), []).append(item)
-    if not items:
+        if ids:
+            names.append(item)
+            parts.append(np.array([*ids, 0], np.int64))
+    if not names:
         return None
-    padded = np.full((len(owners), window), -1, np.int64)
-    for row, w in zip(padded, owners):
-        row[:len(w)] = w
-    return TestSet(vocab, items, padded, [list(dict.fromkeys(v)) for v in owners.values()], max(len(i) for _, i in items))
+    ids = np.concatenate(parts)
+    starts = np.cumsum([0] + [len(p) for p in parts[:-1]])
+    longest = max(len(p) for p in parts) - 1
+    suffixes = suffix_sort(ids, np.flatnonzero(ids), longest)
+    left, text = _runs(ids, suffixes), np.searchsorted(starts, suffixes, side="right") - 1
+    place = suffixes - starts[text]
+    _, same = _compare(ids, suffixes[1:], ids, suffixes[:-1], np.minimum(left[1:], left[:-1]))
+    number = np.concatenate([[0], np.cumsum(same < np.minimum(window, np.maximum(left[1:], left[:-1])))])
+    owners: dict[int, set[str]] = {}
+    whole = (left >= window) | (place == 0)
+    for n, t in zip(number[whole].tolist(), text[whole].tolist()):
+        owners.setdefault(n, set()).add(names[t])
+    short = np.flatnonzero((left < window) & (place == 0))
+    short = short[np.unique(number[short], return_index=True)[1]]
+    return TestSet(vocab, names, ids, suffixes, left, text, place, number, owners, short, window)
 
 
 class SuffixArray:
     """Sorted suffixes of one shard; documents are kept apart by id 0."""
 
     def __init__(self, ids: np.ndarray, least: int, depth: int):
-        self.ids = np.concatenate([ids, np.zeros(depth + 1, np.int64)])
-        self.depth = depth
-        breaks = np.flatnonzero(self.ids == 0)
-        start = np.flatnonzero(self.ids)
-        run = breaks[np.searchsorted(breaks, start)] - start  # known words from here on
-        self.at = self._sorted(start[run >= least])
-
-    def _sorted(self, at: np.ndarray) -> np.ndarray:
-        """Positions by their next ``depth`` words: prefix doubling over ties only."""
-        if not len(at):
-            return at
-        order = at[np.argsort(self.ids[at], kind="stable")]
-        group = np.concatenate([[0], np.cumsum(self.ids[order][1:] != self.ids[order][:-1])])
-        for k in range(1, self.depth):
-            tied = np.flatnonzero(np.bincount(group)[group] > 1)
-            if not len(tied):
-                break
-            nxt = self.ids[order[tied] + k]
-            # a word id 0 ends the suffix: those that ended stay tied
-            by = np.lexsort((nxt, group[tied]))
-            order[tied], nxt, g = order[tied][by], nxt[by], group[tied][by]
-            if not (nxt > 0).any():
-                break
-            split = np.zeros(len(order), np.int64)
-            split[tied[1:]] = (nxt[1:] != nxt[:-1]) & (g[1:] == g[:-1])
-            group = np.cumsum(np.concatenate([[0], (group[1:] != group[:-1]) | (split[1:] > 0)]))
-        return order
-
-    def place(self, queries: np.ndarray, after: bool) -> np.ndarray:
-        """Binary search of all queries at once (rows of ids, padded with -1).
-
-        ``after=False``: suffixes less than the query; ``after=True``: those
-        that are less or begin with it.
+        self.ids = np.concatenate([[0], ids, np.zeros(depth + 1, np.int64)])
+        at = np.flatnonzero(self.ids)
+        run = _runs(self.ids, at)
+        head = np.flatnonzero(self.ids[at - 1] == 0)  # first position of each run
+        whole = np.repeat(run[head], run[head])
+        order = suffix_sort(self.ids, at[whole >= least], depth)
+        order = order[_runs(self.ids, order) >= least]
+        self.ids, self.at = self.ids[1:], order - 1
+
+    def place(self, test: TestSet, which: np.ndarray, after: bool) -> np.ndarray:
+        """Binary search of test suffixes, all at once.
+
+        ``after=False``: training suffixes less than the test suffix;
+        ``after=True``: those that are less or begin with it.
         """
-        lo, hi = np.zeros(len(queries), np.int64), np.full(len(queries), len(self.at))
-        while (open_ := lo < hi).any():
-            mid = (lo + hi) // 2
-            left = np.flatnonzero(open_)
-            sub, q = self.at[mid[left]], queries[left]
-            sign = np.zeros(len(left), np.int64)
-            for k in range(queries.shape[1]):
-                pending = (sign == 0) & (q[:, k] >= 0)
-                if not pending.any():
-                    break
-                sign[pending] = np.sign(self.ids[sub[pending] + k] - q[pending, k])
+        start, length = test.suffixes[which], test.left[which]
+        lo, hi = np.zeros(len(which), np.int64), np.full(len(which), len(self.at))
+        while len(open_ := np.flatnonzero(lo < hi)):
+            mid = (lo[open_] + hi[open_]) // 2
+            sign, _ = _compare(self.ids, self.at[mid], test.ids, start[open_], length[open_])
             right = (sign < 0) | ((sign == 0) & after)
-            lo[left[right]] = mid[left[right]] + 1
-            hi[left[~right]] = mid[left[~right]]
+            lo[open_[right]] = mid[right] + 1
+            hi[open_[~right]] = mid[~right]
         return lo
 
-    def common(self, ranks: np.ndarray, queries: np.ndarray) -> np.ndarray:
-        """Words that each query shares with the suffix of that rank (0 where there is none)."""
-        out = np.zeros(len(queries), np.int64)
-        live = np.flatnonzero((ranks >= 0) & (ranks < len(self.at)))
-        for k in range(queries.shape[1]):
-            live = live[self.ids[self.at[ranks[live]] + k] == queries[live, k]]
-            out[live] += 1
+    def shared(self, test: TestSet, ranks: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """Words that the training suffix of each rank shares with a test suffix (0 where one is out of range)."""
+        out = np.zeros(len(ranks), np.int64)
+        ok = np.flatnonzero((ranks >= 0) & (ranks < len(self.at)) & (which >= 0) & (which < len(test.suffixes)))
+        w = which[ok]
+        out[ok] = _compare(self.ids, self.at[ranks[ok]], test.ids, test.suffixes[w], test.left[w])[1]
         return out
 
 
-def _suffixes(test: TestSet) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Every test suffix, padded; the item's number and the suffix's place in it."""
-    rows, item, place = [], [], []
-    for n, (_, ids) in enumerate(test.items):
-        for i in range(len(ids)):
-            rows.append(np.concatenate([ids[i:], np.full(test.depth - len(ids) + i, -1, np.int64)]))
-            item.append(n)
-            place.append(i)
-    return np.array(rows), np.array(item), np.array(place)
-
-
 def _shards(batches: Iterator[pa.RecordBatch], vocab: dict[bytes, int], limit: int):
     """(keys, earlier state, ids, starts, lengths) of shards with about ``limit`` words; keys keep their Arrow type."""
     keys, states, parts, lengths, size, kind = [], [], [], [], 0, pa.int64()
@@ -182,37 +215,56 @@ def _doc_of(starts: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.searchsorted(starts, at, side="right") - 1
 
 
-_STATE = "struct<n_words: bigint, n_hit: bigint, hit_bits: binary, items: array<string>>"
-_ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("hit_bits", pa.binary()), ("items", pa.list_(pa.string()))])
+_STATE = "struct<n_words: bigint, n_hit: bigint, hit_bits: binary, items: array<string>, longest: bigint, longest_at: bigint>"
+_ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("hit_bits", pa.binary()), ("items", pa.list_(pa.string())),
+                    ("longest", pa.int64()), ("longest_at", pa.int64())])
+
+
+def _matches(sa: SuffixArray, test: TestSet) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(position, words, window number) of the longest match at every position where a window occurs.
+
+    A position where a short test text occurs has a row for that, too.
+    """
+    lo = sa.place(test, np.arange(len(test.suffixes)), False)
+    rank = np.arange(len(sa.at))
+    above = np.searchsorted(lo, rank, side="right")
+    pair = np.stack([sa.shared(test, rank, above - 1), sa.shared(test, rank, above)])
+    side, same = pair.argmax(axis=0), pair.max(axis=0)
+    hit = np.flatnonzero(same >= test.window)
+    found = [(sa.at[hit], same[hit], test.number[above[hit] - 1 + side[hit]])]
+    for s, a, e in zip(test.short, lo[test.short], sa.place(test, test.short, True)):
+        found.append((sa.at[a:e], np.full(e - a, test.left[s]), np.full(e - a, test.number[s])))
+    return tuple(np.concatenate(c) for c in zip(*found))
 
 
 def _mark(test: TestSet, limit: int):
-    """Per document: its word count, a bit for each hit word, the items found."""
-    sizes = (test.windows >= 0).sum(axis=1)
+    """Per document: its word count, a bit for each hit word, the items found, its longest match."""
 
     def run(batches):
         for keys, states, ids, starts, lengths in _shards(batches, test.vocab, limit):
-            sa = SuffixArray(ids, test.least, test.windows.shape[1])
-            bits: dict[int, np.ndarray] = {}
+            at, words, number = _matches(SuffixArray(ids, test.least, test.depth), test)
+            cover = np.zeros(len(ids) + 1, np.int64)
+            np.add.at(cover, at, 1)
+            np.add.at(cover, at + np.minimum(words, test.window), -1)
+            hit = np.cumsum(cover)[:-1] > 0
+            doc = _doc_of(starts, at)
+            by = np.lexsort((at, -words, doc))
+            first = by[np.flatnonzero(np.diff(doc[by], prepend=-1))]
+            best = {d: (w, p) for d, w, p in zip(doc[first].tolist(), words[first].tolist(), (at - starts[doc])[first].tolist())}
             items: dict[int, set] = {}
-            for d, old in enumerate(states):
+            for d, n in np.unique(np.stack([doc, number]), axis=1).T.tolist():
+                items.setdefault(d, set()).update(test.owners[n])
+            out = []
+            for d, (old, n) in enumerate(zip(states, lengths.tolist())):
+                bits = hit[starts[d]:starts[d] + n]
+                found, (longest, place) = items.get(d, set()), best.get(d, (0, None))
                 if old is not None and old["hit_bits"] is not None:
-                    bits[d] = np.unpackbits(np.frombuffer(old["hit_bits"], np.uint8), count=int(lengths[d])).astype(bool)
-                    items[d] = set(old["items"])
-            lo, hi = sa.place(test.windows, False), sa.place(test.windows, True)
-            for w in np.flatnonzero(hi > lo):
-                at = sa.at[lo[w]:hi[w]]
-                doc = _doc_of(starts, at)
-                by = np.argsort(doc, kind="stable")
-                at, doc = at[by], doc[by]
-                first = np.flatnonzero(np.diff(doc, prepend=-1))
-                for d, here in zip(doc[first].tolist(), np.split(at, first[1:])):
-                    if d not in bits:
-                        bits[d], items[d] = np.zeros(int(lengths[d]), bool), set()
-                    bits[d][((here - starts[d])[:, None] + np.arange(sizes[w])).ravel()] = True
-                    items[d].update(test.owners[w])
-            out = [{"n_words": int(n), "n_hit": int(bits[d].sum()) if d in bits else 0, "items": sorted(items.get(d, ())),
-                    "hit_bits": np.packbits(bits[d]).tobytes() if d in bits else None} for d, n in enumerate(lengths)]
+                    bits = bits | np.unpackbits(np.frombuffer(old["hit_bits"], np.uint8), count=n).astype(bool)
+                    found = found.union(old["items"])
+                    if (old["longest"], -old["longest_at"]) > (longest, -(place or 0)):
+                        longest, place = old["longest"], old["longest_at"]
+                out.append({"n_words": n, "n_hit": int(bits.sum()) if found else 0, "items": sorted(found), "longest": longest, "longest_at": place,
+                            "hit_bits": np.packbits(bits).tobytes() if found else None})
             yield pa.RecordBatch.from_arrays([keys, pa.array(out, _ARROW)], ["doc_id", "state"])
 
     return run
@@ -220,61 +272,66 @@ def _mark(test: TestSet, limit: int):
 
 def _longest(test: TestSet, limit: int):
     """Per shard and test suffix: its longest verbatim match and where it is."""
-    suffixes, item, place = _suffixes(test)
 
     def run(batches):
+        every = np.arange(len(test.suffixes))
         for keys, _, ids, starts, _ in _shards(batches, test.vocab, limit):
             sa = SuffixArray(ids, test.least, test.depth)
-            rank = sa.place(suffixes, False)
-            pair = np.stack([sa.common(rank - 1, suffixes), sa.common(rank, suffixes)])
-            side = pair.argmax(axis=0)
-            same, rank = pair.max(axis=0), rank - 1 + side
+            rank = sa.place(test, every, False)
+            pair = np.stack([sa.shared(test, rank - 1, every), sa.shared(test, rank, every)])
+            same, rank = pair.max(axis=0), rank - 1 + pair.argmax(axis=0)
             got = np.flatnonzero(same >= test.least)
             at = sa.at[rank[got]] if len(got) else np.zeros(0, np.int64)
             doc = _doc_of(starts, at)
             yield pa.RecordBatch.from_arrays([
-                pa.array([test.items[i][0] for i in item[got]], pa.string()), pa.array(place[got], pa.int64()),
+                pa.array([test.names[t] for t in test.text[got]], pa.string()), pa.array(test.place[got], pa.int64()),
                 pa.array(same[got], pa.int64()), keys.take(pa.array(doc, pa.int64())),
                 pa.array(at - starts[doc] if len(got) else at, pa.int64())], ["item_id", "item_at", "n_words", "doc_id", "doc_at"])
 
     return run
 
 
-def _test_sets(benchmark: DataFrame, window: int, pass_chars: int) -> list[TestSet]:
-    """The test texts in passes of bounded size: each holds about ``pass_chars`` characters."""
-    chars = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
+def _test_sets(benchmark: DataFrame, window: int, pass_chars: int) -> tuple[int, Iterator[TestSet]]:
+    """The number of passes, and the test texts pass by pass: each has about ``pass_chars`` characters.
+
+    Only the pass at hand is on the driver.  A pass is a hash of id and text, and equal rows are one, so
+    no item is larger than its texts; a single text is never cut.
+    """
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").distinct()
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     passes = int(chars // pass_chars) + 1
-    item = F.col("item_id").cast("string").alias("item")
-    rows = benchmark.select(item, "text", F.pmod(F.xxhash64("item_id"), F.lit(passes)).alias("pass"))
-    sets = (test_set([(r.item or "", r.text) for r in rows.where(F.col("pass") == p).collect()], window) for p in range(passes))
-    return [s for s in sets if s]
+    cut = F.pmod(F.xxhash64("item", "text"), F.lit(passes))
+    sets = (test_set([(r.item or "", r.text) for r in rows.where(cut == p).collect()], window) for p in range(passes))
+    return passes, (s for s in sets if s)
 
 
 def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS,
                        pass_chars: int = PASS_CHARS, key: str = "long") -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items array<string>) per row of ``docs``; ``key`` is the id's type.
+    """(doc_id, n_words, n_hit, n_items, items array<string>, longest, longest_at) per row of ``docs``; ``key`` is the id's type.
 
+    ``longest`` has the words of the longest match that holds a window (0: none), ``longest_at`` its first word's place.
     A benchmark beyond ``pass_chars`` characters is searched in several passes;
-    each takes over the hit words and items of the one before.
+    each takes over what the one before found.
     """
     keyed = docs.select(F.col("doc_id").cast(key).alias("doc_id"), "text")
-    sets = _test_sets(benchmark, window, pass_chars)
-    if len(sets) <= 1:
-        state = map_batches(keyed, ["doc_id", "text"], f"doc_id {key}, state {_STATE}", _mark(sets[0], shard_words) if sets else _counted)
+    passes, sets = _test_sets(benchmark, window, pass_chars)
+    if passes == 1:
+        test = next(sets, None)
+        state = map_batches(keyed, ["doc_id", "text"], f"doc_id {key}, state {_STATE}", _mark(test, shard_words) if test else _counted)
     else:
         state = _passes(keyed, sets, shard_words, key)
     return state.select("doc_id", "state.n_words", "state.n_hit", F.size("state.items").cast("long").alias("n_items"),
-                        F.col("state.items").alias("items"))
+                        F.col("state.items").alias("items"), "state.longest", "state.longest_at")
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Word counts alone, for a benchmark without any window."""
     for b in batches:
-        out = [{"n_words": len(words_of(t)), "n_hit": 0, "items": [], "hit_bits": None} for t in b.column(1).to_pylist()]
+        out = [{"n_words": len(words_of(t)), "n_hit": 0, "items": [], "hit_bits": None, "longest": 0, "longest_at": None} for t in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, _ARROW)], ["doc_id", "state"])
 
 
-def _passes(keyed: DataFrame, sets: list[TestSet], shard_words: int, key: str) -> DataFrame:
+def _passes(keyed: DataFrame, sets: Iterator[TestSet], shard_words: int, key: str) -> DataFrame:
     """Search pass after pass; rows keep their text and state in a written table between them."""
     rows = keyed.select("doc_id", "text", F.lit(None).cast(_STATE).alias("state"))
     for test in sets:
@@ -302,7 +359,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "item_id string, item_at long, n_words long, doc_id long, doc_at long"
     found = None
-    for test in _test_sets(benchmark, window, pass_chars):
+    for test in _test_sets(benchmark, window, pass_chars)[1]:
         part = map_batches(keyed, ["doc_id", "text"], schema, _longest(test, shard_words))
         found = part if found is None else found.unionByName(part)
     if found is None:
@@ -313,10 +370,10 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The digest per document: counts, the sha256 of its item ids, the verdict."""
+    """The digest per document: counts, the sha256 of its item ids, the verdict, its longest match and that match's place."""
     found = contaminated_words(docs, benchmark, window)
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
-                        (F.col("n_hit") > 0).alias("contaminated"))
+                        (F.col("n_hit") > 0).alias("contaminated"), "longest", "longest_at")
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -115,18 +115,23 @@ SELECT CAST(page_id AS BIGINT) AS page_id, host, path, best.rule AS rule, coales
 FROM m""",
     "op8_decontam": rf"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
-i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
-iw AS (SELECT DISTINCT item_id, list_slice(w, k, least(k + 9, len(w))) AS win
-       FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM i WHERE len(w) > 0)),
+i AS (SELECT item_id, row_number() OVER () AS j, {_WORDS} AS w FROM benchmark),
+iw AS (SELECT item_id, j, k AS a, list_slice(w, k, least(k + 9, len(w))) AS win
+       FROM (SELECT item_id, j, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM i WHERE len(w) > 0)),
 n AS (SELECT DISTINCT len(win) AS n FROM iw),
 dw AS (SELECT r, k, list_slice(w, k, k + n - 1) AS win, n
        FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, n WHERE len(w) >= n)),
-h AS (SELECT r, k, dw.n, item_id FROM dw JOIN iw ON dw.win = iw.win),
+h AS (SELECT r, k, dw.n, item_id, j, a FROM dw JOIN iw ON dw.win = iw.win),
+e AS (SELECT r, max({{'words': words, 'before': -k}}) AS best
+      FROM (SELECT r, min(k) - 1 AS k, count(*) - 1 + any_value(n) AS words
+            FROM (SELECT r, j, k, n, k - a AS line, k - row_number() OVER (PARTITION BY r, j, k - a ORDER BY k) AS run FROM h) GROUP BY r, j, line, run)
+      GROUP BY r),
 x AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS p FROM h) GROUP BY r),
 s AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM h GROUP BY r)
 SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
-       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN x USING (r) LEFT JOIN s USING (r)""",
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       CAST(coalesce(best.words, 0) AS BIGINT) AS longest, CAST(-best.before AS BIGINT) AS longest_at
+FROM d LEFT JOIN x USING (r) LEFT JOIN s USING (r) LEFT JOIN e USING (r)""",
     # crc32 of the decimal id, bit by bit; node keys are lists of turn numbers
     "op13_prefix_trie": r"""
 WITH t AS (

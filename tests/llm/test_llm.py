@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -342,6 +343,20 @@ def brute_decontam(text, items, window=10):
     return len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), bool(hit)
 
 
+def brute_match(text, items, window=10):
+    """(words, -place) of the longest match that holds a window, the first of several."""
+    pick = lambda t: re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").encode().lower())
+    w, best = pick(text), (0, 0)
+    for _, t in items:
+        y = pick(t)
+        for i in range(len(y)):
+            for p in range(len(w)):
+                n = next((k for k, (a, b) in enumerate(zip(y[i:], w[p:])) if a != b), min(len(y) - i, len(w) - p))
+                if n >= min(window, len(y)):
+                    best = max(best, (n, -p))
+    return best
+
+
 @pytest.mark.parametrize("pass_chars", [decontam.PASS_CHARS, 60])
 def test_op8_against_brute_force(spark, pass_chars, monkeypatch):
     rng = random.Random(8)
@@ -354,6 +369,8 @@ def test_op8_against_brute_force(spark, pass_chars, monkeypatch):
     found = decontam.contaminated_words(frame(spark, rows), bench, pass_chars=pass_chars, shard_words=300).collect()
     got = Counter((r.doc_id, r.n_words, r.n_hit, r.n_items, hashlib.sha256(",".join(sorted(r["items"])).encode()).hexdigest()) for r in found)
     assert got == Counter((d, *brute_decontam(t, items)[:4]) for d, t, *_ in rows)
+    assert Counter((r.doc_id, r.longest, -(r.longest_at or 0)) for r in found) == Counter((d, *brute_match(t, items)) for d, t, *_ in rows)
+    assert all((r.longest_at is None) == (r.n_hit == 0) for r in found)
     kept = decontam.remove_contaminated(frame(spark, rows), bench)
     assert kept.columns == frame(spark, rows).columns
     assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter((d, t) for d, t, *_ in rows if not brute_decontam(t, items)[4])
@@ -364,6 +381,29 @@ def test_op8_against_brute_force(spark, pass_chars, monkeypatch):
     assert decontam.contaminated(frame(spark, rows).limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_suffix_sort_against_sorted(seed):
+    rng = np.random.default_rng(seed)
+    ids = rng.integers(0, rng.integers(2, 5), rng.integers(0, 60))
+    if seed % 3 == 0:
+        ids = np.concatenate([ids, [0], ids, [0], ids])
+    ids = np.append(ids, 0)
+    ends = lambda p: ids[p:p + int(np.flatnonzero(ids[p:] == 0)[0])].tolist()
+    got = decontam.suffix_sort(ids, np.flatnonzero(ids), len(ids)).tolist()
+    assert got == sorted(np.flatnonzero(ids).tolist(), key=lambda p: (ends(p), p))
+
+
+def test_long_test_text_and_many_copies_of_it():
+    words = [f"w{i % 700}" for i in range(5000)]
+    test = decontam.test_set([("long", " ".join(words)), ("other", "w1 w2 w3")])
+    texts = [" ".join(words), "x", " ".join(words[100:3000]), "w1 w2 w3"] + [" ".join(words)] * 20
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    state = [r for b in decontam._mark(test, 1 << 20)(iter([batch])) for r in b.column(1).to_pylist()]
+    assert [(s["longest"], s["longest_at"], s["n_hit"], s["items"]) for s in state[:4]] == [
+        (5000, 0, 5000, ["long", "other"]), (0, None, 0, []), (2900, 0, 2900, ["long", "other"]), (3, 0, 3, ["other"])]
+    assert all(s == state[0] for s in state[4:])
+
+
 def test_longest_matches_against_brute_force(spark):
     rng = random.Random(18)
     draw = lambda n: [rng.choice("abcde") for _ in range(n)]
