@@ -38,6 +38,11 @@ SHARD_TOKENS = 1 << 20
 BLOCK = 512
 
 
+def _top(words: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """The first ``bits`` (0 to 63) bits of 64-bit words."""
+    return words >> np.uint64(1) >> (63 - bits).astype(np.uint64)
+
+
 class WaveletShard:
     """Succinct bit-planes of one shard, most significant bit first."""
 
@@ -45,6 +50,7 @@ class WaveletShard:
                  doc_ids: list[int | None], ends: np.ndarray):
         self.planes, self.zeros, self.ranks, self.n = planes, zeros, ranks, n
         self.doc_ids, self.ends = doc_ids, ends
+        self._wide: dict[int, np.ndarray] = {}
 
     @classmethod
     def build(cls, ids: np.ndarray, doc_ids: list[int | None], ends: np.ndarray) -> "WaveletShard":
@@ -167,6 +173,71 @@ class WaveletShard:
         starts = np.concatenate([[0], self.ends])
         return [(self.doc_ids[d], int(a - starts[d])) for d, a in zip(doc, at)]
 
+    def _words(self, level: int) -> np.ndarray:
+        """A plane as 64-bit words, filled up to whole blocks and beyond its last bit."""
+        if level not in self._wide:
+            padded = np.zeros((self.n // BLOCK + 1) * BLOCK // 8, np.uint8)
+            padded[:len(self.planes[level])] = self.planes[level]
+            self._wide[level] = padded.view(">u8").astype(np.uint64)
+        return self._wide[level]
+
+    def _ones_many(self, level: int, at: np.ndarray) -> np.ndarray:
+        """Ones of a plane before each position: the directory, then the words of the block."""
+        words, block, word = self._words(level), at // BLOCK, at // 64
+        count = self.ranks[level][block].astype(np.int64)
+        for j in range(BLOCK // 64 - 1):
+            w = block * (BLOCK // 64) + j
+            count += np.where(w < word, np.bitwise_count(words[w]), 0)
+        return count + np.bitwise_count(_top(words[word], at % 64))
+
+    def access_many(self, at: np.ndarray) -> np.ndarray:
+        """The ids at many positions."""
+        at, out = np.asarray(at, np.int64), np.zeros(len(at), np.int64)
+        for level in range(len(self.planes)):
+            bit = (self._words(level)[at // 64] >> (63 - at % 64).astype(np.uint64) & np.uint64(1)).astype(np.int64)
+            ones = self._ones_many(level, at)
+            out = out << 1 | bit
+            at = np.where(bit > 0, self.zeros[level] + ones, at - ones)
+        return out
+
+    def _starts_many(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where ``at`` goes on the lowest level when it is led along each symbol's bits."""
+        levels = len(self.planes)
+        for level in range(levels):
+            ones = self._ones_many(level, at)
+            at = np.where(symbols >> (levels - 1 - level) & 1, self.zeros[level] + ones, at - ones)
+        return at
+
+    def rank_many(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Copies of each id before each position."""
+        symbols, at = np.asarray(symbols, np.int64), np.asarray(at, np.int64)
+        count = self._starts_many(symbols, at) - self._starts_many(symbols, np.zeros_like(at))
+        return np.where(symbols >> len(self.planes) > 0, 0, count)
+
+    def select_many(self, symbols: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """Position of the ``k``-th copy (from 0) of each id; the copies must exist."""
+        symbols, levels, per = np.asarray(symbols, np.int64), len(self.planes), BLOCK // 64
+        at = self._starts_many(symbols, np.zeros_like(symbols)) + k
+        for level in range(levels - 1, -1, -1):
+            bit = (symbols >> (levels - 1 - level) & 1).astype(bool)
+            ones = self.ranks[level].astype(np.int64)
+            zeros = np.minimum(np.arange(len(ones)) * BLOCK, self.n) - ones
+            left = np.where(bit, at - self.zeros[level], at)
+            block = np.where(bit, np.searchsorted(ones, left, side="right"), np.searchsorted(zeros, left, side="right")) - 1
+            left = left - np.where(bit, ones[block], zeros[block])
+            word, words = block * per, self._words(level)
+            for _ in range(per - 1):
+                here = np.bitwise_count(np.where(bit, words[word], ~words[word])).astype(np.int64)
+                later = left >= here
+                if not later.any():
+                    break
+                left, word = left - np.where(later, here, 0), word + later
+            value, place = np.where(bit, words[word], ~words[word]), np.zeros_like(at)
+            for step in (32, 16, 8, 4, 2, 1):
+                place += np.where(np.bitwise_count(_top(value, place + step)) <= left, step, 0)
+            at = word * 64 + place
+        return at
+
     def decode(self) -> np.ndarray:
         """All ids: the planes are undone from the lowest level up."""
         out = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
@@ -214,9 +285,13 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, shard_tokens: in
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the images."""
+    """(doc_id, start, n_tokens, ids_crc32, first_id, first_id_count, first_id_last) of every document, from the images.
+
+    The ids' checksum needs all of them, so it is taken from the undone planes.  The document's
+    first id, its copies in the document and the place of the last one are looked up by access, rank and select.
+    """
     small_batches(shards.sparkSession)
-    schema = "part int, shard int, doc_id long, at long, n_tokens long, ids_crc32 long"
+    schema = "part int, shard int, doc_id long, at long, n_tokens long, ids_crc32 long, first_id long, first_id_count long, first_id_last long"
 
     def run(batches):
         for b in batches:
@@ -225,10 +300,14 @@ def read_documents(shards: DataFrame) -> DataFrame:
                 ids, starts = w.decode().astype("<u4"), np.concatenate([[0], w.ends])
                 crc = [zlib.crc32(ids[a:e]) for a, e in zip(starts, w.ends)]
                 n = len(crc)
+                begin, end = starts[:-1].astype(np.int64), w.ends
+                first = w.access_many(begin)
+                before, upto = w.rank_many(first, begin), w.rank_many(first, end)
+                last = w.select_many(first, upto - 1) - begin
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part.as_py()] * n, pa.int32()), pa.array([shard.as_py()] * n, pa.int32()), pa.array(w.doc_ids, pa.int64()),
-                     pa.array(starts[:-1]), pa.array(np.diff(starts)), pa.array(crc, pa.int64())],
-                    ["part", "shard", "doc_id", "at", "n_tokens", "ids_crc32"])
+                     pa.array(starts[:-1]), pa.array(np.diff(starts)), pa.array(crc, pa.int64()), pa.array(first), pa.array(upto - before), pa.array(last)],
+                    ["part", "shard", "doc_id", "at", "n_tokens", "ids_crc32", "first_id", "first_id_count", "first_id_last"])
 
     rows = shards.select("part", "shard", "image").mapInArrow(run, schema)
     sizes = shards.select("part", "shard", "n_tokens")
@@ -238,4 +317,5 @@ def read_documents(shards: DataFrame) -> DataFrame:
     inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard")) - F.col("n_tokens")
     before = sizes.select("part", "shard", inside.alias("inside")).join(before_part, "part").select(
         "part", "shard", (F.col("inside") + F.col("before_part")).alias("before"))
-    return rows.join(before, ["part", "shard"]).select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    return rows.join(before, ["part", "shard"]).select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32",
+                                                     "first_id", "first_id_count", "first_id_last")

@@ -66,7 +66,7 @@ def test_encoder_equals_library():
     assert np.frombuffer(enc.ids("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
 
 
-@pytest.mark.parametrize("n,top", [(0, 2), (1, 1), (513, 50_000), (3000, 17)])
+@pytest.mark.parametrize("n,top", [(0, 2), (1, 1), (512, 3), (513, 50_000), (3000, 17), (4096, 2)])
 def test_wavelet_rank_select(n, top):
     x = np.random.default_rng(n).integers(0, top, n).astype("<u4")
     w = wavelet.WaveletShard.from_bytes(wavelet.WaveletShard.build(x, [5, None], np.array([n // 2, n])).to_bytes())
@@ -75,6 +75,10 @@ def test_wavelet_rank_select(n, top):
         s = int(x[i])
         at = np.flatnonzero(x == s)
         assert w.access(i) == s and w.rank(s, i) == (x[:i] == s).sum() and w.select(s, len(at) - 1) == at[-1]
+    every = np.arange(n)
+    earlier = np.array([(x[:i] == s).sum() for i, s in enumerate(x)], np.int64)
+    assert (w.access_many(every) == x).all() and (w.rank_many(x, every) == earlier).all() and (w.select_many(x, earlier) == every).all()
+    assert w.rank_many(np.array([99_999, 0]), np.array([n, n])).tolist() == [0, (x == 0).sum()]
     if n:
         assert len(w.occurrences(int(x[0]))) == w.count(int(x[0]))
 
@@ -83,6 +87,9 @@ def test_op1_round_trip(spark, odd):
     got = wavelet.read_documents(wavelet.write_shards(frame(spark, odd), shard_tokens=500)).collect()
     want = Counter((d, len(bpe(t)), crc(bpe(t))) for d, t, *_ in odd)
     assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == want
+    looked = lambda x: (x[0], x.count(x[0]), len(x) - 1 - x[::-1].index(x[0]))
+    want = Counter((d, *looked(list(bpe(t)))) for d, t, *_ in odd)
+    assert Counter((r.doc_id, r.first_id, r.first_id_count, r.first_id_last) for r in got) == want
     at = 0
     for r in sorted(got, key=lambda r: r.start):
         assert r.start == at
