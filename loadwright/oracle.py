@@ -325,6 +325,13 @@ ORACLE_SQL["governed_load_append"] = f"""
   SELECT {R._file_ts_sql("20200201-000000")}, {TS_RUN}, c_custkey, c_name, c_nationkey, c_acctbal + 100, c_mktsegment, 2
   FROM customer WHERE c_nationkey >= 15 AND c_mktsegment <> 'MACHINERY'"""
 
+ORACLE_SQL["governed_load_key_index"] = f"""
+  SELECT {R._file_ts_sql("20200101-000000")} AS METADATA_TM_FILE, {TS_RUN} AS METADATA_TM_INSERT, c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+  FROM customer WHERE c_nationkey BETWEEN 3 AND 9
+  UNION ALL
+  SELECT {R._file_ts_sql("20200301-000000")}, {TS_RUN}, c_custkey, c_name, c_nationkey, c_acctbal + 100, c_mktsegment
+  FROM customer WHERE c_nationkey < 3 OR c_nationkey >= 15"""
+
 _STATISTICS = ("SELECT '{0}' AS column_name, count(*) AS n_rows, count(*) - count({0}) AS n_null, CAST(min({0}) AS VARCHAR) AS min_value, "
                "CAST(max({0}) AS VARCHAR) AS max_value FROM t")
 ORACLE_SQL["load_column_statistics"] = f"WITH t AS ({GOVERNED_LOAD}) " + " UNION ALL ".join(

@@ -180,6 +180,8 @@ class GovernedLoad:
         try:
             if self.target.ensure(self.spec.stored_schema, BUCKET_COLUMN if self.spec.buckets else None):
                 self._ev("Table_Creation", self.table)
+            if self.spec.key_index:
+                self.target.declare_key_index(self.spec.table_key, self.spec.column_id)
             names = dl.parse_delivery_names(listing.select("path", *(c for c in (*IDENTITY[1:], "n_files") if c in listing.columns)))
             if self.skip_applied:
                 names = self._unseen(names)
@@ -349,18 +351,16 @@ class GovernedLoad:
             buckets = self._buckets([stamped])
         if eff == MODE_FULL:
             self._ev("NBRows_table_after_truncate", 0)
-            self._pk_guard(stamped, None, eff, fr.stage_rows, fr.null_key_rows)
+            self._pk_guard(stamped, eff, fr)
         elif eff == MODE_UPDATE:
-            # a primary key other than the delivery key can clash with any surviving row
-            rest = keys_mod.anti_by_key(self.target.read(), stamped, keys, fr.key_bytes)
-            self._pk_guard(stamped, rest, eff, fr.stage_rows, fr.null_key_rows)
+            self._pk_guard(stamped, eff, fr)
             touched, keep, old_rows = self._touched(snapshot, [stamped], fr.key_bytes, buckets)
             if touched:
                 kept = Observation(f"kept_{self.run_id}_{index}")
                 survivors = keys_mod.anti_by_key(self.target.rows_of(touched), stamped, keys, fr.key_bytes)
                 stamped = survivors.observe(kept, F.count(F.lit(1)).alias("rows")).unionByName(stamped)
         else:
-            self._pk_guard(stamped, self.target.read(), eff, fr.stage_rows)
+            self._pk_guard(stamped, eff, fr)
             keep = snapshot.segments
 
         segment = self.target.write(stamped, buckets, self.spec.column_stats)
@@ -431,18 +431,17 @@ class GovernedLoad:
             stamped = stamped.withColumn(BUCKET_COLUMN, bucket_of(self.spec.column_id, self.spec.buckets))
         return modes_mod.conform(stamped, target)
 
-    def _pk_guard(self, stage: DataFrame, rest: DataFrame | None, mode: str, stage_rows: int | None,
-                  null_key_rows: int | None = None) -> None:
+    def _pk_guard(self, stage: DataFrame, mode: str, fr: FileReport) -> None:
         """Refuse a delivery that would break the primary key, before anything is written.
 
         The current snapshot already satisfies the key (every switch is guarded
         and a table starts empty), so only the staged rows can add a violation:
         a NULL or repeated key among them, or a key also held by a surviving row
-        (``rest``: the kept rows of an UPDT, the whole target for INST).  When
+        (of the kept rows of an UPDT, of the whole target for INST).  When
         the primary key is the delivery key, the duplicate gate and the delete
-        by key already rule the second case out.  The staged keys are small and
-        broadcast when their count proves it; the surviving rows are only
-        scanned on their key columns, never shuffled as a whole.
+        by key already rule the second case out.  Of the surviving rows only
+        key columns are read: with a key index those in the buckets of staged
+        keys, without one all of them.
         """
         tk = self.spec.table_key
         if not (self.check_primary_key and tk):
@@ -450,18 +449,23 @@ class GovernedLoad:
         if self._key_gate_covers_pk:
             # the duplicate gate already grouped these very key values: only NULLs are left to
             # find, and the gate counted them in the same aggregate
-            broken = null_key_rows if null_key_rows is not None else (
+            broken = fr.null_key_rows if fr.null_key_rows is not None else (
                 stage.where(any_key_null(tk)).limit(1).count())
         else:
             broken = keys_mod.pk_violations(stage.select(*tk), tk).limit(1).count()
         if broken:
             raise PrimaryKeyViolation(f"the delivery breaks the key {tk} of {self.table}")
-        if rest is None or mode == MODE_FULL or (mode == MODE_UPDATE and tk == self.spec.column_id):
+        if mode == MODE_FULL or (mode == MODE_UPDATE and tk == self.spec.column_id):
             return
-        clash = rest.select(*tk).join(keys_mod.staged_keys(stage, tk), tk, "left_semi")
-        if clash.limit(1).count():
+        if self._held(stage, self.target.snapshot().segments, fr.key_bytes if mode == MODE_UPDATE else None, mode == MODE_UPDATE).limit(1).count():
             raise PrimaryKeyViolation(f"the delivery repeats keys {tk} already in {self.table}")
 
+    def _held(self, stage: DataFrame, segments: tuple[Segment, ...], key_bytes: int | None = None, deleting: bool = False) -> DataFrame:
+        """Rows of ``segments`` with a staged primary key; ``deleting``: without those that the delivery key deletes."""
+        tk, keys = self.spec.table_key, self.spec.column_id if deleting else []
+        held = self.target.key_rows(segments, stage, tk, keys).join(keys_mod.staged_keys(stage, tk), tk, "left_semi")
+        return keys_mod.anti_by_key(held, stage, keys, key_bytes) if deleting else held
+
     def _bulk(self, plan: list[dict], before: int) -> list[FileReport]:
         """Stage and gate every planned delivery, then write one merged segment.
 
@@ -479,7 +483,7 @@ class GovernedLoad:
         if same_key:
             # one winner per key: each delivery's own NULL/duplicate keys are all that can break it
             for (fr, _), st in zip(staged, stages):
-                self._pk_guard(st, None, MODE_FULL, fr.stage_rows, fr.null_key_rows)
+                self._pk_guard(st, MODE_FULL, fr)
         reports = [fr for fr, _ in staged]
         known = [fr.key_bytes for fr in reports]
         key_bytes = None if None in known else sum(known)
@@ -544,12 +548,11 @@ class GovernedLoad:
         return rows
 
     def _pk_check(self, segment: Segment, keep: tuple[Segment, ...]) -> None:
-        """Primary-key test of a written segment together with the kept ones, reading the key columns only."""
+        """Primary-key test of a written segment, and against the kept ones, which satisfy the key among themselves."""
         keys = self.spec.table_key
-        both = self.target.written(segment).select(*keys)
-        if keep:
-            both = both.unionByName(self.target.parts(keep).select(*keys))
-        if keys_mod.pk_violations(both, keys).limit(1).count():
+        written = self.target.written(segment)
+        if keys_mod.pk_violations(written.select(*keys), keys).limit(1).count() or (
+                keep and self._held(written, keep).limit(1).count()):
             raise PrimaryKeyViolation(f"the new snapshot of {self.table} breaks the key {keys}")
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from loadwright.functions.keys import BUCKET_COLUMN
 from loadwright.functions.render import delimited_line
 from loadwright.plans.journal import Journal
-from loadwright.plans.load import run_load
+from loadwright.plans.load import PrimaryKeyViolation, run_load
 from loadwright.plans.spec import LoadSpec
 from loadwright.plans.store import TableStore
 from loadwright.plans.target import SEGMENT
@@ -114,3 +114,31 @@ def governed_customer_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column statistics of the bucketed customer load, merged from its segments."""
     store, spec, _ = _loaded(spark, sf_dir, 4, False, 1, column_stats=True)
     return store.target(spec.table_name).column_statistics().drop("n_distinct").where(~F.col("column_name").startswith("METADATA"))
+
+
+def key_index_deliveries(customer: DataFrame):
+    """Deliveries of three runs with delivery key ``c_custkey`` and primary key ``c_name``; the second repeats held names under new numbers."""
+    nation = F.col("c_nationkey")
+    return [
+        ("20200101-000000", "FULL", customer.where(nation < 10), 0.0, False),
+        ("20200201-000000", "UPDT", customer.where(nation.between(5, 14)).withColumn("c_custkey", -F.col("c_custkey")), 50.0, False),
+        ("20200301-000000", "UPDT", customer.where((nation < 3) | (nation >= 15)), 100.0, False),
+    ]
+
+
+def governed_customer_key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target after a FULL, a delivery that the primary key refuses, and one that replaces owners of names and adds others."""
+    root = scratch_path(spark, "indexed")
+    suffix = os.path.basename(root).rsplit("-", 1)[-1]
+    customer = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet")
+    spec = LoadSpec("src.base.customer", CUSTOMER_DDL, delimiter="|", column_id="c_custkey", table_key="c_name",
+                    custom_table_name=f"INDEXED_{suffix}", key_index=True)
+    store = TableStore(spark, f"{root}/warehouse")
+    journal = Journal(store, prefix=f"J{suffix}_")
+    for i, delivery in enumerate(key_index_deliveries(customer)):
+        write_deliveries([delivery], f"{root}/IN{i}")
+        try:
+            run_load(spark, spec, f"{root}/IN{i}", store, journal, run_ts=RUN_TS)
+        except PrimaryKeyViolation:
+            continue                     # refused as a whole, the target stays as it was
+    return store.read(spec.table_name)

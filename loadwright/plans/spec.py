@@ -40,6 +40,7 @@ class LoadSpec:
     analyze_scan: bool = False             # also count the rows of live segments by reading them
     column_stats: bool = False             # nulls, extremes and distinct counts per column, taken on each write
     buckets: int | None = None             # hash-partition the target by the delivery key
+    key_index: bool = False                # keep the primary keys of each segment in hash buckets
     keep_stage: bool = False               # keep the staging folder after a successful run
     line_sep: str | None = None            # line separator when not \n, \r\n or \r
 
@@ -52,6 +53,8 @@ class LoadSpec:
         self.table_key = parse_keys(self.table_key)
         if self.buckets is not None and (not self.column_id or int(self.buckets) < 1):
             raise ValueError("buckets need a delivery key (column_id) and a positive count")
+        if self.key_index and not self.table_key:
+            raise ValueError("a key index needs a primary key (table_key)")
         parts = self.object_name.lower().split(".")
         if len(parts) != 3 or not all(parts):
             raise ValueError("object_name must be 'source.base.object'")

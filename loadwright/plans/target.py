@@ -21,6 +21,8 @@ or ledger row; :meth:`TargetTable.vacuum` removes the first two.
 An append adds a segment and leaves all files as they are.  An update rewrites
 the segments (or buckets) that hold one of its keys.  One writer per table is
 assumed.  Segments of many small appends are merged by :meth:`TargetTable.compact`.
+A target with a declared key index keeps the primary keys of each segment in
+hash buckets (see :mod:`loadwright.plans.keyindex`).
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from loadwright.functions.tokens import as_struct, sql_ident, sql_string
+from loadwright.plans.keyindex import KeyIndex
 from loadwright.plans.stats import STATS_SCHEMA, merged_statistics, segment_statistics
 
 SEGMENT = "_segment"
@@ -46,6 +49,7 @@ LEDGER_SCHEMA = ("KIND STRING, VERSION BIGINT, COMMIT_ID STRING, PARENT_ID STRIN
 COMMIT, APPLIED, PASSED = "commit", "applied", "passed"
 IDENTITY = ["path", "modificationTime", "length"]
 _PROPERTY = "loadwright.commit"
+_KEY_INDEX = "loadwright.key_index"
 _FOLDER = re.compile(rf"{SEGMENT}=(\d+)-[0-9a-f]+")
 
 
@@ -107,6 +111,29 @@ class TargetTable:
         listed = self.spark.catalog.listColumns(self.store.qualified(self.parts_name))
         return next((c.name for c in listed if c.isPartition and c.name != SEGMENT), None)
 
+    @cached_property
+    def key_index(self) -> KeyIndex | None:
+        """The declared key index; kept with the table, so every writer of it maintains the index."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.store.qualified(self.parts_name)}").collect()
+        said = {r["key"]: r["value"] for r in rows}.get(_KEY_INDEX)
+        return KeyIndex(self._keys_root, *map(tuple, json.loads(said))) if said else None
+
+    def declare_key_index(self, keys: list[str], extra: list[str] = ()) -> KeyIndex:
+        """Index the ``keys`` of all segments written from now on (``extra``: columns stored beside them).
+
+        Segments that are live already are read as before; :meth:`compact` indexes them.
+        """
+        index = KeyIndex(self._keys_root, tuple(keys), tuple(dict.fromkeys([*extra] + ([self.bucket_col] if self.bucket_col else []))))
+        if self.key_index != index:
+            said = sql_string(json.dumps([index.keys, index.extra]))
+            self.spark.sql(f"ALTER TABLE {self.store.qualified(self.parts_name)} SET TBLPROPERTIES ('{_KEY_INDEX}' = {said})")
+            self.key_index = index
+        return index
+
+    @property
+    def _keys_root(self) -> str:
+        return f"{self.store.root}/{self.name}__KEYS"
+
     @property
     def parts_name(self) -> str:
         return f"{self.name}__PARTS"
@@ -160,6 +187,22 @@ class TargetTable:
         """Rows of the given segments with their ``_segment`` (pruned to those partitions)."""
         return self.store.read(self.parts_name).where(_condition(segments, self.bucket_col))
 
+    def key_rows(self, segments: tuple[Segment, ...], staged: DataFrame, keys: list[str], extra: list[str] = ()) -> DataFrame:
+        """(keys, extra) of the rows of ``segments`` that may hold a staged key.
+
+        Indexed segments give the buckets of the staged keys only, others the key columns of all their rows.
+        """
+        columns = list(dict.fromkeys([*keys, *extra]))
+        index, held = self.key_index, {}
+        if index and list(index.keys) == list(keys) and set(columns) <= set(index.columns):
+            held = index.counts(self.store, [s for s in segments if s.rows])
+        plain = tuple(s for s in segments if s.name not in held)
+        rows = self.parts(plain).select(*columns)
+        if held:
+            found = index.read(self.spark, self.read().schema, held, staged)
+            rows = rows.unionByName(found.where(_condition(tuple(s for s in segments if s.name in held), self.bucket_col)).select(*columns))
+        return rows
+
     def rows_of(self, segments: tuple[Segment, ...]) -> DataFrame:
         return self.parts(segments).select(*self.read().columns)
 
@@ -211,6 +254,8 @@ class TargetTable:
         found = obs.get
         if statistics:
             self._store_statistics(name, declared, found)
+        if self.key_index:
+            self.key_index.write(self.written(Segment(name, 0)), name, int(found["rows"]))
         return Segment(name, int(found["rows"]), tuple(sorted(buckets)) if self.bucket_col and buckets is not None else None)
 
     def switch(self, segment: Segment, kept: tuple[Segment, ...], rows: int, deliveries: list[Delivery] = (), run_id: int | None = None) -> Snapshot:
@@ -333,6 +378,11 @@ class TargetTable:
             if m and folder.split("=", 1)[1] not in names and int(m[1]) <= now.version:
                 self.store.drop_folder(f"{self.store.root}/{self.name}/{folder}")
                 gone.add(folder.split("=", 1)[1])
+        for base in self.store.folders(self._keys_root):
+            for folder in self.store.folders(f"{self._keys_root}/{base}"):
+                m = _FOLDER.fullmatch(folder)
+                if m and folder.split("=", 1)[1] not in names and int(m[1]) <= now.version:
+                    self.store.drop_folder(f"{self._keys_root}/{base}/{folder}")
         self.spark.sql(f"REFRESH TABLE {parts}")
         return sorted({int(g.split("-")[0]) for g in gone})
 

@@ -551,6 +551,13 @@ def q_governed_load_append(spark, sf_dir):
     return governed_customer_append(spark, sf_dir)
 
 
+def q_governed_load_key_index(spark, sf_dir):
+    """A primary key other than the delivery key, guarded through its index."""
+    from loadwright.plans.scenario import governed_customer_key_index
+
+    return governed_customer_key_index(spark, sf_dir)
+
+
 def q_load_column_statistics(spark, sf_dir):
     """Merged statistics of the loaded target (its exact part; the distinct counts are estimates)."""
     from loadwright.plans.scenario import governed_customer_statistics
@@ -612,6 +619,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "governed_load_bucketed": q_governed_load_bucketed,
     "governed_load_twice": q_governed_load_twice,
     "governed_load_append": q_governed_load_append,
+    "governed_load_key_index": q_governed_load_key_index,
     "governed_load_journal": q_governed_load_journal,
     "load_column_statistics": q_load_column_statistics,
     "regression_points": q_regression_points,
