@@ -14,7 +14,8 @@ DataFrame work on a narrow written table (no text).
 Defined results: a null text has no bytes; null metadata is a value of its own;
 repeated rows are placed each; an empty table gives an empty result.  The law
 is ``bytes``: shard sizes are near equal; equal texts may be in several shards.
-Only the id, the text and the metadata columns named are read.
+Only the id, the text and the metadata columns named are read; the table must
+have these (``categories=()`` leaves the size as the only dimension).
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ reach the driver.  Scoring reads every whole text.
 Defined results: a null or empty text has no word, and so the model's base
 rate; labels that repeat count once per document (toxic if any is); null labels and null ids are left out of the fit; without both
 classes in the labels nothing is toxic (severity 0); repeated documents are
-scored each; empty tables give empty results.  Extra columns are not read.
+scored each; empty tables give empty results.  Where no word is in ``MIN_DOCS`` labelled
+documents and reaches ``MIN_Z`` (too few toxic labels, or labels that no word
+explains) the vocabulary is empty and nothing is toxic.  Extra columns are not read.
 """
 
 from __future__ import annotations

@@ -318,6 +318,55 @@ def test_op6_balance_and_slots(spark, odd, words):
     assert kdshard.assign(frame(spark, rows[:1])).count() == 1
 
 
+def kd_by_hand(rows, shards):
+    """row number -> shard: each node sorted on its widest dimension and cut at the key nearest its weighted median."""
+    placed, todo = {}, [(rows, 0, shards)]
+    while todo:
+        node, first, leaves = todo.pop()
+        if leaves == 1 or not node:
+            placed |= {r.row: first for r in node}
+            continue
+        dims = range(len(node[0]["keys"]))
+        spread = [max(r["keys"][d] for r in node) - min(r["keys"][d] for r in node) for d in dims]
+        dim = max(dims, key=lambda d: (spread[d], -d))
+        at = defaultdict(int)
+        for r in node:
+            at[r["keys"][dim]] += r["size"]
+        target, left, cut = sum(at.values()) * (leaves // 2) / leaves, 0, None
+        for key in sorted(at):
+            if left + at[key] >= round(target):
+                cut = key if target - left < left + at[key] - target else key + 1
+                break
+            left += at[key]
+        half = leaves // 2
+        todo += [([r for r in node if r["keys"][dim] < cut], first, half), ([r for r in node if r["keys"][dim] >= cut], first + half, leaves - half)]
+    return placed
+
+
+@pytest.mark.parametrize("shards, categories", [(7, ("source", "lang")), (4, ())])
+def test_op6_is_the_tree_built_by_hand(spark, odd, words, shards, categories):
+    """The same shards as sorting each node, with a source that holds a third of the rows, nulls and repeated rows."""
+    rng = random.Random(9)
+    rows = odd + [(5000 + i, words(rng.randint(1, 60)), rng.choice(["en", "de", None]), "hot" if i % 3 == 0 else f"s{rng.randrange(9)}") for i in range(200)]
+    docs = frame(spark, rows + rows[-20:])
+    meta = kdshard.metadata(docs, categories).collect()
+    placed = kd_by_hand(meta, shards)
+    assert len(placed) == len(meta) == len(rows) + 20
+    expected = Counter((r.doc_id, r["size"], r.text_crc32, placed[r.row]) for r in meta)
+    assert Counter((r.doc_id, r["size"], r.text_crc32, r.shard) for r in kdshard.assign(docs, shards, categories).collect()) == expected
+
+
+def test_op7_rejects_nothing_without_a_vocabulary(spark):
+    """Both classes are labelled, but no word tells them apart or none is in enough labelled documents."""
+    same = frame(spark, [(i, "the same words in all", "en", "a") for i in range(40)])
+    rare = frame(spark, [(i, f"one two {'vile' if i < 3 else 'calm'}", "en", "a") for i in range(40)])
+    labels = spark.createDataFrame([(i, int(i < 3)) for i in range(40)], "doc_id long, toxic int")
+    for docs in (same, rare):
+        assert toxicity.fit(docs, labels) is None
+        got = toxicity.severity(docs, labels).collect()
+        assert len(got) == 40 and not any(r.toxic or r.severity for r in got)
+
+
 def test_op7_finds_toxic_and_spares_clean(spark, odd):
     rng = random.Random(5)
     clean = [(1000 + i, " ".join(f"w{rng.randrange(300)}" for _ in range(60)), "en", "a") for i in range(300)]
