@@ -5,19 +5,20 @@ solved on the driver:
 
 * the fractional covering program ``min sum x_c`` with ``sum_c a_cl x_c >= n_l``
   over configurations ``c`` (multisets of lengths that fit one sequence) is
-  solved by multiplicative weights.  A round prices the lengths, a knapsack
-  dynamic programme finds the configuration worth most, and a small share of all
-  sequences takes it.  A length's price is its size times
+  solved by multiplicative weights.  A round prices the lengths, and a knapsack
+  dynamic programme finds for each length that lags behind the configuration
+  worth most that holds it; it is taken as often as makes up the round's share,
+  in whole sequences, so that rare lengths take turns.  A length's price is its size times
   ``exp(-LEARNING_RATE * (share covered - share of rounds gone))``: lengths that
-  lag behind gain weight until configurations with them win.  The sum of all
-  rounds is the fractional solution; the rounds' mean prices, divided by the best
-  value at them, are a feasible dual and bound every packing from below, as the
-  sizes do;
-* ``x_c`` is rounded down and applied as often as the histogram still allows,
-  largest share first; what is left (at most about a sequence for each
-  configuration) is packed by best fit decreasing over the histogram;
-* if best fit alone needs fewer sequences (where lengths are too rare for whole
-  multiples of any configuration), its packing is taken.
+  lag behind gain weight until configurations with them win.  The rounds' mean
+  prices, divided by the best value at them, are a feasible dual and bound every
+  packing from below, as the sizes do;
+* the last share, and lengths with too few pieces left for whole configurations,
+  are rounded up by pricing on: the longest length left opens a sequence, and a
+  knapsack over the copies that are left finds what is worth most beside it at
+  the dual prices (the mean ones or the sizes, whichever needs fewer sequences);
+* sequences with places left, and those of many pieces, are opened and rounded
+  up anew as long as that needs fewer.
 
 Documents are tokenised, cut and ranked within their length on the executors;
 a rank then picks its place from the solved plan.
@@ -48,80 +49,155 @@ CAPACITY = 1024
 #: Shares that the sequences are dealt out in.
 ROUNDS = 400
 LEARNING_RATE = 2.0
+#: Sequences that rounding up is left with: this share of all, and so many at most.
+LAST_SHARE = 0.25
+LAST_SEQUENCES = 1000
+#: Cost of a piece against the highest price.
+FEWER = 1e-6
+#: Times that sequences with places left, and those of so many pieces, are opened and rounded up anew.
+REOPENED = 4
+MANY_PIECES = 3
 
 
-def best_configuration(value: np.ndarray, limit: np.ndarray, capacity: int) -> dict[int, int]:
-    """{length: copies} of most total ``value`` that fits ``capacity``.
+def fewer(value: np.ndarray) -> np.ndarray:
+    """Prices by which, of contents worth the same, those of fewer pieces win (short pieces fill what is left later)."""
+    return value - FEWER * value.max() * (value > 0)
+
 
-    Knapsack by dynamic programming over used capacity; lengths without any
-    piece (``limit`` 0) are left out.
+def knapsack(value: np.ndarray, limit: np.ndarray, capacity: int) -> list[int]:
+    """For every room up to ``capacity`` the length that contents of most total ``value`` take first (0: leave a place).
+
+    Dynamic programming over used capacity; lengths without any piece
+    (``limit`` 0) are left out.
     """
     lengths = np.flatnonzero(limit[1:] > 1e-6) + 1
     worth = value[lengths]
     best = np.zeros(capacity + 1)
-    took = np.zeros(capacity + 1, np.int64)
+    took = [0] * (capacity + 1)
+    fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right").tolist()
     for room in range(1, capacity + 1):
-        fit = bisect_left(lengths, room + 1)
+        fit = fits[room]
         best[room] = best[room - 1]
         if fit:
             total = best[room - lengths[:fit]] + worth[:fit]
             k = int(total.argmax())
             if total[k] > best[room]:
-                best[room], took[room] = total[k], lengths[k]
+                best[room], took[room] = total[k], int(lengths[k])
+    return took
+
+
+def contents(took: list[int], room: int) -> dict[int, int]:
+    """{length: copies} that ``knapsack`` fits into ``room``."""
     out: dict[int, int] = {}
-    room = capacity
     while room > 0:
-        if took[room]:
-            out[int(took[room])] = out.get(int(took[room]), 0) + 1
-            room -= int(took[room])
-        else:
-            room -= 1
+        k = took[room]
+        if k:
+            out[k] = out.get(k, 0) + 1
+        room -= k or 1
     return out
 
 
+def best_configuration(value: np.ndarray, limit: np.ndarray, capacity: int) -> dict[int, int]:
+    """{length: copies} of most total ``value`` that fits ``capacity``."""
+    return contents(knapsack(value, limit, capacity), capacity)
+
+
 @dataclass
 class Cover:
-    """A fractional solution: configurations with how often each is used, the last prices, a lower bound of any packing."""
+    """A fractional solution: configurations with how often each is used, the last prices, the mean ones, a lower bound of any packing."""
 
     columns: list[tuple[dict[int, int], float]]
     prices: np.ndarray
+    mean: np.ndarray
     bound: float
 
 
 def fractional_cover(counts: np.ndarray, capacity: int, rounds: int = ROUNDS, rate: float = LEARNING_RATE) -> Cover:
     """The covering program by multiplicative weights (see the module's text).
 
-    A round's share is cut short where it would cover a length twice, so each
-    length needs one short round at most and the work is bounded by ``rounds``
-    and the number of lengths.
+    One knapsack table a round prices all lengths: beside each one it has the
+    contents worth most.  ``start`` lets lengths of like counts take turns.
     """
     need, size = counts.astype(float), np.arange(capacity + 1) / capacity
     bound = float(need @ size)  # prices by size alone: no sequence is worth more than 1
-    step = max(bound / rounds, 1e-9)
-    covered, gone, used = np.zeros(capacity + 1), 0.0, {}
+    left, used = counts.copy(), {}
+    start = np.arange(capacity + 1) * 0.6180339887498949 % 1
     price, mean = size.copy(), np.zeros(capacity + 1)
-    for _ in range(rounds + int((need > 0).sum())):
-        open_ = (need > 0) & (covered < 1 - 1e-9)
-        if not open_.any():
-            break
-        price = size * np.exp(np.clip(-rate * (covered - gone), -500, 500)) * (need > 0)
+    last = min(LAST_SHARE * bound, LAST_SEQUENCES)
+    for done in range(int(rounds * (1 - last / bound)) if bound else 0):
+        covered = 1 - left / np.maximum(need, 1)
+        price = size * np.exp(np.clip(-rate * (covered - done / rounds), -500, 500)) * (need > 0)
         mean += price / max(float(need @ price), 1e-300)
-        config = best_configuration(price, np.where(open_, need, 0.0), capacity)
-        lengths, copies = np.array(list(config)), np.array(list(config.values()), float)
-        amount = min(step, float(((1 - covered[lengths]) * need[lengths] / copies).min()))
-        covered[lengths] += amount * copies / need[lengths]
-        gone += amount / (step * rounds)
-        key = tuple(sorted(config.items()))
-        used[key] = used.get(key, 0.0) + amount
+        target = np.floor((done + 1) / rounds * need + start)
+        late = np.flatnonzero(counts - left < target)[::-1]
+        if not len(late):
+            continue
+        took = knapsack(fewer(price), left, capacity)
+        before = left.sum()
+        for k in late.tolist():
+            behind = int(target[k] - counts[k] + left[k])
+            if behind > 0:
+                config = contents(took, capacity - k)
+                config[k] = config.get(k, 0) + 1
+                amount = min(-(-behind // config[k]), *(int(left[j] // c) for j, c in config.items()))
+                if amount > 0:
+                    for j, c in config.items():
+                        left[j] -= amount * c
+                    key = tuple(sorted(config.items()))
+                    used[key] = used.get(key, 0) + amount
+        if left.sum() == before:  # no configuration fits what is left
+            break
     if mean.any():
         best = best_configuration(mean, need, capacity)
         bound = max(bound, float(need @ mean) / sum(mean[k] * c for k, c in best.items()))
-    return Cover([(dict(c), x) for c, x in sorted(used.items(), key=lambda kv: -kv[1])], price, bound)
+    return Cover([(dict(c), x) for c, x in sorted(used.items(), key=lambda kv: -kv[1])], price, mean, bound)
+
+
+def best_rest(value: np.ndarray, left: np.ndarray, room: int) -> dict[int, int]:
+    """{length: copies} of most total ``value`` that fits ``room``, with no more copies of a length than ``left`` has.
+
+    Knapsack by dynamic programming; copies of a length come in lots of 1, 2, 4 and so on.
+    """
+    lots = []
+    for k in (np.flatnonzero(left[1:room + 1]) + 1).tolist():
+        n, lot = min(int(left[k]), room // k), 1
+        while n > 0:
+            lots.append((k, min(lot, n)))
+            n, lot = n - lot, 2 * lot
+    best, took = np.zeros(room + 1), np.zeros((len(lots), room + 1), bool)
+    for i, (k, m) in enumerate(lots):
+        total = best[:room + 1 - k * m] + m * value[k]
+        took[i, k * m:] = total > best[k * m:]
+        best[k * m:] = np.maximum(best[k * m:], total)
+    out: dict[int, int] = {}
+    for i in range(len(lots) - 1, -1, -1):
+        if took[i, room]:
+            k, m = lots[i]
+            out[k] = out.get(k, 0) + m
+            room -= k * m
+    return out
+
+
+def round_up(counts: np.ndarray, prices: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Sequences for all of ``counts``: each with the longest piece left and what is worth most beside it, as often as the pieces last."""
+    left, plan, prices = counts.copy(), [], fewer(prices)
+    for top in range(capacity, 0, -1):
+        while left[top]:
+            left[top] -= 1
+            config = best_rest(prices, left, capacity - top)
+            left[top] += 1
+            config[top] = config.get(top, 0) + 1
+            n = min(int(left[k] // c) for k, c in config.items())
+            plan.append((config, n))
+            for k, c in config.items():
+                left[k] -= n * c
+    return plan
 
 
 def best_fit_decreasing(counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
     """Best fit decreasing on a histogram: [(configuration, how many sequences)].
 
+    A yardstick for ``solve``, which makes no use of it.
     Sequences in the same state are kept as one entry, so the work follows the
     number of distinct states and not the number of pieces.
     """
@@ -170,18 +246,25 @@ def sequences(plan: list[tuple[dict[int, int], int]]) -> int:
 
 def solve(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS, rate: float = LEARNING_RATE) -> list[tuple[dict[int, int], int]]:
     """Whole sequences that hold exactly ``counts[l]`` pieces of each length ``l``."""
-    plain = best_fit_decreasing(counts, capacity)
-    if sequences(plain) * capacity < int(counts @ np.arange(capacity + 1)) + capacity:
-        return plain  # no packing can need fewer
-    left, plan = counts.copy(), []
-    for config, x in fractional_cover(counts, capacity, rounds, rate).columns:
-        n = min([int(x + 1e-6), *(int(left[k] // c) for k, c in config.items())])
-        if n > 0:
-            plan.append((config, n))
+    cover = fractional_cover(counts, capacity, rounds, rate)
+    left, plan = counts.copy(), cover.columns
+    for config, n in plan:
+        for k, c in config.items():
+            left[k] -= n * c
+    duals = cover.mean, np.arange(capacity + 1) / capacity  # two feasible ones, but for their scale
+    whole = lambda left: min((round_up(left, prices, capacity) for prices in duals), key=sequences)
+    plan = plan + whole(left)
+    for _ in range(REOPENED):
+        opened = [sum(config.values()) >= MANY_PIECES or sum(k * c for k, c in config.items()) < capacity for config, _ in plan]
+        loose, left = [x for x, again in zip(plan, opened) if again], np.zeros_like(counts)
+        for config, n in loose:
             for k, c in config.items():
-                left[k] -= n * c
-    plan += best_fit_decreasing(left, capacity)
-    return plan if sequences(plan) <= sequences(plain) else plain
+                left[k] += n * c
+        anew = whole(left)
+        if sequences(anew) >= sequences(loose):
+            break
+        plan = [x for x, again in zip(plan, opened) if not again] + anew
+    return plan
 
 
 def places(plan: list[tuple[dict[int, int], int]]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:

@@ -301,6 +301,23 @@ def test_op5_weights_beat_best_fit_on_many_lengths():
     assert packing.sequences(packing.solve(need)) < 0.985 * packing.sequences(packing.best_fit_decreasing(need, 1024))
 
 
+@pytest.mark.parametrize("pieces,longest", [(200, 1024), (4000, 1024), (20_000, 700)])
+def test_op5_sequences_come_from_the_program_alone(monkeypatch, pieces, longest):
+    need = np.bincount(np.random.default_rng(pieces).integers(1, longest + 1, pieces), minlength=1025)
+    plain = packing.sequences(packing.best_fit_decreasing(need, 1024))
+
+    def no_other_way(*_):
+        raise AssertionError("best fit in place of the program")
+
+    monkeypatch.setattr(packing, "best_fit_decreasing", no_other_way)
+    plan, held = packing.solve(need), np.zeros(1025, int)
+    for config, n in plan:
+        assert n > 0 and sum(k * c for k, c in config.items()) <= 1024
+        for k, c in config.items():
+            held[k] += n * c
+    assert (held == need).all() and packing.sequences(plan) <= plain + 1
+
+
 def test_op6_balance_and_slots(spark, odd, words):
     rows = odd[:8] + [(1000, "same text of a hot group", "en", "hot")] * 400 + [(2000 + i, words(20 + i % 50), None, f"s{i % 7}") for i in range(800)]
     got = kdshard.assign(frame(spark, rows), shards=6).collect()
