@@ -307,6 +307,7 @@ def _pieces(path: str, capacity: int):
                     seen[n] += 1
             columns = list(zip(*rows)) if rows else [()] * len(arrow)
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, arrow)], schema=arrow)
+        enc.rest()
 
     return run
 

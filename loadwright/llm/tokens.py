@@ -17,10 +17,12 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from itertools import islice
 
 END_ID = 2
-#: Pieces remembered per worker (about 130 MB).
-CACHE_PIECES = 600_000
+#: Pieces remembered per worker while a task runs (about 40 MB), and by one that waits (Spark keeps several waiting).
+CACHE_PIECES = 200_000
+KEPT_PIECES = 50_000
 
 #: White space other than a space or a line feed (fixed values): beyond ASCII, and in it.
 _ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -76,6 +78,13 @@ class _Pieces(dict):
             self[piece] = out
         return out
 
+    def trim(self, room: int) -> None:
+        """Only the first ``room`` pieces stay: frequent ones come early."""
+        if len(self) > room:
+            first = dict(islice(self.items(), room))
+            self.clear()
+            self.update(first)
+
     def _stop(self, signs: str) -> bytes:
         out = self.stops.get(signs)
         if out is None:
@@ -118,6 +127,12 @@ class Encoder:
         self.texts[text] = out
         return out
 
+    def rest(self) -> None:
+        """At the end of a task: a waiting worker holds little."""
+        self.pieces.trim(KEPT_PIECES)
+        self.firsts.trim(KEPT_PIECES // 20)
+        self.texts.clear()
+
     def _line(self, line: str) -> bytes:
         first, *rest = line.split(" ")
         return self.firsts[first] + b"".join(map(self.pieces.__getitem__, rest))

@@ -280,6 +280,7 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, shard_tokens: in
                     shard, doc_ids, parts, size = shard + 1, [], [], 0
         if doc_ids:
             yield image()
+        enc.rest()
 
     return settle(ordered.mapInArrow(run, schema), "wavelet")
 

@@ -83,6 +83,19 @@ def test_wavelet_rank_select(n, top):
         assert len(w.occurrences(int(x[0]))) == w.count(int(x[0]))
 
 
+def test_encoder_holds_little_between_tasks():
+    """Spark keeps more workers waiting than it has cores, and each takes a turn at the encoder."""
+    enc = tokens.Encoder(tokens.default_path())
+    texts = [" ".join(f"{c}{i + 97 * j}" for j in range(400)) for i in range(0, 280_000, 400) for c in "ab"]
+    for t in texts:
+        enc.ids(t)
+    assert len(enc.pieces) <= 200_000
+    first, ids = next(iter(enc.pieces)), enc.ids(texts[7])
+    enc.rest()
+    assert len(enc.pieces) <= 50_000 and first in enc.pieces and not enc.texts
+    assert enc.ids(texts[7]) == ids
+
+
 def test_op1_round_trip(spark, odd):
     got = wavelet.read_documents(wavelet.write_shards(frame(spark, odd), shard_tokens=500)).collect()
     want = Counter((d, len(bpe(t)), crc(bpe(t))) for d, t, *_ in odd)
