@@ -19,6 +19,10 @@ import re
 from array import array
 from itertools import islice
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 END_ID = 2
 #: Pieces remembered per worker while a task runs (about 40 MB), and by one that waits (Spark keeps several waiting).
 CACHE_PIECES = 200_000
@@ -50,6 +54,11 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _one_token(word: str) -> bool:
+    """Is it known that ``word``, whatever signs follow, is a pre-token?"""
+    return word.isalpha() and (word.isascii() or _LATIN_WORD.fullmatch(word) is not None)
+
+
 class _Pieces(dict):
     """Ids (little-endian uint32 bytes) of a piece that follows ``before``: a space or nothing."""
 
@@ -65,11 +74,11 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         word = piece.rstrip(_SIGNS)
-        if not word or not word.isalpha() or not (word.isascii() or _LATIN_WORD.fullmatch(word)):
+        if not _one_token(word):
             out = array("I", self.encode(self.before + piece, add_special_tokens=False).ids).tobytes()
         elif len(word) < len(piece):  # a word, then signs: two pre-tokens
             new = word not in self
-            out = self[word] + self._stop(piece[len(word):])
+            out = self[word] + self.signs(piece[len(word):])
             if new:  # kept when the word comes again
                 return out
         else:  # one pre-token, in the byte-level alphabet
@@ -85,7 +94,7 @@ class _Pieces(dict):
             self.clear()
             self.update(first)
 
-    def _stop(self, signs: str) -> bytes:
+    def signs(self, signs: str) -> bytes:
         out = self.stops.get(signs)
         if out is None:
             out = self._ids(self.tokenize(signs))
@@ -117,20 +126,46 @@ class Encoder:
             return b""
         if text in self.texts:  # copies often sit close together
             return self.texts[text]
-        if (any(a in text for a in self.added) or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0].isspace() or text[-1].isspace()
-                or (any(c in text for c in _ODD_ASCII) if text.isascii() else _ODD.search(text))):
-            out = self.whole(text)
-        else:
-            out = self.feed.join(map(self._line, text.split("\n")))
+        out = self.feed.join(map(self._line, text.split("\n"))) if self._plain(text) else self.whole(text)
         if len(self.texts) >= 256:
             self.texts.clear()
         self.texts[text] = out
         return out
 
-    def rest(self) -> None:
+    def ids_many(self, texts: list[str | None]) -> list[bytes]:
+        """``ids`` of each text; a word that they share is looked up once for all, and tokenised once even where no more are remembered."""
+        plain = [bool(t) and self._plain(t) for t in texts]
+        # a line feed stays with the piece after it; a carriage return, which plain texts lack, marks a text's first piece
+        cut = pc.split_pattern(pa.array(["\r" + t.replace("\n", " \n") for t, p in zip(texts, plain) if p], pa.large_string()), " ")
+        coded, ends = cut.flatten().dictionary_encode(), cut.offsets.to_numpy()
+        known, codes = self._known(coded.dictionary), coded.indices.to_numpy()
+        joined = (b"".join(map(known.__getitem__, codes[a:e].tolist())) for a, e in zip(ends, ends[1:]))
+        return [next(joined) if p else self.ids(t) for t, p in zip(texts, plain)]
+
+    def _known(self, pieces: pa.Array) -> list[bytes]:
+        """The ids of marked pieces, looked up by the words that are left without their signs."""
+        words = pc.utf8_rtrim(pieces, _SIGNS).dictionary_encode()
+        strings, codes = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy()
+        ids = [self.pieces[w] if _one_token(w) else None for w in strings]
+        out = list(map(ids.__getitem__, codes.tolist()))
+        signed = pc.not_equal(pc.utf8_length(pieces), pc.utf8_length(words.dictionary).take(words.indices)).to_numpy(zero_copy_only=False)
+        others = np.flatnonzero(signed | np.array([i is None for i in ids], bool)[codes])
+        for i, p, c in zip(others.tolist(), pieces.take(pa.array(others)).to_numpy(zero_copy_only=False), codes[others].tolist()):
+            if p[0] in "\r\n":
+                out[i] = self.firsts[p[1:]] if p[0] == "\r" else self.feed + self.firsts[p[1:]]
+            else:
+                out[i] = self.pieces[p] if ids[c] is None else ids[c] + self.pieces.signs(p[len(strings[c]):])
+        return out
+
+    def _plain(self, text: str) -> bool:
+        """Are the ids of ``text`` those of its pieces?"""
+        return not (any(a in text for a in self.added) or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0].isspace() or text[-1].isspace()
+                    or (any(c in text for c in _ODD_ASCII) if text.isascii() else _ODD.search(text)))
+
+    def rest(self, kept: int = KEPT_PIECES) -> None:
         """At the end of a task: a waiting worker holds little."""
-        self.pieces.trim(KEPT_PIECES)
-        self.firsts.trim(KEPT_PIECES // 20)
+        self.pieces.trim(kept)
+        self.firsts.trim(kept // 20)
         self.texts.clear()
 
     def _line(self, line: str) -> bytes:
@@ -138,7 +173,10 @@ class Encoder:
         return self.firsts[first] + b"".join(map(self.pieces.__getitem__, rest))
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, room: int = CACHE_PIECES) -> Encoder:
+    """The worker's encoder, which may remember ``room`` pieces from now on."""
     if path not in _loaded:
         _loaded[path] = Encoder(path)
-    return _loaded[path]
+    out = _loaded[path]
+    out.pieces.room, out.firsts.room = room, room // 20
+    return out

@@ -36,6 +36,9 @@ from loadwright.llm.tokens import END_ID, default_path, encoder
 MAGIC = b"WVM1"
 SHARD_TOKENS = 1 << 20
 BLOCK = 512
+#: Characters of the texts that are encoded together, and pieces that a worker remembers (about 130 MB), also from task to task.
+CHUNK_CHARS = 8 << 20
+CACHE_PIECES = 600_000
 
 
 def _top(words: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -259,7 +262,7 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, shard_tokens: in
     schema = "part int, shard int, n_docs long, n_tokens long, image binary"
 
     def run(batches):
-        enc, end = encoder(path), np.array([END_ID], "<u4").tobytes()
+        enc, end = encoder(path, CACHE_PIECES), np.array([END_ID], "<u4").tobytes()
         part, shard = TaskContext.get().partitionId(), 0
         doc_ids, parts, size = [], [], 0
 
@@ -270,17 +273,28 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, shard_tokens: in
                                                pa.array([len(ids)], pa.int64()), pa.array([built.to_bytes()], pa.binary())],
                                               ["part", "shard", "n_docs", "n_tokens", "image"])
 
-        for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                doc_ids.append(doc)
-                parts.append(enc.ids(text) + end)
-                size += len(parts[-1]) // 4
-                if size >= shard_tokens:
-                    yield image()
-                    shard, doc_ids, parts, size = shard + 1, [], [], 0
+        def encoded():
+            docs, texts, chars = [], [], 0
+            for b in batches:
+                for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    docs.append(doc)
+                    texts.append(text)
+                    chars += len(text or "") + 1
+                    if chars >= CHUNK_CHARS:
+                        yield from zip(docs, enc.ids_many(texts))
+                        docs, texts, chars = [], [], 0
+            yield from zip(docs, enc.ids_many(texts))
+
+        for doc, ids in encoded():
+            doc_ids.append(doc)
+            parts.append(ids + end)
+            size += len(parts[-1]) // 4
+            if size >= shard_tokens:
+                yield image()
+                shard, doc_ids, parts, size = shard + 1, [], [], 0
         if doc_ids:
             yield image()
-        enc.rest()
+        enc.rest(CACHE_PIECES)
 
     return settle(ordered.mapInArrow(run, schema), "wavelet")
 

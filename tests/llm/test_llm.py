@@ -96,6 +96,31 @@ def test_encoder_holds_little_between_tasks():
     assert enc.ids(texts[7]) == ids
 
 
+def test_encoder_of_many_texts_equals_library():
+    """Words, signs, odd pieces and texts encoded whole, in one call and in many, with and without room to remember."""
+    from tokenizers import Tokenizer
+
+    rng, untouched = random.Random(2), Tokenizer.from_file(tokens.default_path())
+    parts = [*"ab \u00e9Z.,'\n\t 9\u00bd\u3000<|>", "<|endoftext|>", "'s", " word", " \u00e9t\u00e9,", "\nLine", "\x01", "\U0001f600"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 16))) for _ in range(4000)]
+    texts += [None, "", "x x' x', 12 12, \x01a \x01a, x, x,' .,", "\x01a\n\x01a\nx'\nx',", *texts[:50]]
+    want = [untouched.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for room, step in ((tokens.CACHE_PIECES, len(texts)), (0, 700), (3, 1)):
+        enc = tokens.Encoder(tokens.default_path())
+        enc.pieces.room = enc.firsts.room = room
+        got = [i for at in range(0, len(texts), step) for i in enc.ids_many(texts[at:at + step])]
+        assert [np.frombuffer(i, "<u4").tolist() for i in got] == want and len(enc.pieces) <= room
+    assert enc.ids_many([]) == [] and enc.ids_many([None, ""]) == [b"", b""]
+
+
+def test_encoder_of_many_texts_tokenises_a_word_once():
+    enc, asked = tokens.Encoder(tokens.default_path()), []
+    enc.pieces.room, plain = 0, enc.pieces.tokenize
+    enc.pieces.tokenize = lambda w: asked.append(w) or plain(w)
+    enc.ids_many(["One house, house. the\nOther the house"] * 300)
+    assert sorted(asked) == [",", ".", "\u0120house", "\u0120the"]
+
+
 def test_op1_round_trip(spark, odd):
     got = wavelet.read_documents(wavelet.write_shards(frame(spark, odd), shard_tokens=500)).collect()
     want = Counter((d, len(bpe(t)), crc(bpe(t))) for d, t, *_ in odd)
