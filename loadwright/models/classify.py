@@ -123,12 +123,21 @@ def forest_fit(df: DataFrame, label: str, xs: list[str] | str, trees: int = FORE
 
     Trees grow until their leaves are pure, as the original's do, up to
     ``max_depth``, whose default is the deepest that Spark ML allows.
+
+    Every row keeps the node it has reached in each tree, so a pass looks at
+    the rows from there.  Without it, Spark sends all trees grown so far with
+    every pass and walks each row down from the roots; the forest is the same.
+    The node ids are checkpointed every few passes, which needs the shared
+    checkpoint folder.
     """
     from pyspark.ml.classification import RandomForestClassifier
 
+    from loadwright.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
     data, classes, _ = _labelled(df, label, xs)
     rf = RandomForestClassifier(featuresCol=FEATURES, labelCol="_label", numTrees=trees,
-                                maxDepth=max_depth, seed=seed, impurity="gini")
+                                maxDepth=max_depth, seed=seed, impurity="gini", cacheNodeIds=True)
     return Classifier(_without_summary(df.sparkSession, rf.fit(data)), classes)
 
 

@@ -143,3 +143,21 @@ def test_forest_scored_from_its_nodes_equals_spark_tree_by_tree(spark):
     assert {r.check_name: r.n_bad for r in classify.node_checks(nodes).collect()} == {"children": 0, "gini": 0, "links": 0, "parents": 0}
     broken = nodes.withColumn("left", F.when(F.col("node_id") == 0, F.lit(-1)).otherwise(F.col("left")))
     assert sum(r.n_bad for r in classify.node_checks(broken).collect()) > 0
+
+
+def test_forest_keeps_node_ids_and_is_the_forest_without_them(spark):
+    """No pass sends the trees grown so far with it; every node is as Spark's plain fit grows it."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    rng = np.random.default_rng(7)
+    rows = [([float(v) for v in rng.normal(size=6)], int(rng.integers(4)) if i % 50 else None) for i in range(1200)]
+    df = spark.createDataFrame(rows, "x array<float>, y int").repartition(3, "x").localCheckpoint()
+    model = classify.forest_fit(df, "y", "x")
+    assert model.getCacheNodeIds()
+    data = classify.assemble(df.where("y IS NOT NULL"), "x").withColumn("_label", F.col("y").cast("double"))
+    plain = RandomForestClassifier(featuresCol=classify.FEATURES, labelCol="_label", numTrees=10, maxDepth=30, seed=42, impurity="gini").fit(data)
+    assert not plain.getCacheNodeIds() and model.classes == [0, 1, 2, 3]
+    nodes = lambda m: classify.forest_nodes(spark, m).orderBy("tree", "node_id").collect()
+    assert max(t.depth for t in plain.trees) > 10 and model.toDebugString.count("\n") == plain.toDebugString.count("\n")
+    key = lambda n: (n.tree, n.node_id, n.feature_index, n.threshold, n.gini, tuple(n.value), n.left, n.right)
+    assert [key(n) for n in nodes(model)] == [key(n) for n in nodes(plain)]
