@@ -124,21 +124,40 @@ def forest_fit(df: DataFrame, label: str, xs: list[str] | str, trees: int = FORE
     Trees grow until their leaves are pure, as the original's do, up to
     ``max_depth``, whose default is the deepest that Spark ML allows.
 
-    Every row keeps the node it has reached in each tree, so a pass looks at
-    the rows from there.  Without it, Spark sends all trees grown so far with
-    every pass and walks each row down from the roots; the forest is the same.
-    The node ids are checkpointed every few passes, which needs the shared
-    checkpoint folder.
+    ``forest.grow`` grows the forest that Spark ML's own fit gives, node for
+    node, with passes that cost what their rows cost; Spark's fit keeps a
+    histogram of every open node in every partition.  The forest is saved in
+    Spark ML's format below the shared checkpoint folder.  Categorical
+    features (columns with nominal ML attributes) are left to Spark's fit,
+    where every row keeps the node it has reached in each tree.
     """
     from pyspark.ml.classification import RandomForestClassifier
 
-    from loadwright.session import checkpoint_root
+    from loadwright.models import forest
+    from loadwright.session import checkpoint_root, scratch_path
 
-    checkpoint_root(df.sparkSession)
+    spark = df.sparkSession
+    checkpoint_root(spark)
     data, classes, _ = _labelled(df, label, xs)
     rf = RandomForestClassifier(featuresCol=FEATURES, labelCol="_label", numTrees=trees,
                                 maxDepth=max_depth, seed=seed, impurity="gini", cacheNodeIds=True)
-    return Classifier(_without_summary(df.sparkSession, rf.fit(data)), classes)
+    grown = forest.grow(rf, data)
+    if grown is None:
+        return Classifier(_without_summary(spark, rf.fit(data)), classes)
+    path = scratch_path(spark, "forest")
+    forest.save(spark, rf, grown, path)
+    return Classifier(forest.SavedForest(path, len(grown[1])), classes)
+
+
+def _saved(spark, model, path: str | None) -> str:
+    """The folder of a saved forest: where its growth has left it, or ``path``, to which it is saved here."""
+    from loadwright.session import scratch_path
+
+    if path is None and (own := getattr(model, "path", None)):
+        return own
+    path = path or scratch_path(spark, "forest")
+    model.write().overwrite().save(path)
+    return path
 
 
 def tree_nodes(spark, model, tree: int = SHOWN_TREE, features: list[str] | None = None,
@@ -151,11 +170,8 @@ def tree_nodes(spark, model, tree: int = SHOWN_TREE, features: list[str] | None
     threshold and ``left = right = -1``.  The model is saved below the shared
     checkpoint folder and its node table read back with Spark.
     """
-    from loadwright.session import scratch_path
-
-    path = path or scratch_path(spark, "forest")
+    path = _saved(spark, model, path)
     classes = classes or [str(c) for c in getattr(model, "classes", [])]
-    model.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data").where(F.col("treeID") == tree).select("nodeData.*")
     feat = F.col("split.featureIndex")
     if features:
@@ -180,10 +196,7 @@ def tree_nodes(spark, model, tree: int = SHOWN_TREE, features: list[str] | None
 
 def forest_nodes(spark, model, path: str | None = None) -> DataFrame:
     """All trees of a fitted forest: ``tree, node_id, feature_index, threshold, gini, value, left, right``."""
-    from loadwright.session import scratch_path
-
-    path = path or scratch_path(spark, "forest")
-    model.write().overwrite().save(path)
+    path = _saved(spark, model, path)
     n = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
     inner = F.col("leftChild") >= 0
     return n.select("tree", F.col("id").alias("node_id"), F.when(inner, F.col("split.featureIndex")).alias("feature_index"),

@@ -161,3 +161,42 @@ def test_forest_keeps_node_ids_and_is_the_forest_without_them(spark):
     assert max(t.depth for t in plain.trees) > 10 and model.toDebugString.count("\n") == plain.toDebugString.count("\n")
     key = lambda n: (n.tree, n.node_id, n.feature_index, n.threshold, n.gini, tuple(n.value), n.left, n.right)
     assert [key(n) for n in nodes(model)] == [key(n) for n in nodes(plain)]
+
+
+def test_forest_is_grown_without_sparks_dense_passes(spark, monkeypatch):
+    """Node for node Spark's own forest, in groups of few nodes, with rows summed in a shuffle as well as dealt by node."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from loadwright.models import forest
+    from loadwright.session import scratch_path
+
+    rng = np.random.default_rng(3)
+    rows = [([*map(float, rng.integers(0, 9, 4)), 1.0, float(rng.normal())], int(rng.integers(5))) for _ in range(700)]
+    df = spark.createDataFrame(rows, "x array<double>, y int").repartition(5).localCheckpoint()
+    data = classify.assemble(df, "x").withColumn("_label", F.col("y").cast("double"))
+    rf = RandomForestClassifier(featuresCol=classify.FEATURES, labelCol="_label", numTrees=6, maxDepth=12, seed=42, impurity="gini", maxMemoryInMB=1)
+    own = {(r.treeID, str(r.nodeData)) for r in spark.read.parquet(f"{classify._saved(spark, rf.fit(data), None)}/data").collect()}
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda *a: pytest.fail("Spark's own passes"))
+    for dealt_rows in (0, forest.DEALT_ROWS):
+        monkeypatch.setattr(forest, "DEALT_ROWS", dealt_rows)
+        grown = forest.grow(rf, data)
+        path = scratch_path(spark, "forest")
+        forest.save(spark, rf, grown, path)
+        assert {(r.treeID, str(r.nodeData)) for r in spark.read.parquet(f"{path}/data").collect()} == own
+    model = classify.forest_fit(df, "y", "x", trees=3, max_depth=4)
+    assert model.getNumTrees == 3 and model.numClasses == 5 and model.classes == [0, 1, 2, 3, 4]
+
+
+def test_bootstrap_counts_and_feature_subsets_are_sparks(spark):
+    from loadwright.models import forest
+
+    jvm = spark._jvm
+    for seed in (43, -5, 2**40 + 17):
+        draws = jvm.org.apache.commons.math3.distribution.PoissonDistribution(1.0)
+        draws.reseedRandomGenerator(seed)
+        assert forest.poisson_counts(seed, 400).tolist() == [draws.sample() for _ in range(400)]
+    java = jvm.java.util.Random(42)
+    seeds, _ = forest.JavaRandom(42).longs(50)
+    assert seeds.astype(np.int64).tolist() == [java.nextLong() for _ in range(50)]
+    sets = forest.feature_subsets(seeds, 20, 4)
+    assert all(len(set(s)) == 4 and 0 <= min(s) and max(s) < 20 for s in sets.tolist())
