@@ -31,6 +31,9 @@ from pyspark.sql import functions as F
 REBASE = 8  # passes after which the rows' nodes are kept anew
 DEALT_ROWS = 100_000  # rows of the largest open node that a task may hold whole
 CELLS = 1 << 18  # histogram cells looked at together
+PACKED = 20_000  # nodes written together
+NODES = ("treeID int, nodeData struct<id: int, prediction: double, impurity: double, impurityStats: array<double>, rawCount: bigint, gain: double, leftChild: int, "
+         "rightChild: int, split: struct<featureIndex: int, leftCategoriesOrThreshold: array<double>, numCategories: int>>")
 INVALID = -np.finfo(np.float64).max
 LOW = 0xFFFFFFFF
 
@@ -179,7 +182,7 @@ def _best(hist: np.ndarray):
 
 def _found(g: np.ndarray, hist: np.ndarray):
     k, b, gain, left, total = _best(hist)
-    return g, k.astype(np.int32), b.astype(np.int32), gain, left.astype(np.int64), total.astype(np.int64)
+    return g, k.astype(np.int32), b.astype(np.int32), gain, left.astype(np.int32), total.astype(np.int32)
 
 
 def _chunks(g: np.ndarray, cells: int):
@@ -342,8 +345,8 @@ class Growth:
         self.classes, self.n_bins, self.per_node, self.max_depth, self.memory = classes, n_bins, per_node, max_depth, memory
         self.random, self.tree_order = JavaRandom(seed), tree_order
         self.tree, self.id = _Column(np.arange(trees, dtype=np.int32)), _Column(np.ones(trees, np.int64))
-        self.level, self.value = _Column(np.zeros(trees, np.int32)), _Column(np.zeros((trees, classes), np.int64))
-        self.left, self.feature = _Column(np.full(trees, -1, np.int64)), _Column(np.full(trees, -1, np.int32))
+        self.level, self.value = _Column(np.zeros(trees, np.int32)), _Column(np.zeros((trees, classes), np.int32))
+        self.left, self.feature = _Column(np.full(trees, -1, np.int32)), _Column(np.full(trees, -1, np.int32))
         self.bin, self.gain, self.valid = _Column(np.full(trees, -1, np.int32)), _Column(np.full(trees, -1.0)), _Column(np.ones(trees, bool))
         self.stack = list(range(trees))
 
@@ -379,7 +382,7 @@ class Growth:
         """Keeps a pass's best splits, opens the children, and returns where the rows go."""
         g, k, b, gain, left, total = (np.concatenate(x) for x in zip(*found, strict=True)) if found else [np.empty(0, np.int64)] * 6
         n, c = len(nodes), self.classes
-        feature, at_most, gains, lefts, totals = np.zeros(n, np.int32), np.zeros(n, np.int32), np.full(n, INVALID), np.zeros((n, c), np.int64), np.zeros((n, c), np.int64)
+        feature, at_most, gains, lefts, totals = np.zeros(n, np.int32), np.zeros(n, np.int32), np.full(n, INVALID), np.zeros((n, c), np.int32), np.zeros((n, c), np.int32)
         if len(g):
             feature[g], at_most[g], gains[g], lefts[g], totals[g] = features[g, k], b, gain, left, total
         self.value.all[nodes], self.valid.all[nodes] = totals, gains != INVALID
@@ -538,24 +541,41 @@ def dealt(base, growth: Growth, top: np.ndarray, passes: list, slots: int):
                     then=lambda pieces: pieces.partitionBy(slots, int).mapPartitions(_gathered))
 
 
-def save(spark, rf, grown, path: str) -> None:
-    """The grown forest in the format in which Spark ML saves a RandomForestClassificationModel."""
+def _packed(nodes: dict[str, np.ndarray], thresholds: list[np.ndarray], classes: int):
+    """The nodes in Spark ML's format, ``PACKED`` at a time, as compressed Arrow messages."""
     import pyarrow as pa
 
+    starts, flat, n = np.concatenate([[0], np.cumsum([len(t) for t in thresholds])]), np.concatenate([*thresholds, [0.0]]), np.int32
+    for i in range(0, len(nodes["id"]), PACKED):
+        at = {k: v[i:i + PACKED] for k, v in nodes.items()}
+        inner, count = at["inner"], len(at["id"])
+        threshold = flat[starts[at["feature"][inner]] + at["bin"][inner]]
+        stats = pa.ListArray.from_arrays(pa.array(np.arange(count + 1, dtype=n) * n(classes)), pa.array(at["value"].astype(np.float64).ravel()))
+        cut = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(inner)]).astype(n)), pa.array(threshold))
+        split = pa.StructArray.from_arrays([pa.array(at["feature"].astype(n)), cut, pa.array(np.full(count, -1, n))], ["featureIndex", "leftCategoriesOrThreshold", "numCategories"])
+        fields = {"id": at["id"].astype(n), "prediction": at["prediction"].astype(np.float64), "impurity": at["impurity"], "impurityStats": stats,
+                  "rawCount": at["value"].sum(1, dtype=np.int64), "gain": at["gain"], "leftChild": at["left"].astype(n), "rightChild": at["right"].astype(n), "split": split}
+        data = pa.StructArray.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in fields.values()], list(fields))
+        batch = pa.RecordBatch.from_arrays([pa.array(at["tree"].astype(n)), data], ["treeID", "nodeData"])
+        with pa.ipc.new_stream(sink := pa.BufferOutputStream(), batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(batch)
+        yield sink.getvalue().to_pybytes()
+
+
+def _unpacked(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        for block in batch.column(0):
+            yield from pa.ipc.open_stream(block.as_buffer())
+
+
+def save(spark, rf, grown, path: str) -> None:
+    """The grown forest in the format in which Spark ML saves a RandomForestClassificationModel."""
     nodes, thresholds, classes = grown
-    inner = nodes["inner"]
-    starts = np.concatenate([[0], np.cumsum([len(t) for t in thresholds])])
-    flat = np.concatenate([*thresholds, [0.0]])
-    threshold = flat[starts[nodes["feature"][inner]] + nodes["bin"][inner]]
-    count, n = len(inner), np.int32
-    stats = pa.ListArray.from_arrays(pa.array(np.arange(count + 1, dtype=n) * n(classes)), pa.array(nodes["value"].astype(np.float64).ravel()))
-    cut = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(inner)]).astype(n)), pa.array(threshold))
-    split = pa.StructArray.from_arrays([pa.array(nodes["feature"].astype(n)), cut, pa.array(np.full(count, -1, n))], ["featureIndex", "leftCategoriesOrThreshold", "numCategories"])
-    fields = {"id": nodes["id"].astype(n), "prediction": nodes["prediction"].astype(np.float64), "impurity": nodes["impurity"], "impurityStats": stats,
-              "rawCount": nodes["value"].sum(1), "gain": nodes["gain"], "leftChild": nodes["left"].astype(n), "rightChild": nodes["right"].astype(n), "split": split}
-    data = pa.StructArray.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in fields.values()], list(fields))
-    table = pa.Table.from_arrays([pa.array(nodes["tree"].astype(n)), data], ["treeID", "nodeData"])
-    spark.createDataFrame(table).write.mode("overwrite").parquet(f"{path}/data")
+    parts = list(_packed(nodes, thresholds, classes))
+    rdd = spark.sparkContext.parallelize(parts, min(len(parts), max(2, spark.sparkContext.defaultParallelism))).map(lambda b: (bytearray(b),))
+    spark.createDataFrame(rdd, "block binary").mapInArrow(_unpacked, NODES).write.mode("overwrite").parquet(f"{path}/data")
 
     names = lambda params: {p.name: v for p, v in params.items()}
     about = {"timestamp": int(time.time() * 1000), "sparkVersion": spark.version}
